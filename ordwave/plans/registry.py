@@ -20,7 +20,7 @@ from ..functions.business import price_position
 from ..schemas import ORDER_FIELDS, ORDERS_TOPIC, PRICING_FIELDS, PRICING_TOPIC
 from ..sources.fixtures import TOPICS, publish_topics
 from ..sources.kafka import record_files
-from . import reports
+from . import landing, reports
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -133,3 +133,175 @@ def orders_rows_per_day(spark, sf_dir):
 
 
 
+_GOOD = "SELECT * FROM orders_flagged WHERE NOT bad_nulls"
+_LANDED_ORDERS_SQL = f"SELECT {O.ORDER_COLS}, CAST(\"timestamp\" AS DATE) AS event_date FROM orders_flagged WHERE NOT bad_nulls"
+_LANDED_PRICING_SQL = (f"SELECT {O.PRICING_COLS}, coalesce(price_diff < 0, false) AS is_undercut, "
+                       "CAST(\"timestamp\" AS DATE) AS event_date FROM pricing_parsed")
+
+
+@register("rows_per_day_head_tail", O.with_events(
+    f", per_day AS (SELECT CAST(\"timestamp\" AS DATE) AS d, count(*) AS n FROM ({_GOOD}) GROUP BY 1), "
+    "r AS (SELECT *, row_number() OVER (ORDER BY d ASC NULLS FIRST) AS rn, "
+    "row_number() OVER (ORDER BY d DESC NULLS LAST) AS rd, count(*) OVER () AS total FROM per_day) "
+    "SELECT d, n, CASE WHEN total <= 10 THEN 'all' WHEN rn <= 5 THEN 'head' ELSE 'tail' END AS part, "
+    "rn AS rank FROM r WHERE total <= 10 OR rn <= 5 OR rd <= 5"))
+def rows_per_day_head_tail(spark, sf_dir):
+    """A3 + L2 on the landed orders table."""
+    return reports.head_tail(reports.rows_per_day(landing.landed(spark, sf_dir, "orders")))
+
+
+@register("table_summary", O.with_events(
+    "SELECT 'orders' AS table_name, 'ok' AS status, count(*) AS n, min(\"timestamp\") AS mn, "
+    "max(\"timestamp\") AS mx, count(DISTINCT CAST(\"timestamp\" AS DATE)) AS n_days "
+    f"FROM ({_GOOD}) "
+    "UNION ALL SELECT 'orders_quarantine', 'ok', count(*), min(kafka_timestamp), max(kafka_timestamp), "
+    "count(DISTINCT CAST(kafka_timestamp AS DATE)) FROM orders_flagged WHERE bad_nulls "
+    "UNION ALL SELECT 'pricing_events', 'ok', count(*), min(\"timestamp\"), max(\"timestamp\"), "
+    "count(DISTINCT CAST(\"timestamp\" AS DATE)) FROM pricing_parsed "
+    "UNION ALL SELECT 'pricing_events_quarantine', 'missing', NULL, NULL, NULL, NULL", pricing=True))
+def table_summary(spark, sf_dir):
+    """S7 + S8 + A1 + A2 + A9: one summary row per landed table in one scan
+    each; the pricing quarantine is off by default, so it reports missing."""
+    root = landing.shared_landing(spark, sf_dir)
+    return reports.table_report(spark, {
+        "orders": (f"{root}/orders", "timestamp"),
+        "orders_quarantine": (f"{root}/orders_quarantine", "kafka_timestamp"),
+        "pricing_events": (f"{root}/pricing_events", "timestamp"),
+        "pricing_events_quarantine": (f"{root}/pricing_events_quarantine", "kafka_timestamp"),
+    })
+
+
+_ORDER_LINE_SQL = ("concat_ws(' | ', rpad(coalesce(substr(product_name, 1, 35), ''), 35, ' '), "
+                   "lpad(coalesce(format('{:,.2f}', final_price), ''), 10, ' '), "
+                   "rpad(coalesce(substr(region, 1, 12), ''), 12, ' '), coalesce(payment_method, ''))")
+
+
+@register("preview_first_n", O.with_events(
+    f", firsts AS (SELECT *, row_number() OVER (ORDER BY \"partition\", \"offset\") AS rn FROM orders_parsed "
+    "WHERE defect <> 'tombstone') "
+    f"SELECT topic, \"partition\", \"offset\", rn, order_id, {_ORDER_LINE_SQL} AS line FROM firsts WHERE rn <= 3"))
+def preview_first_n(spark, sf_dir, n: int = 3):
+    """L3 + L4 + D12 + K5: the first n present order events in log order,
+    with the fixed-width console line."""
+    recs = records(spark, sf_dir, ORDERS_TOPIC)
+    first = reports.preview_first(recs, n)
+    parsed = reports.preview_line(orders_flagged(first.drop("rn")).join(
+        first.select("partition", "offset", "rn"), ["partition", "offset"]))
+    return parsed.select("topic", "partition", "offset", F.col("rn").cast("bigint").alias("rn"),
+                         "order_id", "line")
+
+
+@register("offset_gaps", O.with_events(
+    "SELECT topic, \"partition\", min(\"offset\") AS min_offset, max(\"offset\") AS max_offset, count(*) AS n, "
+    "count(DISTINCT \"offset\") AS n_distinct, max(\"offset\") - min(\"offset\") + 1 - count(DISTINCT \"offset\") "
+    "AS missing FROM (SELECT topic, \"partition\", \"offset\" FROM orders_parsed UNION ALL "
+    "SELECT topic, \"partition\", \"offset\" FROM pricing_parsed UNION ALL "
+    "SELECT 'other-topic', 0, event_id FROM events) GROUP BY 1, 2", pricing=True))
+def offset_gaps(spark, sf_dir):
+    """Per topic partition, offsets missing inside the observed range."""
+    return reports.offset_gaps(records(spark, sf_dir))
+
+
+@register("batch_audit_totals", O.with_events(
+    "SELECT 'orders' AS query, count(*) AS n_in, count(*) FILTER (WHERE NOT bad_nulls) AS n_good, "
+    "count(*) FILTER (WHERE bad_nulls) AS n_bad, true AS all_ok FROM orders_flagged "
+    "UNION ALL SELECT 'pricing', count(*), count(*), 0, true FROM pricing_parsed", pricing=True))
+def batch_audit_totals(spark, sf_dir):
+    """A4 + A5 + A7 + T8: per-batch audit rows of the ingestion streams,
+    totalled per query (batch boundaries are ours, totals are not)."""
+    audit = spark.read.parquet(f"{landing.shared_landing(spark, sf_dir)}/audit")
+    return (audit.groupBy("query")
+            .agg(F.sum("n_in").alias("n_in"), F.sum("n_good").alias("n_good"), F.sum("n_bad").alias("n_bad"),
+                 F.bool_and(F.col("status").isin("ok", "empty")).alias("all_ok")))
+
+
+@register("stream_orders_landed", O.with_events(_LANDED_ORDERS_SQL))
+def stream_orders_landed(spark, sf_dir):
+    """S1 (file form) + S3 + T1-T6 + K1 + F6: the orders stream, a few files
+    per micro-batch, landed batch by batch; read back = the good rows."""
+    base = landing.new_run_dir(spark, "orders-stream")
+    sink = landing.stream_land(spark, sf_dir, base, "orders")
+    return spark.read.parquet(f"{sink}/orders").drop("batch_id")
+
+
+@register("stream_pricing_landed", O.with_events(_LANDED_PRICING_SQL, orders=False, pricing=True))
+def stream_pricing_landed(spark, sf_dir):
+    """S2 (file form) + P8 + K1: the pricing stream."""
+    base = landing.new_run_dir(spark, "pricing-stream")
+    sink = landing.stream_land(spark, sf_dir, base, "pricing")
+    return spark.read.parquet(f"{sink}/pricing_events").drop("batch_id")
+
+
+@register("stream_replay_idempotent", O.with_events(
+    f"SELECT count(*) AS n_rows, count(DISTINCT order_id) AS n_ids FROM ({_GOOD})"))
+def stream_replay_idempotent(spark, sf_dir):
+    """G2 + T2 + T7: run the orders stream, then restart it on the same
+    checkpoint; the restart must add nothing."""
+    base = landing.new_run_dir(spark, "replay")
+    landing.stream_land(spark, sf_dir, base, "orders")
+    sink = landing.stream_land(spark, sf_dir, base, "orders")
+    df = spark.read.parquet(f"{sink}/orders")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("order_id").alias("n_ids"))
+
+
+@register("load_reconciliation", O.with_events(
+    "SELECT 'orders' AS table_name, CAST(0 AS BIGINT) AS n_before, count(*) AS n_in, "
+    "count(*) FILTER (WHERE NOT bad_nulls) AS n_landed, count(*) FILTER (WHERE bad_nulls) AS n_quarantined, "
+    "CAST(0 AS BIGINT) AS diff, true AS ok FROM orders_flagged "
+    "UNION ALL SELECT 'pricing_events', 0, count(*), count(*), 0, 0, true FROM pricing_parsed", pricing=True))
+def load_reconciliation(spark, sf_dir):
+    """S9 + K2 + A6 + A8: a bounded load with the stream's transforms; table
+    sizes before and after, input vs landed + quarantined."""
+    base = landing.new_run_dir(spark, "load")
+    before = {t: landing.count_rows(spark, f"{base}/landed/{t}") for t in ("orders", "pricing_events")}
+    res = landing.batch_load(spark, sf_dir, base)
+    root = publish_topics(spark, sf_dir)
+    rows = []
+    for table, topic in (("orders", ORDERS_TOPIC), ("pricing_events", PRICING_TOPIC)):
+        n_in = record_files(spark, f"{root}/{topic}").agg(F.count(F.lit(1)).alias("n_in"))
+        landed_n = spark.read.parquet(f"{res['root']}/{table}").agg(F.count(F.lit(1)).alias("n_landed"))
+        q = f"{res['root']}/{table}_quarantine"
+        quarantined = spark.read.parquet(q).agg(F.count(F.lit(1)).alias("n_quarantined"))
+        observed = res["counts"][table]
+        row = (n_in.crossJoin(landed_n).crossJoin(quarantined)
+               .select(F.lit(table).alias("table_name"), F.lit(before[table]).cast("bigint").alias("n_before"),
+                       "n_in", "n_landed", "n_quarantined",
+                       (F.col("n_in") - F.col("n_landed") - F.col("n_quarantined")).alias("diff")))
+        ok = ((F.col("diff") == 0) & (F.col("n_landed") == observed["good"])
+              & (F.col("n_quarantined") == observed["bad"]))
+        rows.append(row.withColumn("ok", ok))
+    return rows[0].unionByName(rows[1])
+
+
+@register("stream_rows_per_day", O.with_events(
+    f"SELECT CAST(\"timestamp\" AS DATE) AS d, count(*) AS n FROM ({_GOOD}) GROUP BY 1"))
+def stream_rows_per_day(spark, sf_dir):
+    """The live rows-per-day aggregate, run to the end of the topic."""
+    from ..config import PipelineConfig
+    from ..sources.kafka import record_files_stream
+    from ..streaming.streams import start_daily_counts
+
+    ensure_session_defaults(spark)
+    root = publish_topics(spark, sf_dir)
+    base = landing.new_run_dir(spark, "daily")
+    src = record_files_stream(spark, f"{root}/{ORDERS_TOPIC}", landing.FILES_PER_TRIGGER)
+    good = landed_orders(good_rows(orders_flagged(src)))
+    q = start_daily_counts(good, f"{base}/daily", f"{base}/checkpoint", PipelineConfig(), available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/daily")
+
+
+@register("orders_dedup", O.with_events(
+    f", ranked AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY \"timestamp\" NULLS FIRST, "
+    "event_type NULLS FIRST, product_id NULLS FIRST, product_name NULLS FIRST, category NULLS FIRST, "
+    "brand NULLS FIRST, price_tier NULLS FIRST, base_price NULLS FIRST, final_price NULLS FIRST, "
+    "discount_percent NULLS FIRST, quantity NULLS FIRST, total_value NULLS FIRST, region NULLS FIRST, "
+    "city NULLS FIRST, payment_method NULLS FIRST, customer_segment NULLS FIRST, is_returned NULLS FIRST) AS rn "
+    f"FROM ({_GOOD})) SELECT {O.ORDER_COLS}, CAST(\"timestamp\" AS DATE) AS event_date FROM ranked WHERE rn = 1"))
+def orders_dedup(spark, sf_dir):
+    """G1 (batch): one row per order id, the first by timestamp then by
+    every other column."""
+    from ..operators.dedup import first_per_key
+
+    return first_per_key(landing.landed(spark, sf_dir, "orders").drop("batch_id"), "order_id",
+                         ["timestamp"] + [c for c in ORDER_FIELDS if c not in ("order_id", "timestamp")])
