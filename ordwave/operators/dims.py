@@ -122,6 +122,7 @@ def competitor_dim(spark: SparkSession) -> DataFrame:
         ((F.lit(80) + F.col("id") * 3) / 100).alias("budget_aggression"),
         ((F.lit(93) + F.col("id")) / 100).alias("premium_aggression"),
         ((F.lit(40) - F.col("id") * 5) / 100).alias("price_change_freq"),
+        (F.lit(40) - F.col("id") * 5).cast("int").alias("price_change_pct"),
         ((F.lit(92) - F.col("id") * 4) / 100).alias("stock_rate"),
     )
     return rows
@@ -197,6 +198,15 @@ def region_weight_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return region_city_dim(spark, sf_dir).select("region", "weight")
 
 
+def in_hierarchy(df: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows whose (region, city) belongs to the hierarchy."""
+    return df.join(F.broadcast(pairs), ["region", "city"], "left_semi")
+
+
+def not_in_hierarchy(df: DataFrame, pairs: DataFrame) -> DataFrame:
+    return df.join(F.broadcast(pairs), ["region", "city"], "left_anti")
+
+
 def with_product(df: DataFrame, products: DataFrame, on: str = "product_id",
                  cols=("base_price",)) -> DataFrame:
     """Attach product attributes to events (stream-static or batch)."""

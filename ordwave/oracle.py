@@ -151,3 +151,47 @@ ORDER_COLS = ("event_type, order_id, product_id, product_name, category, brand,
 PRICING_COLS = ("event_type, product_id, product_name, category, brand, competitor, competitor_price, "
                 "our_price, price_diff, price_diff_pct, in_stock, \"timestamp\"")
 KAFKA_COLS = 'topic, "partition", "offset", kafka_timestamp'
+
+TOL = "CAST(0.010000001 AS DOUBLE)"
+
+_DIMS = """
+good AS (SELECT * FROM orders_flagged WHERE NOT bad_nulls),
+brand_ret AS (
+  SELECT brand, CAST(3 + num % 11 AS DOUBLE) / 100 AS rate
+  FROM (SELECT DISTINCT p_brand AS brand, CAST(regexp_extract(p_brand, '#(\\d+)$', 1) AS INTEGER) AS num FROM part)
+  WHERE num % 2 = 0),
+comp AS (
+  SELECT 'COMP_' || CAST(i AS VARCHAR) AS competitor, CAST(80 + 3 * i AS DOUBLE) / 100 AS budget_aggression,
+         CAST(93 + i AS DOUBLE) / 100 AS premium_aggression, CAST(40 - 5 * i AS DOUBLE) / 100 AS price_change_freq,
+         CAST(40 - 5 * i AS INTEGER) AS price_change_pct, CAST(92 - 4 * i AS DOUBLE) / 100 AS stock_rate
+  FROM range(5) t(i)),
+region_w AS (SELECT r_name AS region, CAST(10 + 5 * r_regionkey AS INTEGER) AS weight FROM region
+             WHERE r_regionkey IN (SELECT n_regionkey FROM nation)),
+pay_w AS (
+  SELECT t.tier AS price_tier, m.pm AS payment_method,
+         CAST(CASE WHEN t.tier = 'budget' THEN 35 - 5 * m.p WHEN t.tier = 'mid' THEN 20 ELSE 5 + 5 * m.p END
+              AS INTEGER) AS weight
+  FROM (VALUES ('budget'), ('mid'), ('premium')) t(tier),
+       (VALUES ('1-URGENT', 1), ('2-HIGH', 2), ('3-MEDIUM', 3), ('4-NOT SPECIFIED', 4), ('5-LOW', 5)) m(pm, p)),
+seg_w AS (SELECT * FROM (VALUES ('AUTOMOBILE', 20), ('BUILDING', 20), ('FURNITURE', 20), ('HOUSEHOLD', 20),
+                                ('MACHINERY', 20)) s(customer_segment, weight)),
+qty_w AS (SELECT * FROM (VALUES (true, 1, 50), (true, 2, 30), (true, 3, 12), (true, 4, 8), (false, 1, 60),
+                                (false, 2, 25), (false, 3, 8), (false, 4, 4), (false, 5, 3)) q(is_limited, quantity, weight))"""
+
+
+def discount_bucket_sql(d: str = "discount_percent", cat: str = "category") -> str:
+    L = f"length({cat})"
+    h1, h2, h3 = f"(8 + 2 * ({L} % 2))", f"(20 + 5 * ({L} % 2))", f"(30 + 5 * ({L} % 4))"
+    return (f"CASE WHEN {cat} = 'LARGE' OR {cat} IS NULL THEN (CASE WHEN {d} = 0 THEN 0 WHEN {d} >= 2 AND {d} <= 10 "
+            f"THEN 1 WHEN {d} >= 10 AND {d} <= 20 THEN 2 WHEN {d} >= 20 AND {d} <= 35 THEN 3 END) "
+            f"ELSE (CASE WHEN {d} = 0 THEN 0 WHEN {d} >= 2 AND {d} <= {h1} THEN 1 WHEN {d} >= {h1} AND {d} <= {h2} "
+            f"THEN 2 WHEN {d} >= {h2} AND {d} <= {h3} THEN 3 END) END")
+
+
+def tier_sql(base: str) -> str:
+    return (f"CASE WHEN {base} < 5000 THEN 'budget' WHEN {base} < 25000 THEN 'mid' "
+            f"WHEN {base} IS NOT NULL THEN 'premium' END")
+
+
+def with_dims(body: str, pricing: bool = False) -> str:
+    return "WITH " + ",".join([_BASE, _ORD] + ([_PRI] if pricing else []) + [_DIMS]) + "\n" + body

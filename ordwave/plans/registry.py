@@ -305,3 +305,6 @@ def orders_dedup(spark, sf_dir):
 
     return first_per_key(landing.landed(spark, sf_dir, "orders").drop("batch_id"), "order_id",
                          ["timestamp"] + [c for c in ORDER_FIELDS if c not in ("order_id", "timestamp")])
+
+
+from . import registry_derived  # noqa: E402,F401  (registers its queries)
