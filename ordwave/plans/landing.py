@@ -38,14 +38,16 @@ def stream_land(spark: SparkSession, sf_dir: str, base: str, mode: str = "both",
     return cfg.sink_root
 
 
-def shared_landing(spark: SparkSession, sf_dir: str) -> str:
+def shared_landing(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
     """The landed tables the reports read: landed once per published input
-    and reused (a DONE marker is written after both streams drained)."""
-    base = fixture_root(spark, sf_dir).replace("/topics/", "/landing/")
-    sink = f"{base}/landed"
-    if not path_exists(spark, f"{base}/DONE"):
-        stream_land(spark, sf_dir, base)
-        spark.createDataFrame([("done",)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/DONE")
+    and reused. Each landing goes to its own folder; a small pointer file
+    names the finished one, written only after both streams drained."""
+    pointer = fixture_root(spark, sf_dir).replace("/topics/", "/landing/") + "/CURRENT"
+    if not force and path_exists(spark, pointer):
+        return spark.read.text(pointer).first()[0]
+    base = new_run_dir(spark, "landing")
+    sink = stream_land(spark, sf_dir, base)
+    spark.createDataFrame([(sink,)], "value string").coalesce(1).write.mode("overwrite").text(pointer)
     return sink
 
 
