@@ -52,9 +52,12 @@ def parse_json(records: DataFrame, schema: StructType, keep_raw: bool = True) ->
             F.col("timestamp").alias("kafka_timestamp")]
     if keep_raw:
         cols.append(decode_value("value").alias("value_text"))
-    flat = [F.col(f"data.{f.name}").alias(f.name) for f in schema.fields]
     rest = ["topic", "partition", "offset", "kafka_timestamp"] + (["value_text"] if keep_raw else [])
-    return records.select(*cols).select(*flat, *rest)
+    # ``inline`` of a one-element array flattens the struct like ``data.*``
+    # but is a Generate node: filters on the parsed fields stay above it, so
+    # the JSON is parsed once per record instead of once per tested field
+    # (a pushed-down filter would re-run from_json with pruned schemas).
+    return records.select(*cols).select(F.inline(F.array(F.col("data"))), *rest)
 
 
 def _parse_typed(records: DataFrame, schema: StructType) -> DataFrame:

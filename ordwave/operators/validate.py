@@ -55,9 +55,15 @@ RULESETS = {"nulls": nulls_rules, "strict": strict_rules, "pricing": pricing_rul
 
 
 def flag_quality(parsed: DataFrame, validator: str = "nulls") -> DataFrame:
-    reasons = _reasons(RULESETS[validator]())
-    return (parsed.withColumn("quality_reasons", reasons)
-            .withColumn("has_quality_issues", F.size("quality_reasons") > 0))
+    """``has_quality_issues`` is a plain OR of the rules (it stays inside
+    whole-stage codegen); the reasons array is only materialised where a
+    quarantine write selects it."""
+    rules = RULESETS[validator]()
+    any_bad = F.lit(False)
+    for _, cond in rules:
+        any_bad = any_bad | F.coalesce(cond, F.lit(False))
+    return (parsed.withColumn("quality_reasons", _reasons(rules))
+            .withColumn("has_quality_issues", any_bad))
 
 
 def good_rows(flagged: DataFrame) -> DataFrame:
