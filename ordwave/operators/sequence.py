@@ -36,4 +36,4 @@ def dense_sequence(df: DataFrame, group_col: str, order_cols: list, coarse_col:
     w_row = Window.partitionBy(group_col, "_blk").orderBy(*order_cols)
     return (d.join(blk_base, [group_col, "_blk"])
             .withColumn(out, (F.col("_base") + F.row_number().over(w_row) - 1).cast("bigint"))
-            .drop("_blk", "_base"))
+            .select(*df.columns, out))
