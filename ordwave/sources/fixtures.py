@@ -25,7 +25,7 @@ from ..operators.sequence import dense_sequence
 from ..schemas import ORDER_FIELDS, ORDERS_TOPIC, PRICING_FIELDS, PRICING_TOPIC
 from .tables import path_exists, read_table
 
-FIXTURE_VERSION = "3"
+FIXTURE_VERSION = "4"
 OTHER_TOPIC = "other-topic"
 TOPICS = (ORDERS_TOPIC, PRICING_TOPIC, OTHER_TOPIC)
 # the total order of lineitem rows (unique at every scale factor)
@@ -87,26 +87,35 @@ def _order_id() -> Column:
                     four(F.floor(lo / 26) % 10000), letter(lp % 26), letter(ls % 26), four(lp % 10000))
 
 
-def _records(df: DataFrame, topic: str, partition: Column, value: Column, copies: Column | None) -> DataFrame:
-    order = list(TOTAL_ORDER)
+def _prepared(df: DataFrame, partition: Column, value: Column, copies: Column | None) -> DataFrame:
+    """Records before offsets: value, partition, broker time and the order
+    columns the offsets follow (replays get a copy number)."""
     if copies is not None:
         df = df.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
-        order.append("_copy")
-    df = df.withColumn("partition", partition.cast("int")).withColumn("value", value)
-    df = dense_sequence(df, "partition", order, "l_orderkey", out="offset")
+    else:
+        df = df.withColumn("_copy", F.lit(1))
+    return df.select(*TOTAL_ORDER, "_copy", partition.cast("int").alias("partition"), value.alias("value"),
+                     F.timestamp_add("SECOND", F.lit(1), F.col("event_ts")).cast("timestamp").alias("timestamp"))
+
+
+def with_offsets(prepared: DataFrame, topic: str) -> DataFrame:
+    """Dense offsets per partition in the total order, then the Kafka record
+    columns."""
+    df = dense_sequence(prepared, "partition", TOTAL_ORDER + ["_copy"], "l_orderkey", out="offset")
     return df.select(
         F.lit(None).cast("binary").alias("key"),
         F.col("value"),
         F.lit(topic).alias("topic"),
         F.col("partition"),
         F.col("offset"),
-        F.timestamp_add("SECOND", F.lit(1), F.col("event_ts")).cast("timestamp").alias("timestamp"),
+        F.col("timestamp"),
         F.lit(0).alias("timestampType"),
     )
 
 
-def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders-topic records, with the defect classes and replays."""
+def order_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders-topic records (before offsets), with the defect classes and
+    replays."""
     ensure_session_defaults(spark)
     b = event_rows(spark, sf_dir).withColumn("defect", _defect(ORDER_DEFECTS))
     d = F.col("defect")
@@ -147,11 +156,12 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.regexp_replace(full.cast("string"), '"quantity":[0-9]+', '"quantity":"x"').cast("binary"))
              .otherwise(full))
     copies = F.when(k % REPLAY_EVERY == 0, 2).otherwise(1)
-    return _records(b, ORDERS_TOPIC, k % 3, value, copies)
+    return _prepared(b, k % 3, value, copies)
 
 
-def pricing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pricing-topic records: one competitor price per 4th line."""
+def pricing_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pricing-topic records (before offsets): one competitor price per 4th
+    line."""
     ensure_session_defaults(spark)
     b = (event_rows(spark, sf_dir).where(F.col("l_linenumber") % 4 == 0)
          .withColumn("defect", _defect(PRICING_DEFECTS)))
@@ -181,7 +191,7 @@ def pricing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .cast("binary"))
              .when(d == "price_diff_absent", to_json_value(cols, ignore_nulls=True))
              .otherwise(full))
-    return _records(b, PRICING_TOPIC, F.col("l_orderkey") % 2, value, None)
+    return _prepared(b, F.col("l_orderkey") % 2, value, None)
 
 
 def other_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,7 +209,15 @@ def other_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-BUILDERS = {ORDERS_TOPIC: order_records, PRICING_TOPIC: pricing_records, OTHER_TOPIC: other_records}
+def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_offsets(order_prepared(spark, sf_dir), ORDERS_TOPIC)
+
+
+def pricing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_offsets(pricing_prepared(spark, sf_dir), PRICING_TOPIC)
+
+
+PREPARED = {ORDERS_TOPIC: order_prepared, PRICING_TOPIC: pricing_prepared}
 
 
 def fixture_root(spark: SparkSession, sf_dir: str) -> str:
@@ -211,15 +229,23 @@ def fixture_root(spark: SparkSession, sf_dir: str) -> str:
 def publish_topics(spark: SparkSession, sf_dir: str, files_per_topic: int | None = None,
                    force: bool = False) -> str:
     """Write the three topics as Kafka-shaped Parquet files (once per input;
-    later calls reuse them). Each topic is range-laid-out by (partition,
-    offset), like log segments, so offset ranges prune on min/max stats."""
+    later calls reuse them). The joined, serialised records are staged once
+    as a table, so the big join runs once and a lost executor costs a
+    re-read, not a re-join; offsets are computed from the staged table. Each
+    topic is range-laid-out by (partition, offset), like log segments, so
+    offset ranges prune on min/max statistics."""
     root = fixture_root(spark, sf_dir)
     n = files_per_topic or int(spark.conf.get("spark.sql.shuffle.partitions"))
     for topic in TOPICS:
         path = f"{root}/{topic}"
         if not force and path_exists(spark, f"{path}/_SUCCESS"):
             continue
-        recs = BUILDERS[topic](spark, sf_dir)
+        if topic in PREPARED:
+            staged = f"{root}/staging/{topic}"
+            PREPARED[topic](spark, sf_dir).write.mode("overwrite").parquet(staged)
+            recs = with_offsets(spark.read.parquet(staged), topic)
+        else:
+            recs = other_records(spark, sf_dir)
         (recs.repartitionByRange(n, "partition", "offset")
          .sortWithinPartitions("partition", "offset")
          .write.mode("overwrite").parquet(path))
