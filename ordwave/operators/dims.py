@@ -172,16 +172,16 @@ def region_city_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return region_city_dim(spark, sf_dir).select("region", F.explode("cities").alias("city"))
 
 
+def payment_mix_weight(tier: str, rank: int) -> int:
+    """Weight of the payment method of rank 1..5 within a tier; each tier
+    sums to 100: budget 30..10, mid 20 each, premium 10..30."""
+    return {"budget": 35 - 5 * rank, "mid": 20, "premium": 5 + 5 * rank}[tier]
+
+
 def payment_mix_dim(spark: SparkSession) -> DataFrame:
-    """Tier -> payment method -> weight, 3 x 5 rows; each tier sums to 100.
-    budget 30..10, mid 20 each, premium 10..30 by the method's rank p."""
-    tiers = spark.createDataFrame([(t,) for t in TIERS], "price_tier string")
-    methods = spark.createDataFrame([(m, i + 1) for i, m in enumerate(PAYMENT_METHODS)],
-                                    "payment_method string, p int")
-    w = (F.when(F.col("price_tier") == "budget", F.lit(35) - F.col("p") * 5)
-         .when(F.col("price_tier") == "mid", F.lit(20))
-         .otherwise(F.lit(5) + F.col("p") * 5))
-    return tiers.crossJoin(methods).select("price_tier", "payment_method", w.cast("int").alias("weight"))
+    """Tier -> payment method -> weight, 3 x 5 rows built from the rule."""
+    rows = [(t, m, payment_mix_weight(t, i + 1)) for t in TIERS for i, m in enumerate(PAYMENT_METHODS)]
+    return spark.createDataFrame(rows, "price_tier string, payment_method string, weight int")
 
 
 def segment_mix_dim(spark: SparkSession) -> DataFrame:

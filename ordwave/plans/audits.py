@@ -91,53 +91,59 @@ def contract_audit(spark: SparkSession, sf_dir: str, orders: DataFrame, pricing:
             .unionByName(_violations(pricing_rule_flags(spark, sf_dir, pricing), "pricing_events")))
 
 
-def _share_vs_weight(observed: DataFrame, weights: DataFrame, dimension: str) -> DataFrame:
-    """observed: (parent, key, n); weights: (parent, key, weight). Shares are
-    n / total per parent; totals come from per-parent aggregates joined
-    back by key (parents are few; no window over the data)."""
-    obs_tot = observed.groupBy("parent").agg(F.sum("n").alias("_n_tot"))
-    w_tot = weights.groupBy("parent").agg(F.sum("weight").alias("_w_tot"))
-    full = observed.join(weights, ["parent", "key"], "full_outer")
-    return (full.join(obs_tot, "parent", "left").join(w_tot, "parent", "left")
-            .select(F.lit(dimension).alias("dimension"), "parent", "key",
-                    F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"),
-                    F.coalesce(F.col("n") / F.col("_n_tot"), F.lit(0.0)).alias("share"),
-                    (F.col("weight") / F.col("_w_tot")).alias("weight_share"))
-            .withColumn("abs_diff", F.abs(F.col("share") - F.col("weight_share"))))
-
-
 def mix_audit(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
     """Q2: observed share vs configured weight by region, product, segment,
-    payment method within tier, and quantity (by category kind)."""
-    all_ = F.lit("all")
+    payment method within tier, and quantity (by category kind).
 
-    def counts(parent, key):
-        return orders.groupBy(parent.alias("parent"), F.col(key).cast("string").alias("key")) \
-                     .agg(F.count(F.lit(1)).alias("n"))
-
-    region_w = dims.region_weight_dim(spark, sf_dir).select(all_.alias("parent"), F.col("region").alias("key"),
-                                                            "weight")
-    prod_w = dims.product_dim(spark, sf_dir).select(all_.alias("parent"), F.col("product_id").alias("key"),
-                                                    "weight")
-    seg_w = dims.segment_mix_dim(spark).select(all_.alias("parent"), F.col("customer_segment").alias("key"),
-                                               "weight")
-    pay_w = dims.payment_mix_dim(spark).select(F.col("price_tier").alias("parent"),
-                                               F.col("payment_method").alias("key"), "weight")
-    qty_w = dims.quantity_mix_dim(spark).select(
-        F.when(F.col("is_limited"), "limited").otherwise("default").alias("parent"),
-        F.col("quantity").cast("string").alias("key"), "weight")
+    One pass over the orders: the five groupings are grouping sets of one
+    aggregate (one Expand, one shuffle). Counts and weights meet in one
+    full outer join on (dimension, parent, key); per-(dimension, parent)
+    totals are a handful of rows, broadcast back on those keys."""
     kind = F.when(F.col("category") == dims.LIMITED_QTY_CATEGORY, "limited").otherwise("default")
-    parts = [
-        _share_vs_weight(counts(all_, "region"), region_w, "region"),
-        _share_vs_weight(counts(all_, "product_id"), prod_w, "product"),
-        _share_vs_weight(counts(all_, "customer_segment"), seg_w, "segment"),
-        _share_vs_weight(counts(F.col("price_tier"), "payment_method"), pay_w, "payment_method"),
-        _share_vs_weight(counts(kind, "quantity"), qty_w, "quantity"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    base = orders.select("region", "product_id", "customer_segment", "price_tier", "payment_method",
+                         kind.alias("qty_kind"), F.col("quantity").cast("string").alias("qty"))
+    sets = [["region"], ["product_id"], ["customer_segment"], ["price_tier", "payment_method"], ["qty_kind", "qty"]]
+    g = base.groupingSets(sets, *base.columns).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.grouping(c).alias(f"g_{c}") for c in ("region", "product_id", "customer_segment", "price_tier")])
+    grouped = {c: F.col(f"g_{c}") == 0 for c in ("region", "product_id", "customer_segment", "price_tier")}
+    dimension = (F.when(grouped["region"], "region").when(grouped["product_id"], "product")
+                 .when(grouped["customer_segment"], "segment").when(grouped["price_tier"], "payment_method")
+                 .otherwise("quantity"))
+    parent = (F.when(grouped["price_tier"], F.col("price_tier"))
+              .when(~(grouped["region"] | grouped["product_id"] | grouped["customer_segment"]), F.col("qty_kind"))
+              .otherwise(F.lit("all")))
+    key = (F.when(grouped["region"], F.col("region")).when(grouped["product_id"], F.col("product_id"))
+           .when(grouped["customer_segment"], F.col("customer_segment"))
+           .when(grouped["price_tier"], F.col("payment_method")).otherwise(F.col("qty")))
+    observed = g.select(dimension.alias("dimension"), parent.alias("parent"), key.alias("key"), "n")
+
+    all_ = F.lit("all")
+    weights = (
+        dims.region_weight_dim(spark, sf_dir).select(F.lit("region").alias("dimension"), all_.alias("parent"),
+                                                     F.col("region").alias("key"), "weight")
+        .unionByName(dims.product_dim(spark, sf_dir).select(
+            F.lit("product").alias("dimension"), all_.alias("parent"), F.col("product_id").alias("key"), "weight"))
+        .unionByName(dims.segment_mix_dim(spark).select(
+            F.lit("segment").alias("dimension"), all_.alias("parent"), F.col("customer_segment").alias("key"),
+            "weight"))
+        .unionByName(dims.payment_mix_dim(spark).select(
+            F.lit("payment_method").alias("dimension"), F.col("price_tier").alias("parent"),
+            F.col("payment_method").alias("key"), "weight"))
+        .unionByName(dims.quantity_mix_dim(spark).select(
+            F.lit("quantity").alias("dimension"),
+            F.when(F.col("is_limited"), "limited").otherwise("default").alias("parent"),
+            F.col("quantity").cast("string").alias("key"), "weight")))
+    keys = ["dimension", "parent"]
+    n_tot = observed.groupBy(*keys).agg(F.sum("n").alias("_n_tot"))
+    w_tot = weights.groupBy(*keys).agg(F.sum("weight").alias("_w_tot"))
+    full = (observed.join(weights, keys + ["key"], "full_outer")
+            .join(F.broadcast(n_tot), keys, "left").join(F.broadcast(w_tot), keys, "left"))
+    return (full.select("dimension", "parent", "key",
+                        F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"),
+                        F.coalesce(F.col("n") / F.col("_n_tot"), F.lit(0.0)).alias("share"),
+                        (F.col("weight") / F.col("_w_tot")).alias("weight_share"))
+            .withColumn("abs_diff", F.abs(F.col("share") - F.col("weight_share"))))
 
 
 def return_rate_audit(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:

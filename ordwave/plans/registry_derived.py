@@ -205,14 +205,13 @@ def product_enrich(spark, sf_dir):
     "SELECT g.region, count(*) AS n, count(*) FILTER (WHERE EXISTS (SELECT 1 FROM geo WHERE geo.region = g.region "
     "AND geo.city = g.city)) AS n_in_hierarchy FROM good g GROUP BY 1"))
 def region_city_check(spark, sf_dir):
-    """(region, city) membership in the region -> cities hierarchy."""
+    """(region, city) membership in the region -> cities hierarchy, in
+    one pass (a broadcast flag join; ``dims.in_hierarchy`` and
+    ``dims.not_in_hierarchy`` are the semi/anti forms)."""
     o = _orders(spark, sf_dir)
-    pairs = dims.region_city_pairs(spark, sf_dir)
-    inside = dims.in_hierarchy(o, pairs).groupBy("region").agg(F.count(F.lit(1)).alias("n_in_hierarchy"))
-    outside = dims.not_in_hierarchy(o, pairs).groupBy("region").agg(F.count(F.lit(1)).alias("n_out"))
-    return (inside.join(outside, "region", "full_outer")
-            .select("region", (F.coalesce("n_in_hierarchy", F.lit(0)) + F.coalesce("n_out", F.lit(0))).alias("n"),
-                    F.coalesce("n_in_hierarchy", F.lit(0)).alias("n_in_hierarchy")))
+    pairs = dims.region_city_pairs(spark, sf_dir).withColumn("_in", F.lit(True))
+    return (o.join(F.broadcast(pairs), ["region", "city"], "left")
+            .groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.count("_in").alias("n_in_hierarchy")))
 
 
 # ---- audits -----------------------------------------------------------------------
@@ -374,10 +373,8 @@ def day_offset(spark, sf_dir):
     """P13 + A5: days counted back from the last landed day in 30-day steps
     (the backfill's progress unit), and whether each day lies within the
     last 180 days (interval arithmetic). The window runs over days only."""
-    from pyspark.sql import Window
-
     per_day = _orders(spark, sf_dir).groupBy(F.to_date("timestamp").alias("d")).agg(F.count(F.lit(1)).alias("n"))
-    last = F.max("d").over(Window.partitionBy())
+    last = per_day.agg(F.max("d")).scalar()
     b = (per_day.withColumn("bucket", F.floor(F.datediff(last, F.col("d")) / 30).cast("int"))
          .withColumn("window_start", F.date_sub(last, 180)))
     return b.groupBy("bucket").agg(F.min("d").alias("first_day"), F.max("d").alias("last_day"),
