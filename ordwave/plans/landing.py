@@ -72,3 +72,21 @@ def count_rows(spark: SparkSession, path: str) -> int:
     if not path_exists(spark, path):
         return 0
     return spark.read.parquet(path).agg(F.count(F.lit(1))).first()[0]
+
+
+def compact(spark: SparkSession, src: str, dst: str, date_col: str = "event_date",
+            order_col: str = "timestamp", files: int | None = None) -> str:
+    """Rewrite a table landed batch by batch (many small files per batch)
+    into one partition directory per month (``event_month``). Range
+    partitioning on (day, time) keeps a hot day spread over several tasks,
+    and each task writes few files because its rows cover a contiguous
+    stretch of days. Months, not days: a day is too small a unit for
+    years of history at modest daily volumes."""
+    n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = spark.read.parquet(src)
+    df = df.drop("batch_id") if "batch_id" in df.columns else df
+    (df.withColumn("event_month", F.trunc(date_col, "month"))
+     .repartitionByRange(n, date_col, order_col)
+     .sortWithinPartitions(date_col, order_col)
+     .write.mode("overwrite").partitionBy("event_month").parquet(dst))
+    return dst

@@ -293,6 +293,15 @@ def stream_rows_per_day(spark, sf_dir):
     return spark.read.parquet(f"{base}/daily")
 
 
+@register("orders_compacted", O.with_events(_LANDED_ORDERS_SQL))
+def orders_compacted(spark, sf_dir):
+    """Compaction of the landed orders (one directory per month); the rows
+    read back are exactly the landed rows."""
+    src = f"{landing.shared_landing(spark, sf_dir)}/orders"
+    dst = f"{landing.new_run_dir(spark, 'compact')}/orders"
+    return spark.read.parquet(landing.compact(spark, src, dst)).drop("event_month")
+
+
 @register("orders_dedup", O.with_events(
     f", ranked AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY \"timestamp\" NULLS FIRST, "
     "event_type NULLS FIRST, product_id NULLS FIRST, product_name NULLS FIRST, category NULLS FIRST, "

@@ -117,6 +117,13 @@ class ProgressRecorder(StreamingQueryListener):
         pass
 
 
+def attach_progress(spark: SparkSession, keep: int = 1000) -> ProgressRecorder:
+    """Register a progress recorder on the session's stream manager."""
+    rec = ProgressRecorder(keep)
+    spark.streams.addListener(rec)
+    return rec
+
+
 # ---- guarantees ------------------------------------------------------------
 
 def start_daily_counts(good_stream: DataFrame, out_path: str, checkpoint: str, cfg: PipelineConfig,
