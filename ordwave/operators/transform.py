@@ -30,16 +30,33 @@ def pricing_flagged(records: DataFrame, validator: str | None = None) -> DataFra
             .withColumn("has_quality_issues", F.lit(False))
 
 
-def landed_orders(flagged: DataFrame) -> DataFrame:
+def landed_orders(flagged: DataFrame, extra=()) -> DataFrame:
     """Good rows in the landed-table shape: the 18 event fields with the
     timestamp as wall-clock UTC (TIMESTAMP_NTZ), plus ``event_date``."""
     cols = [to_ntz("timestamp").alias("timestamp") if f == "timestamp" else F.col(f) for f in ORDER_FIELDS]
-    return flagged.select(*cols, event_date("timestamp").alias("event_date"))
+    return flagged.select(*cols, event_date("timestamp").alias("event_date"), *extra)
 
 
-def landed_pricing(flagged: DataFrame) -> DataFrame:
+def landed_pricing(flagged: DataFrame, extra=()) -> DataFrame:
     cols = [to_ntz("timestamp").alias("timestamp") if f == "timestamp" else F.col(f) for f in PRICING_FIELDS]
-    return flagged.select(*cols, "is_undercut", event_date("timestamp").alias("event_date"))
+    return flagged.select(*cols, "is_undercut", event_date("timestamp").alias("event_date"), *extra)
+
+
+LANDED_COLUMNS = {"orders": LANDED_ORDER_COLUMNS, "pricing_events": LANDED_PRICING_COLUMNS}
+QUARANTINE_COLUMNS = ["value", "topic", "partition", "offset", "kafka_timestamp", "quality_reasons"]
+
+
+def landing_rows(flagged: DataFrame, shape) -> DataFrame:
+    """One output row per input record: the landed columns, the record's
+    Kafka coordinates (lineage), ``status`` good/bad, and for bad rows only
+    the raw value and the failed rules. Written once, partitioned by
+    ``status``: the good partition is the landed table, the bad partition is
+    the quarantine (K3)."""
+    bad = F.col("has_quality_issues")
+    extra = [F.when(bad, F.col("value_text")).alias("value"), "topic", "partition", "offset",
+             "kafka_timestamp", F.when(bad, F.col("quality_reasons")).alias("quality_reasons"),
+             F.when(bad, "bad").otherwise("good").alias("status")]
+    return shape(flagged, extra)
 
 
 def quarantine_shape(flagged: DataFrame, batch_id=None) -> DataFrame:

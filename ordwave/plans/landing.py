@@ -15,10 +15,16 @@ from ..schemas import ORDERS_TOPIC, PRICING_TOPIC
 from ..sources.fixtures import fixture_root, publish_topics
 from ..sources.kafka import record_files
 from ..sources.tables import path_exists
-from ..streaming.sinks import write_batch_load
+from ..streaming.sinks import read_landed, write_batch_load
 from ..streaming.streams import drain, run_streams
 
-FILES_PER_TRIGGER = 2
+# Micro-batches of the file form: a quarter of a topic's files each, so a
+# bounded run has several batches and each batch has several input splits.
+TRIGGERS_PER_TOPIC = 4
+
+
+def files_per_trigger(spark: SparkSession) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // TRIGGERS_PER_TOPIC)
 
 
 def new_run_dir(spark: SparkSession, kind: str) -> str:
@@ -32,7 +38,7 @@ def stream_land(spark: SparkSession, sf_dir: str, base: str, mode: str = "both",
     ensure_session_defaults(spark)
     root = publish_topics(spark, sf_dir)
     cfg = (cfg or PipelineConfig()).with_(sink_root=f"{base}/landed", checkpoint_root=f"{base}/checkpoints",
-                                          max_files_per_trigger=FILES_PER_TRIGGER)
+                                          max_files_per_trigger=files_per_trigger(spark))
     paths = {ORDERS_TOPIC: f"{root}/{ORDERS_TOPIC}", PRICING_TOPIC: f"{root}/{PRICING_TOPIC}"}
     drain(run_streams(spark, mode, cfg, topic_paths=paths, available_now=True))
     return cfg.sink_root
@@ -52,7 +58,7 @@ def shared_landing(spark: SparkSession, sf_dir: str, force: bool = False) -> str
 
 
 def landed(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{shared_landing(spark, sf_dir)}/{table}")
+    return read_landed(spark, shared_landing(spark, sf_dir), table)
 
 
 def batch_load(spark: SparkSession, sf_dir: str, base: str, load_id: str = "L0") -> dict:
@@ -68,13 +74,14 @@ def batch_load(spark: SparkSession, sf_dir: str, base: str, load_id: str = "L0")
     return {"root": out, "counts": counts}
 
 
-def count_rows(spark: SparkSession, path: str) -> int:
-    if not path_exists(spark, path):
+def count_landed(spark: SparkSession, root: str, table: str) -> int:
+    """Rows of a landed table (0 when it does not exist yet)."""
+    if not path_exists(spark, f"{root}/{table}"):
         return 0
-    return spark.read.parquet(path).agg(F.count(F.lit(1))).first()[0]
+    return read_landed(spark, root, table).agg(F.count(F.lit(1))).first()[0]
 
 
-def compact(spark: SparkSession, src: str, dst: str, date_col: str = "event_date",
+def compact(spark: SparkSession, df: DataFrame, dst: str, date_col: str = "event_date",
             order_col: str = "timestamp", files: int | None = None) -> str:
     """Rewrite a table landed batch by batch (many small files per batch)
     into one partition directory per month (``event_month``). Range
@@ -83,8 +90,7 @@ def compact(spark: SparkSession, src: str, dst: str, date_col: str = "event_date
     stretch of days. Months, not days: a day is too small a unit for
     years of history at modest daily volumes."""
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df = spark.read.parquet(src)
-    df = df.drop("batch_id") if "batch_id" in df.columns else df
+    df = df.drop(*[c for c in ("batch_id", "load_id") if c in df.columns])
     (df.withColumn("event_month", F.trunc(date_col, "month"))
      .repartitionByRange(n, date_col, order_col)
      .sortWithinPartitions(date_col, order_col)

@@ -20,6 +20,7 @@ from ..functions.business import price_position
 from ..schemas import ORDER_FIELDS, ORDERS_TOPIC, PRICING_FIELDS, PRICING_TOPIC
 from ..sources.fixtures import TOPICS, publish_topics
 from ..sources.kafka import record_files
+from ..streaming.sinks import quarantine_exists, read_landed, read_quarantine
 from . import landing, reports
 
 QUERIES: dict = {}
@@ -163,11 +164,15 @@ def table_summary(spark, sf_dir):
     """S7 + S8 + A1 + A2 + A9: one summary row per landed table in one scan
     each; the pricing quarantine is off by default, so it reports missing."""
     root = landing.shared_landing(spark, sf_dir)
+
+    def quarantine(table):
+        return read_quarantine(spark, root, table) if quarantine_exists(spark, root, table) else None
+
     return reports.table_report(spark, {
-        "orders": (f"{root}/orders", "timestamp"),
-        "orders_quarantine": (f"{root}/orders_quarantine", "kafka_timestamp"),
-        "pricing_events": (f"{root}/pricing_events", "timestamp"),
-        "pricing_events_quarantine": (f"{root}/pricing_events_quarantine", "kafka_timestamp"),
+        "orders": (read_landed(spark, root, "orders"), "timestamp"),
+        "orders_quarantine": (quarantine("orders"), "kafka_timestamp"),
+        "pricing_events": (read_landed(spark, root, "pricing_events"), "timestamp"),
+        "pricing_events_quarantine": (quarantine("pricing_events"), "kafka_timestamp"),
     })
 
 
@@ -221,7 +226,7 @@ def stream_orders_landed(spark, sf_dir):
     per micro-batch, landed batch by batch; read back = the good rows."""
     base = landing.new_run_dir(spark, "orders-stream")
     sink = landing.stream_land(spark, sf_dir, base, "orders")
-    return spark.read.parquet(f"{sink}/orders").drop("batch_id")
+    return read_landed(spark, sink, "orders").drop("batch_id")
 
 
 @register("stream_pricing_landed", O.with_events(_LANDED_PRICING_SQL, orders=False, pricing=True))
@@ -229,7 +234,7 @@ def stream_pricing_landed(spark, sf_dir):
     """S2 (file form) + P8 + K1: the pricing stream."""
     base = landing.new_run_dir(spark, "pricing-stream")
     sink = landing.stream_land(spark, sf_dir, base, "pricing")
-    return spark.read.parquet(f"{sink}/pricing_events").drop("batch_id")
+    return read_landed(spark, sink, "pricing_events").drop("batch_id")
 
 
 @register("stream_replay_idempotent", O.with_events(
@@ -240,7 +245,7 @@ def stream_replay_idempotent(spark, sf_dir):
     base = landing.new_run_dir(spark, "replay")
     landing.stream_land(spark, sf_dir, base, "orders")
     sink = landing.stream_land(spark, sf_dir, base, "orders")
-    df = spark.read.parquet(f"{sink}/orders")
+    df = read_landed(spark, sink, "orders")
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("order_id").alias("n_ids"))
 
 
@@ -253,7 +258,7 @@ def load_reconciliation(spark, sf_dir):
     """S9 + K2 + A6 + A8: a bounded load with the stream's transforms; table
     sizes before and after, input vs landed + quarantined."""
     base = landing.new_run_dir(spark, "load")
-    before = {t: landing.count_rows(spark, f"{base}/landed/{t}") for t in ("orders", "pricing_events")}
+    before = {t: landing.count_landed(spark, f"{base}/landed", t) for t in ("orders", "pricing_events")}
     res = landing.batch_load(spark, sf_dir, base)
     root = publish_topics(spark, sf_dir)
     rows = []
@@ -262,8 +267,8 @@ def load_reconciliation(spark, sf_dir):
             return df.agg(F.count(F.lit(1))).scalar()
 
         n_in = count_of(record_files(spark, f"{root}/{topic}"))
-        n_landed = count_of(spark.read.parquet(f"{res['root']}/{table}"))
-        n_quarantined = count_of(spark.read.parquet(f"{res['root']}/{table}_quarantine"))
+        n_landed = count_of(read_landed(spark, res["root"], table))
+        n_quarantined = count_of(read_quarantine(spark, res["root"], table))
         observed = res["counts"][table]
         row = spark.range(1).select(
             F.lit(table).alias("table_name"), F.lit(before[table]).cast("bigint").alias("n_before"),
@@ -286,7 +291,7 @@ def stream_rows_per_day(spark, sf_dir):
     ensure_session_defaults(spark)
     root = publish_topics(spark, sf_dir)
     base = landing.new_run_dir(spark, "daily")
-    src = record_files_stream(spark, f"{root}/{ORDERS_TOPIC}", landing.FILES_PER_TRIGGER)
+    src = record_files_stream(spark, f"{root}/{ORDERS_TOPIC}", landing.files_per_trigger(spark))
     good = landed_orders(good_rows(orders_flagged(src)))
     q = start_daily_counts(good, f"{base}/daily", f"{base}/checkpoint", PipelineConfig(), available_now=True)
     q.awaitTermination()
@@ -297,7 +302,7 @@ def stream_rows_per_day(spark, sf_dir):
 def orders_compacted(spark, sf_dir):
     """Compaction of the landed orders (one directory per month); the rows
     read back are exactly the landed rows."""
-    src = f"{landing.shared_landing(spark, sf_dir)}/orders"
+    src = landing.landed(spark, sf_dir, "orders")
     dst = f"{landing.new_run_dir(spark, 'compact')}/orders"
     return spark.read.parquet(landing.compact(spark, src, dst)).drop("event_month")
 

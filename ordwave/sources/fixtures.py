@@ -25,7 +25,7 @@ from ..operators.sequence import dense_sequence
 from ..schemas import ORDER_FIELDS, ORDERS_TOPIC, PRICING_FIELDS, PRICING_TOPIC
 from .tables import path_exists, read_table
 
-FIXTURE_VERSION = "4"
+FIXTURE_VERSION = "5"
 OTHER_TOPIC = "other-topic"
 TOPICS = (ORDERS_TOPIC, PRICING_TOPIC, OTHER_TOPIC)
 # the total order of lineitem rows (unique at every scale factor)

@@ -2,9 +2,11 @@
 
 ``BatchLander`` is the ``foreachBatch`` function of an ingestion query:
 
-* the micro-batch is parsed and flagged once and persisted, so the good
-  write, the quarantine write and the counts do not re-read the source or
-  re-run ``from_json``;
+* the micro-batch is parsed, validated and written in ONE pass: good and
+  bad rows go to the same output partitioned by ``status`` (the good
+  partition is the landed table, the bad one the quarantine), and the
+  counters are observed on that pass: no cache, no second parse, no extra
+  job;
 * every output goes to ``.../batch_id=N`` with ``overwrite``: a batch that
   is replayed after a crash (written but not committed) replaces its own
   output instead of appending twice (exactly-once into files);
@@ -19,16 +21,14 @@ Nothing is collected to the driver except the three counters.
 from __future__ import annotations
 
 import traceback
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig, kafka_sink_options
 from ..functions.parse import to_iso_text, to_json_value
-from ..operators.transform import quarantine_shape
-from ..operators.validate import bad_rows, good_rows
-from ..schemas import BATCH_AUDIT
+from ..operators.transform import LANDED_COLUMNS, QUARANTINE_COLUMNS, landing_rows
 from ..sources.tables import path_exists
 
 
@@ -53,72 +53,83 @@ def claim_output(spark: SparkSession, out_root: str, name: str, checkpoint: str)
     spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
 
 
+def _batch_cols(df: DataFrame) -> list:
+    return [c for c in ("batch_id", "load_id") if c in df.columns]
+
+
+def read_landed(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The landed table: the ``status=good`` partitions (pruned at listing)."""
+    df = spark.read.parquet(f"{root}/{table}")
+    return df.where(F.col("status") == "good").select(*LANDED_COLUMNS[table], *_batch_cols(df))
+
+
+def read_quarantine(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The quarantine: the ``status=bad`` partitions."""
+    df = spark.read.parquet(f"{root}/{table}")
+    return df.where(F.col("status") == "bad").select(*QUARANTINE_COLUMNS, *_batch_cols(df))
+
+
+def quarantine_exists(spark: SparkSession, root: str, table: str) -> bool:
+    return path_exists(spark, f"{root}/{table}/*/status=bad")
+
+
+def write_landing(flagged: DataFrame, shape, path: str, name: str, fmt: str = "parquet") -> tuple:
+    """One pass: parse, validate and write good and bad rows together,
+    partitioned by status; the counts are observed on the same pass."""
+    obs = Observation(f"{name}_{uuid.uuid4().hex}")
+    out = landing_rows(flagged, shape).observe(
+        obs, F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "bad").alias("bad"))
+    out.write.mode("overwrite").partitionBy("status").format(fmt).save(path)
+    m = obs.get
+    return int(m["n"]), int(m["bad"])
+
+
 class BatchLander:
-    """foreachBatch writer: raw records -> landed table + quarantine + audit."""
+    """foreachBatch writer: raw records -> landed + quarantine rows, audit."""
 
     def __init__(self, name: str, out_root: str, flag, shape, table: str,
                  quarantine: bool = True, fmt: str = "parquet"):
         self.name = name
         self.out_root = out_root.rstrip("/")
         self.flag = flag          # records -> flagged rows
-        self.shape = shape        # flagged good rows -> landed shape
+        self.shape = shape        # flagged rows (+ extra columns) -> landed shape
         self.table = table
         self.quarantine = quarantine
         self.fmt = fmt
 
-    def _write(self, df: DataFrame, table: str, batch_id: int) -> None:
-        df.write.mode("overwrite").format(self.fmt).save(batch_path(self.out_root, table, batch_id))
-
     def _audit(self, spark, batch_id, n_in, n_good, n_bad, status, error=None):
-        row = [(self.name, int(batch_id), n_in, n_good, n_bad, status, error)]
-        (spark.createDataFrame(row, BATCH_AUDIT).drop("batch_id").coalesce(1)
-         .write.mode("overwrite").parquet(f"{self.out_root}/audit/query={self.name}/batch_id={batch_id}"))
+        def lit(v, t):
+            return F.lit(v).cast(t)
+
+        row = spark.range(1).select(
+            lit(self.name, "string").alias("query"), lit(n_in, "bigint").alias("n_in"),
+            lit(n_good, "bigint").alias("n_good"), lit(n_bad, "bigint").alias("n_bad"),
+            lit(status, "string").alias("status"), lit(error, "string").alias("error"))
+        (row.coalesce(1).write.mode("overwrite")
+         .parquet(f"{self.out_root}/audit/query={self.name}/batch_id={batch_id}"))
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        flagged = self.flag(batch_df).persist(StorageLevel.MEMORY_AND_DISK)
-        n_good = n_bad = None
         try:
-            if flagged.isEmpty():       # F6: nothing to land
-                self._audit(spark, batch_id, 0, 0, 0, "empty")
-                return
-            og, ob = Observation(f"{self.name}_good"), Observation(f"{self.name}_bad")
-            good = self.shape(good_rows(flagged)).observe(og, F.count(F.lit(1)).alias("n"))
-            self._write(good, self.table, batch_id)
-            n_good = og.get["n"]
-            if self.quarantine:
-                bad = quarantine_shape(bad_rows(flagged)).drop("batch_id").observe(
-                    ob, F.count(F.lit(1)).alias("n"))
-                self._write(bad, f"{self.table}_quarantine", batch_id)
-                n_bad = ob.get["n"]
-            else:
-                n_bad = 0
-            self._audit(spark, batch_id, n_good + n_bad, n_good, n_bad, "ok")
+            n_in, n_bad = write_landing(self.flag(batch_df), self.shape,
+                                        batch_path(self.out_root, self.table, batch_id), self.name, self.fmt)
+            status = "ok" if n_in else "empty"      # F6: an empty batch lands nothing
+            self._audit(spark, batch_id, n_in, n_in - n_bad, n_bad, status)
         except Exception as e:
             try:
-                self._audit(spark, batch_id, None, n_good, n_bad, "failed",
+                self._audit(spark, batch_id, None, None, None, "failed",
                             f"{type(e).__name__}: {e}"[:2000] + "\n" + traceback.format_exc()[-2000:])
             except Exception:  # noqa: BLE001 - the original error is the one to report
                 pass
             raise
-        finally:
-            flagged.unpersist()
 
 
 def write_batch_load(df_flagged: DataFrame, shape, out_root: str, table: str, load_id: str,
                      fmt: str = "parquet") -> dict:
-    """K2: a bounded load of already-flagged rows under ``load_id=...``
-    (idempotent per load id), returning the counts observed while writing."""
-    og, ob = Observation(f"{table}_load_good"), Observation(f"{table}_load_bad")
-    persisted = df_flagged.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        (shape(good_rows(persisted)).observe(og, F.count(F.lit(1)).alias("n"))
-         .write.mode("overwrite").format(fmt).save(f"{out_root}/{table}/load_id={load_id}"))
-        (quarantine_shape(bad_rows(persisted)).drop("batch_id").observe(ob, F.count(F.lit(1)).alias("n"))
-         .write.mode("overwrite").format(fmt).save(f"{out_root}/{table}_quarantine/load_id={load_id}"))
-    finally:
-        persisted.unpersist()
-    return {"good": og.get["n"], "bad": ob.get["n"]}
+    """K2: a bounded load under ``load_id=...`` (idempotent per load id),
+    returning the counts observed while writing."""
+    n, bad = write_landing(df_flagged, shape, f"{out_root}/{table}/load_id={load_id}", f"load_{table}", fmt)
+    return {"good": n - bad, "bad": bad}
 
 
 def kafka_records_for(df: DataFrame, fields) -> DataFrame:

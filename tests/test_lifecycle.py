@@ -1,7 +1,8 @@
 """Stream lifecycle and sink shapes: empty batches, awaiting several
 queries, progress listener, running totals, compaction, Kafka record shape."""
 
-import pytest
+import glob
+
 from pyspark.sql import functions as F
 
 from ordwave.config import PipelineConfig, build_session
@@ -11,7 +12,7 @@ from ordwave.plans import landing, reports
 from ordwave.schemas import KAFKA_RECORD, ORDER_FIELDS, ORDERS, ORDERS_TOPIC, PRICING_TOPIC
 from ordwave.sources.fixtures import publish_topics
 from ordwave.sources.kafka import record_files
-from ordwave.streaming.sinks import kafka_records_for
+from ordwave.streaming.sinks import kafka_records_for, read_landed
 from ordwave.streaming.streams import attach_progress, await_all, orders_lander, run_streams
 
 
@@ -20,6 +21,7 @@ def test_empty_batch_writes_only_an_audit_row(spark, tmp_path):
     lander(spark.createDataFrame([], KAFKA_RECORD), 0)
     audit = spark.read.parquet(f"{tmp_path}/audit").collect()
     assert [(r.status, r.n_in) for r in audit] == [("empty", 0)]
+    assert not glob.glob(f"{tmp_path}/orders/batch_id=0/status=*")
 
 
 def test_await_all_runs_both_streams_and_progress_is_recorded(spark, sf_small, tmp_path):
@@ -30,8 +32,8 @@ def test_await_all_runs_both_streams_and_progress_is_recorded(spark, sf_small, t
                      topic_paths={ORDERS_TOPIC: f"{root}/{ORDERS_TOPIC}", PRICING_TOPIC: f"{root}/{PRICING_TOPIC}"})
     await_all(spark, qs)
     assert not any(q.isActive for q in qs)
-    assert spark.read.parquet(f"{tmp_path}/landed/orders").count() > 0
-    assert spark.read.parquet(f"{tmp_path}/landed/pricing_events").count() > 0
+    assert read_landed(spark, f"{tmp_path}/landed", "orders").count() > 0
+    assert read_landed(spark, f"{tmp_path}/landed", "pricing_events").count() > 0
     import time
     for _ in range(50):                      # listener events arrive asynchronously
         if rec.progress:
@@ -46,9 +48,8 @@ def test_await_all_runs_both_streams_and_progress_is_recorded(spark, sf_small, t
 
 
 def test_compaction_keeps_every_row(spark, sf_small, tmp_path):
-    src = f"{landing.shared_landing(spark, sf_small)}/orders"
-    dst = landing.compact(spark, src, str(tmp_path / "c"), files=4)
-    a = spark.read.parquet(src).drop("batch_id")
+    a = landing.landed(spark, sf_small, "orders").drop("batch_id")
+    dst = landing.compact(spark, a, str(tmp_path / "c"), files=4)
     b = spark.read.parquet(dst).select(*a.columns)
     assert spark.read.parquet(dst).select("event_month").distinct().count() < a.select("event_date").distinct().count()
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))

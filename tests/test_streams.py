@@ -13,7 +13,7 @@ from ordwave.plans import landing
 from ordwave.schemas import ORDERS_TOPIC
 from ordwave.sources.fixtures import publish_topics
 from ordwave.sources.kafka import record_files
-from ordwave.streaming.sinks import BatchLander, OwnershipError
+from ordwave.streaming.sinks import BatchLander, OwnershipError, read_landed, read_quarantine
 from ordwave.streaming.streams import drain, orders_lander, run_streams, start_ingest
 from ordwave.sources.kafka import record_files_stream
 
@@ -38,8 +38,8 @@ def _land(spark, sf_small, base, files_per_trigger=2):
 
 def test_stream_equals_batch_and_good_plus_bad_is_input(spark, sf_small, topics, tmp_path):
     cfg = _land(spark, sf_small, str(tmp_path))
-    landed = spark.read.parquet(f"{cfg.sink_root}/orders").drop("batch_id")
-    quarantine = spark.read.parquet(f"{cfg.sink_root}/orders_quarantine")
+    landed = read_landed(spark, cfg.sink_root, "orders").drop("batch_id")
+    quarantine = read_quarantine(spark, cfg.sink_root, "orders")
     recs = record_files(spark, f"{topics}/{ORDERS_TOPIC}")
     batch = landed_orders(good_rows(orders_flagged(recs)))
     assert _rows(landed) == _rows(batch)
@@ -53,17 +53,17 @@ def test_stream_equals_batch_and_good_plus_bad_is_input(spark, sf_small, topics,
 def test_multi_batch_equals_single_batch(spark, sf_small, tmp_path):
     a = _land(spark, sf_small, str(tmp_path / "a"), files_per_trigger=1)
     b = _land(spark, sf_small, str(tmp_path / "b"), files_per_trigger=None)
-    ra = spark.read.parquet(f"{a.sink_root}/orders").drop("batch_id")
-    rb = spark.read.parquet(f"{b.sink_root}/orders").drop("batch_id")
+    ra = read_landed(spark, a.sink_root, "orders").drop("batch_id")
+    rb = read_landed(spark, b.sink_root, "orders").drop("batch_id")
     assert _rows(ra) == _rows(rb)
 
 
 def test_restart_adds_nothing_and_replay_overwrites(spark, sf_small, tmp_path):
     base = str(tmp_path)
     cfg = _land(spark, sf_small, base)
-    n0 = spark.read.parquet(f"{cfg.sink_root}/orders").count()
+    n0 = read_landed(spark, cfg.sink_root, "orders").count()
     _land(spark, sf_small, base)                                   # restart, no new data
-    assert spark.read.parquet(f"{cfg.sink_root}/orders").count() == n0
+    assert read_landed(spark, cfg.sink_root, "orders").count() == n0
     # simulate a crash after the write but before the commit: drop the last
     # commit entry; the restart replays that batch, which overwrites itself
     commits = sorted(glob.glob(f"{cfg.checkpoint_root}/orders/commits/[0-9]*"), key=lambda p: int(os.path.basename(p)))
@@ -73,15 +73,15 @@ def test_restart_adds_nothing_and_replay_overwrites(spark, sf_small, tmp_path):
     if os.path.exists(crc):
         os.remove(crc)
     _land(spark, sf_small, base)
-    assert spark.read.parquet(f"{cfg.sink_root}/orders").count() == n0
+    assert read_landed(spark, cfg.sink_root, "orders").count() == n0
 
 
 def test_failing_writer_leaves_batch_uncommitted(spark, sf_small, topics, tmp_path):
     base = str(tmp_path)
     ckpt = f"{base}/ckpt"
 
-    def broken_shape(df):
-        return df.select(F.raise_error(F.lit("sink down")).alias("x"))
+    def broken_shape(df, extra=()):
+        return df.select(F.raise_error(F.lit("sink down")).alias("x"), *extra)
 
     lander = BatchLander("orders", f"{base}/landed", orders_flagged, broken_shape, "orders")
     src = record_files_stream(spark, f"{topics}/{ORDERS_TOPIC}", 100)
