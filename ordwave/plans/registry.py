@@ -237,6 +237,34 @@ def stream_pricing_landed(spark, sf_dir):
     return read_landed(spark, sink, "pricing_events").drop("batch_id")
 
 
+@register("stream_multi_topic", O.with_events(
+    "SELECT 'orders' AS route, count(*) FILTER (WHERE NOT bad_nulls) AS n_landed, "
+    "count(*) FILTER (WHERE bad_nulls) AS n_quarantined FROM orders_flagged "
+    "UNION ALL SELECT 'pricing', count(*), 0 FROM pricing_parsed", pricing=True))
+def stream_multi_topic(spark, sf_dir):
+    """S5 + F4 (stream form): one subscription to every topic file, routed
+    per micro-batch; the unknown topic lands nowhere."""
+    from ..config import PipelineConfig
+    from ..sources.kafka import record_files_stream
+    from ..streaming.streams import drain, start_routed_ingest
+
+    ensure_session_defaults(spark)
+    root = publish_topics(spark, sf_dir)
+    base = landing.new_run_dir(spark, "routed")
+    src = record_files_stream(spark, f"{root}/*-topic", 3 * landing.files_per_trigger(spark))
+    drain([start_routed_ingest(src, PipelineConfig(), f"{base}/landed", f"{base}/checkpoint", available_now=True,
+                               cache_raw=False)])
+    out = None
+    for route, table in (("orders", "orders"), ("pricing", "pricing_events")):
+        landed_n = read_landed(spark, f"{base}/landed", table).agg(F.count(F.lit(1))).scalar()
+        q = (read_quarantine(spark, f"{base}/landed", table).agg(F.count(F.lit(1))).scalar()
+             if quarantine_exists(spark, f"{base}/landed", table) else F.lit(0).cast("bigint"))
+        row = spark.range(1).select(F.lit(route).alias("route"), landed_n.alias("n_landed"),
+                                    q.alias("n_quarantined"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @register("stream_replay_idempotent", O.with_events(
     f"SELECT count(*) AS n_rows, count(DISTINCT order_id) AS n_ids FROM ({_GOOD})"))
 def stream_replay_idempotent(spark, sf_dir):

@@ -55,9 +55,9 @@ def _defect(rules) -> Column:
 
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The joined line-level rows every event is made from. Join order keeps
-    the lineitem-sized side to two shuffles (order key, part key); nation
-    and region are broadcast (bounded by the schema); customer and product
-    joins are left to the size-checked planner."""
+    the lineitem-sized side to at most two shuffles (order key, part key);
+    nation and region are broadcast (bounded by the schema); customer and
+    product joins are left to the size-checked planner."""
     li = read_table(spark, sf_dir, "lineitem").select(
         *TOTAL_ORDER, "l_discount", "l_returnflag", "l_linestatus")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
@@ -68,7 +68,10 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = product_dim(spark, sf_dir)
     k = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     micros = (k * 37) % 82800 * 1000000 + k % 1000000
-    return (li.join(oc, li.l_orderkey == oc.o_orderkey)
+    # lineitem and orders both grow with the data: a sort-merge join on the
+    # order key (never a broadcast of either), which also spreads the JSON
+    # building that follows over the shuffle partitions
+    return (li.join(oc.hint("merge"), li.l_orderkey == oc.o_orderkey)
             .join(p, li.l_partkey == p.p_partkey)
             .withColumn("k", k)
             .withColumn("event_ts", F.timestamp_add("MICROSECOND", micros, F.col("o_orderdate"))))

@@ -23,6 +23,7 @@ from __future__ import annotations
 import traceback
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -124,6 +125,33 @@ class BatchLander:
             raise
 
 
+class RoutingLander:
+    """foreachBatch writer for one subscription to several topics (S5, F4):
+    each known topic's rows go to that topic's lander; records of other
+    topics reach no output. With ``cache_raw`` the raw micro-batch (bytes,
+    not parsed) is persisted once, so a Kafka batch is fetched once however
+    many routes read it."""
+
+    def __init__(self, routes: dict, cache_raw: bool = True, drop_tombstones: bool = False):
+        self.routes = routes          # topic -> BatchLander
+        self.cache_raw = cache_raw
+        self.drop_tombstones = drop_tombstones
+        self.name = "+".join(lander.name for lander in routes.values())
+        self.out_root = next(iter(routes.values())).out_root
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        raw = batch_df.persist(StorageLevel.MEMORY_AND_DISK) if self.cache_raw else batch_df
+        try:
+            for topic, lander in self.routes.items():
+                part = raw.where(F.col("topic") == topic)
+                if self.drop_tombstones:
+                    part = part.where(F.col("value").isNotNull())
+                lander(part, batch_id)
+        finally:
+            if self.cache_raw:
+                raw.unpersist()
+
+
 def write_batch_load(df_flagged: DataFrame, shape, out_root: str, table: str, load_id: str,
                      fmt: str = "parquet") -> dict:
     """K2: a bounded load under ``load_id=...`` (idempotent per load id),

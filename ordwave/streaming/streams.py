@@ -68,6 +68,24 @@ def run_streams(spark: SparkSession, mode: str = "both", cfg: PipelineConfig | N
     return out
 
 
+def start_routed_ingest(source: DataFrame, cfg: PipelineConfig, out_root: str, checkpoint: str,
+                        available_now: bool = False, cache_raw: bool = True) -> StreamingQuery:
+    """S5 + F4 as one query: one scan of all topics, routed per micro-batch
+    to the orders and pricing landers (one checkpoint, one offset log).
+    ``cache_raw`` keeps the raw batch for the second route (for Kafka; the
+    file form re-reads cheaply, pruned by the topic column's statistics)."""
+    from .sinks import RoutingLander
+
+    routes = {cfg.orders_topic: orders_lander(out_root, cfg.validator),
+              cfg.pricing_topic: pricing_lander(out_root, "pricing" if cfg.quarantine_pricing else None)}
+    router = RoutingLander(routes, cache_raw=cache_raw)
+    for lander in routes.values():
+        claim_output(source.sparkSession, out_root, lander.name, checkpoint)
+    w = (source.writeStream.foreachBatch(router).option("checkpointLocation", checkpoint)
+         .outputMode("append").queryName(f"routed_{uuid.uuid4().hex[:8]}"))
+    return _trigger(w, cfg, available_now).start()
+
+
 def await_all(spark: SparkSession, queries: list, timeout_s: float | None = None) -> None:
     """Wait on all queries at once; on the first failure (or Ctrl+C) stop
     the rest and re-raise. With availableNow, returns when all have drained."""
