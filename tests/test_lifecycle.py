@@ -68,3 +68,13 @@ def test_kafka_record_shape_round_trips(spark, sf_small):
 def test_build_session_sets_utc(spark):
     s = build_session(master="local[4]")
     assert s.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_console_preview_runs(spark, sf_small):
+    from ordwave.streaming.sinks import console_preview
+    from ordwave.sources.kafka import record_files_stream
+    root = publish_topics(spark, sf_small)
+    q = console_preview(record_files_stream(spark, f"{root}/{ORDERS_TOPIC}", 100).select("topic", "offset"), 3)
+    q.processAllAvailable()
+    q.stop()
+    assert q.exception() is None
