@@ -17,7 +17,7 @@ from .schemas import ORDERS_TOPIC, PRICING_TOPIC
 
 
 @dataclass(frozen=True)
-class PipelineConfig:
+class IngestConfig:
     kafka_bootstrap: str = "localhost:9092"
     orders_topic: str = ORDERS_TOPIC
     pricing_topic: str = PRICING_TOPIC
@@ -39,11 +39,11 @@ class PipelineConfig:
     validator: str = "nulls"  # or "strict"
     quarantine_pricing: bool = False
 
-    def with_(self, **kw) -> "PipelineConfig":
+    def with_(self, **kw) -> "IngestConfig":
         return replace(self, **kw)
 
 
-def config_from_env(env: dict | None = None, **overrides) -> PipelineConfig:
+def config_from_env(env: dict | None = None, **overrides) -> IngestConfig:
     """Read the deployment settings from the environment."""
     env = os.environ if env is None else env
     kw = {}
@@ -58,10 +58,10 @@ def config_from_env(env: dict | None = None, **overrides) -> PipelineConfig:
         kw["api_key"] = env["KAFKA_API_KEY"]
         kw["api_secret"] = env["KAFKA_API_SECRET"]
     kw.update(overrides)
-    return PipelineConfig(**kw)
+    return IngestConfig(**kw)
 
 
-def _security_options(cfg: PipelineConfig) -> dict:
+def _security_options(cfg: IngestConfig) -> dict:
     if not (cfg.api_key and cfg.api_secret):
         return {}
     jaas = (
@@ -75,7 +75,7 @@ def _security_options(cfg: PipelineConfig) -> dict:
     }
 
 
-def kafka_source_options(cfg: PipelineConfig, topics) -> dict:
+def kafka_source_options(cfg: IngestConfig, topics) -> dict:
     """Options for ``spark.readStream.format("kafka")``."""
     if isinstance(topics, str):
         topics = [topics]
@@ -93,7 +93,7 @@ def kafka_source_options(cfg: PipelineConfig, topics) -> dict:
     return opts
 
 
-def kafka_sink_options(cfg: PipelineConfig, topic: str | None = None) -> dict:
+def kafka_sink_options(cfg: IngestConfig, topic: str | None = None) -> dict:
     """Options for ``df.write(Stream).format("kafka")`` (K4)."""
     opts = {"kafka.bootstrap.servers": cfg.kafka_bootstrap}
     if topic:

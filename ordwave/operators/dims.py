@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ..functions.business import CENT_TOLERANCE
 from ..sources.tables import read_table
@@ -36,10 +35,6 @@ SPIKE_CATEGORIES = ["ECONOMY", "PROMO", "SMALL"]
 BAND_TOP = {"budget": 1.05, "mid": 1.04, "premium": 1.02}
 # ---------------------------------------------------------------------------
 
-BUCKET = StructType([StructField("lo", DoubleType()), StructField("hi", DoubleType()),
-                     StructField("weight", IntegerType())])
-
-
 def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product catalog from ``part``: one row per part."""
     p = read_table(spark, sf_dir, "part")
@@ -207,10 +202,8 @@ def not_in_hierarchy(df: DataFrame, pairs: DataFrame) -> DataFrame:
     return df.join(F.broadcast(pairs), ["region", "city"], "left_anti")
 
 
-def with_product(df: DataFrame, products: DataFrame, on: str = "product_id",
-                 cols=("base_price",)) -> DataFrame:
-    """Attach product attributes to events (stream-static or batch)."""
-    right = products.select(F.col("product_id").alias(on) if on != "product_id" else F.col("product_id"),
-                            *[F.col(c).alias(f"dim_{c}") for c in cols])
-    return df.join(right, on, "left")
-
+def with_product(df: DataFrame, products: DataFrame, cols=("base_price",)) -> DataFrame:
+    """Attach product attributes (as ``dim_<name>``) to events by
+    product id (stream-static or batch)."""
+    right = products.select("product_id", *[F.col(c).alias(f"dim_{c}") for c in cols])
+    return df.join(right, "product_id", "left")

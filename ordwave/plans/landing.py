@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import PipelineConfig, ensure_session_defaults, work_root
+from ..config import IngestConfig, ensure_session_defaults, work_root
 from ..operators.transform import landed_orders, landed_pricing, orders_flagged, pricing_flagged
 from ..schemas import ORDERS_TOPIC, PRICING_TOPIC
 from ..sources.fixtures import fixture_root, publish_topics
@@ -32,12 +32,12 @@ def new_run_dir(spark: SparkSession, kind: str) -> str:
 
 
 def stream_land(spark: SparkSession, sf_dir: str, base: str, mode: str = "both",
-                cfg: PipelineConfig | None = None) -> str:
+                cfg: IngestConfig | None = None) -> str:
     """Land the topics with the streaming ingestion queries, availableNow,
     a few files per micro-batch; returns the sink root."""
     ensure_session_defaults(spark)
     root = publish_topics(spark, sf_dir)
-    cfg = (cfg or PipelineConfig()).with_(sink_root=f"{base}/landed", checkpoint_root=f"{base}/checkpoints",
+    cfg = (cfg or IngestConfig()).with_(sink_root=f"{base}/landed", checkpoint_root=f"{base}/checkpoints",
                                           max_files_per_trigger=files_per_trigger(spark))
     paths = {ORDERS_TOPIC: f"{root}/{ORDERS_TOPIC}", PRICING_TOPIC: f"{root}/{PRICING_TOPIC}"}
     drain(run_streams(spark, mode, cfg, topic_paths=paths, available_now=True))

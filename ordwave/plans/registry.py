@@ -42,7 +42,7 @@ def records(spark: SparkSession, sf_dir: str, *topics) -> DataFrame:
     return record_files(spark, [f"{root}/{t}" for t in (topics or TOPICS)])
 
 
-def _typed(df: DataFrame, fields) -> list:
+def _typed(fields) -> list:
     return [to_ntz("timestamp").alias("timestamp") if f == "timestamp" else F.col(f) for f in fields]
 
 
@@ -56,14 +56,14 @@ def _kafka_cols() -> list:
 def orders_parsed(spark, sf_dir):
     """Every orders record, typed (malformed -> NULL fields)."""
     p = orders_flagged(records(spark, sf_dir, ORDERS_TOPIC))
-    return p.select(*_typed(p, ORDER_FIELDS), *_kafka_cols())
+    return p.select(*_typed(ORDER_FIELDS), *_kafka_cols())
 
 
 @register("pricing_parsed", O.with_events(f"SELECT {O.PRICING_COLS}, {O.KAFKA_COLS} FROM pricing_parsed",
                                           orders=False, pricing=True))
 def pricing_parsed(spark, sf_dir):
     p = pricing_flagged(records(spark, sf_dir, PRICING_TOPIC))
-    return p.select(*_typed(p, PRICING_FIELDS), *_kafka_cols())
+    return p.select(*_typed(PRICING_FIELDS), *_kafka_cols())
 
 
 @register("orders_good", O.with_events(
@@ -244,7 +244,7 @@ def stream_pricing_landed(spark, sf_dir):
 def stream_multi_topic(spark, sf_dir):
     """S5 + F4 (stream form): one subscription to every topic file, routed
     per micro-batch; the unknown topic lands nowhere."""
-    from ..config import PipelineConfig
+    from ..config import IngestConfig
     from ..sources.kafka import record_files_stream
     from ..streaming.streams import drain, start_routed_ingest
 
@@ -252,7 +252,7 @@ def stream_multi_topic(spark, sf_dir):
     root = publish_topics(spark, sf_dir)
     base = landing.new_run_dir(spark, "routed")
     src = record_files_stream(spark, f"{root}/*-topic", 3 * landing.files_per_trigger(spark))
-    drain([start_routed_ingest(src, PipelineConfig(), f"{base}/landed", f"{base}/checkpoint", available_now=True,
+    drain([start_routed_ingest(src, IngestConfig(), f"{base}/landed", f"{base}/checkpoint", available_now=True,
                                cache_raw=False)])
     out = None
     for route, table in (("orders", "orders"), ("pricing", "pricing_events")):
@@ -312,7 +312,7 @@ def load_reconciliation(spark, sf_dir):
     f"SELECT CAST(\"timestamp\" AS DATE) AS d, count(*) AS n FROM ({_GOOD}) GROUP BY 1"))
 def stream_rows_per_day(spark, sf_dir):
     """The live rows-per-day aggregate, run to the end of the topic."""
-    from ..config import PipelineConfig
+    from ..config import IngestConfig
     from ..sources.kafka import record_files_stream
     from ..streaming.streams import start_daily_counts
 
@@ -321,7 +321,7 @@ def stream_rows_per_day(spark, sf_dir):
     base = landing.new_run_dir(spark, "daily")
     src = record_files_stream(spark, f"{root}/{ORDERS_TOPIC}", landing.files_per_trigger(spark))
     good = landed_orders(good_rows(orders_flagged(src)))
-    q = start_daily_counts(good, f"{base}/daily", f"{base}/checkpoint", PipelineConfig(), available_now=True)
+    q = start_daily_counts(good, f"{base}/daily", f"{base}/checkpoint", IngestConfig(), available_now=True)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/daily")
 

@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import PipelineConfig, kafka_source_options
+from ..config import IngestConfig, kafka_source_options
 from ..schemas import KAFKA_RECORD
 
 
-def kafka_stream(spark: SparkSession, cfg: PipelineConfig, topics) -> DataFrame:
+def kafka_stream(spark: SparkSession, cfg: IngestConfig, topics) -> DataFrame:
     """Subscribe to one or several topics. Needs the Kafka
     connector on the classpath (``build_session(kafka=True)``)."""
     reader = spark.readStream.format("kafka")
@@ -23,7 +23,7 @@ def kafka_stream(spark: SparkSession, cfg: PipelineConfig, topics) -> DataFrame:
     return reader.load()
 
 
-def kafka_batch(spark: SparkSession, cfg: PipelineConfig, topics, ending: str = "latest") -> DataFrame:
+def kafka_batch(spark: SparkSession, cfg: IngestConfig, topics, ending: str = "latest") -> DataFrame:
     """S9 against a live broker: a bounded read of the retained log."""
     reader = spark.read.format("kafka")
     opts = kafka_source_options(cfg.with_(starting_offsets="earliest"), topics)

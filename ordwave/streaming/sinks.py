@@ -27,7 +27,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import PipelineConfig, kafka_sink_options
+from ..config import IngestConfig, kafka_sink_options
 from ..functions.parse import to_iso_text, to_json_value
 from ..operators.transform import LANDED_COLUMNS, QUARANTINE_COLUMNS, landing_rows
 from ..sources.tables import path_exists
@@ -168,7 +168,7 @@ def kafka_records_for(df: DataFrame, fields) -> DataFrame:
     return df.select(F.lit(None).cast("binary").alias("key"), to_json_value(cols).alias("value"))
 
 
-def publish_kafka(df: DataFrame, cfg: PipelineConfig, topic: str, fields) -> None:
+def publish_kafka(df: DataFrame, cfg: IngestConfig, topic: str, fields) -> None:
     """K4: batch publish to a live broker (plaintext or SASL_SSL/PLAIN)."""
     w = kafka_records_for(df, fields).write.format("kafka")
     for k, v in kafka_sink_options(cfg, topic).items():

@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from ..config import PipelineConfig, work_root
+from ..config import IngestConfig, work_root
 from ..operators.transform import landed_orders, landed_pricing, orders_flagged, pricing_flagged
 from ..sources.kafka import kafka_stream, record_files_stream, route
 from .sinks import BatchLander, claim_output
 
 
-def _trigger(writer, cfg: PipelineConfig, available_now: bool):
+def _trigger(writer, cfg: IngestConfig, available_now: bool):
     if available_now:
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=f"{cfg.trigger_seconds} seconds")
@@ -35,7 +35,7 @@ def pricing_lander(out_root: str, validator: str | None = None) -> BatchLander:
                        "pricing_events", quarantine=validator is not None)
 
 
-def start_ingest(source: DataFrame, lander: BatchLander, checkpoint: str, cfg: PipelineConfig,
+def start_ingest(source: DataFrame, lander: BatchLander, checkpoint: str, cfg: IngestConfig,
                  available_now: bool = False) -> StreamingQuery:
     """Source -> foreachBatch(lander), append mode, checkpointed."""
     claim_output(source.sparkSession, lander.out_root, lander.name, checkpoint)
@@ -46,12 +46,12 @@ def start_ingest(source: DataFrame, lander: BatchLander, checkpoint: str, cfg: P
     return _trigger(w, cfg, available_now).start()
 
 
-def run_streams(spark: SparkSession, mode: str = "both", cfg: PipelineConfig | None = None,
+def run_streams(spark: SparkSession, mode: str = "both", cfg: IngestConfig | None = None,
                 topic_paths: dict | None = None, available_now: bool = False) -> list:
     """Start the selected streams (``orders``, ``pricing`` or ``both``).
     Live Kafka by default; ``topic_paths`` (topic -> directory) switches to
     the file form of the topics."""
-    cfg = cfg or PipelineConfig()
+    cfg = cfg or IngestConfig()
     root = cfg.sink_root or f"{work_root(spark)}/landed"
     ckpt = cfg.checkpoint_root or f"{work_root(spark)}/checkpoints"
     wanted = {"orders": ["orders"], "pricing": ["pricing"], "both": ["orders", "pricing"]}[mode]
@@ -68,7 +68,7 @@ def run_streams(spark: SparkSession, mode: str = "both", cfg: PipelineConfig | N
     return out
 
 
-def start_routed_ingest(source: DataFrame, cfg: PipelineConfig, out_root: str, checkpoint: str,
+def start_routed_ingest(source: DataFrame, cfg: IngestConfig, out_root: str, checkpoint: str,
                         available_now: bool = False, cache_raw: bool = True) -> StreamingQuery:
     """S5 + F4 as one query: one scan of all topics, routed per micro-batch
     to the orders and pricing landers (one checkpoint, one offset log).
@@ -144,7 +144,7 @@ def attach_progress(spark: SparkSession, keep: int = 1000) -> ProgressRecorder:
 
 # ---- guarantees ------------------------------------------------------------
 
-def start_daily_counts(good_stream: DataFrame, out_path: str, checkpoint: str, cfg: PipelineConfig,
+def start_daily_counts(good_stream: DataFrame, out_path: str, checkpoint: str, cfg: IngestConfig,
                        available_now: bool = False) -> StreamingQuery:
     """Live rows-per-day. The state is one row per calendar day (bounded
     by the time span, not by the volume), so no watermark is needed and no

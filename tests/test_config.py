@@ -1,10 +1,10 @@
 """Kafka option maps (tested offline: no broker is available here)."""
 
-from ordwave.config import PipelineConfig, config_from_env, kafka_sink_options, kafka_source_options
+from ordwave.config import IngestConfig, config_from_env, kafka_sink_options, kafka_source_options
 
 
 def test_plaintext_source_options():
-    o = kafka_source_options(PipelineConfig(max_offsets_per_trigger=100), ["orders-topic", "pricing-topic"])
+    o = kafka_source_options(IngestConfig(max_offsets_per_trigger=100), ["orders-topic", "pricing-topic"])
     assert o["subscribe"] == "orders-topic,pricing-topic"
     assert o["startingOffsets"] == "latest" and o["failOnDataLoss"] == "false"
     assert o["maxOffsetsPerTrigger"] == "100"

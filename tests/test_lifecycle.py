@@ -5,7 +5,7 @@ import glob
 
 from pyspark.sql import functions as F
 
-from ordwave.config import PipelineConfig, build_session
+from ordwave.config import IngestConfig, build_session
 from ordwave.operators.transform import landed_orders, orders_flagged
 from ordwave.operators.validate import good_rows
 from ordwave.plans import landing, reports
@@ -27,7 +27,7 @@ def test_empty_batch_writes_only_an_audit_row(spark, tmp_path):
 def test_await_all_runs_both_streams_and_progress_is_recorded(spark, sf_small, tmp_path):
     rec = attach_progress(spark)
     root = publish_topics(spark, sf_small)
-    cfg = PipelineConfig(sink_root=f"{tmp_path}/landed", checkpoint_root=f"{tmp_path}/ck", max_files_per_trigger=4)
+    cfg = IngestConfig(sink_root=f"{tmp_path}/landed", checkpoint_root=f"{tmp_path}/ck", max_files_per_trigger=4)
     qs = run_streams(spark, "both", cfg, available_now=True,
                      topic_paths={ORDERS_TOPIC: f"{root}/{ORDERS_TOPIC}", PRICING_TOPIC: f"{root}/{PRICING_TOPIC}"})
     await_all(spark, qs)

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from ordwave.config import PipelineConfig
+from ordwave.config import IngestConfig
 from ordwave.operators.transform import landed_orders, orders_flagged
 from ordwave.operators.validate import bad_rows, good_rows
 from ordwave.plans import landing
@@ -28,7 +28,7 @@ def topics(spark, sf_small):
 
 
 def _land(spark, sf_small, base, files_per_trigger=2):
-    cfg = PipelineConfig(sink_root=f"{base}/landed", checkpoint_root=f"{base}/ckpt",
+    cfg = IngestConfig(sink_root=f"{base}/landed", checkpoint_root=f"{base}/ckpt",
                          max_files_per_trigger=files_per_trigger)
     root = publish_topics(spark, sf_small)
     drain(run_streams(spark, "orders", cfg, topic_paths={ORDERS_TOPIC: f"{root}/{ORDERS_TOPIC}"},
@@ -85,7 +85,7 @@ def test_failing_writer_leaves_batch_uncommitted(spark, sf_small, topics, tmp_pa
 
     lander = BatchLander("orders", f"{base}/landed", orders_flagged, broken_shape, "orders")
     src = record_files_stream(spark, f"{topics}/{ORDERS_TOPIC}", 100)
-    q = start_ingest(src, lander, ckpt, PipelineConfig(), available_now=True)
+    q = start_ingest(src, lander, ckpt, IngestConfig(), available_now=True)
     with pytest.raises(Exception):
         drain([q])
     audit = spark.read.parquet(f"{base}/landed/audit").collect()
@@ -93,7 +93,7 @@ def test_failing_writer_leaves_batch_uncommitted(spark, sf_small, topics, tmp_pa
     assert not glob.glob(f"{ckpt}/commits/0")
     # the repaired writer picks up the same batch and completes it
     q2 = start_ingest(record_files_stream(spark, f"{topics}/{ORDERS_TOPIC}", 100),
-                      orders_lander(f"{base}/landed"), ckpt, PipelineConfig(), available_now=True)
+                      orders_lander(f"{base}/landed"), ckpt, IngestConfig(), available_now=True)
     drain([q2])
     assert {r.status for r in spark.read.parquet(f"{base}/landed/audit").collect()} == {"ok"}
 
@@ -101,9 +101,9 @@ def test_failing_writer_leaves_batch_uncommitted(spark, sf_small, topics, tmp_pa
 def test_output_root_refuses_a_second_checkpoint(spark, sf_small, topics, tmp_path):
     base = str(tmp_path)
     src = record_files_stream(spark, f"{topics}/{ORDERS_TOPIC}", 100)
-    drain([start_ingest(src, orders_lander(f"{base}/landed"), f"{base}/c1", PipelineConfig(), True)])
+    drain([start_ingest(src, orders_lander(f"{base}/landed"), f"{base}/c1", IngestConfig(), True)])
     with pytest.raises(OwnershipError):
-        start_ingest(src, orders_lander(f"{base}/landed"), f"{base}/c2", PipelineConfig(), True)
+        start_ingest(src, orders_lander(f"{base}/landed"), f"{base}/c2", IngestConfig(), True)
 
 
 def test_stream_dedup_within_watermark(spark, tmp_path):
