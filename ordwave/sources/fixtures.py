@@ -25,7 +25,7 @@ from ..operators.sequence import dense_sequence
 from ..schemas import ORDER_FIELDS, ORDERS_TOPIC, PRICING_FIELDS, PRICING_TOPIC
 from .tables import path_exists, read_table
 
-FIXTURE_VERSION = "5"
+FIXTURE_VERSION = "6"
 OTHER_TOPIC = "other-topic"
 TOPICS = (ORDERS_TOPIC, PRICING_TOPIC, OTHER_TOPIC)
 # the total order of lineitem rows (unique at every scale factor)
@@ -116,11 +116,10 @@ def with_offsets(prepared: DataFrame, topic: str) -> DataFrame:
     )
 
 
-def order_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders-topic records (before offsets), with the defect classes and
-    replays."""
-    ensure_session_defaults(spark)
-    b = event_rows(spark, sf_dir).withColumn("defect", _defect(ORDER_DEFECTS))
+def order_prepared(events: DataFrame) -> DataFrame:
+    """orders-topic records (before offsets) from the joined event rows, with
+    the defect classes and replays."""
+    b = events.withColumn("defect", _defect(ORDER_DEFECTS))
     d = F.col("defect")
     k = F.col("k")
     base = F.col("base_price")
@@ -162,11 +161,10 @@ def order_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _prepared(b, k % 3, value, copies)
 
 
-def pricing_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pricing_prepared(events: DataFrame) -> DataFrame:
     """pricing-topic records (before offsets): one competitor price per 4th
     line."""
-    ensure_session_defaults(spark)
-    b = (event_rows(spark, sf_dir).where(F.col("l_linenumber") % 4 == 0)
+    b = (events.where(F.col("l_linenumber") % 4 == 0)
          .withColumn("defect", _defect(PRICING_DEFECTS)))
     d = F.col("defect")
     k = F.col("k")
@@ -213,11 +211,13 @@ def other_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_offsets(order_prepared(spark, sf_dir), ORDERS_TOPIC)
+    ensure_session_defaults(spark)
+    return with_offsets(order_prepared(event_rows(spark, sf_dir)), ORDERS_TOPIC)
 
 
 def pricing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_offsets(pricing_prepared(spark, sf_dir), PRICING_TOPIC)
+    ensure_session_defaults(spark)
+    return with_offsets(pricing_prepared(event_rows(spark, sf_dir)), PRICING_TOPIC)
 
 
 PREPARED = {ORDERS_TOPIC: order_prepared, PRICING_TOPIC: pricing_prepared}
@@ -232,26 +232,26 @@ def fixture_root(spark: SparkSession, sf_dir: str) -> str:
 def publish_topics(spark: SparkSession, sf_dir: str, files_per_topic: int | None = None,
                    force: bool = False) -> str:
     """Write the three topics as Kafka-shaped Parquet files (once per input;
-    later calls reuse them). The joined, serialised records are staged once
-    as a table, so the big join runs once and a lost executor costs a
-    re-read, not a re-join; offsets are computed from the staged table. Each
-    topic is range-laid-out by (partition, offset), like log segments, so
-    offset ranges prune on min/max statistics."""
+    later calls reuse them). The big join runs once: its rows are staged as
+    a table that both event topics are built from, so a lost executor costs
+    a re-read, not a re-join. Offsets come from block counts over two key
+    columns of that table. Each topic is range-laid-out by (partition,
+    offset), like log segments, so offset ranges prune on min/max stats."""
+    ensure_session_defaults(spark)
     root = fixture_root(spark, sf_dir)
     n = files_per_topic or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    for topic in TOPICS:
-        path = f"{root}/{topic}"
-        if not force and path_exists(spark, f"{path}/_SUCCESS"):
-            continue
+    todo = [t for t in TOPICS if force or not path_exists(spark, f"{root}/{t}/_SUCCESS")]
+    staged = f"{root}/staging/events"
+    if any(t in PREPARED for t in todo) and (force or not path_exists(spark, f"{staged}/_SUCCESS")):
+        event_rows(spark, sf_dir).write.mode("overwrite").parquet(staged)
+    for topic in todo:
         if topic in PREPARED:
-            staged = f"{root}/staging/{topic}"
-            PREPARED[topic](spark, sf_dir).write.mode("overwrite").parquet(staged)
-            recs = with_offsets(spark.read.parquet(staged), topic)
+            recs = with_offsets(PREPARED[topic](spark.read.parquet(staged)), topic)
         else:
             recs = other_records(spark, sf_dir)
         (recs.repartitionByRange(n, "partition", "offset")
          .sortWithinPartitions("partition", "offset")
-         .write.mode("overwrite").parquet(path))
+         .write.mode("overwrite").parquet(f"{root}/{topic}"))
     return root
 
 
