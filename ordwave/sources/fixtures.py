@@ -22,10 +22,11 @@ from ..functions.rounding import r2
 from ..functions.business import price_tier
 from ..operators.dims import geo_dim, product_dim
 from ..operators.sequence import dense_sequence
+from ..operators.weighted import hash32
 from ..schemas import ORDER_FIELDS, ORDERS_TOPIC, PRICING_FIELDS, PRICING_TOPIC
 from .tables import path_exists, read_table
 
-FIXTURE_VERSION = "6"
+FIXTURE_VERSION = "8"
 OTHER_TOPIC = "other-topic"
 TOPICS = (ORDERS_TOPIC, PRICING_TOPIC, OTHER_TOPIC)
 # the total order of lineitem rows (unique at every scale factor)
@@ -161,11 +162,24 @@ def order_prepared(events: DataFrame) -> DataFrame:
     return _prepared(b, k % 3, value, copies)
 
 
+def drawn_under(salt: str, pct: Column) -> Column:
+    """Deterministic Bernoulli draw per line: md5 of (salt, line key), 32
+    bits, under ``pct`` percent: h / 2^32 < pct / 100 in exact integers."""
+    h = hash32(salt, F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    return h * 100 < pct * (1 << 32)
+
+
+def price_change_drawn() -> Column:
+    """A line yields a competitor price event when the draw falls under that
+    competitor's price-change frequency, (40 - 5 i) % for competitor
+    i = suppkey % 5."""
+    return drawn_under("pricing|", F.lit(40) - (F.col("l_suppkey") % 5) * 5)
+
+
 def pricing_prepared(events: DataFrame) -> DataFrame:
-    """pricing-topic records (before offsets): one competitor price per 4th
-    line."""
-    b = (events.where(F.col("l_linenumber") % 4 == 0)
-         .withColumn("defect", _defect(PRICING_DEFECTS)))
+    """pricing-topic records (before offsets): the lines whose competitor
+    changed its price (``price_change_drawn``)."""
+    b = events.where(price_change_drawn()).withColumn("defect", _defect(PRICING_DEFECTS))
     d = F.col("defect")
     k = F.col("k")
     base = F.col("base_price")
@@ -183,7 +197,7 @@ def pricing_prepared(events: DataFrame) -> DataFrame:
         "our_price": our,
         "price_diff": F.when(~d.isin("price_diff_absent", "price_diff_null"), diff),
         "price_diff_pct": r2(F.try_divide(diff, our) * 100),
-        "in_stock": F.col("l_linestatus") == "O",
+        "in_stock": drawn_under("stock|", F.lit(92) - (F.col("l_suppkey") % 5) * 4),
         "timestamp": to_iso_text("event_ts"),
     }
     cols = [fields[n].alias(n) for n in PRICING_FIELDS]
