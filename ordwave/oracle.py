@@ -88,7 +88,7 @@ orders_parsed AS (
     CASE WHEN dead THEN NULL WHEN defect = 'timestamp_bad' THEN 'not-a-time'
          WHEN defect = 'timestamp_absent' THEN NULL ELSE 'ok' END AS ts_text_kind,
     'orders-topic' AS topic, kpart AS "partition", off AS "offset",
-    event_ts + INTERVAL 1 SECOND AS kafka_timestamp,
+    TIMESTAMP '2024-07-01 00:00:00' + to_milliseconds(off) AS kafka_timestamp,
     defect, k, copy_no
   FROM (SELECT *, defect IN ('tombstone', 'truncated') AS dead FROM ord_rec)),
 orders_flagged AS (
@@ -133,7 +133,7 @@ pricing_parsed AS (
          < (92 - 4 * (l_suppkey % 5)) * 4294967296 END AS in_stock,
     CASE WHEN dead THEN NULL ELSE event_ts END AS "timestamp",
     'pricing-topic' AS topic, kpart AS "partition", off AS "offset",
-    event_ts + INTERVAL 1 SECOND AS kafka_timestamp,
+    TIMESTAMP '2024-07-01 00:00:00' + to_milliseconds(off) AS kafka_timestamp,
     defect, k, base_price AS true_base_price
   FROM (SELECT *, defect = 'truncated' AS dead FROM pri2))"""
 

@@ -335,6 +335,26 @@ def orders_compacted(spark, sf_dir):
     return spark.read.parquet(landing.compact(spark, src, dst)).drop("event_month")
 
 
+@register("stream_dedup", O.with_events(f"SELECT order_id FROM ({_GOOD}) GROUP BY order_id"))
+def stream_dedup(spark, sf_dir):
+    """G1 (stream): an order id seen again within 10 minutes of broker time
+    (replays are adjacent in the log) is dropped; the watermark on the
+    broker's append time bounds the state. Output: the surviving ids."""
+    from ..sources.kafka import record_files_stream
+    from ..streaming.streams import dedup_stream
+
+    ensure_session_defaults(spark)
+    root = publish_topics(spark, sf_dir)
+    base = landing.new_run_dir(spark, "dedup")
+    src = record_files_stream(spark, f"{root}/{ORDERS_TOPIC}", landing.files_per_trigger(spark))
+    good = good_rows(orders_flagged(src)).select("order_id", "kafka_timestamp")
+    q = (dedup_stream(good, "order_id", "kafka_timestamp", "10 minutes").writeStream
+         .format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("order_id")
+
+
 @register("orders_dedup", O.with_events(
     f", ranked AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY \"timestamp\" NULLS FIRST, "
     "event_type NULLS FIRST, product_id NULLS FIRST, product_name NULLS FIRST, category NULLS FIRST, "

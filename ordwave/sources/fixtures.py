@@ -26,7 +26,7 @@ from ..operators.weighted import hash32
 from ..schemas import ORDER_FIELDS, ORDERS_TOPIC, PRICING_FIELDS, PRICING_TOPIC
 from .tables import path_exists, read_table
 
-FIXTURE_VERSION = "8"
+FIXTURE_VERSION = "9"
 OTHER_TOPIC = "other-topic"
 TOPICS = (ORDERS_TOPIC, PRICING_TOPIC, OTHER_TOPIC)
 # the total order of lineitem rows (unique at every scale factor)
@@ -42,6 +42,8 @@ ORDER_DEFECTS = [  # (k divisor, defect)
 PRICING_DEFECTS = [(76, "truncated"), (116, "price_diff_absent"), (92, "price_diff_null"),
                    (84, "our_price_zero")]
 REPLAY_EVERY = 50          # rows with k % 50 = 0 are published twice
+PUBLISH_EPOCH = "2024-07-01 00:00:00"   # broker time of offset 0 (UTC)
+LOG_APPEND_TIME = 1        # Kafka timestampType of broker-assigned times
 BAND_BREAK_EVERY = 101     # rows with k % 101 = 0 get a final price outside the band
 # -----------------------------------------------------------------------------
 
@@ -92,19 +94,20 @@ def _order_id() -> Column:
 
 
 def _prepared(df: DataFrame, partition: Column, value: Column, copies: Column | None) -> DataFrame:
-    """Records before offsets: value, partition, broker time and the order
-    columns the offsets follow (replays get a copy number)."""
+    """Records before offsets: value, partition and the order columns the
+    offsets follow (replays get a copy number)."""
     if copies is not None:
         df = df.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
     else:
         df = df.withColumn("_copy", F.lit(1))
-    return df.select(*TOTAL_ORDER, "_copy", partition.cast("int").alias("partition"), value.alias("value"),
-                     F.timestamp_add("SECOND", F.lit(1), F.col("event_ts")).cast("timestamp").alias("timestamp"))
+    return df.select(*TOTAL_ORDER, "_copy", partition.cast("int").alias("partition"), value.alias("value"))
 
 
 def with_offsets(prepared: DataFrame, topic: str) -> DataFrame:
     """Dense offsets per partition in the total order, then the Kafka record
-    columns."""
+    columns. The broker timestamp is the log-append time (timestampType 1):
+    the publish epoch plus one millisecond per offset, so it never decreases
+    within a partition, as on a broker."""
     df = dense_sequence(prepared, "partition", TOTAL_ORDER + ["_copy"], "l_orderkey", out="offset")
     return df.select(
         F.lit(None).cast("binary").alias("key"),
@@ -112,11 +115,16 @@ def with_offsets(prepared: DataFrame, topic: str) -> DataFrame:
         F.lit(topic).alias("topic"),
         F.col("partition"),
         F.col("offset"),
-        F.col("timestamp"),
-        F.lit(0).alias("timestampType"),
+        append_time(F.col("offset")),
+        F.lit(LOG_APPEND_TIME).alias("timestampType"),
     )
 
 
+def append_time(offset: Column) -> Column:
+    return (F.timestamp_add("MILLISECOND", offset, F.lit(PUBLISH_EPOCH).cast("timestamp_ntz"))
+            .cast("timestamp").alias("timestamp"))
+
+
 def order_prepared(events: DataFrame) -> DataFrame:
     """orders-topic records (before offsets) from the joined event rows, with
     the defect classes and replays."""
@@ -219,8 +227,8 @@ def other_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(OTHER_TOPIC).alias("topic"),
         F.lit(0).alias("partition"),
         F.col("event_id").cast("bigint").alias("offset"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        F.lit(0).alias("timestampType"),
+        append_time(F.col("event_id")),
+        F.lit(LOG_APPEND_TIME).alias("timestampType"),
     )
 
 
