@@ -84,13 +84,12 @@ def cmd_backfill(spark: SparkSession, args) -> int:
 
 def cmd_verify(spark: SparkSession, args) -> int:
     from .plans.reports import head_tail, rows_per_day, table_report
-    from .streaming.sinks import quarantine_exists, read_landed, read_quarantine
-    from .sources.tables import path_exists
+    from .streaming.sinks import quarantine_exists, read_landed, read_quarantine, table_exists_in
 
     root = _root(spark, _cfg(args))
     tables = {}
     for table in ("orders", "pricing_events"):
-        tables[table] = (read_landed(spark, root, table) if path_exists(spark, f"{root}/{table}") else None,
+        tables[table] = (read_landed(spark, root, table) if table_exists_in(spark, root, table) else None,
                          "timestamp")
         q = quarantine_exists(spark, root, table)
         tables[f"{table}_quarantine"] = (read_quarantine(spark, root, table) if q else None, "kafka_timestamp")

@@ -15,7 +15,7 @@ from ..schemas import ORDERS_TOPIC, PRICING_TOPIC
 from ..sources.fixtures import fixture_root, publish_topics
 from ..sources.kafka import record_files
 from ..sources.tables import path_exists
-from ..streaming.sinks import read_landed, write_batch_load
+from ..streaming.sinks import read_landed, table_exists_in, write_batch_load
 from ..streaming.streams import drain, run_streams
 
 # Micro-batches of the file form: a quarter of a topic's files each, so a
@@ -76,7 +76,7 @@ def batch_load(spark: SparkSession, sf_dir: str, base: str, load_id: str = "L0")
 
 def count_landed(spark: SparkSession, root: str, table: str) -> int:
     """Rows of a landed table (0 when it does not exist yet)."""
-    if not path_exists(spark, f"{root}/{table}"):
+    if not table_exists_in(spark, root, table):
         return 0
     return read_landed(spark, root, table).agg(F.count(F.lit(1))).first()[0]
 

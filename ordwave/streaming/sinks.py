@@ -70,19 +70,45 @@ def read_quarantine(spark: SparkSession, root: str, table: str) -> DataFrame:
     return df.where(F.col("status") == "bad").select(*QUARANTINE_COLUMNS, *_batch_cols(df))
 
 
+def _marker(root: str, name: str) -> str:
+    return f"{root}/markers/{name}"
+
+
+def mark_once(spark: SparkSession, root: str, name: str) -> None:
+    """Record that ``name`` has received rows: a tiny marker directory, so
+    existence checks never list a table's (many) data files."""
+    path = _marker(root, name)
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        spark.range(1).select(F.lit(name).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def table_exists_in(spark: SparkSession, root: str, table: str) -> bool:
+    """Has the landed table ever received rows? One small-file check."""
+    return path_exists(spark, f"{_marker(root, table)}/_SUCCESS")
+
+
 def quarantine_exists(spark: SparkSession, root: str, table: str) -> bool:
-    return path_exists(spark, f"{root}/{table}/*/status=bad")
+    return table_exists_in(spark, root, f"{table}_quarantine")
 
 
-def write_landing(flagged: DataFrame, shape, path: str, name: str, fmt: str = "parquet") -> tuple:
+def write_landing(flagged: DataFrame, shape, root: str, table: str, path: str, name: str,
+                  fmt: str = "parquet", marked: set | None = None) -> tuple:
     """One pass: parse, validate and write good and bad rows together,
-    partitioned by status; the counts are observed on the same pass."""
+    partitioned by status; the counts are observed on the same pass. The
+    table's markers are set the first time it receives rows."""
     obs = Observation(f"{name}_{uuid.uuid4().hex}")
     out = landing_rows(flagged, shape).observe(
         obs, F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "bad").alias("bad"))
     out.write.mode("overwrite").partitionBy("status").format(fmt).save(path)
     m = obs.get
-    return int(m["n"]), int(m["bad"])
+    n, bad = int(m["n"]), int(m["bad"])
+    marked = set() if marked is None else marked
+    spark = flagged.sparkSession
+    for marker, has_rows in ((table, n > 0), (f"{table}_quarantine", bad > 0)):
+        if has_rows and marker not in marked:
+            mark_once(spark, root, marker)
+            marked.add(marker)
+    return n, bad
 
 
 class BatchLander:
@@ -97,6 +123,7 @@ class BatchLander:
         self.table = table
         self.quarantine = quarantine
         self.fmt = fmt
+        self._marked: set = set()
 
     def _audit(self, spark, batch_id, n_in, n_good, n_bad, status, error=None):
         def lit(v, t):
@@ -112,8 +139,9 @@ class BatchLander:
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         try:
-            n_in, n_bad = write_landing(self.flag(batch_df), self.shape,
-                                        batch_path(self.out_root, self.table, batch_id), self.name, self.fmt)
+            n_in, n_bad = write_landing(self.flag(batch_df), self.shape, self.out_root, self.table,
+                                        batch_path(self.out_root, self.table, batch_id), self.name, self.fmt,
+                                        self._marked)
             status = "ok" if n_in else "empty"      # F6: an empty batch lands nothing
             self._audit(spark, batch_id, n_in, n_in - n_bad, n_bad, status)
         except Exception as e:
@@ -156,7 +184,8 @@ def write_batch_load(df_flagged: DataFrame, shape, out_root: str, table: str, lo
                      fmt: str = "parquet") -> dict:
     """K2: a bounded load under ``load_id=...`` (idempotent per load id),
     returning the counts observed while writing."""
-    n, bad = write_landing(df_flagged, shape, f"{out_root}/{table}/load_id={load_id}", f"load_{table}", fmt)
+    n, bad = write_landing(df_flagged, shape, out_root, table, f"{out_root}/{table}/load_id={load_id}",
+                           f"load_{table}", fmt)
     return {"good": n - bad, "bad": bad}
 
 
