@@ -21,6 +21,7 @@ from ..functions.business import (
     price_diff_pct,
     price_tier,
 )
+from ..config import work_root
 from ..operators import dims
 
 
@@ -96,9 +97,9 @@ def mix_audit(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
     payment method within tier, and quantity (by category kind).
 
     One pass over the orders: the five groupings are grouping sets of one
-    aggregate (one Expand, one shuffle). Counts and weights meet in one
-    full outer join on (dimension, parent, key); per-(dimension, parent)
-    totals are a handful of rows, broadcast back on those keys."""
+    aggregate (one Expand, one shuffle), checkpointed. Counts and weights
+    meet in one full outer join on (dimension, parent, key); per-(dimension,
+    parent) totals are a handful of rows, broadcast back on those keys."""
     kind = F.when(F.col("category") == dims.LIMITED_QTY_CATEGORY, "limited").otherwise("default")
     base = orders.select("region", "product_id", "customer_segment", "price_tier", "payment_method",
                          kind.alias("qty_kind"), F.col("quantity").cast("string").alias("qty"))
@@ -116,7 +117,10 @@ def mix_audit(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
     key = (F.when(grouped["region"], F.col("region")).when(grouped["product_id"], F.col("product_id"))
            .when(grouped["customer_segment"], F.col("customer_segment"))
            .when(grouped["price_tier"], F.col("payment_method")).otherwise(F.col("qty")))
-    observed = g.select(dimension.alias("dimension"), parent.alias("parent"), key.alias("key"), "n")
+    # the aggregate (one row per key) feeds both the join and the totals:
+    # materialised once so the orders are scanned once
+    work_root(spark)
+    observed = g.select(dimension.alias("dimension"), parent.alias("parent"), key.alias("key"), "n").checkpoint()
 
     all_ = F.lit("all")
     weights = (

@@ -373,8 +373,10 @@ def day_offset(spark, sf_dir):
     """P13 + A5: days counted back from the last landed day in 30-day steps
     (the backfill's progress unit), and whether each day lies within the
     last 180 days (interval arithmetic). The window runs over days only."""
+    from pyspark.sql import Window
+
     per_day = _orders(spark, sf_dir).groupBy(F.to_date("timestamp").alias("d")).agg(F.count(F.lit(1)).alias("n"))
-    last = per_day.agg(F.max("d")).scalar()
+    last = F.max("d").over(Window.partitionBy())      # over the per-day rows only
     b = (per_day.withColumn("bucket", F.floor(F.datediff(last, F.col("d")) / 30).cast("int"))
          .withColumn("window_start", F.date_sub(last, 180)))
     return b.groupBy("bucket").agg(F.min("d").alias("first_day"), F.max("d").alias("last_day"),
