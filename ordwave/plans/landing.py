@@ -18,9 +18,10 @@ from ..sources.tables import path_exists
 from ..streaming.sinks import read_landed, table_exists_in, write_batch_load
 from ..streaming.streams import drain, run_streams
 
-# Micro-batches of the file form: a quarter of a topic's files each, so a
-# bounded run has several batches and each batch has several input splits.
-TRIGGERS_PER_TOPIC = 4
+# Micro-batches of the file form: half of a topic's files each (a topic has
+# one file per shuffle partition), so a bounded run has several batches and
+# each batch has at least as many input splits as the cluster has cores.
+TRIGGERS_PER_TOPIC = 2
 
 
 def files_per_trigger(spark: SparkSession) -> int:
