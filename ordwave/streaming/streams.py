@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from ..config import IngestConfig, work_root
 from ..operators.transform import landed_orders, landed_pricing, orders_flagged, pricing_flagged
 from ..sources.kafka import kafka_stream, record_files_stream, route
-from .sinks import BatchLander, claim_output
+from .sinks import BatchLander, RoutingLander, claim_output
 
 
 def _trigger(writer, cfg: IngestConfig, available_now: bool):
@@ -74,8 +74,6 @@ def start_routed_ingest(source: DataFrame, cfg: IngestConfig, out_root: str, che
     to the orders and pricing landers (one checkpoint, one offset log).
     ``cache_raw`` keeps the raw batch for the second route (for Kafka; the
     file form re-reads cheaply, pruned by the topic column's statistics)."""
-    from .sinks import RoutingLander
-
     routes = {cfg.orders_topic: orders_lander(out_root, cfg.validator),
               cfg.pricing_topic: pricing_lander(out_root, "pricing" if cfg.quarantine_pricing else None)}
     router = RoutingLander(routes, cache_raw=cache_raw)

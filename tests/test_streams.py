@@ -127,3 +127,18 @@ def test_stream_dedup_within_watermark(spark, tmp_path):
 def test_shared_landing_is_reused(spark, sf_small):
     a = landing.shared_landing(spark, sf_small)
     assert landing.shared_landing(spark, sf_small) == a
+
+
+def test_optional_pricing_quarantine(spark, sf_small, topics, tmp_path):
+    """Pricing is not validated by default; with ``quarantine_pricing``
+    unparseable records (every field NULL) go to quarantine."""
+    cfg = IngestConfig(sink_root=f"{tmp_path}/landed", checkpoint_root=f"{tmp_path}/ck", quarantine_pricing=True)
+    from ordwave.schemas import PRICING_TOPIC
+    drain(run_streams(spark, "pricing", cfg, topic_paths={PRICING_TOPIC: f"{topics}/{PRICING_TOPIC}"},
+                      available_now=True))
+    from ordwave.operators.transform import pricing_flagged
+    parsed = pricing_flagged(record_files(spark, f"{topics}/{PRICING_TOPIC}"))
+    unparseable = parsed.where(F.col("product_id").isNull() & F.col("timestamp_text").isNull()).count()
+    q = read_quarantine(spark, cfg.sink_root, "pricing_events")
+    assert q.count() == unparseable > 0
+    assert read_landed(spark, cfg.sink_root, "pricing_events").count() + q.count() == parsed.count()
