@@ -78,3 +78,23 @@ def test_console_preview_runs(spark, sf_small):
     q.processAllAvailable()
     q.stop()
     assert q.exception() is None
+
+
+def test_processing_time_trigger(spark, sf_small, tmp_path):
+    """The live form uses a processing-time trigger; here 1 s over the
+    file form, drained with processAllAvailable and stopped (T7)."""
+    root = publish_topics(spark, sf_small)
+    cfg = IngestConfig(sink_root=f"{tmp_path}/landed", checkpoint_root=f"{tmp_path}/ck", trigger_seconds=1)
+    (q,) = run_streams(spark, "orders", cfg, topic_paths={ORDERS_TOPIC: f"{root}/{ORDERS_TOPIC}"})
+    q.processAllAvailable()
+    q.stop()
+    assert q.lastProgress is not None
+    assert read_landed(spark, cfg.sink_root, "orders").count() > 0
+
+
+def test_coerce_booleans_only_where_present(spark):
+    from ordwave.functions.parse import coerce_booleans
+    df = spark.createDataFrame([("true", 1)], "is_returned string, other int")
+    out = coerce_booleans(df)
+    assert dict(out.dtypes) == {"is_returned": "boolean", "other": "int"}
+    assert out.first().is_returned is True
