@@ -35,6 +35,13 @@ SPIKE_CATEGORIES = ["ECONOMY", "PROMO", "SMALL"]
 BAND_TOP = {"budget": 1.05, "mid": 1.04, "premium": 1.02}
 # ---------------------------------------------------------------------------
 
+def literal_rows(spark: SparkSession, rows, columns) -> DataFrame:
+    """A small fixed table built JVM-side from literals (no Python worker
+    runs): ``columns`` is a list of (name, type)."""
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, columns)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product catalog from ``part``: one row per part."""
     p = read_table(spark, sf_dir, "part")
@@ -176,17 +183,17 @@ def payment_mix_weight(tier: str, rank: int) -> int:
 def payment_mix_dim(spark: SparkSession) -> DataFrame:
     """Tier -> payment method -> weight, 3 x 5 rows built from the rule."""
     rows = [(t, m, payment_mix_weight(t, i + 1)) for t in TIERS for i, m in enumerate(PAYMENT_METHODS)]
-    return spark.createDataFrame(rows, "price_tier string, payment_method string, weight int")
+    return literal_rows(spark, rows, [("price_tier", "string"), ("payment_method", "string"), ("weight", "int")])
 
 
 def segment_mix_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(s, 20) for s in SEGMENTS], "customer_segment string, weight int")
+    return literal_rows(spark, [(s, 20) for s in SEGMENTS], [("customer_segment", "string"), ("weight", "int")])
 
 
 def quantity_mix_dim(spark: SparkSession) -> DataFrame:
     rows = [(True, q + 1, w) for q, w in enumerate(QTY_WEIGHTS_LIMITED)]
     rows += [(False, q + 1, w) for q, w in enumerate(QTY_WEIGHTS_DEFAULT)]
-    return spark.createDataFrame(rows, "is_limited boolean, quantity int, weight int")
+    return literal_rows(spark, rows, [("is_limited", "boolean"), ("quantity", "int"), ("weight", "int")])
 
 
 def region_weight_dim(spark: SparkSession, sf_dir: str) -> DataFrame:

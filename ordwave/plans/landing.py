@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..config import IngestConfig, ensure_session_defaults, work_root
 from ..operators.transform import landed_orders, landed_pricing, orders_flagged, pricing_flagged
 from ..schemas import ORDERS_TOPIC, PRICING_TOPIC
-from ..sources.fixtures import fixture_root, publish_topics
+from ..sources.fixtures import PUBLISH_LOCK, fixture_root, publish_topics
 from ..sources.kafka import record_files
 from ..sources.tables import path_exists
 from ..streaming.sinks import read_landed, table_exists_in, write_batch_load
@@ -50,12 +50,13 @@ def shared_landing(spark: SparkSession, sf_dir: str, force: bool = False) -> str
     and reused. Each landing goes to its own folder; a small pointer file
     names the finished one, written only after both streams drained."""
     pointer = fixture_root(spark, sf_dir).replace("/topics/", "/landing/") + "/CURRENT"
-    if not force and path_exists(spark, pointer):
-        return spark.read.text(pointer).first()[0]
-    base = new_run_dir(spark, "landing")
-    sink = stream_land(spark, sf_dir, base)
-    spark.createDataFrame([(sink,)], "value string").coalesce(1).write.mode("overwrite").text(pointer)
-    return sink
+    with PUBLISH_LOCK:
+        if not force and path_exists(spark, pointer):
+            return spark.read.text(pointer).first()[0]
+        base = new_run_dir(spark, "landing")
+        sink = stream_land(spark, sf_dir, base)
+        spark.range(1).select(F.lit(sink).alias("value")).coalesce(1).write.mode("overwrite").text(pointer)
+        return sink
 
 
 def landed(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

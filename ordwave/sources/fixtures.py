@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -245,6 +246,10 @@ def pricing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 PREPARED = {ORDERS_TOPIC: order_prepared, PRICING_TOPIC: pricing_prepared}
 
 
+# publishing is memoised on disk; threads of one driver take turns
+PUBLISH_LOCK = threading.RLock()
+
+
 def fixture_root(spark: SparkSession, sf_dir: str) -> str:
     real = os.path.realpath(sf_dir)
     tag = hashlib.sha1(f"{real}|v{FIXTURE_VERSION}".encode()).hexdigest()[:12]
@@ -260,6 +265,11 @@ def publish_topics(spark: SparkSession, sf_dir: str, files_per_topic: int | None
     columns of that table. Each topic is range-laid-out by (partition,
     offset), like log segments, so offset ranges prune on min/max stats."""
     ensure_session_defaults(spark)
+    with PUBLISH_LOCK:
+        return _publish(spark, sf_dir, files_per_topic, force)
+
+
+def _publish(spark: SparkSession, sf_dir: str, files_per_topic: int | None, force: bool) -> str:
     root = fixture_root(spark, sf_dir)
     n = files_per_topic or int(spark.conf.get("spark.sql.shuffle.partitions"))
     todo = [t for t in TOPICS if force or not path_exists(spark, f"{root}/{t}/_SUCCESS")]

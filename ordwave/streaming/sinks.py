@@ -51,7 +51,7 @@ def claim_output(spark: SparkSession, out_root: str, name: str, checkpoint: str)
         if owner != checkpoint:
             raise OwnershipError(f"{out_root} belongs to checkpoint {owner}, not {checkpoint}")
         return
-    spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.mode("overwrite").text(marker)
+    spark.range(1).select(F.lit(checkpoint).alias("value")).coalesce(1).write.mode("overwrite").text(marker)
 
 
 def _batch_cols(df: DataFrame) -> list:
