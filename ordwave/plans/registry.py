@@ -3,6 +3,8 @@ each, the SQL of its expected result over the base tables."""
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,11 +30,18 @@ ORACLE: dict = {}
 
 
 def register(name: str, sql: str | None):
+    """Register a query (and its oracle SQL). Every registered query first
+    pins the session time zone to UTC (R5)."""
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark, sf_dir, *args, **kwargs):
+            ensure_session_defaults(spark)
+            return fn(spark, sf_dir, *args, **kwargs)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
-        return fn
+        return run
     return deco
 
 
