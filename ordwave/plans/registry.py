@@ -190,19 +190,34 @@ _ORDER_LINE_SQL = ("concat_ws(' | ', rpad(coalesce(substr(product_name, 1, 35),
                    "rpad(coalesce(substr(region, 1, 12), ''), 12, ' '), coalesce(payment_method, ''))")
 
 
+_PRICING_LINE_SQL = ("concat_ws(' | ', rpad(coalesce(substr(competitor, 1, 18), ''), 18, ' '), "
+                     "lpad(coalesce(format('{:,.2f}', competitor_price), ''), 10, ' '), "
+                     "lpad(coalesce(format('{:,.2f}', our_price), ''), 10, ' '), "
+                     "coalesce(CASE WHEN price_diff > 0 THEN 'cheaper' WHEN price_diff IS NOT NULL THEN 'pricier' END, "
+                     "''))")
+
+
 @register("preview_first_n", O.with_events(
-    f", firsts AS (SELECT *, row_number() OVER (ORDER BY \"partition\", \"offset\") AS rn FROM orders_parsed "
-    "WHERE defect <> 'tombstone') "
-    f"SELECT topic, \"partition\", \"offset\", rn, order_id, {_ORDER_LINE_SQL} AS line FROM firsts WHERE rn <= 3"))
+    ", fo AS (SELECT *, row_number() OVER (ORDER BY \"partition\", \"offset\") AS rn FROM orders_parsed "
+    "WHERE defect <> 'tombstone'), "
+    "fp AS (SELECT *, row_number() OVER (ORDER BY \"partition\", \"offset\") AS rn FROM pricing_parsed) "
+    f"SELECT topic, \"partition\", \"offset\", rn, order_id AS event_key, {_ORDER_LINE_SQL} AS line FROM fo "
+    "WHERE rn <= 3 "
+    f"UNION ALL SELECT topic, \"partition\", \"offset\", rn, product_id, {_PRICING_LINE_SQL} FROM fp WHERE rn <= 3",
+    pricing=True))
 def preview_first_n(spark, sf_dir, n: int = 3):
-    """L3 + L4 + D12 + K5: the first n present order events in log order,
-    with the fixed-width console line."""
+    """L3 + L4 + D12 + K5: the first n present events of each stream in log
+    order, with their fixed-width console lines."""
     from pyspark.sql import Window
 
-    first = reports.preview_first(records(spark, sf_dir, ORDERS_TOPIC), n).drop("rn")
     rn = F.row_number().over(Window.partitionBy("topic").orderBy("partition", "offset"))  # over n rows only
-    parsed = reports.preview_line(orders_flagged(first)).withColumn("rn", rn.cast("bigint"))
-    return parsed.select("topic", "partition", "offset", "rn", "order_id", "line")
+    out = []
+    for topic, flag, line, key in ((ORDERS_TOPIC, orders_flagged, reports.preview_line, "order_id"),
+                                   (PRICING_TOPIC, pricing_flagged, reports.pricing_preview_line, "product_id")):
+        first = reports.preview_first(records(spark, sf_dir, topic), n).drop("rn")
+        parsed = line(flag(first)).withColumn("rn", rn.cast("bigint"))
+        out.append(parsed.select("topic", "partition", "offset", "rn", F.col(key).alias("event_key"), "line"))
+    return out[0].unionByName(out[1])
 
 
 @register("offset_gaps", O.with_events(
