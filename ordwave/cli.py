@@ -123,8 +123,8 @@ def cmd_audit(spark: SparkSession, args) -> int:
     from .streaming.sinks import read_landed
 
     root = _root(spark, _cfg(args))
-    orders = read_landed(spark, root, "orders").drop("batch_id")
-    pricing = read_landed(spark, root, "pricing_events").drop("batch_id")
+    orders = read_landed(spark, root, "orders")
+    pricing = read_landed(spark, root, "pricing_events")
     audits.contract_audit(spark, args.sf_dir, orders, pricing).show(50, truncate=False)
     audits.return_rate_audit(spark, args.sf_dir, orders).orderBy("brand").show(50, truncate=False)
     audits.competitor_audit(spark, pricing).orderBy("competitor").show(truncate=False)

@@ -57,11 +57,3 @@ def landing_rows(flagged: DataFrame, shape) -> DataFrame:
              "kafka_timestamp", F.when(bad, F.col("quality_reasons")).alias("quality_reasons"),
              F.when(bad, "bad").otherwise("good").alias("status")]
     return shape(flagged, extra)
-
-
-def quarantine_shape(flagged: DataFrame, batch_id=None) -> DataFrame:
-    """K3: raw value, record coordinates, broker time and reasons."""
-    bid = F.lit(batch_id).cast("bigint") if batch_id is not None else F.lit(None).cast("bigint")
-    return flagged.select(
-        F.col("value_text").alias("value"), "topic", "partition", "offset",
-        "kafka_timestamp", "quality_reasons", bid.alias("batch_id"))

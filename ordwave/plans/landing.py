@@ -92,7 +92,7 @@ def compact(spark: SparkSession, df: DataFrame, dst: str, date_col: str = "event
     stretch of days. Months, not days: a day is too small a unit for
     years of history at modest daily volumes."""
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df = df.drop(*[c for c in ("batch_id", "load_id") if c in df.columns])
+    df = df.drop("batch")
     (df.withColumn("event_month", F.trunc(date_col, "month"))
      .repartitionByRange(n, date_col, order_col)
      .sortWithinPartitions(date_col, order_col)

@@ -250,7 +250,7 @@ def stream_orders_landed(spark, sf_dir):
     per micro-batch, landed batch by batch; read back = the good rows."""
     base = landing.new_run_dir(spark, "orders-stream")
     sink = landing.stream_land(spark, sf_dir, base, "orders")
-    return read_landed(spark, sink, "orders").drop("batch_id")
+    return read_landed(spark, sink, "orders")
 
 
 @register("stream_pricing_landed", O.with_events(_LANDED_PRICING_SQL, orders=False, pricing=True))
@@ -258,7 +258,7 @@ def stream_pricing_landed(spark, sf_dir):
     """S2 (file form) + P8 + K1: the pricing stream."""
     base = landing.new_run_dir(spark, "pricing-stream")
     sink = landing.stream_land(spark, sf_dir, base, "pricing")
-    return read_landed(spark, sink, "pricing_events").drop("batch_id")
+    return read_landed(spark, sink, "pricing_events")
 
 
 @register("stream_multi_topic", O.with_events(
@@ -391,7 +391,7 @@ def orders_dedup(spark, sf_dir):
     every other column."""
     from ..operators.dedup import first_per_key
 
-    return first_per_key(landing.landed(spark, sf_dir, "orders").drop("batch_id"), "order_id",
+    return first_per_key(landing.landed(spark, sf_dir, "orders"), "order_id",
                          ["timestamp"] + [c for c in ORDER_FIELDS if c not in ("order_id", "timestamp")])
 
 

@@ -29,11 +29,11 @@ TOL = O.TOL
 
 
 def _orders(spark, sf_dir):
-    return landing.landed(spark, sf_dir, "orders").drop("batch_id")
+    return landing.landed(spark, sf_dir, "orders")
 
 
 def _pricing(spark, sf_dir):
-    return landing.landed(spark, sf_dir, "pricing_events").drop("batch_id")
+    return landing.landed(spark, sf_dir, "pricing_events")
 
 
 # ---- derived columns ----------------------------------------------------------

@@ -50,6 +50,7 @@ KAFKA_RECORD = StructType(
     ]
 )
 
+# the quarantine as read back (``streaming.sinks.read_quarantine``)
 QUARANTINE = StructType(
     [
         StructField("value", StringType()),
@@ -58,10 +59,11 @@ QUARANTINE = StructType(
         StructField("offset", LongType()),
         StructField("kafka_timestamp", TimestampType()),
         StructField("quality_reasons", ArrayType(StringType())),
-        StructField("batch_id", LongType()),
+        StructField("batch", StringType()),
     ]
 )
 
+# one row per micro-batch and ingestion query (``audit/query=/batch_id=``)
 BATCH_AUDIT = StructType(
     [
         StructField("query", StringType()),

@@ -7,9 +7,11 @@
   partition is the landed table, the bad one the quarantine), and the
   counters are observed on that pass: no cache, no second parse, no extra
   job;
-* every output goes to ``.../batch_id=N`` with ``overwrite``: a batch that
-  is replayed after a crash (written but not committed) replaces its own
-  output instead of appending twice (exactly-once into files);
+* every output goes to ``.../batch=s-<batch id>`` (a bounded load to
+  ``.../batch=l-<load id>``) with ``overwrite``: a batch that is replayed
+  after a crash (written but not committed) replaces its own output instead
+  of appending twice (exactly-once into files); streams and loads share one
+  table;
 * the audit row is written last, also by overwrite, so a batch whose audit
   row says ``ok`` has all its outputs in place;
 * a failing write records ``status='failed'`` and re-raises, which leaves
@@ -38,7 +40,12 @@ class OwnershipError(RuntimeError):
 
 
 def batch_path(root: str, table: str, batch_id: int) -> str:
-    return f"{root}/{table}/batch_id={batch_id}"
+    """Output directory of one micro-batch (zero-padded, so names sort)."""
+    return f"{root}/{table}/batch=s-{int(batch_id):012d}"
+
+
+def load_path(root: str, table: str, load_id: str) -> str:
+    return f"{root}/{table}/batch=l-{load_id}"
 
 
 def claim_output(spark: SparkSession, out_root: str, name: str, checkpoint: str) -> None:
@@ -54,20 +61,17 @@ def claim_output(spark: SparkSession, out_root: str, name: str, checkpoint: str)
     spark.range(1).select(F.lit(checkpoint).alias("value")).coalesce(1).write.mode("overwrite").text(marker)
 
 
-def _batch_cols(df: DataFrame) -> list:
-    return [c for c in ("batch_id", "load_id") if c in df.columns]
-
-
-def read_landed(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The landed table: the ``status=good`` partitions (pruned at listing)."""
+def read_landed(spark: SparkSession, root: str, table: str, with_batch: bool = False) -> DataFrame:
+    """The landed table: the ``status=good`` partitions (pruned at listing);
+    ``batch`` (the micro-batch or load a row came from) on request."""
     df = spark.read.parquet(f"{root}/{table}")
-    return df.where(F.col("status") == "good").select(*LANDED_COLUMNS[table], *_batch_cols(df))
+    return df.where(F.col("status") == "good").select(*LANDED_COLUMNS[table], *(["batch"] if with_batch else []))
 
 
 def read_quarantine(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The quarantine: the ``status=bad`` partitions."""
+    """The quarantine: the ``status=bad`` partitions, with their batch."""
     df = spark.read.parquet(f"{root}/{table}")
-    return df.where(F.col("status") == "bad").select(*QUARANTINE_COLUMNS, *_batch_cols(df))
+    return df.where(F.col("status") == "bad").select(*QUARANTINE_COLUMNS, "batch")
 
 
 def _marker(root: str, name: str) -> str:
@@ -182,9 +186,10 @@ class RoutingLander:
 
 def write_batch_load(df_flagged: DataFrame, shape, out_root: str, table: str, load_id: str,
                      fmt: str = "parquet") -> dict:
-    """K2: a bounded load under ``load_id=...`` (idempotent per load id),
-    returning the counts observed while writing."""
-    n, bad = write_landing(df_flagged, shape, out_root, table, f"{out_root}/{table}/load_id={load_id}",
+    """K2: a bounded load into the same table as the streams, under
+    ``batch=l-<load id>`` (idempotent per load id), returning the counts
+    observed while writing."""
+    n, bad = write_landing(df_flagged, shape, out_root, table, load_path(out_root, table, load_id),
                            f"load_{table}", fmt)
     return {"good": n - bad, "bad": bad}
 

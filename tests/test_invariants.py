@@ -26,7 +26,7 @@ def test_mix_shares_sum_to_one_per_parent(spark, sf_small):
 
 
 def test_dedup_is_idempotent(spark, sf_small):
-    orders = landing.landed(spark, sf_small, "orders").drop("batch_id")
+    orders = landing.landed(spark, sf_small, "orders")
     order = ["timestamp"]
     once = first_per_key(orders, "order_id", order)
     twice = first_per_key(once, "order_id", order)

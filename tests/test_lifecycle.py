@@ -21,7 +21,7 @@ def test_empty_batch_writes_only_an_audit_row(spark, tmp_path):
     lander(spark.createDataFrame([], KAFKA_RECORD), 0)
     audit = spark.read.parquet(f"{tmp_path}/audit").collect()
     assert [(r.status, r.n_in) for r in audit] == [("empty", 0)]
-    assert not glob.glob(f"{tmp_path}/orders/batch_id=0/status=*")
+    assert not glob.glob(f"{tmp_path}/orders/batch=*/status=*")
 
 
 def test_await_all_runs_both_streams_and_progress_is_recorded(spark, sf_small, tmp_path):
@@ -48,7 +48,7 @@ def test_await_all_runs_both_streams_and_progress_is_recorded(spark, sf_small, t
 
 
 def test_compaction_keeps_every_row(spark, sf_small, tmp_path):
-    a = landing.landed(spark, sf_small, "orders").drop("batch_id")
+    a = landing.landed(spark, sf_small, "orders")
     dst = landing.compact(spark, a, str(tmp_path / "c"), files=4)
     b = spark.read.parquet(dst).select(*a.columns)
     assert spark.read.parquet(dst).select("event_month").distinct().count() < a.select("event_date").distinct().count()
@@ -98,3 +98,21 @@ def test_coerce_booleans_only_where_present(spark):
     out = coerce_booleans(df)
     assert dict(out.dtypes) == {"is_returned": "boolean", "other": "int"}
     assert out.first().is_returned is True
+
+
+def test_stream_and_backfill_share_one_table(spark, sf_small, tmp_path):
+    """A backfill (S9) lands next to the stream's micro-batches in the same
+    table; each is idempotent in its own batch directory."""
+    from ordwave.streaming.sinks import write_batch_load
+    from ordwave.operators.transform import landed_orders, orders_flagged
+    root = publish_topics(spark, sf_small)
+    cfg = IngestConfig(sink_root=f"{tmp_path}/landed", checkpoint_root=f"{tmp_path}/ck", max_files_per_trigger=4)
+    await_all(spark, run_streams(spark, "orders", cfg, topic_paths={ORDERS_TOPIC: f"{root}/{ORDERS_TOPIC}"},
+                                 available_now=True))
+    n_stream = read_landed(spark, cfg.sink_root, "orders").count()
+    recs = record_files(spark, f"{root}/{ORDERS_TOPIC}")
+    for _ in range(2):                       # the same load twice lands once
+        write_batch_load(orders_flagged(recs), landed_orders, cfg.sink_root, "orders", "L1")
+    both = read_landed(spark, cfg.sink_root, "orders", with_batch=True)
+    assert both.count() == 2 * n_stream
+    assert both.where(F.col("batch").startswith("l-")).count() == n_stream

@@ -38,7 +38,7 @@ def _land(spark, sf_small, base, files_per_trigger=2):
 
 def test_stream_equals_batch_and_good_plus_bad_is_input(spark, sf_small, topics, tmp_path):
     cfg = _land(spark, sf_small, str(tmp_path))
-    landed = read_landed(spark, cfg.sink_root, "orders").drop("batch_id")
+    landed = read_landed(spark, cfg.sink_root, "orders")
     quarantine = read_quarantine(spark, cfg.sink_root, "orders")
     recs = record_files(spark, f"{topics}/{ORDERS_TOPIC}")
     batch = landed_orders(good_rows(orders_flagged(recs)))
@@ -53,8 +53,8 @@ def test_stream_equals_batch_and_good_plus_bad_is_input(spark, sf_small, topics,
 def test_multi_batch_equals_single_batch(spark, sf_small, tmp_path):
     a = _land(spark, sf_small, str(tmp_path / "a"), files_per_trigger=1)
     b = _land(spark, sf_small, str(tmp_path / "b"), files_per_trigger=None)
-    ra = read_landed(spark, a.sink_root, "orders").drop("batch_id")
-    rb = read_landed(spark, b.sink_root, "orders").drop("batch_id")
+    ra = read_landed(spark, a.sink_root, "orders")
+    rb = read_landed(spark, b.sink_root, "orders")
     assert _rows(ra) == _rows(rb)
 
 
@@ -142,3 +142,12 @@ def test_optional_pricing_quarantine(spark, sf_small, topics, tmp_path):
     q = read_quarantine(spark, cfg.sink_root, "pricing_events")
     assert q.count() == unparseable > 0
     assert read_landed(spark, cfg.sink_root, "pricing_events").count() + q.count() == parsed.count()
+
+
+def test_output_shapes_match_the_declared_schemas(spark, sf_small, tmp_path):
+    from ordwave.schemas import BATCH_AUDIT, QUARANTINE
+    cfg = _land(spark, sf_small, str(tmp_path))
+    q = read_quarantine(spark, cfg.sink_root, "orders")
+    assert [(f.name, f.dataType) for f in q.schema.fields] == [(f.name, f.dataType) for f in QUARANTINE.fields]
+    audit = spark.read.parquet(f"{cfg.sink_root}/audit")
+    assert sorted(audit.columns) == sorted(f.name for f in BATCH_AUDIT.fields)
