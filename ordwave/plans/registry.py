@@ -5,11 +5,11 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import oracle as O
-from ..config import ensure_session_defaults
+from ..config import IngestConfig, ensure_session_defaults
 from ..functions.parse import to_ntz
 from ..operators.transform import (
     landed_orders,
@@ -17,12 +17,14 @@ from ..operators.transform import (
     orders_flagged,
     pricing_flagged,
 )
+from ..operators.dedup import first_per_key
 from ..operators.validate import bad_rows, good_rows
 from ..functions.business import price_position
 from ..schemas import ORDER_FIELDS, ORDERS_TOPIC, PRICING_FIELDS, PRICING_TOPIC
 from ..sources.fixtures import TOPICS, publish_topics
-from ..sources.kafka import record_files
+from ..sources.kafka import record_files, record_files_stream
 from ..streaming.sinks import quarantine_exists, read_landed, read_quarantine
+from ..streaming.streams import dedup_stream, drain, start_daily_counts, start_routed_ingest
 from . import landing, reports
 
 QUERIES: dict = {}
@@ -208,7 +210,6 @@ _PRICING_LINE_SQL = ("concat_ws(' | ', rpad(coalesce(substr(competitor, 1, 18),
 def preview_first_n(spark, sf_dir, n: int = 3):
     """L3 + L4 + D12 + K5: the first n present events of each stream in log
     order, with their fixed-width console lines."""
-    from pyspark.sql import Window
 
     rn = F.row_number().over(Window.partitionBy("topic").orderBy("partition", "offset"))  # over n rows only
     out = []
@@ -268,10 +269,6 @@ def stream_pricing_landed(spark, sf_dir):
 def stream_multi_topic(spark, sf_dir):
     """S5 + F4 (stream form): one subscription to every topic file, routed
     per micro-batch; the unknown topic lands nowhere."""
-    from ..config import IngestConfig
-    from ..sources.kafka import record_files_stream
-    from ..streaming.streams import drain, start_routed_ingest
-
     ensure_session_defaults(spark)
     root = publish_topics(spark, sf_dir)
     base = landing.new_run_dir(spark, "routed")
@@ -336,10 +333,6 @@ def load_reconciliation(spark, sf_dir):
     f"SELECT CAST(\"timestamp\" AS DATE) AS d, count(*) AS n FROM ({_GOOD}) GROUP BY 1"))
 def stream_rows_per_day(spark, sf_dir):
     """The live rows-per-day aggregate, run to the end of the topic."""
-    from ..config import IngestConfig
-    from ..sources.kafka import record_files_stream
-    from ..streaming.streams import start_daily_counts
-
     ensure_session_defaults(spark)
     root = publish_topics(spark, sf_dir)
     base = landing.new_run_dir(spark, "daily")
@@ -364,9 +357,6 @@ def stream_dedup(spark, sf_dir):
     """G1 (stream): an order id seen again within 10 minutes of broker time
     (replays are adjacent in the log) is dropped; the watermark on the
     broker's append time bounds the state. Output: the surviving ids."""
-    from ..sources.kafka import record_files_stream
-    from ..streaming.streams import dedup_stream
-
     ensure_session_defaults(spark)
     root = publish_topics(spark, sf_dir)
     base = landing.new_run_dir(spark, "dedup")
@@ -389,7 +379,6 @@ def stream_dedup(spark, sf_dir):
 def orders_dedup(spark, sf_dir):
     """G1 (batch): one row per order id, the first by timestamp then by
     every other column."""
-    from ..operators.dedup import first_per_key
 
     return first_per_key(landing.landed(spark, sf_dir, "orders"), "order_id",
                          ["timestamp"] + [c for c in ORDER_FIELDS if c not in ("order_id", "timestamp")])
