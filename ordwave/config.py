@@ -30,6 +30,8 @@ class IngestConfig:
     # bounds one micro-batch (file form of the topics)
     max_files_per_trigger: int | None = None
     min_partitions: int | None = None
+    # state-store partitions of stateful queries; None = cluster parallelism
+    state_partitions: int | None = None
     # output and checkpoint roots; None = derived from spark.checkpoint.dir
     sink_root: str | None = None
     checkpoint_root: str | None = None

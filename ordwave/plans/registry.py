@@ -24,7 +24,7 @@ from ..schemas import ORDER_FIELDS, ORDERS_TOPIC, PRICING_FIELDS, PRICING_TOPIC
 from ..sources.fixtures import TOPICS, publish_topics
 from ..sources.kafka import record_files, record_files_stream
 from ..streaming.sinks import quarantine_exists, read_landed, read_quarantine
-from ..streaming.streams import dedup_stream, drain, start_daily_counts, start_routed_ingest
+from ..streaming.streams import dedup_stream, drain, start_daily_counts, start_routed_ingest, start_stateful
 from . import landing, reports
 
 QUERIES: dict = {}
@@ -362,9 +362,10 @@ def stream_dedup(spark, sf_dir):
     base = landing.new_run_dir(spark, "dedup")
     src = record_files_stream(spark, f"{root}/{ORDERS_TOPIC}", landing.files_per_trigger(spark))
     good = good_rows(orders_flagged(src)).select("order_id", "kafka_timestamp")
-    q = (dedup_stream(good, "order_id", "kafka_timestamp", "10 minutes").writeStream
+    w = (dedup_stream(good, "order_id", "kafka_timestamp", "10 minutes").writeStream
          .format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
-         .outputMode("append").trigger(availableNow=True).start())
+         .outputMode("append").trigger(availableNow=True))
+    q = start_stateful(w, spark)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out").select("order_id")
 

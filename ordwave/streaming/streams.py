@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections import deque
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,6 +143,32 @@ def attach_progress(spark: SparkSession, keep: int = 1000) -> ProgressRecorder:
 
 # ---- guarantees ------------------------------------------------------------
 
+def state_partitions(spark: SparkSession, cfg: IngestConfig | None = None) -> int:
+    """State-store partitions of a stateful query. They are fixed when its
+    checkpoint is created and adaptive execution cannot coalesce them, so
+    they are sized to the cluster (its total cores) unless configured, not
+    taken from a shuffle setting meant for batch joins."""
+    if cfg is not None and cfg.state_partitions:
+        return cfg.state_partitions
+    try:
+        return max(1, int(spark.sparkContext.defaultParallelism))
+    except Exception:  # noqa: BLE001 - no classic context (Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, n: int):
+    """Start a stateful query with ``n`` state partitions (recorded in its
+    checkpoint), leaving the session setting as it was."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def start_daily_counts(good_stream: DataFrame, out_path: str, checkpoint: str, cfg: IngestConfig,
                        available_now: bool = False) -> StreamingQuery:
     """Live rows-per-day. The state is one row per calendar day (bounded
@@ -154,11 +181,19 @@ def start_daily_counts(good_stream: DataFrame, out_path: str, checkpoint: str, c
 
     w = (counts.writeStream.outputMode("complete").foreachBatch(write)
          .option("checkpointLocation", checkpoint))
-    return _trigger(w, cfg, available_now).start()
+    with _shuffle_partitions(good_stream.sparkSession, state_partitions(good_stream.sparkSession, cfg)):
+        return _trigger(w, cfg, available_now).start()
 
 
 def dedup_stream(good_stream: DataFrame, key: str = "order_id", event_time: str = "kafka_timestamp",
                  delay: str = "10 minutes") -> DataFrame:
     """G1 (stream): drop replays of a key seen within ``delay`` of broker
-    time; state is bounded by the watermark."""
+    time; state is bounded by the watermark. Start the query with
+    ``start_stateful`` so its state partitions are sized to the cluster."""
     return good_stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+
+
+def start_stateful(writer, spark: SparkSession, cfg: IngestConfig | None = None) -> StreamingQuery:
+    """Start a stateful streaming write with sized state partitions."""
+    with _shuffle_partitions(spark, state_partitions(spark, cfg)):
+        return writer.start()
