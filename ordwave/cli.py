@@ -83,7 +83,8 @@ def cmd_backfill(spark: SparkSession, args) -> int:
 
 
 def cmd_verify(spark: SparkSession, args) -> int:
-    from .plans.reports import head_tail, rows_per_day, table_report
+    from .plans.reports import audit_totals, head_tail, rows_per_day, table_report
+    from .sources.tables import path_exists
     from .streaming.sinks import quarantine_exists, read_landed, read_quarantine, table_exists_in
 
     root = _root(spark, _cfg(args))
@@ -94,6 +95,9 @@ def cmd_verify(spark: SparkSession, args) -> int:
         q = quarantine_exists(spark, root, table)
         tables[f"{table}_quarantine"] = (read_quarantine(spark, root, table) if q else None, "kafka_timestamp")
     table_report(spark, tables).show(truncate=False)
+    if path_exists(spark, f"{root}/audit"):
+        print("--- ingestion audit")
+        audit_totals(spark.read.parquet(f"{root}/audit")).orderBy("query").show(truncate=False)
     for table in ("orders", "pricing_events"):
         if tables[table][0] is not None:
             print(f"--- {table}: rows per day (first 5 + last 5)")

@@ -17,7 +17,7 @@ def test_cli_round_trip(spark, sf_small, tmp_path, capsys):
     assert n_good > 0 and n_bad > 0
     assert main(["verify", "--sink-root", sink], spark) == 0
     out = capsys.readouterr().out
-    assert "orders_quarantine" in out and "rows per day" in out
+    assert "orders_quarantine" in out and "rows per day" in out and "ingestion audit" in out
     assert main(["backfill", "--topics-dir", topics, "--sink-root", str(tmp_path / "bf")], spark) == 0
     assert "landed" in capsys.readouterr().out
     assert main(["preview", "--topics-dir", topics, "-n", "2"], spark) == 0
