@@ -53,7 +53,7 @@ def price_tier_counts(spark, sf_dir):
 @register("order_value", O.with_dims(
     f"SELECT count(*) AS n, count(*) FILTER (WHERE quantity IS NULL OR final_price IS NULL) AS n_unknown, "
     f"count(*) FILTER (WHERE abs({O.r2('final_price * quantity')} - total_value) > {TOL}) AS n_mismatch, "
-    "sum(CAST(floor(total_value * 100 + 0.5) AS BIGINT)) AS total_cents FROM good"))
+    "CAST(sum(CAST(floor(total_value * 100 + 0.5) AS BIGINT)) AS BIGINT) AS total_cents FROM good"))
 def order_value_check(spark, sf_dir):
     """total = final price x quantity (the discount is not applied)."""
     o = _orders(spark, sf_dir)
@@ -368,7 +368,7 @@ def boolean_coercion(spark, sf_dir):
     ", pd AS (SELECT CAST(\"timestamp\" AS DATE) AS d, count(*) AS n FROM good GROUP BY 1), "
     "b AS (SELECT d, n, CAST(date_diff('day', d, max(d) OVER ()) // 30 AS INTEGER) AS bucket, "
     "CAST(max(d) OVER () - INTERVAL 180 DAY AS DATE) AS window_start FROM pd) "
-    "SELECT bucket, min(d) AS first_day, max(d) AS last_day, count(*) AS n_days, sum(n) AS n, "
+    "SELECT bucket, min(d) AS first_day, max(d) AS last_day, count(*) AS n_days, CAST(sum(n) AS BIGINT) AS n, "
     "count(*) FILTER (WHERE d > window_start) AS n_days_in_window FROM b GROUP BY 1"))
 def day_offset(spark, sf_dir):
     """P13 + A5: days counted back from the last landed day in 30-day steps

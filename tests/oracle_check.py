@@ -35,6 +35,18 @@ def rows_of(cols, rows):
     return Counter(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+SPARK_TO_DUCK = {"StringType()": "VARCHAR", "LongType()": "BIGINT", "IntegerType()": "INTEGER",
+                 "DoubleType()": "DOUBLE", "BooleanType()": "BOOLEAN", "DateType()": "DATE",
+                 "TimestampNTZType()": "TIMESTAMP", "TimestampType()": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_diff(schema, con, sql):
+    """Columns whose Spark type differs from the oracle's DuckDB type."""
+    st = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in schema.fields}
+    dt = {r[0]: r[1] for r in con.execute("DESCRIBE " + sql).fetchall()}
+    return {k: (st.get(k), dt.get(k)) for k in set(st) | set(dt) if st.get(k) != dt.get(k)}
+
+
 def duck(sf_dir):
     con = duckdb.connect()
     for t in TABLES:
@@ -73,11 +85,14 @@ def compare(spark, sf_dir, names=None, verbose=True):
             print(name, results[name], flush=True)
             continue
         ok_cols = sorted(cols) == sorted(dcols)
+        types = type_diff(df.schema, con, sqls[name])
         a, b = rows_of(cols, srows), rows_of(dcols, drows)
-        ok = ok_cols and len(srows) == len(drows) and a == b
+        ok = ok_cols and not types and len(srows) == len(drows) and a == b
         results[name] = "OK" if ok else "MISMATCH"
         print(f"{name:28s} {results[name]} spark={len(srows)} duck={len(drows)} ({ts:.1f}s)", flush=True)
         if not ok and verbose:
+            if types:
+                print("   types (spark, duck):", types)
             if not ok_cols:
                 print("   cols spark", sorted(cols), "\n   cols duck ", sorted(dcols))
             else:
