@@ -14,7 +14,7 @@ from ..operators.transform import landed_orders, landed_pricing, orders_flagged,
 from ..schemas import ORDERS_TOPIC, PRICING_TOPIC
 from ..sources.fixtures import PUBLISH_LOCK, fixture_root, publish_topics
 from ..sources.kafka import record_files
-from ..sources.tables import path_exists
+from ..sources.tables import hadoop_fs, path_exists
 from ..streaming.sinks import read_landed, table_exists_in, write_batch_load
 from ..streaming.streams import drain, run_streams
 
@@ -98,3 +98,23 @@ def compact(spark: SparkSession, df: DataFrame, dst: str, date_col: str = "event
      .sortWithinPartitions(date_col, order_col)
      .write.mode("overwrite").partitionBy("event_month").parquet(dst))
     return dst
+
+
+def drop_last_commit(spark: SparkSession, checkpoint: str) -> int | None:
+    """Remove the newest entry of a query's commit log, the state a crash
+    between a batch's writes and its commit leaves behind; the next start
+    replays that batch. Returns the batch id, or None if nothing was
+    committed."""
+    fs = hadoop_fs(spark, f"{checkpoint}/commits")
+    if fs is None or not fs[0].exists(fs[1]):
+        return None
+    names = [st.getPath().getName() for st in fs[0].listStatus(fs[1])]
+    ids = sorted(int(n) for n in names if n.isdigit())
+    if not ids:
+        return None
+    last = ids[-1]
+    for name in (str(last), f".{last}.crc"):
+        target = hadoop_fs(spark, f"{checkpoint}/commits/{name}")
+        if target[0].exists(target[1]):
+            target[0].delete(target[1], False)
+    return last

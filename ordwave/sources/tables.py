@@ -15,19 +15,28 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def hadoop_fs(spark: SparkSession, path: str):
+    """(FileSystem, Path) of ``path`` through the session's JVM gateway, or
+    None without one (Spark Connect)."""
+    try:
+        sc = spark.sparkContext
+        jvm = sc._jvm
+    except Exception:  # noqa: BLE001 - no classic gateway
+        return None
+    if jvm is None:
+        return None
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(sc._jsc.hadoopConfiguration()), hpath
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Does a file or directory exist at ``path``? One ``exists`` call on
     the path's Hadoop file system (HDFS, object stores, local): O(1), no
     listing of what lies below. Without a JVM gateway (Spark Connect) it
     falls back to resolving a reader on the path."""
-    try:
-        sc = spark.sparkContext
-        jvm = sc._jvm
-    except Exception:  # noqa: BLE001 - no classic gateway
-        jvm = None
-    if jvm is not None:
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(hpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(hpath))
+    fs = hadoop_fs(spark, path)
+    if fs is not None:
+        return bool(fs[0].exists(fs[1]))
     try:
         spark.read.format("binaryFile").load(path).schema  # noqa: B018
         return True

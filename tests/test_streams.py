@@ -151,3 +151,15 @@ def test_output_shapes_match_the_declared_schemas(spark, sf_small, tmp_path):
     assert [(f.name, f.dataType) for f in q.schema.fields] == [(f.name, f.dataType) for f in QUARANTINE.fields]
     audit = spark.read.parquet(f"{cfg.sink_root}/audit")
     assert sorted(audit.columns) == sorted(f.name for f in BATCH_AUDIT.fields)
+
+
+def test_drop_last_commit_replays_one_batch(spark, sf_small, tmp_path):
+    from ordwave.plans.landing import drop_last_commit
+    base = str(tmp_path)
+    cfg = _land(spark, sf_small, base)
+    n0 = read_landed(spark, cfg.sink_root, "orders").count()
+    last = drop_last_commit(spark, f"{cfg.checkpoint_root}/orders")
+    assert last is not None and not os.path.exists(f"{cfg.checkpoint_root}/orders/commits/{last}")
+    _land(spark, sf_small, base)
+    assert os.path.exists(f"{cfg.checkpoint_root}/orders/commits/{last}")     # the batch ran again
+    assert read_landed(spark, cfg.sink_root, "orders").count() == n0
