@@ -32,6 +32,9 @@ class IngestConfig:
     min_partitions: int | None = None
     # state-store partitions of stateful queries; None = cluster parallelism
     state_partitions: int | None = None
+    # state store of stateful queries: RocksDB keeps large state off the JVM
+    # heap; "hdfs" = Spark's default in-memory provider
+    state_store: str = "rocksdb"
     # output and checkpoint roots; None = derived from spark.checkpoint.dir
     sink_root: str | None = None
     checkpoint_root: str | None = None

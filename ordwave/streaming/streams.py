@@ -156,17 +156,31 @@ def state_partitions(spark: SparkSession, cfg: IngestConfig | None = None) -> in
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+STATE_PROVIDERS = {
+    "rocksdb": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "hdfs": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+}
+
+
 @contextmanager
-def _shuffle_partitions(spark: SparkSession, n: int):
-    """Start a stateful query with ``n`` state partitions (recorded in its
-    checkpoint), leaving the session setting as it was."""
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+def _stateful_session(spark: SparkSession, cfg: IngestConfig | None = None):
+    """Start a stateful query with sized state partitions and the chosen
+    state store (both are recorded in its checkpoint at the first start),
+    leaving the session settings as they were."""
+    cfg = cfg or IngestConfig()
+    wanted = {"spark.sql.shuffle.partitions": str(state_partitions(spark, cfg)),
+              "spark.sql.streaming.stateStore.providerClass": STATE_PROVIDERS[cfg.state_store]}
+    old = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def start_daily_counts(good_stream: DataFrame, out_path: str, checkpoint: str, cfg: IngestConfig,
@@ -181,7 +195,7 @@ def start_daily_counts(good_stream: DataFrame, out_path: str, checkpoint: str, c
 
     w = (counts.writeStream.outputMode("complete").foreachBatch(write)
          .option("checkpointLocation", checkpoint))
-    with _shuffle_partitions(good_stream.sparkSession, state_partitions(good_stream.sparkSession, cfg)):
+    with _stateful_session(good_stream.sparkSession, cfg):
         return _trigger(w, cfg, available_now).start()
 
 
@@ -194,6 +208,7 @@ def dedup_stream(good_stream: DataFrame, key: str = "order_id", event_time: str
 
 
 def start_stateful(writer, spark: SparkSession, cfg: IngestConfig | None = None) -> StreamingQuery:
-    """Start a stateful streaming write with sized state partitions."""
-    with _shuffle_partitions(spark, state_partitions(spark, cfg)):
+    """Start a stateful streaming write with sized state partitions and the
+    configured state store."""
+    with _stateful_session(spark, cfg):
         return writer.start()

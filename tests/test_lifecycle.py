@@ -116,3 +116,22 @@ def test_stream_and_backfill_share_one_table(spark, sf_small, tmp_path):
     both = read_landed(spark, cfg.sink_root, "orders", with_batch=True)
     assert both.count() == 2 * n_stream
     assert both.where(F.col("batch").startswith("l-")).count() == n_stream
+
+
+def test_stateful_queries_record_rocksdb_and_restore_the_session(spark, sf_small, tmp_path):
+    from ordwave.operators.validate import good_rows
+    from ordwave.sources.kafka import record_files_stream
+    from ordwave.streaming.streams import start_daily_counts
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    root = publish_topics(spark, sf_small)
+    good = landed_orders(good_rows(orders_flagged(record_files_stream(spark, f"{root}/{ORDERS_TOPIC}", 100))))
+    q = start_daily_counts(good, str(tmp_path / "daily"), str(tmp_path / "ck"), IngestConfig(), available_now=True)
+    q.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    offsets = open(glob.glob(str(tmp_path / "ck" / "offsets" / "0"))[0]).read()
+    assert "RocksDBStateStoreProvider" in offsets
+    assert spark.read.parquet(str(tmp_path / "daily")).agg(F.sum("n")).first()[0] == good_count(spark, root)
+
+
+def good_count(spark, root):
+    return landed_orders(good_rows(orders_flagged(record_files(spark, f"{root}/{ORDERS_TOPIC}")))).count()
