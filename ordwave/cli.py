@@ -106,12 +106,17 @@ def cmd_verify(spark: SparkSession, args) -> int:
 
 
 def cmd_preview(spark: SparkSession, args) -> int:
-    from .plans.reports import preview_first
+    """L4 + D12: the first n present events of each topic, as console lines."""
+    from .operators.transform import orders_flagged, pricing_flagged
+    from .plans.reports import preview_first, preview_line, pricing_preview_line
     from .sources.kafka import record_files
 
-    recs = record_files(spark, [f"{args.topics_dir}/{t}" for t in (ORDERS_TOPIC, PRICING_TOPIC)])
-    (preview_first(recs, args.n).select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
-     .orderBy("topic", "partition", "offset").show(truncate=False))
+    for topic, flag, line in ((ORDERS_TOPIC, orders_flagged, preview_line),
+                              (PRICING_TOPIC, pricing_flagged, pricing_preview_line)):
+        first = preview_first(record_files(spark, f"{args.topics_dir}/{topic}"), args.n).drop("rn")
+        print(f"--- {topic}: first {args.n} events")
+        for r in line(flag(first)).orderBy("partition", "offset").select("partition", "offset", "line").collect():
+            print(f"[{r.partition}:{r.offset}] {r.line}")
     return 0
 
 

@@ -21,6 +21,8 @@ def test_cli_round_trip(spark, sf_small, tmp_path, capsys):
     assert main(["backfill", "--topics-dir", topics, "--sink-root", str(tmp_path / "bf")], spark) == 0
     assert "landed" in capsys.readouterr().out
     assert main(["preview", "--topics-dir", topics, "-n", "2"], spark) == 0
+    out = capsys.readouterr().out
+    assert "--- orders-topic: first 2 events" in out and " | " in out
     assert main(["audit", "--sink-root", sink, "--sf-dir", sf_small], spark) == 0
     assert "competitor_band" in capsys.readouterr().out
 
