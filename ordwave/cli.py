@@ -45,9 +45,11 @@ def _root(spark, cfg: IngestConfig) -> str:
 
 def cmd_ingest(spark: SparkSession, args) -> int:
     from .sources.kafka import kafka_stream, record_files_stream
-    from .streaming.streams import await_all, run_streams, start_routed_ingest
+    from .streaming.streams import ProgressPrinter, await_all, run_streams, start_routed_ingest
 
     cfg = _cfg(args)
+    if args.progress:
+        spark.streams.addListener(ProgressPrinter())
     paths = None
     if args.topics_dir:
         paths = {ORDERS_TOPIC: f"{args.topics_dir}/{ORDERS_TOPIC}", PRICING_TOPIC: f"{args.topics_dir}/{PRICING_TOPIC}"}
@@ -161,6 +163,7 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--max-files-per-trigger", type=int)
     i.add_argument("--max-offsets-per-trigger", type=int)
     i.add_argument("--available-now", action="store_true", help="drain what is there, then stop")
+    i.add_argument("--progress", action="store_true", help="print one line per micro-batch")
 
     b = sub.add_parser("backfill")
     common(b)

@@ -134,6 +134,17 @@ class ProgressRecorder(StreamingQueryListener):
         pass
 
 
+class ProgressPrinter(ProgressRecorder):
+    """A5 + T8 on the console: one line per micro-batch and query."""
+
+    def onQueryProgress(self, event):
+        super().onQueryProgress(event)
+        p = self.progress[-1]
+        rate = p["rows_per_s"] or 0.0
+        print(f"[{p['name']}] batch {p['batch_id']}: {p['rows']:,} rows | {rate:,.0f} rows/s | "
+              f"{p['duration_ms'].get('triggerExecution', 0):,} ms", flush=True)
+
+
 def attach_progress(spark: SparkSession, keep: int = 1000) -> ProgressRecorder:
     """Register a progress recorder on the session's stream manager."""
     rec = ProgressRecorder(keep)

@@ -11,7 +11,7 @@ def test_cli_round_trip(spark, sf_small, tmp_path, capsys):
     sink = str(tmp_path / "landed")
     ck = str(tmp_path / "ck")
     assert main(["ingest", "--topics-dir", topics, "--sink-root", sink, "--checkpoint-root", ck,
-                 "--available-now", "--max-files-per-trigger", "4", "--validator", "strict"], spark) == 0
+                 "--available-now", "--max-files-per-trigger", "4", "--validator", "strict", "--progress"], spark) == 0
     n_good = read_landed(spark, sink, "orders").count()
     n_bad = read_quarantine(spark, sink, "orders").count()
     assert n_good > 0 and n_bad > 0
