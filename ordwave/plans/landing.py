@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import IngestConfig, ensure_session_defaults, work_root
-from ..operators.transform import landed_orders, landed_pricing, orders_flagged, pricing_flagged
+from ..operators.transform import LANDED_COLUMNS, landed_orders, landed_pricing, orders_flagged, pricing_flagged
 from ..schemas import ORDERS_TOPIC, PRICING_TOPIC
 from ..sources.fixtures import PUBLISH_LOCK, fixture_root, publish_topics
 from ..sources.kafka import record_files
@@ -118,3 +118,56 @@ def drop_last_commit(spark: SparkSession, checkpoint: str) -> int | None:
         if target[0].exists(target[1]):
             target[0].delete(target[1], False)
     return last
+
+
+def list_batches(spark: SparkSession, root: str, table: str) -> list:
+    """Names of a table's batch directories (one directory listing, no
+    file listing), sorted."""
+    fs = hadoop_fs(spark, f"{root}/{table}")
+    if fs is None or not fs[0].exists(fs[1]):
+        return []
+    return sorted(st.getPath().getName() for st in fs[0].listStatus(fs[1])
+                  if st.isDirectory() and st.getPath().getName().startswith("batch="))
+
+
+def compact_landed(spark: SparkSession, root: str, table: str, files: int | None = None) -> str | None:
+    """Fold a table's current stream batches into ``{table}_history``
+    (monthly partitions) and record the last batch folded in. Returns that
+    batch name (None when there was nothing to fold)."""
+    batches = [b for b in list_batches(spark, root, table) if b.startswith("batch=s-")]
+    if not batches:
+        return None
+    last = batches[-1]
+    paths = [f"{root}/{table}/{b}" for b in batches]
+    df = (spark.read.option("basePath", f"{root}/{table}").parquet(*paths)
+          .where(F.col("status") == "good").select(*LANDED_COLUMNS[table]))
+    history = f"{root}/{table}_history"
+    new = f"{history}/{last}"
+    compact(spark, df, new, files=files)
+    spark.range(1).select(F.lit(new).alias("value")).coalesce(1).write.mode("overwrite").text(
+        f"{root}/markers/{table}_compacted")
+    return last
+
+
+def read_landed_current(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """History written by the last compaction plus only the stream batches
+    after it (given as explicit paths, so older batches are never listed)."""
+    marker = f"{root}/markers/{table}_compacted"
+    history, through = None, ""
+    if path_exists(spark, marker):
+        history = spark.read.text(marker).first()[0]
+        through = history.rsplit("/", 1)[-1]
+    newer = [b for b in list_batches(spark, root, table) if b.startswith("batch=s-") and b > through]
+    parts = []
+    if history:
+        parts.append(spark.read.parquet(history).select(*LANDED_COLUMNS[table]))
+    if newer:
+        parts.append(spark.read.option("basePath", f"{root}/{table}")
+                     .parquet(*[f"{root}/{table}/{b}" for b in newer])
+                     .where(F.col("status") == "good").select(*LANDED_COLUMNS[table]))
+    if not parts:
+        return read_landed(spark, root, table)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
