@@ -8,6 +8,7 @@
   preview  the first n events of each topic
   publish  build Kafka-shaped topics from a testdata directory
   audit    contract / mix / return-rate / competitor audits of landed tables
+  compact  fold landed micro-batches into monthly history
 
 Only small final reports are brought to the driver (for printing).
 """
@@ -134,6 +135,16 @@ def cmd_publish(spark: SparkSession, args) -> int:
     return 0
 
 
+def cmd_compact(spark: SparkSession, args) -> int:
+    from .plans.landing import compact_landed
+
+    root = _root(spark, _cfg(args))
+    for table in ("orders", "pricing_events"):
+        last = compact_landed(spark, root, table)
+        print(f"{table}: compacted through {last}" if last else f"{table}: nothing to compact")
+    return 0
+
+
 def cmd_audit(spark: SparkSession, args) -> int:
     from .plans import audits
     from .streaming.sinks import read_landed
@@ -187,6 +198,9 @@ def parser() -> argparse.ArgumentParser:
     pb.add_argument("--sf-dir", required=True)
     pb.add_argument("--force", action="store_true")
 
+    c = sub.add_parser("compact")
+    common(c)
+
     a = sub.add_parser("audit")
     common(a)
     a.add_argument("--sf-dir", required=True, help="base tables the dimensions are derived from")
@@ -194,7 +208,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 COMMANDS = {"ingest": cmd_ingest, "backfill": cmd_backfill, "verify": cmd_verify, "preview": cmd_preview,
-            "publish": cmd_publish, "audit": cmd_audit}
+            "publish": cmd_publish, "audit": cmd_audit, "compact": cmd_compact}
 
 
 def main(argv=None, spark: SparkSession | None = None) -> int:

@@ -25,6 +25,8 @@ def test_cli_round_trip(spark, sf_small, tmp_path, capsys):
     assert "--- orders-topic: first 2 events" in out and " | " in out
     assert main(["audit", "--sink-root", sink, "--sf-dir", sf_small], spark) == 0
     assert "competitor_band" in capsys.readouterr().out
+    assert main(["compact", "--sink-root", sink], spark) == 0
+    assert "orders: compacted through batch=s-" in capsys.readouterr().out
 
 
 def test_cli_routed_ingest(spark, sf_small, tmp_path, capsys):
