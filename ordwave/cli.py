@@ -93,12 +93,13 @@ def cmd_backfill(spark: SparkSession, args) -> int:
 def cmd_verify(spark: SparkSession, args) -> int:
     from .plans.reports import audit_totals, head_tail, rows_per_day, table_report
     from .sources.tables import path_exists
-    from .streaming.sinks import quarantine_exists, read_landed, read_quarantine, table_exists_in
+    from .plans.landing import read_landed_current
+    from .streaming.sinks import quarantine_exists, read_quarantine, table_exists_in
 
     root = _root(spark, _cfg(args))
     tables = {}
     for table in ("orders", "pricing_events"):
-        tables[table] = (read_landed(spark, root, table) if table_exists_in(spark, root, table) else None,
+        tables[table] = (read_landed_current(spark, root, table) if table_exists_in(spark, root, table) else None,
                          "timestamp")
         q = quarantine_exists(spark, root, table)
         tables[f"{table}_quarantine"] = (read_quarantine(spark, root, table) if q else None, "kafka_timestamp")
@@ -147,11 +148,11 @@ def cmd_compact(spark: SparkSession, args) -> int:
 
 def cmd_audit(spark: SparkSession, args) -> int:
     from .plans import audits
-    from .streaming.sinks import read_landed
+    from .plans.landing import read_landed_current
 
     root = _root(spark, _cfg(args))
-    orders = read_landed(spark, root, "orders")
-    pricing = read_landed(spark, root, "pricing_events")
+    orders = read_landed_current(spark, root, "orders")
+    pricing = read_landed_current(spark, root, "pricing_events")
     audits.contract_audit(spark, args.sf_dir, orders, pricing).show(50, truncate=False)
     audits.return_rate_audit(spark, args.sf_dir, orders).orderBy("brand").show(50, truncate=False)
     audits.competitor_audit(spark, pricing).orderBy("competitor").show(truncate=False)

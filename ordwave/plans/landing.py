@@ -151,13 +151,17 @@ def compact_landed(spark: SparkSession, root: str, table: str, files: int | None
 
 def read_landed_current(spark: SparkSession, root: str, table: str) -> DataFrame:
     """History written by the last compaction plus only the stream batches
-    after it (given as explicit paths, so older batches are never listed)."""
+    after it and the bounded loads (given as explicit paths, so compacted
+    batches are never listed)."""
     marker = f"{root}/markers/{table}_compacted"
     history, through = None, ""
     if path_exists(spark, marker):
         history = spark.read.text(marker).first()[0]
         through = history.rsplit("/", 1)[-1]
-    newer = [b for b in list_batches(spark, root, table) if b.startswith("batch=s-") and b > through]
+    # stream batches after the compaction, and every bounded load (loads are
+    # not folded: their ids carry no order)
+    newer = [b for b in list_batches(spark, root, table)
+             if (b.startswith("batch=s-") and b > through) or b.startswith("batch=l-")]
     parts = []
     if history:
         parts.append(spark.read.parquet(history).select(*LANDED_COLUMNS[table]))

@@ -155,6 +155,8 @@ def test_compacted_history_plus_newer_batches(spark, sf_small, tmp_path):
     for f in files[len(files) // 2:]:                   # more data arrives after the compaction
         shutil.copy(f, half / os.path.basename(f))
     await_all(spark, run_streams(spark, "orders", cfg, topic_paths={ORDERS_TOPIC: str(half)}, available_now=True))
+    from ordwave.streaming.sinks import write_batch_load
+    write_batch_load(orders_flagged(record_files(spark, files[:1])), landed_orders, cfg.sink_root, "orders", "L9")
     current = landing.read_landed_current(spark, cfg.sink_root, "orders")
     everything = read_landed(spark, cfg.sink_root, "orders")
     assert sorted(map(tuple, current.collect())) == sorted(map(tuple, everything.collect()))
