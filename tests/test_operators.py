@@ -40,3 +40,11 @@ def test_weighted_slots_cover_all_and_follow_weights(spark):
     assert abs(counts["c"] / 20000 - 0.6) < 0.02 and abs(counts["a"] / 20000 - 0.1) < 0.02
     again = {r.b: r.n for r in assign(keys, "k", "s|", slots, "b").groupBy("b").agg(F.count("*").alias("n")).collect()}
     assert again == counts
+
+
+def test_region_city_map_nested_form(spark, sf_small):
+    from ordwave.operators.dims import region_city_map, region_city_pairs
+    m = region_city_map(spark, sf_small).first().region_city
+    pairs = {(r.region, r.city) for r in region_city_pairs(spark, sf_small).collect()}
+    assert {(region, city) for region, v in m.items() for city in v.cities} == pairs
+    assert sorted(v.weight for v in m.values()) == [10, 15, 20, 25, 30]
