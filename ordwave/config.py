@@ -44,6 +44,19 @@ class IngestConfig:
     validator: str = "nulls"  # or "strict"
     quarantine_pricing: bool = False
 
+    def __post_init__(self):
+        if self.validator not in ("nulls", "strict"):
+            raise ValueError(f"validator must be 'nulls' or 'strict', not {self.validator!r}")
+        if self.state_store not in ("rocksdb", "hdfs"):
+            raise ValueError(f"state_store must be 'rocksdb' or 'hdfs', not {self.state_store!r}")
+        if self.starting_offsets not in ("latest", "earliest") and not self.starting_offsets.startswith("{"):
+            raise ValueError("starting_offsets must be 'latest', 'earliest' or a JSON offset map")
+        for name in ("trigger_seconds", "max_offsets_per_trigger", "max_files_per_trigger", "min_partitions",
+                     "state_partitions"):
+            v = getattr(self, name)
+            if v is not None and v <= 0:
+                raise ValueError(f"{name} must be positive, not {v}")
+
     def with_(self, **kw) -> "IngestConfig":
         return replace(self, **kw)
 

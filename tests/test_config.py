@@ -24,3 +24,13 @@ def test_sasl_options_shared_by_source_and_sink():
 def test_env_overrides():
     cfg = config_from_env({"KAFKA_BOOTSTRAP": "x:1", "CHECKPOINT_DIR": "/c"}, starting_offsets="earliest")
     assert cfg.kafka_bootstrap == "x:1" and cfg.checkpoint_root == "/c" and cfg.starting_offsets == "earliest"
+
+
+def test_config_rejects_bad_values():
+    import pytest
+    from ordwave.config import IngestConfig
+    for kw in ({"validator": "loose"}, {"state_store": "memory"}, {"starting_offsets": "middle"},
+               {"max_files_per_trigger": 0}, {"trigger_seconds": -1}):
+        with pytest.raises(ValueError):
+            IngestConfig(**kw)
+    assert IngestConfig(starting_offsets='{"orders-topic":{"0":5}}').starting_offsets.startswith("{")
