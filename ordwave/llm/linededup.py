@@ -139,11 +139,16 @@ def _runs(a: np.ndarray, b: np.ndarray, keeper: np.ndarray, min_words: int) -> l
 SPAN = "array<struct<start:bigint,end:bigint,kept_doc_id:bigint>>"
 
 
-def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-         keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (default ``id_col``), ``kept_text``, and ``removed``:
-    spans (start, end in characters of the original, id of the keeper)."""
-    keep = [id_col] if keep is None else keep
+def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """``id_col``, ``kept_text``, and ``removed``: spans (start, end in
+    characters of the original, id of the keeper)."""
+    return _mark(docs, id_col, text_col, min_words, [id_col]).select(
+        F.col("__0").alias(id_col), F.col("__kept").alias("kept_text"), F.col("__removed").alias("removed"))
+
+
+def _mark(docs: DataFrame, id_col: str, text_col: str, min_words: int, keep: list[str]) -> DataFrame:
+    """``__kept``, ``__removed`` and the ``keep`` columns as ``__0``, ``__1``
+    and so on, so that no column of the input can clash."""
     later = later_copies(docs, id_col, text_col)
 
     def run(batches):
@@ -190,13 +195,13 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wo
                     spans.append(got)
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kept_doc_id", pa.int64())]))
             yield pa.RecordBatch.from_arrays([*batch.columns[4:], pa.array(texts, pa.binary()).cast(pa.string()), pa.array(spans, kind)],
-                                             [*keep, "kept_text", "removed"])
+                                             [*(f"__{i}" for i in range(len(keep))), "__kept", "__removed"])
 
     src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.col(text_col).cast("string").alias("__t"),
                       *(F.col(c).alias(f"__{i}") for i, c in enumerate(keep)))
     joined = src.join(later, "doc", "left").select("doc", "__t", "digests", "keepers", *(f"__{i}" for i in range(len(keep))))
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return joined.mapInArrow(run, f"{schema}, kept_text string, removed {SPAN}")
+    schema = ", ".join(f"__{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
+    return joined.mapInArrow(run, f"{schema}, __kept string, __removed {SPAN}")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -208,5 +213,6 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` (all columns) with later occurrences cut out of the text."""
     others = [c for c in docs.columns if c != text_col]
-    out = mark(docs, id_col, text_col, min_words, keep=others)
-    return out.withColumnRenamed("kept_text", text_col).select(*docs.columns)
+    out = _mark(docs, id_col, text_col, min_words, others)
+    named = {c: F.col(f"__{i}").alias(c) for i, c in enumerate(others)} | {text_col: F.col("__kept").alias(text_col)}
+    return out.select(*(named[c] for c in docs.columns))
