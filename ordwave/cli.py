@@ -31,6 +31,9 @@ def _cfg(args) -> IngestConfig:
         v = getattr(args, name, None)
         if v:
             kw[name] = v
+    for name in ("quarantine_pricing", "drop_tombstones"):
+        if getattr(args, name, False):
+            kw[name] = True
     if getattr(args, "trigger_seconds", None):
         kw["trigger_seconds"] = args.trigger_seconds
     if getattr(args, "max_files_per_trigger", None):
@@ -64,7 +67,7 @@ def cmd_ingest(spark: SparkSession, args) -> int:
                                        cache_raw=not paths)]
     else:
         queries = run_streams(spark, args.mode, cfg, topic_paths=paths, available_now=args.available_now)
-    print(f"{len(queries)} stream(s) running | mode={args.mode} | sink={_root(spark, cfg)}")
+    print(f"started: {', '.join(q.name for q in queries)}; landing in {_root(spark, cfg)}")
     try:
         await_all(spark, queries)
     finally:
@@ -74,6 +77,7 @@ def cmd_ingest(spark: SparkSession, args) -> int:
 
 
 def cmd_backfill(spark: SparkSession, args) -> int:
+    from .functions.parse import coerce_booleans
     from .operators.transform import landed_orders, landed_pricing, orders_flagged, pricing_flagged
     from .sources.kafka import kafka_batch, record_files, route
     from .streaming.sinks import write_batch_load
@@ -84,7 +88,8 @@ def cmd_backfill(spark: SparkSession, args) -> int:
                                       ("pricing_events", cfg.pricing_topic, pricing_flagged, landed_pricing)):
         recs = (record_files(spark, f"{args.topics_dir}/{topic}") if args.topics_dir
                 else route(kafka_batch(spark, cfg, topic), topic))
-        flagged = flag(recs, cfg.validator) if table == "orders" else flag(recs)
+        validator = cfg.validator if table == "orders" else "pricing" if cfg.quarantine_pricing else None
+        flagged = coerce_booleans(flag(recs, validator))
         counts = write_batch_load(flagged, shape, root, table, args.load_id)
         print(f"{table}: landed {counts['good']:,} | quarantined {counts['bad']:,} | load_id={args.load_id}")
     return 0
@@ -94,7 +99,7 @@ def cmd_verify(spark: SparkSession, args) -> int:
     from .plans.reports import audit_totals, head_tail, rows_per_day, table_report
     from .sources.tables import path_exists
     from .plans.landing import read_landed_current
-    from .streaming.sinks import quarantine_exists, read_quarantine, table_exists_in
+    from .streaming.sinks import quarantine_exists, read_audit, read_quarantine, table_exists_in
 
     root = _root(spark, _cfg(args))
     tables = {}
@@ -106,7 +111,7 @@ def cmd_verify(spark: SparkSession, args) -> int:
     table_report(spark, tables).show(truncate=False)
     if path_exists(spark, f"{root}/audit"):
         print("--- ingestion audit")
-        audit_totals(spark.read.parquet(f"{root}/audit")).orderBy("query").show(truncate=False)
+        audit_totals(read_audit(spark, root)).orderBy("query").show(truncate=False)
     for table in ("orders", "pricing_events"):
         if tables[table][0] is not None:
             print(f"--- {table}: rows per day (first 5 + last 5)")
@@ -118,11 +123,14 @@ def cmd_preview(spark: SparkSession, args) -> int:
     """L4 + D12: the first n present events of each topic, as console lines."""
     from .operators.transform import orders_flagged, pricing_flagged
     from .plans.reports import preview_first, preview_line, pricing_preview_line
-    from .sources.kafka import record_files
+    from .sources.kafka import kafka_batch, record_files, route
 
+    cfg = _cfg(args)
     for topic, flag, line in ((ORDERS_TOPIC, orders_flagged, preview_line),
                               (PRICING_TOPIC, pricing_flagged, pricing_preview_line)):
-        first = preview_first(record_files(spark, f"{args.topics_dir}/{topic}"), args.n).drop("rn")
+        recs = (record_files(spark, f"{args.topics_dir}/{topic}") if args.topics_dir
+                else route(kafka_batch(spark, cfg, topic), topic))
+        first = preview_first(recs, args.n)
         print(f"--- {topic}: first {args.n} events")
         for r in line(flag(first)).orderBy("partition", "offset").select("partition", "offset", "line").collect():
             print(f"[{r.partition}:{r.offset}] {r.line}")
@@ -131,8 +139,16 @@ def cmd_preview(spark: SparkSession, args) -> int:
 
 def cmd_publish(spark: SparkSession, args) -> int:
     from .sources.fixtures import publish_topics
-
-    print(publish_topics(spark, args.sf_dir, force=args.force))
+    from .sources.kafka import record_files
+    from .streaming.sinks import publish_records
+
+    root = publish_topics(spark, args.sf_dir, force=args.force)
+    print(root)
+    if args.kafka:
+        cfg = _cfg(args)
+        for topic, to in ((ORDERS_TOPIC, cfg.orders_topic), (PRICING_TOPIC, cfg.pricing_topic)):
+            publish_records(record_files(spark, f"{root}/{topic}"), cfg, to)
+            print(f"{to}: sent to {cfg.kafka_bootstrap}")
     return 0
 
 
@@ -141,8 +157,8 @@ def cmd_compact(spark: SparkSession, args) -> int:
 
     root = _root(spark, _cfg(args))
     for table in ("orders", "pricing_events"):
-        last = compact_landed(spark, root, table)
-        print(f"{table}: compacted through {last}" if last else f"{table}: nothing to compact")
+        folded = compact_landed(spark, root, table)
+        print(f"{table}: {len(folded)} batches folded" if folded else f"{table}: nothing to compact")
     return 0
 
 
@@ -154,6 +170,7 @@ def cmd_audit(spark: SparkSession, args) -> int:
     orders = read_landed_current(spark, root, "orders")
     pricing = read_landed_current(spark, root, "pricing_events")
     audits.contract_audit(spark, args.sf_dir, orders, pricing).show(50, truncate=False)
+    audits.mix_audit(spark, args.sf_dir, orders).orderBy(F.desc("abs_diff"), "dimension", "key").show(50, truncate=False)
     audits.return_rate_audit(spark, args.sf_dir, orders).orderBy("brand").show(50, truncate=False)
     audits.competitor_audit(spark, pricing).orderBy("competitor").show(truncate=False)
     return 0
@@ -175,6 +192,8 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--topics-dir", help="file form of the topics instead of Kafka")
     i.add_argument("--routed", action="store_true", help="one subscription to all topics")
     i.add_argument("--validator", choices=["nulls", "strict"], default="nulls")
+    i.add_argument("--quarantine-pricing", action="store_true", help="unparseable pricing events go to quarantine")
+    i.add_argument("--drop-tombstones", action="store_true", help="of the routed ingest: tombstones reach no output")
     i.add_argument("--starting-offsets", choices=["latest", "earliest"])
     i.add_argument("--trigger-seconds", type=int)
     i.add_argument("--max-files-per-trigger", type=int)
@@ -186,18 +205,20 @@ def parser() -> argparse.ArgumentParser:
     common(b)
     b.add_argument("--topics-dir")
     b.add_argument("--validator", choices=["nulls", "strict"], default="nulls")
+    b.add_argument("--quarantine-pricing", action="store_true")
     b.add_argument("--load-id", default="backfill")
 
     v = sub.add_parser("verify")
     common(v)
 
     pv = sub.add_parser("preview")
-    pv.add_argument("--topics-dir", required=True)
+    pv.add_argument("--topics-dir", help="file form of the topics instead of Kafka")
     pv.add_argument("-n", type=int, default=3)
 
     pb = sub.add_parser("publish")
     pb.add_argument("--sf-dir", required=True)
     pb.add_argument("--force", action="store_true")
+    pb.add_argument("--kafka", action="store_true", help="also send the records to the broker of the environment")
 
     c = sub.add_parser("compact")
     common(c)

@@ -25,8 +25,8 @@ class IngestConfig:
     starting_offsets: str = "latest"
     fail_on_data_loss: bool = False
     trigger_seconds: int = 15
-    # bounds one micro-batch (Kafka); None = unbounded
-    max_offsets_per_trigger: int | None = None
+    # bounds one micro-batch (Kafka), about 5 GB of events of this contract
+    max_offsets_per_trigger: int | None = 10_000_000
     # bounds one micro-batch (file form of the topics)
     max_files_per_trigger: int | None = None
     min_partitions: int | None = None
@@ -43,6 +43,7 @@ class IngestConfig:
     api_secret: str | None = field(default=None, repr=False)
     validator: str = "nulls"  # or "strict"
     quarantine_pricing: bool = False
+    drop_tombstones: bool = False   # of the routed ingest: tombstones reach no output
 
     def __post_init__(self):
         if self.validator not in ("nulls", "strict"):
@@ -156,13 +157,16 @@ def ensure_session_defaults(spark: SparkSession) -> None:
 def work_root(spark: SparkSession) -> str:
     """Shared folder for materialised tables, sinks and stream checkpoints.
 
-    Taken from the cluster's ``spark.checkpoint.dir``; only when that is
-    unset (tests, a laptop) a private temporary folder is made and set.
+    Taken from the cluster's ``spark.checkpoint.dir``. Unset, a private
+    temporary folder is made on a local master only; elsewhere that is an
+    error, because executors could not read each other's files.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ordwave-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/") + "/ordwave"

@@ -51,8 +51,8 @@ def parse_json(records: DataFrame, schema: StructType, keep_raw: bool = True) ->
             F.col("topic"), F.col("partition"), F.col("offset"),
             F.col("timestamp").alias("kafka_timestamp")]
     if keep_raw:
-        cols.append(decode_value("value").alias("value_text"))
-    rest = ["topic", "partition", "offset", "kafka_timestamp"] + (["value_text"] if keep_raw else [])
+        cols += [F.col("value").alias("value_raw"), F.col("key").alias("key_raw")]
+    rest = ["topic", "partition", "offset", "kafka_timestamp"] + (["value_raw", "key_raw"] if keep_raw else [])
     # ``inline`` of a one-element array flattens the struct like ``data.*``
     # but is a Generate node: filters on the parsed fields stay above it, so
     # the JSON is parsed once per record instead of once per tested field
@@ -69,7 +69,7 @@ def _parse_typed(records: DataFrame, schema: StructType) -> DataFrame:
 
 def parse_orders(records: DataFrame) -> DataFrame:
     """Orders topic records -> typed order rows (timestamp parsed);
-    ``timestamp_text`` and ``value_text`` kept for validation/quarantine."""
+    ``timestamp_text``, ``value_raw`` and ``key_raw`` kept for validation/quarantine."""
     return _parse_typed(records, ORDERS)
 
 

@@ -1,24 +1,28 @@
 """Deduplication (G1, batch form).
 
-``row_number() over (partition by key ...)`` would send every row of a key
-to one task; a replayed or defaulted key (e.g. an empty id) can be hot.
-Keeping the minimum of a struct instead is an ordinary aggregate: Spark
-pre-aggregates it inside each map task before the shuffle, so a hot key
-costs one row per task, not all its rows in one task.
+``row_number() = 1`` per key: Spark keeps one row per key in each map task
+before the shuffle (a partial group limit), so a replayed key costs one row
+per task however often it was sent. Rows without a key (NULL or blank) are
+different orders, not one: they are only merged when every column is equal.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def has_key(key: str) -> Column:
+    """A key that identifies its row: neither NULL nor blank."""
+    return F.coalesce(F.trim(F.col(key).cast("string")) != "", F.lit(False))
+
+
 def first_per_key(df: DataFrame, key: str, order_cols: list) -> DataFrame:
     """One row per ``key``: the smallest by ``order_cols`` (NULLs first, then
-    every other column as tie-break, so the choice is deterministic)."""
+    every other column as tie-break, so the choice is deterministic). Rows
+    without a key: one per distinct row."""
     rest = [c for c in df.columns if c != key and c not in order_cols]
-    packed = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order_cols + rest)])
-    names = order_cols + rest
-    best = df.groupBy(key).agg(F.min(packed).alias("_best"))
-    return best.select(*[F.col(f"_best._{names.index(c)}").alias(c) if c != key else F.col(key)
-                         for c in df.columns])
+    order = [F.col(c).asc_nulls_first() for c in order_cols + rest]
+    whole_row = F.when(~has_key(key), F.struct(*df.columns))
+    w = Window.partitionBy(F.col(key), whole_row).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")

@@ -11,9 +11,12 @@ table is large.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import work_root
 from ..functions.business import CENT_TOLERANCE
 from ..sources.tables import read_table
 
@@ -42,6 +45,21 @@ def literal_rows(spark: SparkSession, rows, columns) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+BROADCAST_ROWS = 100_000   # a dimension row is at most a few hundred bytes
+
+
+def sized(dim: DataFrame) -> DataFrame:
+    """A dimension derived from a large table, materialised so that its own
+    size is known (an aggregate over ``part`` is planned by the size of
+    ``part``): broadcast if it is small, so the fact is not shuffled on a few
+    hot keys, and left to the planner otherwise."""
+    spark = dim.sparkSession
+    path = f"{work_root(spark)}/dims/{uuid.uuid4().hex[:12]}"
+    dim.write.parquet(path)
+    table = spark.read.schema(dim.schema).parquet(path)
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product catalog from ``part``: one row per part."""
     p = read_table(spark, sf_dir, "part")
@@ -68,7 +86,7 @@ def brand_return_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def return_rate(df: DataFrame, dim: DataFrame) -> DataFrame:
     """Lookup with a scalar default."""
-    return (df.join(dim, "brand", "left")
+    return (df.join(sized(dim), "brand", "left")
             .withColumn("rate", F.coalesce(F.col("rate"), F.lit(DEFAULT_RETURN_RATE))))
 
 
@@ -102,7 +120,7 @@ def default_buckets() -> Column:
 
 def with_discount_profile(df: DataFrame, dim: DataFrame) -> DataFrame:
     """Lookup with a record default."""
-    return (df.join(dim, "category", "left")
+    return (df.join(sized(dim), "category", "left")
             .withColumn("buckets", F.coalesce(F.col("buckets"), default_buckets())))
 
 
@@ -200,15 +218,6 @@ def region_weight_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return region_city_dim(spark, sf_dir).select("region", "weight")
 
 
-def in_hierarchy(df: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Rows whose (region, city) belongs to the hierarchy."""
-    return df.join(F.broadcast(pairs), ["region", "city"], "left_semi")
-
-
-def not_in_hierarchy(df: DataFrame, pairs: DataFrame) -> DataFrame:
-    return df.join(F.broadcast(pairs), ["region", "city"], "left_anti")
-
-
 def with_product(df: DataFrame, products: DataFrame, cols=("base_price",)) -> DataFrame:
     """Attach product attributes (as ``dim_<name>``) to events by
     product id (stream-static or batch)."""

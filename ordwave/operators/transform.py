@@ -43,17 +43,18 @@ def landed_pricing(flagged: DataFrame, extra=()) -> DataFrame:
 
 
 LANDED_COLUMNS = {"orders": LANDED_ORDER_COLUMNS, "pricing_events": LANDED_PRICING_COLUMNS}
-QUARANTINE_COLUMNS = ["value", "topic", "partition", "offset", "kafka_timestamp", "quality_reasons"]
+QUARANTINE_COLUMNS = ["key", "value", "topic", "partition", "offset", "kafka_timestamp", "quality_reasons"]
 
 
 def landing_rows(flagged: DataFrame, shape) -> DataFrame:
     """One output row per input record: the landed columns, the record's
     Kafka coordinates (lineage), ``status`` good/bad, and for bad rows only
-    the raw value and the failed rules. Written once, partitioned by
+    the raw key and value (bytes, so that the record can be sent again) and the
+    failed rules. Written once, partitioned by
     ``status``: the good partition is the landed table, the bad partition is
     the quarantine (K3)."""
     bad = F.col("has_quality_issues")
-    extra = [F.when(bad, F.col("value_text")).alias("value"), "topic", "partition", "offset",
+    extra = [F.when(bad, F.col("key_raw")).alias("key"), F.when(bad, F.col("value_raw")).alias("value"), "topic", "partition", "offset",
              "kafka_timestamp", F.when(bad, F.col("quality_reasons")).alias("quality_reasons"),
              F.when(bad, "bad").otherwise("good").alias("status")]
     return shape(flagged, extra)

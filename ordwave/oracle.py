@@ -106,8 +106,7 @@ pri0 AS (
          WHEN k % 92 = 0 THEN 'price_diff_null' WHEN k % 84 = 0 THEN 'our_price_zero'
          ELSE 'none' END AS defect,
     {r2("base_price * (CAST(0.85 AS DOUBLE) + CAST((k // 4) % 21 AS DOUBLE) / 100)")} AS cp
-  FROM ev WHERE CAST(('0x' || substr(md5('pricing|' || CAST(k AS VARCHAR)), 1, 8)) AS BIGINT) * 100
-                 < (40 - 5 * (l_suppkey % 5)) * 4294967296),
+  FROM ev),
 pri1 AS (
   SELECT *, CASE WHEN defect = 'our_price_zero' THEN CAST(0 AS DOUBLE)
                  ELSE {r2("base_price * (CAST(0.9 AS DOUBLE) + CAST(k % 17 AS DOUBLE) / 100)")} END AS op
@@ -124,13 +123,12 @@ pricing_parsed AS (
     CASE WHEN dead THEN NULL ELSE product_name END AS product_name,
     CASE WHEN dead THEN NULL ELSE category END AS category,
     CASE WHEN dead THEN NULL ELSE brand END AS brand,
-    CASE WHEN dead THEN NULL ELSE 'COMP_' || CAST(l_suppkey % 5 AS VARCHAR) END AS competitor,
+    CASE WHEN dead THEN NULL ELSE 'COMP_' || CAST(l_suppkey % 6 AS VARCHAR) END AS competitor,
     CASE WHEN dead THEN NULL ELSE cp END AS competitor_price,
     CASE WHEN dead THEN NULL ELSE op END AS our_price,
     CASE WHEN dead OR defect IN ('price_diff_absent', 'price_diff_null') THEN NULL ELSE pd END AS price_diff,
     CASE WHEN dead OR op = 0 THEN NULL ELSE {r2("pd / op * 100")} END AS price_diff_pct,
-    CASE WHEN dead THEN NULL ELSE CAST(('0x' || substr(md5('stock|' || CAST(k AS VARCHAR)), 1, 8)) AS BIGINT) * 100
-         < (92 - 4 * (l_suppkey % 5)) * 4294967296 END AS in_stock,
+    CASE WHEN dead THEN NULL ELSE l_linestatus = 'F' END AS in_stock,
     CASE WHEN dead THEN NULL ELSE event_ts END AS "timestamp",
     'pricing-topic' AS topic, kpart AS "partition", off AS "offset",
     TIMESTAMP '2024-07-01 00:00:00' + to_milliseconds(off) AS kafka_timestamp,

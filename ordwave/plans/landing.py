@@ -4,6 +4,7 @@ under the shared work root."""
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +12,14 @@ from pyspark.sql import functions as F
 
 from ..config import IngestConfig, ensure_session_defaults, work_root
 from ..operators.transform import LANDED_COLUMNS, landed_orders, landed_pricing, orders_flagged, pricing_flagged
-from ..schemas import ORDERS_TOPIC, PRICING_TOPIC
+from ..schemas import ORDERS_TOPIC, PRICING_TOPIC, landing_schema
 from ..sources.fixtures import PUBLISH_LOCK, fixture_root, publish_topics
 from ..sources.kafka import record_files
+from ..operators.dims import literal_rows
 from ..sources.tables import hadoop_fs, path_exists
-from ..streaming.sinks import read_landed, table_exists_in, write_batch_load
+from ..streaming.sinks import read_audit, read_landed, table_exists_in, table_files, write_batch_load
 from ..streaming.streams import drain, run_streams
+from .reports import latest_audit
 
 # Micro-batches of the file form: half of a topic's files each (a topic has
 # one file per shuffle partition), so a bounded run has several batches and
@@ -29,7 +32,20 @@ def files_per_trigger(spark: SparkSession) -> int:
 
 
 def new_run_dir(spark: SparkSession, kind: str) -> str:
-    return f"{work_root(spark)}/runs/{kind}-{uuid.uuid4().hex[:12]}"
+    """A folder for one run's tables and checkpoints; deleted when this
+    driver ends, since only results read in its session depend on it."""
+    path = f"{work_root(spark)}/runs/{kind}-{uuid.uuid4().hex[:12]}"
+    atexit.register(drop_folder, spark, path)
+    return path
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    try:
+        fs = hadoop_fs(spark, path)
+        if fs is not None:
+            fs[0].delete(fs[1], True)
+    except Exception:  # noqa: BLE001 - the session is already closed
+        return
 
 
 def stream_land(spark: SparkSession, sf_dir: str, base: str, mode: str = "both",
@@ -53,7 +69,7 @@ def shared_landing(spark: SparkSession, sf_dir: str, force: bool = False) -> str
     with PUBLISH_LOCK:
         if not force and path_exists(spark, pointer):
             return spark.read.text(pointer).first()[0]
-        base = new_run_dir(spark, "landing")
+        base = f"{work_root(spark)}/runs/landing-{uuid.uuid4().hex[:12]}"      # kept: the pointer names it
         sink = stream_land(spark, sf_dir, base)
         spark.range(1).select(F.lit(sink).alias("value")).coalesce(1).write.mode("overwrite").text(pointer)
         return sink
@@ -85,18 +101,15 @@ def count_landed(spark: SparkSession, root: str, table: str) -> int:
 
 def compact(spark: SparkSession, df: DataFrame, dst: str, date_col: str = "event_date",
             order_col: str = "timestamp", files: int | None = None) -> str:
-    """Rewrite a table landed batch by batch (many small files per batch)
-    into one partition directory per month (``event_month``). Range
+    """Rewrite rows landed batch by batch (many small files per batch) into
+    one directory per day, so a filter on the date prunes directories. Range
     partitioning on (day, time) keeps a hot day spread over several tasks,
     and each task writes few files because its rows cover a contiguous
-    stretch of days. Months, not days: a day is too small a unit for
-    years of history at modest daily volumes."""
+    stretch of days."""
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df = df.drop("batch")
-    (df.withColumn("event_month", F.trunc(date_col, "month"))
-     .repartitionByRange(n, date_col, order_col)
+    (df.repartitionByRange(n, date_col, order_col)
      .sortWithinPartitions(date_col, order_col)
-     .write.mode("overwrite").partitionBy("event_month").parquet(dst))
+     .write.mode("overwrite").partitionBy(date_col).parquet(dst))
     return dst
 
 
@@ -124,54 +137,67 @@ def list_batches(spark: SparkSession, root: str, table: str) -> list:
     """Names of a table's batch directories (one directory listing, no
     file listing), sorted."""
     fs = hadoop_fs(spark, f"{root}/{table}")
-    if fs is None or not fs[0].exists(fs[1]):
+    if fs is None:
+        raise RuntimeError("a JVM gateway is needed to list batch directories")
+    if not fs[0].exists(fs[1]):
         return []
-    return sorted(st.getPath().getName() for st in fs[0].listStatus(fs[1])
+    return sorted(st.getPath().getName().removeprefix("batch=") for st in fs[0].listStatus(fs[1])
                   if st.isDirectory() and st.getPath().getName().startswith("batch="))
 
 
-def compact_landed(spark: SparkSession, root: str, table: str, files: int | None = None) -> str | None:
-    """Fold a table's current stream batches into ``{table}_history``
-    (monthly partitions) and record the last batch folded in. Returns that
-    batch name (None when there was nothing to fold)."""
-    batches = [b for b in list_batches(spark, root, table) if b.startswith("batch=s-")]
-    if not batches:
-        return None
-    last = batches[-1]
-    paths = [f"{root}/{table}/{b}" for b in batches]
-    df = (spark.read.option("basePath", f"{root}/{table}").parquet(*paths)
+AUDITED_BY = {"orders": "orders", "pricing_events": "pricing"}
+FOLDS = "batch string, path string"
+
+
+def folds(spark: SparkSession, root: str, table: str) -> list:
+    """(batch, history folder) of each batch that compaction has folded."""
+    path = f"{root}/markers/{table}_folds"
+    if not path_exists(spark, path):
+        return []
+    return [(r.batch, r.path) for r in spark.read.schema(FOLDS).parquet(path).collect()]
+
+
+def compact_landed(spark: SparkSession, root: str, table: str, files: int | None = None) -> list:
+    """Fold the stream batches that are complete (their latest audit row is
+    ``ok``) and not folded yet into a new folder of the table's history, and
+    record them; returns their names. A batch in flight or failed is left
+    alone, and is folded by a later call once it is complete. The record is
+    one file written after the data, so a crash in between leaves only a
+    folder that no reader knows."""
+    done = {b for b, _ in folds(spark, root, table)}
+    there = [b for b in list_batches(spark, root, table) if b.startswith("s-") and b not in done]
+    if not there or not path_exists(spark, f"{root}/audit"):
+        return []
+    complete = {f"s-{r.batch_id:012d}" for r in latest_audit(read_audit(spark, root).where(F.col("query") == AUDITED_BY[table]))
+                .where("status = 'ok'").select("batch_id").collect()}
+    fold = [b for b in there if b in complete]
+    if not fold:
+        return []
+    df = (table_files(spark, root, table, *(f"{root}/{table}/batch={b}" for b in fold))
           .where(F.col("status") == "good").select(*LANDED_COLUMNS[table]))
-    history = f"{root}/{table}_history"
-    new = f"{history}/{last}"
-    compact(spark, df, new, files=files)
-    spark.range(1).select(F.lit(new).alias("value")).coalesce(1).write.mode("overwrite").text(
-        f"{root}/markers/{table}_compacted")
-    return last
+    path = compact(spark, df, f"{root}/{table}_history/fold={uuid.uuid4().hex[:12]}", files=files)
+    rows = literal_rows(spark, [(b, path) for b in fold], [("batch", "string"), ("path", "string")])
+    rows.coalesce(1).write.mode("append").parquet(f"{root}/markers/{table}_folds")
+    return fold
 
 
 def read_landed_current(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """History written by the last compaction plus only the stream batches
-    after it and the bounded loads (given as explicit paths, so compacted
-    batches are never listed)."""
-    marker = f"{root}/markers/{table}_compacted"
-    history, through = None, ""
-    if path_exists(spark, marker):
-        history = spark.read.text(marker).first()[0]
-        through = history.rsplit("/", 1)[-1]
-    # stream batches after the compaction, and every bounded load (loads are
-    # not folded: their ids carry no order)
-    newer = [b for b in list_batches(spark, root, table)
-             if (b.startswith("batch=s-") and b > through) or b.startswith("batch=l-")]
+    """The landed rows: folded batches from the history, all others (newer,
+    late or retried stream batches, and bounded loads) from their own
+    directories, which are given as explicit paths, so that folded ones are
+    never listed."""
+    known = folds(spark, root, table)
+    done = {b for b, _ in known}
+    rest = [b for b in list_batches(spark, root, table) if b not in done]
+    cols = LANDED_COLUMNS[table]
     parts = []
-    if history:
-        parts.append(spark.read.parquet(history).select(*LANDED_COLUMNS[table]))
-    if newer:
-        parts.append(spark.read.option("basePath", f"{root}/{table}")
-                     .parquet(*[f"{root}/{table}/{b}" for b in newer])
-                     .where(F.col("status") == "good").select(*LANDED_COLUMNS[table]))
+    if known:
+        history = f"{root}/{table}_history"
+        schema = landing_schema(table).split(", key binary")[0]
+        parts.append(spark.read.schema(schema).option("basePath", history).parquet(*sorted({p for _, p in known})).select(*cols))
+    if rest:
+        parts.append(table_files(spark, root, table, *(f"{root}/{table}/batch={b}" for b in rest))
+                     .where(F.col("status") == "good").select(*cols))
     if not parts:
         return read_landed(spark, root, table)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

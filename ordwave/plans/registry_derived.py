@@ -126,6 +126,16 @@ def competitor_band_check(spark, sf_dir):
                  F.count_if(F.col("competitor_price") > hi).alias("n_above")))
 
 
+@register("unmatched_competitors", O.with_dims(
+    "SELECT p.competitor, count(*) AS n FROM pricing_parsed p WHERE p.competitor IS NULL "
+    "OR NOT EXISTS (SELECT 1 FROM comp c WHERE c.competitor = p.competitor) GROUP BY 1", pricing=True))
+def unmatched_competitors(spark, sf_dir):
+    """Pricing events whose competitor has no profile (the rows that the
+    strict lookup leaves out), by competitor; NULL for unparseable events."""
+    p = _pricing(spark, sf_dir).join(F.broadcast(dims.competitor_dim(spark)), "competitor", "left_anti")
+    return p.groupBy("competitor").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("discount_bucket", O.with_dims(
     f"SELECT category, {O.discount_bucket_sql()} AS bucket, count(*) AS n FROM good GROUP BY 1, 2"))
 def discount_bucket_check(spark, sf_dir):
@@ -160,25 +170,37 @@ def order_id_format(spark, sf_dir):
     return o.agg(F.count(F.lit(1)).alias("n"), F.count_if(order_id_format_ok("order_id")).alias("n_ok"))
 
 
-_WB_SQL = """
-, wb AS (SELECT region, sum(weight) OVER (ORDER BY region ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hi,
-                weight, sum(weight) OVER () AS total FROM region_w),
-wbs AS (SELECT region, CAST(floor((hi - weight) * 65536 / total) AS INTEGER) AS lo_s,
-               CAST(floor(hi * 65536 / total) AS INTEGER) AS hi_s FROM wb),
-hashed AS (SELECT CAST(('0x' || substr(md5('region|' || order_id), 1, 8)) AS BIGINT) >> 16 AS slot FROM good)
-SELECT s.region AS assigned_region, count(*) AS n
-FROM hashed h LEFT JOIN wbs s ON h.slot >= s.lo_s AND h.slot < s.hi_s GROUP BY 1"""
+def _weighted_sql(salt: str, source: str, option: str, order: str) -> str:
+    return f"""
+, wb AS (SELECT {option} AS option, sum(weight) OVER (ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hi,
+                weight, sum(weight) OVER () AS total FROM {source}),
+wbs AS (SELECT option, CAST(floor(CAST(hi - weight AS HUGEINT) * 4294967296 // total) AS BIGINT) AS lo_u,
+               CAST(floor(CAST(hi AS HUGEINT) * 4294967296 // total) AS BIGINT) AS hi_u FROM wb),
+hashed AS (SELECT CAST(('0x' || substr(md5('{salt}' || order_id), 1, 8)) AS BIGINT) AS u FROM good)
+SELECT s.option AS {option}, count(*) AS n
+FROM hashed h LEFT JOIN wbs s ON h.u >= s.lo_u AND h.u < s.hi_u GROUP BY 1"""
 
 
-@register("weighted_bucket", O.with_dims(_WB_SQL))
+@register("weighted_bucket", O.with_dims(_weighted_sql("region|", "region_w", "region", "region")
+                                         .replace("AS region, count", "AS assigned_region, count")))
 def weighted_bucket(spark, sf_dir):
     """Each order id is given a region by deterministic weighted
-    bucketing (md5 hash, cumulative weights, broadcast slot table)."""
-    slots = weighted.slot_table(dims.region_weight_dim(spark, sf_dir), "region")
-    o = weighted.assign(_orders(spark, sf_dir), "order_id", "region|", slots, "assigned_region")
+    bucketing (md5 hash, exact cumulative thresholds)."""
+    options = weighted.ranges(dims.region_weight_dim(spark, sf_dir), "region")
+    o = weighted.assign(_orders(spark, sf_dir), "order_id", "region|", options, "assigned_region")
     return o.groupBy("assigned_region").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("weighted_product", O.with_dims(_weighted_sql("product|", "product", "product_id", "p_partkey")
+                                          .replace("AS product_id, count", "AS assigned_product, count")))
+def weighted_product(spark, sf_dir):
+    """D11 over a large dimension: each order id is given a product by the
+    products' weights; running sums by blocks of part keys."""
+    options = weighted.ranges(dims.product_dim(spark, sf_dir), "product_id", order="p_partkey", block="p_partkey")
+    o = weighted.assign(_orders(spark, sf_dir), "order_id", "product|", options, "assigned_product")
+    return o.groupBy("assigned_product").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---- lookups --------------------------------------------------------------------
 
 @register("return_rate_lookup", O.with_dims(
@@ -186,8 +208,9 @@ def weighted_bucket(spark, sf_dir):
     "FROM good g LEFT JOIN brand_ret b ON g.brand = b.brand GROUP BY 1, 2"))
 def return_rate_lookup(spark, sf_dir):
     """Lookup with a scalar default, per order."""
-    o = dims.return_rate(_orders(spark, sf_dir), dims.brand_return_dim(spark, sf_dir))
-    return o.groupBy("brand", "rate").agg(F.count(F.lit(1)).alias("n"))
+    # count each brand's orders first: the lookup then sees one row per brand
+    per_brand = _orders(spark, sf_dir).groupBy("brand").agg(F.count(F.lit(1)).alias("n"))
+    return dims.return_rate(per_brand, dims.brand_return_dim(spark, sf_dir)).select("brand", "rate", "n")
 
 
 @register("product_enrich", O.with_dims(
@@ -207,8 +230,7 @@ def product_enrich(spark, sf_dir):
     "AND geo.city = g.city)) AS n_in_hierarchy FROM good g GROUP BY 1"))
 def region_city_check(spark, sf_dir):
     """(region, city) membership in the region -> cities hierarchy, in
-    one pass (a broadcast flag join; ``dims.in_hierarchy`` and
-    ``dims.not_in_hierarchy`` are the semi/anti forms)."""
+    one pass (a broadcast flag join)."""
     o = _orders(spark, sf_dir)
     pairs = dims.region_city_pairs(spark, sf_dir).withColumn("_in", F.lit(True))
     return (o.join(F.broadcast(pairs), ["region", "city"], "left")
@@ -383,7 +405,12 @@ def day_offset(spark, sf_dir):
                                    F.count_if(F.col("d") > F.col("window_start")).alias("n_days_in_window"))
 
 
-@register("kafka_publish_records", None)
+@register("kafka_publish_records", O.with_dims(f"SELECT true AS key_is_null, {O.ORDER_COLS} FROM good"))
 def kafka_publish_records(spark, sf_dir):
-    """K4 + P10: landed orders in the Kafka sink's shape (key, value)."""
-    return kafka_records_for(_orders(spark, sf_dir), ORDER_FIELDS)
+    """K4 + P10: landed orders in the Kafka sink's shape (key, value), each
+    field read back from the value."""
+    sent = kafka_records_for(_orders(spark, sf_dir), ORDER_FIELDS)
+    back = sent.select("key", F.from_json(F.col("value").cast("string"), ORDERS).alias("e"))
+    return back.select(F.col("key").isNull().alias("key_is_null"), *(
+        F.try_to_timestamp(F.col("e.timestamp")).cast("timestamp_ntz").alias(f) if f == "timestamp" else F.col(f"e.{f}").alias(f)
+        for f in ORDER_FIELDS))

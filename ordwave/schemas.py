@@ -10,6 +10,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
     TimestampType,
 )
 
@@ -53,7 +54,8 @@ KAFKA_RECORD = StructType(
 # the quarantine as read back (``streaming.sinks.read_quarantine``)
 QUARANTINE = StructType(
     [
-        StructField("value", StringType()),
+        StructField("key", BinaryType()),
+        StructField("value", BinaryType()),
         StructField("topic", StringType()),
         StructField("partition", IntegerType()),
         StructField("offset", LongType()),
@@ -63,7 +65,7 @@ QUARANTINE = StructType(
     ]
 )
 
-# one row per micro-batch and ingestion query (``audit/query=/batch_id=``)
+# one row per attempt at a micro-batch (``audit/query=/batch_id=/attempt=``)
 BATCH_AUDIT = StructType(
     [
         StructField("query", StringType()),
@@ -73,12 +75,26 @@ BATCH_AUDIT = StructType(
         StructField("n_bad", LongType()),
         StructField("status", StringType()),
         StructField("error", StringType()),
+        StructField("at", TimestampNTZType()),
+        StructField("attempt", LongType()),
     ]
 )
 
 ORDER_FIELDS = [f.name for f in ORDERS.fields]
 PRICING_FIELDS = [f.name for f in PRICING.fields]
-KAFKA_META = ["topic", "partition", "offset", "kafka_timestamp"]
 
 ORDERS_TOPIC = "orders-topic"
 PRICING_TOPIC = "pricing-topic"
+
+
+# the audit as files: the batch coordinates are partition columns
+AUDIT_FILES = "n_in bigint, n_good bigint, n_bad bigint, status string, error string, at timestamp_ntz, query string, batch_id bigint, attempt bigint"
+
+
+def landing_schema(table: str) -> str:
+    """Columns of a table's batch files (good and bad rows share them), with
+    the partition columns last."""
+    event, derived = {"orders": (ORDERS, ""), "pricing_events": (PRICING, "is_undercut boolean, ")}[table]
+    cols = ", ".join(f"{f.name} {'timestamp_ntz' if f.name == 'timestamp' else f.dataType.simpleString()}" for f in event.fields)
+    return (f"{cols}, {derived}event_date date, key binary, value binary, topic string, partition int, offset bigint, "
+            "kafka_timestamp timestamp, quality_reasons array<string>, batch string, status string")

@@ -23,13 +23,13 @@ from ..functions.rounding import r2
 from ..functions.business import price_tier
 from ..operators.dims import geo_dim, product_dim
 from ..operators.sequence import dense_sequence
-from ..operators.weighted import hash32
 from ..schemas import ORDER_FIELDS, ORDERS_TOPIC, PRICING_FIELDS, PRICING_TOPIC
-from .tables import path_exists, read_table
+from .tables import file_states, hadoop_fs, path_exists, read_table, table_path
 
-FIXTURE_VERSION = "11"
+FIXTURE_VERSION = "12"
 OTHER_TOPIC = "other-topic"
 TOPICS = (ORDERS_TOPIC, PRICING_TOPIC, OTHER_TOPIC)
+BASE_TABLES = ("region", "nation", "customer", "part", "orders", "lineitem", "events")
 # the total order of lineitem rows (unique at every scale factor)
 TOTAL_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                "l_extendedprice", "l_shipdate"]
@@ -171,24 +171,10 @@ def order_prepared(events: DataFrame) -> DataFrame:
     return _prepared(b, k % 3, value, copies)
 
 
-def drawn_under(salt: str, pct: Column) -> Column:
-    """Deterministic Bernoulli draw per line: md5 of (salt, line key), 32
-    bits, under ``pct`` percent: h / 2^32 < pct / 100 in exact integers."""
-    h = hash32(salt, F.col("l_orderkey") * 8 + F.col("l_linenumber"))
-    return h * 100 < pct * (1 << 32)
-
-
-def price_change_drawn() -> Column:
-    """A line yields a competitor price event when the draw falls under that
-    competitor's price-change frequency, (40 - 5 i) % for competitor
-    i = suppkey % 5."""
-    return drawn_under("pricing|", F.lit(40) - (F.col("l_suppkey") % 5) * 5)
-
-
 def pricing_prepared(events: DataFrame) -> DataFrame:
-    """pricing-topic records (before offsets): the lines whose competitor
-    changed its price (``price_change_drawn``)."""
-    b = events.where(price_change_drawn()).withColumn("defect", _defect(PRICING_DEFECTS))
+    """pricing-topic records (before offsets): one event per line. Suppliers
+    map to competitors 0-5, of which 5 has no profile."""
+    b = events.withColumn("defect", _defect(PRICING_DEFECTS))
     d = F.col("defect")
     k = F.col("k")
     base = F.col("base_price")
@@ -201,12 +187,12 @@ def pricing_prepared(events: DataFrame) -> DataFrame:
         "product_name": F.col("product_name"),
         "category": F.col("category"),
         "brand": F.col("brand"),
-        "competitor": F.concat(F.lit("COMP_"), (F.col("l_suppkey") % 5).cast("string")),
+        "competitor": F.concat(F.lit("COMP_"), (F.col("l_suppkey") % 6).cast("string")),
         "competitor_price": comp,
         "our_price": our,
         "price_diff": F.when(~d.isin("price_diff_absent", "price_diff_null"), diff),
         "price_diff_pct": r2(F.try_divide(diff, our) * 100),
-        "in_stock": drawn_under("stock|", F.lit(92) - (F.col("l_suppkey") % 5) * 4),
+        "in_stock": F.col("l_linestatus") == "F",
         "timestamp": to_iso_text("event_ts"),
     }
     cols = [fields[n].alias(n) for n in PRICING_FIELDS]
@@ -252,7 +238,8 @@ PUBLISH_LOCK = threading.RLock()
 
 def fixture_root(spark: SparkSession, sf_dir: str) -> str:
     real = os.path.realpath(sf_dir)
-    tag = hashlib.sha1(f"{real}|v{FIXTURE_VERSION}".encode()).hexdigest()[:12]
+    files = "|".join(f for t in BASE_TABLES for f in file_states(spark, table_path(sf_dir, t)))
+    tag = hashlib.sha1(f"{real}|v{FIXTURE_VERSION}|{files}".encode()).hexdigest()[:12]
     return f"{work_root(spark)}/topics/{os.path.basename(real)}-{tag}"
 
 
@@ -262,8 +249,8 @@ def publish_topics(spark: SparkSession, sf_dir: str, files_per_topic: int | None
     later calls reuse them). The big join runs once: its rows are staged as
     a table that both event topics are built from, so a lost executor costs
     a re-read, not a re-join. Offsets come from block counts over two key
-    columns of that table. Each topic is range-laid-out by (partition,
-    offset), like log segments, so offset ranges prune on min/max stats."""
+    columns of that table. Each topic is range-laid-out by broker
+    time, so time and offset ranges prune on min/max stats."""
     ensure_session_defaults(spark)
     with PUBLISH_LOCK:
         return _publish(spark, sf_dir, files_per_topic, force)
@@ -281,11 +268,22 @@ def _publish(spark: SparkSession, sf_dir: str, files_per_topic: int | None, forc
             recs = with_offsets(PREPARED[topic](spark.read.parquet(staged)), topic)
         else:
             recs = other_records(spark, sf_dir)
-        (recs.repartitionByRange(n, "partition", "offset")
-         .sortWithinPartitions("partition", "offset")
+        # by broker time, so that a reader of the files in order sees all
+        # partitions advance together, as a consumer of the topic does
+        (recs.repartitionByRange(n, "timestamp", "partition", "offset")
+         .sortWithinPartitions("timestamp", "partition", "offset")
          .write.mode("overwrite").parquet(f"{root}/{topic}"))
+        order_files(spark, f"{root}/{topic}")
     return root
 
 
-def topic_path(spark: SparkSession, sf_dir: str, topic: str) -> str:
-    return f"{publish_topics(spark, sf_dir)}/{topic}"
+def order_files(spark: SparkSession, path: str) -> None:
+    """Modification times one second apart in the order of the file names: a
+    file stream reads files by modification time, and tasks finish in any
+    order."""
+    fs, p = hadoop_fs(spark, path)
+    names = sorted((st.getPath().getName(), st) for st in fs.listStatus(p) if st.getPath().getName().startswith("part-"))
+    if names:
+        last = max(st.getModificationTime() for _, st in names)
+        for k, (_, st) in enumerate(names):
+            fs.setTimes(st.getPath(), last - (len(names) - k) * 1000, -1)

@@ -44,8 +44,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def table_exists(spark: SparkSession, name_or_path: str) -> bool:
-    """A catalog table name or a path."""
-    if "/" in name_or_path:
-        return path_exists(spark, name_or_path)
-    return spark.catalog.tableExists(name_or_path)
+def file_states(spark: SparkSession, path: str) -> list:
+    """Path, length and modification time of a table's files: what a cached
+    derivation of the table depends on."""
+    fs = hadoop_fs(spark, path)
+    if fs is None:
+        raise RuntimeError("a JVM gateway is needed to look at a table's files")
+    if not fs[0].exists(fs[1]):
+        return [f"{path}:missing"]
+    found = fs[0].listStatus(fs[1])       # of a file, the file itself
+    return sorted(f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}" for st in found)

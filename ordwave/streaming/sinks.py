@@ -12,8 +12,9 @@
   after a crash (written but not committed) replaces its own output instead
   of appending twice (exactly-once into files); streams and loads share one
   table;
-* the audit row is written last, also by overwrite, so a batch whose audit
-  row says ``ok`` has all its outputs in place;
+* each attempt at a batch writes an audit row of its own, last, so a batch
+  whose latest row says ``ok`` has all its outputs in place, and a failure
+  stays on record after the retry;
 * a failing write records ``status='failed'`` and re-raises, which leaves
   the batch uncommitted, so Spark retries it.
 
@@ -22,6 +23,7 @@ Nothing is collected to the driver except the three counters.
 
 from __future__ import annotations
 
+import time
 import traceback
 import uuid
 
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from ..config import IngestConfig, kafka_sink_options
 from ..functions.parse import to_iso_text, to_json_value
 from ..operators.transform import LANDED_COLUMNS, QUARANTINE_COLUMNS, landing_rows
+from ..schemas import AUDIT_FILES, landing_schema
 from ..sources.tables import path_exists
 
 
@@ -53,7 +56,7 @@ def claim_output(spark: SparkSession, out_root: str, name: str, checkpoint: str)
     therefore belong to exactly one checkpoint. Record the owner on first
     use and refuse to mix later."""
     marker = f"{out_root}/owners/{name}"
-    if path_exists(spark, marker):
+    if path_exists(spark, f"{marker}/_SUCCESS"):
         owner = spark.read.text(marker).first()[0]
         if owner != checkpoint:
             raise OwnershipError(f"{out_root} belongs to checkpoint {owner}, not {checkpoint}")
@@ -61,16 +64,28 @@ def claim_output(spark: SparkSession, out_root: str, name: str, checkpoint: str)
     spark.range(1).select(F.lit(checkpoint).alias("value")).coalesce(1).write.mode("overwrite").text(marker)
 
 
+def read_audit(spark: SparkSession, root: str) -> DataFrame:
+    """The audit rows of every attempt at every batch."""
+    return spark.read.schema(AUDIT_FILES).parquet(f"{root}/audit")
+
+
+def table_files(spark: SparkSession, root: str, table: str, *paths: str) -> DataFrame:
+    """The rows of a table's batch directories (all, or those given), read
+    with the declared schema: no footer is opened to infer it, and batches
+    without rows are fine."""
+    return spark.read.schema(landing_schema(table)).option("basePath", f"{root}/{table}").parquet(*(paths or (f"{root}/{table}",)))
+
+
 def read_landed(spark: SparkSession, root: str, table: str, with_batch: bool = False) -> DataFrame:
     """The landed table: the ``status=good`` partitions (pruned at listing);
     ``batch`` (the micro-batch or load a row came from) on request."""
-    df = spark.read.parquet(f"{root}/{table}")
+    df = table_files(spark, root, table)
     return df.where(F.col("status") == "good").select(*LANDED_COLUMNS[table], *(["batch"] if with_batch else []))
 
 
 def read_quarantine(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The quarantine: the ``status=bad`` partitions, with their batch."""
-    df = spark.read.parquet(f"{root}/{table}")
+    df = table_files(spark, root, table)
     return df.where(F.col("status") == "bad").select(*QUARANTINE_COLUMNS, "batch")
 
 
@@ -119,13 +134,12 @@ class BatchLander:
     """foreachBatch writer: raw records -> landed + quarantine rows, audit."""
 
     def __init__(self, name: str, out_root: str, flag, shape, table: str,
-                 quarantine: bool = True, fmt: str = "parquet"):
+                 fmt: str = "parquet"):
         self.name = name
         self.out_root = out_root.rstrip("/")
         self.flag = flag          # records -> flagged rows
         self.shape = shape        # flagged rows (+ extra columns) -> landed shape
         self.table = table
-        self.quarantine = quarantine
         self.fmt = fmt
         self._marked: set = set()
 
@@ -134,11 +148,12 @@ class BatchLander:
             return F.lit(v).cast(t)
 
         row = spark.range(1).select(
-            lit(self.name, "string").alias("query"), lit(n_in, "bigint").alias("n_in"),
+            lit(n_in, "bigint").alias("n_in"),
             lit(n_good, "bigint").alias("n_good"), lit(n_bad, "bigint").alias("n_bad"),
             lit(status, "string").alias("status"), lit(error, "string").alias("error"))
-        (row.coalesce(1).write.mode("overwrite")
-         .parquet(f"{self.out_root}/audit/query={self.name}/batch_id={batch_id}"))
+        row = row.withColumn("at", F.current_timestamp().cast("timestamp_ntz"))
+        (row.coalesce(1).write
+         .parquet(f"{self.out_root}/audit/query={self.name}/batch_id={batch_id}/attempt={time.time_ns()}"))
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
@@ -151,7 +166,7 @@ class BatchLander:
         except Exception as e:
             try:
                 self._audit(spark, batch_id, None, None, None, "failed",
-                            f"{type(e).__name__}: {e}"[:2000] + "\n" + traceback.format_exc()[-2000:])
+                            f"{type(e).__name__}: {e}\n{traceback.format_exc()}")
             except Exception:  # noqa: BLE001 - the original error is the one to report
                 pass
             raise
@@ -202,14 +217,19 @@ def kafka_records_for(df: DataFrame, fields) -> DataFrame:
     return df.select(F.lit(None).cast("binary").alias("key"), to_json_value(cols).alias("value"))
 
 
-def publish_kafka(df: DataFrame, cfg: IngestConfig, topic: str, fields) -> None:
-    """K4: batch publish to a live broker (plaintext or SASL_SSL/PLAIN)."""
-    w = kafka_records_for(df, fields).write.format("kafka")
+def publish_records(records: DataFrame, cfg: IngestConfig, topic: str) -> None:
+    """K4: records that already have key and value, to a live broker."""
+    w = records.select("key", "value").write.format("kafka")
     for k, v in kafka_sink_options(cfg, topic).items():
         w = w.option(k, v)
     w.save()
 
 
+def publish_kafka(df: DataFrame, cfg: IngestConfig, topic: str, fields) -> None:
+    """K4: batch publish to a live broker (plaintext or SASL_SSL/PLAIN)."""
+    publish_records(kafka_records_for(df, fields), cfg, topic)
+
+
 def console_preview(stream_df: DataFrame, n: int = 3):
     """K5: live preview of a stream on the console sink."""
     return (stream_df.writeStream.format("console").option("numRows", n)

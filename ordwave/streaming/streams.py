@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..config import IngestConfig, work_root
+from ..operators.dedup import has_key
 from ..operators.transform import landed_orders, landed_pricing, orders_flagged, pricing_flagged
 from ..sources.kafka import kafka_stream, record_files_stream, route
 from .sinks import BatchLander, RoutingLander, claim_output
@@ -32,8 +33,7 @@ def orders_lander(out_root: str, validator: str = "nulls") -> BatchLander:
 
 
 def pricing_lander(out_root: str, validator: str | None = None) -> BatchLander:
-    return BatchLander("pricing", out_root, lambda b: pricing_flagged(b, validator), landed_pricing,
-                       "pricing_events", quarantine=validator is not None)
+    return BatchLander("pricing", out_root, lambda b: pricing_flagged(b, validator), landed_pricing, "pricing_events")
 
 
 def start_ingest(source: DataFrame, lander: BatchLander, checkpoint: str, cfg: IngestConfig,
@@ -77,7 +77,7 @@ def start_routed_ingest(source: DataFrame, cfg: IngestConfig, out_root: str, che
     file form re-reads cheaply, pruned by the topic column's statistics)."""
     routes = {cfg.orders_topic: orders_lander(out_root, cfg.validator),
               cfg.pricing_topic: pricing_lander(out_root, "pricing" if cfg.quarantine_pricing else None)}
-    router = RoutingLander(routes, cache_raw=cache_raw)
+    router = RoutingLander(routes, cache_raw=cache_raw, drop_tombstones=cfg.drop_tombstones)
     for lander in routes.values():
         claim_output(source.sparkSession, out_root, lander.name, checkpoint)
     w = (source.writeStream.foreachBatch(router).option("checkpointLocation", checkpoint)
@@ -105,11 +105,32 @@ def await_all(spark: SparkSession, queries: list, timeout_s: float | None = None
 
 
 def drain(queries: list) -> None:
-    """Bounded runs (availableNow): wait for every query to finish."""
-    for q in queries:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
+    """Bounded runs (availableNow): wait until all have finished; the first
+    failure stops the rest at once and is raised. Only these queries are
+    watched, so other streams of the session are left alone."""
+    try:
+        waiting = list(queries)
+        while waiting:
+            for q in list(waiting):
+                if q.awaitTermination(0.2):          # raises the query's own failure
+                    waiting.remove(q)
+    except BaseException:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+        raise
+
+
+class LateRowsError(RuntimeError):
+    pass
+
+
+def require_no_late_rows(query: StreamingQuery) -> None:
+    """Fail if the watermark made a stateful operator drop rows: a source
+    whose partitions advance apart needs a longer delay."""
+    late = sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+    if late:
+        raise LateRowsError(f"{late} rows arrived after the watermark and were dropped")
 
 
 class ProgressRecorder(StreamingQueryListener):
@@ -198,23 +219,41 @@ def start_daily_counts(good_stream: DataFrame, out_path: str, checkpoint: str, c
                        available_now: bool = False) -> StreamingQuery:
     """Live rows-per-day. The state is one row per calendar day (bounded
     by the time span, not by the volume), so no watermark is needed and no
-    late row is ever dropped; each trigger rewrites the small result."""
+    late row is ever dropped. Each trigger writes the days that changed to a
+    folder of its own (overwritten if the batch is replayed), so readers
+    always find complete files; :func:`read_daily_counts` takes the latest
+    count of each day."""
     counts = good_stream.groupBy(F.to_date("timestamp").alias("d")).agg(F.count(F.lit(1)).alias("n"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
-    w = (counts.writeStream.outputMode("complete").foreachBatch(write)
+    w = (counts.writeStream.outputMode("update").foreachBatch(write)
          .option("checkpointLocation", checkpoint))
     with _stateful_session(good_stream.sparkSession, cfg):
         return _trigger(w, cfg, available_now).start()
 
 
+def read_daily_counts(spark: SparkSession, out_path: str) -> DataFrame:
+    """The current rows per day written by :func:`start_daily_counts`."""
+    rows = spark.read.schema("d date, n bigint, batch bigint").parquet(out_path)
+    return rows.groupBy("d").agg(F.max_by("n", "batch").alias("n"))
+
+
+def order_key(fields: list, key: str = "order_id"):
+    """Column that tells orders apart: the id, or for an order without one a
+    hash of all its fields (a replay repeats them all)."""
+    every = F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256)
+    return F.when(has_key(key), F.concat(F.lit("id "), F.col(key))).otherwise(F.concat(F.lit("row "), every))
+
+
 def dedup_stream(good_stream: DataFrame, key: str = "order_id", event_time: str = "kafka_timestamp",
                  delay: str = "10 minutes") -> DataFrame:
     """G1 (stream): drop replays of a key seen within ``delay`` of broker
-    time; state is bounded by the watermark. Start the query with
-    ``start_stateful`` so its state partitions are sized to the cluster."""
+    time; state is bounded by the watermark. ``key`` must tell rows apart
+    (:func:`order_key`). Start the query with ``start_stateful`` so its state
+    partitions are sized to the cluster, and end a bounded run with
+    :func:`require_no_late_rows`: a row later than ``delay`` would be lost."""
     return good_stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 

@@ -127,3 +127,18 @@ def test_round_to_cents(spark, x, expected):
                                     ("ORD-AB1234CD567", False), ("", False), (None, False)])
 def test_order_id_format(spark, oid, ok):
     assert spark.range(1).select(order_id_format_ok(F.lit(oid).cast("string")).alias("v")).first().v is ok
+
+
+def test_rounding_keeps_values_without_cents(spark):
+    from ordwave.functions.business import order_value, price_diff, price_diff_pct
+    from ordwave.functions.rounding import cents, r2
+    nan, inf = float("nan"), float("inf")
+    rows = [(2.675, 1), (nan, 2), (inf, 3), (-inf, 4), (1e18, 5), (None, 6), (-2.345, 7)]
+    df = spark.createDataFrame(rows, "x double, i int")
+    got = {r.i: (r.a, r.b) for r in df.select("i", r2("x").alias("a"), cents("x").alias("b")).collect()}
+    assert got[1] == (2.68, 268) and got[7] == (-2.35, -235) and got[6] == (None, None)
+    assert got[2][0] != got[2][0] and got[2][1] is None
+    assert got[3] == (inf, None) and got[4] == (-inf, None) and got[5] == (1e18, None)
+    r = spark.createDataFrame([(nan, 10.0)], "a double, b double").select(
+        price_diff("b", "a").alias("d"), order_value("a", "b").alias("v"), price_diff_pct("a", "b").alias("p")).first()
+    assert all(x != x for x in r)                      # unknown stays unknown

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ordwave.operators.dedup import first_per_key
 from ordwave.operators.sequence import dense_sequence
-from ordwave.operators.weighted import SLOTS, assign, slot_table
+from ordwave.operators.weighted import SPACE, assign, hash32, ranges
 
 
 def test_dense_sequence_matches_row_number(spark):
@@ -19,27 +19,38 @@ def test_dense_sequence_matches_row_number(spark):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
-def test_first_per_key_matches_row_number(spark):
-    rows = [("", 3, "b"), ("", 1, "z"), ("", 1, "a"), ("x", 2, None), ("x", 2, "c"), ("y", None, "q"),
-            ("y", 5, "r")]
-    df = spark.createDataFrame(rows, "key string, ts int, other string")
-    got = {r.key: (r.ts, r.other) for r in first_per_key(df, "key", ["ts"]).collect()}
-    w = Window.partitionBy("key").orderBy(F.col("ts").asc_nulls_first(), F.col("other").asc_nulls_first())
-    want = {r.key: (r.ts, r.other) for r in df.withColumn("rn", F.row_number().over(w)).where("rn = 1").collect()}
-    assert got == want
+def test_first_per_key(spark):
+    rows = [("x", 2, None), ("x", 2, "c"), ("y", None, "q"), ("y", 5, "r")]
+    blank = [("", 3, "b"), ("", 1, "z"), (" ", 1, "z"), (None, 1, "a"), (None, 2, "a")]
+    df = spark.createDataFrame(rows + blank + blank[:2] + blank[-1:], "key string, ts int, other string")
+    got = sorted(map(tuple, first_per_key(df, "key", ["ts"]).collect()), key=repr)
+    assert got == sorted([("x", 2, None), ("y", None, "q"), *blank], key=repr)      # orders without an id are not one
 
 
-def test_weighted_slots_cover_all_and_follow_weights(spark):
-    weights = spark.createDataFrame([("a", 10), ("b", 30), ("c", 60)], "opt string, weight int")
-    slots = slot_table(weights, "opt")
-    assert slots.count() == SLOTS
-    assert slots.agg(F.countDistinct("slot")).first()[0] == SLOTS
+def test_weighted_ranges_are_exact_and_reach_every_option(spark):
+    weights = spark.createDataFrame([(i, f"o{i:06d}", 1 + i % 7) for i in range(20000)], "i long, opt string, weight int")
+    total, at = sum(1 + i % 7 for i in range(20000)), 0
+    want = []
+    for i in range(20000):
+        want.append((f"o{i:06d}", at * SPACE // total, (at + 1 + i % 7) * SPACE // total))
+        at += 1 + i % 7
+    for block in (None, "i"):
+        got = sorted(map(tuple, ranges(weights, "opt", order="i", block=block).collect()))
+        assert got == want
+
+
+def test_weighted_assignment_follows_the_ranges(spark):
+    weights = spark.createDataFrame([("a", 10), ("b", 30), ("c", 60), ("none", 0)], "opt string, weight int")
+    options = ranges(weights, "opt")
     keys = spark.range(0, 20000).select(F.col("id").cast("string").alias("k"))
-    counts = {r.b: r.n for r in assign(keys, "k", "s|", slots, "b").groupBy("b").agg(F.count("*").alias("n")).collect()}
-    assert None not in counts
-    assert abs(counts["c"] / 20000 - 0.6) < 0.02 and abs(counts["a"] / 20000 - 0.1) < 0.02
-    again = {r.b: r.n for r in assign(keys, "k", "s|", slots, "b").groupBy("b").agg(F.count("*").alias("n")).collect()}
-    assert again == counts
+    got = assign(keys, "k", "s|", options, "b").withColumn("u", hash32("s|", "k")).collect()
+    assert len(got) == 20000
+    cut = [(r.opt, r.lo, r.hi) for r in options.collect()]
+    assert sorted(o for o, *_ in cut) == ["a", "b", "c"] and max(h for *_, h in cut) == SPACE
+    assert all([r.b] == [o for o, lo, hi in cut if lo <= r.u < hi] for r in got)
+    n = [r.b for r in got]
+    assert abs(n.count("c") / 20000 - 0.6) < 0.02 and abs(n.count("a") / 20000 - 0.1) < 0.02
+    assert [r.b for r in assign(spark.createDataFrame([(None,)], "k string"), "k", "s|", options, "b").collect()] == [None]
 
 
 def test_region_city_map_nested_form(spark, sf_small):

@@ -4,8 +4,10 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
-import __spark_entry__ as E
+from ordwave.operators import dims
+from ordwave.plans import registry
 
 STREAMING = {"stream_orders_landed", "stream_pricing_landed", "stream_multi_topic", "stream_replay_idempotent",
              "stream_rows_per_day", "stream_dedup", "load_reconciliation", "orders_compacted"}
@@ -22,7 +24,7 @@ def plan_of(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark, sf_small):
-    return {name: plan_of(fn(spark, sf_small)) for name, fn in E.queries().items() if name not in STREAMING}
+    return {name: plan_of(fn(spark, sf_small)) for name, fn in registry.QUERIES.items() if name not in STREAMING}
 
 
 def test_no_cross_joins_or_python_evaluation(plans):
@@ -30,12 +32,25 @@ def test_no_cross_joins_or_python_evaluation(plans):
     assert {k: v for k, v in bad.items() if v} == {}
 
 
-def test_top_n_is_limited_before_the_shuffle(plans):
-    assert "WindowGroupLimit" in plans["preview_first_n"] and "Partial" in plans["preview_first_n"]
+def test_first_n_are_found_with_a_heap(plans):
+    assert plans["preview_first_n"].count("TakeOrderedAndProject") == 2
 
 
-def test_dedup_pre_aggregates_hot_keys(plans):
-    assert "partial_min" in plans["orders_dedup"]
+def test_dedup_limits_hot_keys_before_the_shuffle(plans):
+    assert "WindowGroupLimit" in plans["orders_dedup"] and "Partial" in plans["orders_dedup"]
+
+
+@pytest.mark.parametrize("lookup,key", [(lambda s, d, o: dims.return_rate(o, dims.brand_return_dim(s, d)), "brand"),
+                                        (lambda s, d, o: dims.with_discount_profile(o, dims.discount_profile_dim(s, d)), "category")])
+def test_small_dimensions_do_not_shuffle_the_fact(spark, sf_small, lookup, key):
+    """As at scale, where ``part`` is above the broadcast threshold."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        plan = plan_of(lookup(spark, sf_small, spark.range(10**6).select(F.col("id").cast("string").alias(key))))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and f"hashpartitioning({key}" not in plan
 
 
 def test_landed_reads_prune_on_status(plans):

@@ -35,7 +35,7 @@ def test_first_per_key_property(spark, rows):
     df = spark.createDataFrame(rows, "key string, ts int, other string")
     got = sorted(map(tuple, first_per_key(df, "key", ["ts"]).select("key", "ts", "other").collect()),
                  key=repr)
-    w = Window.partitionBy("key").orderBy(F.col("ts").asc_nulls_first(), F.col("other").asc_nulls_first())
+    w = Window.partitionBy("key", F.when(F.coalesce(F.col("key"), F.lit("")) == "", F.struct("ts", "other"))).orderBy(F.col("ts").asc_nulls_first(), F.col("other").asc_nulls_first())
     want = sorted(map(tuple, df.withColumn("rn", F.row_number().over(w)).where("rn = 1")
                       .select("key", "ts", "other").collect()), key=repr)
     assert got == want

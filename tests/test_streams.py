@@ -13,7 +13,8 @@ from ordwave.plans import landing
 from ordwave.schemas import ORDERS_TOPIC
 from ordwave.sources.fixtures import publish_topics
 from ordwave.sources.kafka import record_files
-from ordwave.streaming.sinks import BatchLander, OwnershipError, read_landed, read_quarantine
+from ordwave.plans.reports import audit_totals, latest_audit
+from ordwave.streaming.sinks import BatchLander, OwnershipError, read_audit, read_landed, read_quarantine
 from ordwave.streaming.streams import drain, orders_lander, run_streams, start_ingest
 from ordwave.sources.kafka import record_files_stream
 
@@ -95,7 +96,12 @@ def test_failing_writer_leaves_batch_uncommitted(spark, sf_small, topics, tmp_pa
     q2 = start_ingest(record_files_stream(spark, f"{topics}/{ORDERS_TOPIC}", 100),
                       orders_lander(f"{base}/landed"), ckpt, IngestConfig(), available_now=True)
     drain([q2])
-    assert {r.status for r in spark.read.parquet(f"{base}/landed/audit").collect()} == {"ok"}
+    # the failure stays on record; the latest attempt is the good one
+    audit = read_audit(spark, f"{base}/landed")
+    assert sorted(r.status for r in audit.collect()) == ["failed", "ok"]
+    assert [r.status for r in latest_audit(audit).collect()] == ["ok"]
+    t = audit_totals(audit).first()
+    assert t.failed_attempts == 1 and t.failed_batch == 0 and "sink down" in t.error and t.batches == 1
 
 
 def test_output_root_refuses_a_second_checkpoint(spark, sf_small, topics, tmp_path):
@@ -163,3 +169,71 @@ def test_drop_last_commit_replays_one_batch(spark, sf_small, tmp_path):
     _land(spark, sf_small, base)
     assert os.path.exists(f"{cfg.checkpoint_root}/orders/commits/{last}")     # the batch ran again
     assert read_landed(spark, cfg.sink_root, "orders").count() == n0
+
+
+@pytest.mark.parametrize("batches", [2, 4, 8])
+def test_stream_dedup_is_the_same_for_any_batches(spark, sf_small, topics, batches):
+    """The log spans more broker time than the delay; no order is lost to the
+    watermark, and orders without an id are kept."""
+    import __spark_entry__ as E
+    from ordwave.plans.registry import run_stream_dedup
+    recs = record_files(spark, f"{topics}/{ORDERS_TOPIC}")
+    span = recs.agg(F.max("timestamp").cast("double") - F.min("timestamp").cast("double")).first()[0]
+    files = len(glob.glob(f"{topics}/{ORDERS_TOPIC}/part-*.parquet".replace("file:", "")))
+    got = run_stream_dedup(spark, sf_small, max(1, files // batches), f"{max(1, int(span * 1000 / 3))} milliseconds")
+    want = E.queries()["orders_dedup"](spark, sf_small).select("order_id")
+    assert _rows(got) == _rows(want)
+    assert got.where("order_id = ''").count() > 1
+
+
+def test_rows_later_than_the_watermark_are_an_error(spark, tmp_path):
+    from ordwave.streaming.streams import LateRowsError, dedup_stream, require_no_late_rows
+    from ordwave.sources.tables import hadoop_fs
+    src = str(tmp_path / "src")
+    rows = [[("a", 1000), ("b", 2000)], [("c", 3000)], [("late", 10)]]
+    for k, part in enumerate(rows):
+        (spark.createDataFrame(part, "k string, s long").select("k", F.timestamp_seconds("s").alias("kafka_timestamp"))
+         .coalesce(1).write.mode("append").parquet(src))
+        for f in glob.glob(f"{src}/part-*"):
+            if os.path.getmtime(f) > 2000:
+                fs, p = hadoop_fs(spark, f)
+                fs.setTimes(p, 1000 * (k + 1), -1)
+    stream = spark.readStream.schema("k string, kafka_timestamp timestamp").option("maxFilesPerTrigger", 1).parquet(src)
+    q = (dedup_stream(stream, "k", delay="1 minute").writeStream.format("parquet").option("path", str(tmp_path / "o"))
+         .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    with pytest.raises(LateRowsError):
+        require_no_late_rows(q)
+
+
+def test_quarantine_keeps_the_record(spark, sf_small, topics, tmp_path):
+    cfg = _land(spark, sf_small, str(tmp_path))
+    q = read_quarantine(spark, cfg.sink_root, "orders").select("topic", "partition", "offset", "key", "value")
+    recs = record_files(spark, f"{topics}/{ORDERS_TOPIC}").select("topic", "partition", "offset", "key", "value")
+    assert q.exceptAll(recs).count() == 0 and q.where("value is not null").count() > 0
+
+
+def test_compaction_leaves_batches_that_are_not_complete(spark, sf_small, tmp_path):
+    """A batch in flight (files, no audit row) and one that failed stay where
+    they are, readers see them, and a later call folds them."""
+    from ordwave.streaming.sinks import batch_path
+    cfg = _land(spark, sf_small, str(tmp_path), files_per_trigger=2)
+    root = cfg.sink_root
+    want = _rows(read_landed(spark, root, "orders"))
+    names = landing.list_batches(spark, root, "orders")
+    assert len(names) >= 3
+    hold = int(names[1].removeprefix("s-"))
+    audit = f"{root}/audit/query=orders/batch_id={hold}".replace("file:", "")
+    os.rename(audit, str(tmp_path / "held"))
+    assert batch_path(root, "orders", hold).endswith(names[1])
+    folded = landing.compact_landed(spark, root, "orders", files=2)
+    assert folded == [n for n in names if n != names[1]]
+    assert _rows(landing.read_landed_current(spark, root, "orders")) == want
+    assert landing.compact_landed(spark, root, "orders") == []
+    os.rename(str(tmp_path / "held"), audit)
+    assert landing.compact_landed(spark, root, "orders") == [names[1]]
+    current = landing.read_landed_current(spark, root, "orders")
+    assert _rows(current) == want
+    day = current.agg(F.min("event_date")).first()[0]
+    plan = current.where(F.col("event_date") == F.lit(day))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
