@@ -3,8 +3,9 @@
 Lines are cut into units: a unit ends at a line's end, and after a word whose
 hash says so (one in ``STEP``), so the same words are cut alike wherever they
 stand, also inside another line. Words are lower-cased (A-Z) and white space
-between them does not count. The digest of two neighbouring units is grouped
-globally; the occurrence in the document of lowest id is kept (within a
+between them does not count. From each unit on, as many units as make
+``LEAST`` words are hashed together; the digests are grouped globally. The
+occurrence in the document of lowest id is kept (within a
 document the first), and the others are removed if together they cover a run
 of at least ``min_words`` words. Removed spans keep their offsets in the
 original text and the id of the document that keeps the passage.
@@ -29,14 +30,14 @@ from . import packed
 from .textnum import LOWER, U, WHITE, _B, _B_INV, Block, blocks, doc_slices, mix, span_keys
 
 STEP = 4             # one in so many words ends a unit
-LEAST = 6            # words that a digest must cover
-MIN_WORDS = 20       # words that a removed run must cover
+LEAST = 6            # words that a digest covers at least, but at a text's end
+MIN_WORDS = 16       # words that a removed run must cover
 LAST = (1 << 63) - 1  # rank of a null id
 
 
 def unit_digests(block: Block):
-    """Per pair of neighbouring units: digest, text number, first word and
-    the word after its last; and the words' byte spans."""
+    """Per run of units: digest, text number, first word and the word after
+    its last; and the words' byte spans."""
     starts, ends, owner = block.runs(WHITE)
     none = np.zeros(0, np.int64)
     if not len(starts):
@@ -49,21 +50,15 @@ def unit_digests(block: Block):
     stop[-1] = True
     last = np.flatnonzero(stop)                      # last word of each unit
     first = np.concatenate(([0], last[:-1] + 1))
-    two = np.flatnonzero(owner[first[:-1]] == owner[first[1:]])
-    a, b = first[two], last[two + 1] + 1
-    # a text of one unit is a pair by itself
-    single = np.ones(len(first), bool)
-    single[two] = single[two + 1] = False
-    a, b = np.concatenate((a, first[single])), np.concatenate((b, last[single] + 1))
-    wide = b - a >= LEAST
-    a, b = a[wide], b[wide]
+    # from each unit's start to the first unit end at least LEAST words on, or the text's end
+    end = doc_slices(owner, len(block.bounds) - 1)[owner[first] + 1]
+    a = first
+    b = np.minimum(last[np.minimum(np.searchsorted(last, first + LEAST - 1), len(last) - 1)] + 1, end)
     p, q = np.full(n + 1, _B, np.uint64), np.full(n + 1, _B_INV, np.uint64)
     p[0] = q[0] = 1
     p, q = np.cumprod(p), np.cumprod(q)
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(keys * p[:n])))
     digest = mix((total[b] - total[a]) * q[a] + (b - a).astype(np.uint64))
-    order = np.argsort(a, kind="stable")
-    a, b, digest = a[order], b[order], digest[order]
     return digest, owner[a], a, b, starts, ends, owner
 
 
