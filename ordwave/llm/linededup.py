@@ -29,9 +29,9 @@ from pyspark.sql import DataFrame, functions as F
 from . import packed
 from .textnum import LOWER, U, WHITE, _B, _B_INV, Block, blocks, doc_slices, mix, span_keys
 
-STEP = 4             # one in so many words ends a unit
+STEP = 3             # one in so many words ends a unit
 LEAST = 6            # words that a digest covers at least, but at a text's end
-MIN_WORDS = 16       # words that a removed run must cover
+MIN_WORDS = 30       # words that a removed run must cover
 LAST = (1 << 63) - 1  # rank of a null id
 
 
