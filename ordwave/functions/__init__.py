@@ -1,27 +1 @@
 """Column expressions (P*, D*): pure, built-in, usable in batch and stream."""
-
-from .rounding import r2, cents
-from .parse import (
-    decode_value,
-    parse_json,
-    parse_orders,
-    parse_pricing,
-    parse_event_time,
-    to_iso_text,
-    to_ntz,
-    event_date,
-    to_json_value,
-    coerce_booleans,
-)
-from .business import (
-    price_tier,
-    order_value,
-    price_diff,
-    price_diff_pct,
-    price_position,
-    own_price_band,
-    is_weekend_spike,
-    order_id_format_ok,
-    undercut_flag,
-    fixed_width,
-)
