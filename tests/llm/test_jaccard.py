@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ordwave.llm import jaccard
@@ -55,7 +56,6 @@ def test_empty_table(no_docs):
 
 def test_bound_admits_every_link():
     rng = np.random.default_rng(3)
-    t = jaccard.Threshold(75)
     for _ in range(200):
         n = int(rng.integers(1, 400))
         a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
@@ -64,7 +64,14 @@ def test_bound_admits_every_link():
             continue
         va, vb = jaccard.count_vector(a), jaccard.count_vector(b)
         g = min(len(va), len(vb))
-        assert np.minimum(jaccard.fold(va, g), jaccard.fold(vb, g)).sum() >= len(np.intersect1d(a, b))
+        both = len(np.intersect1d(a, b))
+        assert np.minimum(jaccard.fold(va, g), jaccard.fold(vb, g)).sum() >= both
+        pa_, pb = jaccard.coarse_points(pa.array([jaccard.coarse_point(a), jaccard.coarse_point(b)]))
+        assert np.minimum(pa_, pb).sum() >= both
+    many = rng.integers(0, 1 << 63, 100_000, dtype=np.uint64)
+    assert jaccard.coarse_points(pa.array([jaccard.coarse_point(many)])).sum() >= len(many)
+    few = np.sort(many[:100]) & ~np.uint64(0xFFFF)
+    assert (jaccard.stored(jaccard.store(np.sort(many[:100]))) == few).all()
 
 
 def test_tree_finds_what_the_bound_admits():
