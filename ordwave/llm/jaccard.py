@@ -55,10 +55,39 @@ def group_count(n: int) -> int:
 
 def count_vector(keys: np.ndarray) -> np.ndarray:
     g = group_count(len(keys))
-    v = np.bincount((keys & U(g - 1)).astype(np.int64), minlength=g)
+    v = np.bincount(((keys >> U(16)) & U(g - 1)).astype(np.int64), minlength=g)
     return v.astype(np.uint16) if v.max(initial=0) < 65536 else v.astype(np.uint32)
 
 
+def store(keys: np.ndarray) -> bytes:
+    """Sorted keys as their top 48 bits: cells use no more, and two sets are
+    compared with each other only, where those bits tell shingles apart."""
+    return keys.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def stored(buf) -> np.ndarray:
+    raw = np.frombuffer(buf, np.uint8).reshape(-1, 6)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, 2:] = raw
+    return out.reshape(-1).view(np.uint64)
+
+
+COARSE = 128         # groups of the points that are dealt to the cells
+
+
+def coarse_point(keys: np.ndarray) -> bytes:
+    """Counts of ``COARSE`` groups in a byte each, rounded up in steps (first
+    four bytes) if a count does not fit, so bounds stay bounds."""
+    v = np.bincount(((keys >> U(16)) & U(COARSE - 1)).astype(np.int64), minlength=COARSE)
+    step = max(1, -(-int(v.max(initial=0)) // 255))
+    return np.uint32(step).tobytes() + (-(-v // step)).astype(np.uint8).tobytes()
+
+
+def coarse_points(col) -> np.ndarray:
+    raw = np.frombuffer(b"".join(col.to_pylist()), np.uint8).reshape(-1, 4 + COARSE)
+    return raw[:, 4:].astype(np.int32) * raw[:, :4].copy().view(np.uint32).astype(np.int32)
+
+
 def as_vector(raw: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, np.uint16 if len(raw) == 2 * group_count(n) else np.uint32)
 
@@ -128,8 +157,8 @@ def tree_pairs(points: np.ndarray, n: np.ndarray, comp: np.ndarray, t: Threshold
 
 # -- sets -------------------------------------------------------------------
 def set_table(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """A row per document: id, n, entity (hash of the set; null if empty),
-    keys and count vector. Rows of null ``n`` carry a task's frequent shingles."""
+    """A row per document: id, n, entity (hash of the set; null if empty) and
+    keys. Rows of null ``n`` carry a task's frequent shingles."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -154,23 +183,19 @@ def set_table(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFra
                     h = np.add.reduceat(mix(vals), at[full]) + U(3) * np.add.reduceat(mix(vals ^ U(0x5DEECE66D)), at[full])
                     ent[full] = mix(h + size_[full].astype(np.uint64)).view(np.int64)
                 ent = pa.array(ent, mask=size_ == 0)
-                keys, vec = [], []
-                for d in range(n):
-                    s = vals[at[d] : at[d + 1]]
-                    keys.append(s.tobytes())
-                    vec.append(count_vector(s).tobytes() if len(s) else b"")
+                keys = [store(vals[at[d] : at[d + 1]]) for d in range(n)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(b.first, n), pa.array(size_), ent, pa.array(keys, pa.binary()),
-                     pa.array(vec, pa.binary()), pa.nulls(n, pa.binary())], ["id", "n", "entity", "keys", "vec", "hot"])
+                     pa.nulls(n, pa.binary())], ["id", "n", "entity", "keys", "hot"])
         if hot:
             top = heapq.nlargest(HOT_TASK, hot.items(), key=lambda x: x[1])
-            raw = np.array(top, np.uint64).tobytes()
+            raw = (np.array(top, np.uint64) & np.array([~U(0xFFFF), ~U(0)], np.uint64)).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.array([raw], pa.binary())],
-                ["id", "n", "entity", "keys", "vec", "hot"])
+                [pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([raw], pa.binary())],
+                ["id", "n", "entity", "keys", "hot"])
 
     src = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__t"))
-    return scratch.table(src.mapInArrow(run, f"id {kind}, n long, entity long, keys binary, vec binary, hot binary"), "sets")
+    return scratch.table(src.mapInArrow(run, f"id {kind}, n long, entity long, keys binary, hot binary"), "sets")
 
 
 def frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -197,7 +222,7 @@ def cells(sets: DataFrame, t: Threshold, bits: int) -> DataFrame:
         for batch in batches:
             ns, ents, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
             for k, (n, e) in enumerate(zip(ns, ents)):
-                s = np.frombuffer(keys[k].as_buffer(), np.uint64)
+                s = stored(keys[k].as_buffer())
                 take = t.prefix(n)
                 if len(hk):
                     p = np.minimum(np.searchsorted(hk, s), len(hk) - 1)
@@ -256,15 +281,24 @@ def cells(sets: DataFrame, t: Threshold, bits: int) -> DataFrame:
 
 
 # -- verification -----------------------------------------------------------
-def _of(sets: DataFrame, ids: DataFrame, col: str, name: str) -> DataFrame:
-    """``entity`` and ``col`` of the sets in ``ids`` (column ``entity``), once
-    each. Hash slots of the ids, a bounded table, filter the scan, so that only
-    sets that are (almost surely) wanted are shuffled."""
+def _of(sets: DataFrame, ids: DataFrame, make, name: str) -> DataFrame:
+    """``entity`` and ``x`` (what ``make`` derives from the keys) of the sets in
+    ``ids`` (column ``entity``), once each. Hash slots of the ids, a bounded
+    table, filter the scan, so that only what is (almost surely) wanted is
+    shuffled."""
     ids = scratch.table(ids.distinct(), name + "-ids")
     slot = F.pmod(F.xxhash64("entity"), F.lit(SLOTS)).cast("int")
     slots = F.broadcast(ids.select(slot.alias("slot")).distinct())        # at most SLOTS rows
-    some = (sets.where("entity is not null").select("entity", col).withColumn("slot", slot).join(slots, "slot", "left_semi").drop("slot"))
-    return scratch.table(some.join(ids, "entity", "left_semi").groupBy("entity").agg(F.first(col).alias(col)), name)
+    some = (sets.where("entity is not null").select("entity", "keys").withColumn("slot", slot).join(slots, "slot", "left_semi").drop("slot"))
+
+    def derive(batches):
+        for batch in batches:
+            col = batch.column(1)
+            x = [make(stored(col[k].as_buffer())) for k in range(len(col))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.binary())], ["entity", "x"])
+
+    some = some.mapInArrow(derive, "entity long, x binary") if make else some.withColumnRenamed("keys", "x")
+    return scratch.table(some.join(ids, "entity", "left_semi").groupBy("entity").agg(F.first("x").alias("x")), name)
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -274,7 +308,7 @@ def _ends(pairs: DataFrame) -> DataFrame:
 def _bounded(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
     """Pairs ``a, b, na, nb`` that the bound of their count vectors admits."""
     pairs = scratch.table(pairs, "pairs")
-    vecs = _of(sets, _ends(pairs), "vec", "vectors")
+    vecs = _of(sets, _ends(pairs), lambda k: count_vector(k).tobytes(), "vectors")
 
     def run(batches):
         for batch in batches:
@@ -286,28 +320,28 @@ def _bounded(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
                 ok.append(bool(t.links(int(np.minimum(fold(a, g), fold(b, g)).sum(dtype=np.int64)), na, nb)))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    with_a = pairs.join(vecs.select(F.col("entity").alias("a"), F.col("vec").alias("va")), "a")
-    both = with_a.join(vecs.select(F.col("entity").alias("b"), F.col("vec").alias("vb")), "b")
+    with_a = pairs.join(vecs.select(F.col("entity").alias("a"), F.col("x").alias("va")), "a")
+    both = with_a.join(vecs.select(F.col("entity").alias("b"), F.col("x").alias("vb")), "b")
     return both.select("a", "b", "na", "nb", "va", "vb").mapInArrow(run, "a long, b long")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, t: Threshold, name: str) -> DataFrame:
     """The pairs ``a, b`` that link, by their sets."""
     pairs = scratch.table(pairs, name + "-survivors")
-    known = _of(sets, _ends(pairs), "keys", name + "-sets")
+    known = _of(sets, _ends(pairs), None, name + "-sets")
 
     def run(batches):
         for batch in batches:
             ok = []
             ka, kb = batch.column(2), batch.column(3)
             for k in range(batch.num_rows):
-                a, b = np.frombuffer(ka[k].as_buffer(), np.uint64), np.frombuffer(kb[k].as_buffer(), np.uint64)
+                a, b = stored(ka[k].as_buffer()), stored(kb[k].as_buffer())
                 p = np.minimum(np.searchsorted(b, a), len(b) - 1)
                 ok.append(bool(t.links(int((b[p] == a).sum()), len(a), len(b))))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    both = (pairs.join(known.select(F.col("entity").alias("a"), F.col("keys").alias("ka")), "a")
-            .join(known.select(F.col("entity").alias("b"), F.col("keys").alias("kb")), "b").select("a", "b", "ka", "kb"))
+    both = (pairs.join(known.select(F.col("entity").alias("a"), F.col("x").alias("ka")), "a")
+            .join(known.select(F.col("entity").alias("b"), F.col("x").alias("kb")), "b").select("a", "b", "ka", "kb"))
     return scratch.table(both.mapInArrow(run, "a long, b long"), name)
 
 
@@ -338,42 +372,35 @@ def _across(members: DataFrame, sets: DataFrame, label: DataFrame, t: Threshold,
              .groupBy("sig").agg(F.min(F.struct("cell", "m")).alias("one")).select("one.cell", "one.m"))
     mixed = scratch.table(mixed, "mixed")
     mem = mem.drop("m").join(mixed, "cell")
-    vecs = _of(sets, mem.select("entity"), "vec", "vectors2")
+    points = _of(sets, mem.select("entity"), coarse_point, "points")
     nb = F.ceil(F.col("m") / CELL).cast("int")
     mem = mem.withColumn("blocks", nb).withColumn("block", F.pmod(F.xxhash64("entity"), F.col("blocks")).cast("int"))
-    # every pair of blocks once: (x, y) with x <= y holds the members of both
+    # every pair of blocks once: (p, q) with p <= q holds the members of both
     mem = (mem.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-           .withColumn("x", F.least("block", "o")).withColumn("y", F.greatest("block", "o")).join(vecs, "entity")
-           .select(F.pmod(F.xxhash64("cell", "x", "y"), F.lit(1 << bits)).alias("part"), "cell", "x", "y", "block", "entity", "comp", "n", "vec"))
-
-    def search(key, table):
-        cols = {c: table.column(c).to_numpy() for c in ("cell", "x", "y", "block", "entity", "comp", "n")}
-        vec = table.column("vec").combine_chunks()
-        order = np.lexsort((cols["entity"], cols["n"], cols["y"], cols["x"], cols["cell"]))
-        place = np.stack([cols[c][order] for c in ("cell", "x", "y")])
-        edge = np.flatnonzero(np.concatenate(([True], (place[:, 1:] != place[:, :-1]).any(0), [True])))
-        found = set()
+           .withColumn("p", F.least("block", "o")).withColumn("q", F.greatest("block", "o")).join(points, "entity")
+           .select(F.pmod(F.xxhash64("cell", "p", "q"), F.lit(1 << bits)).alias("part"), "cell", "p", "q", "entity", "comp", "n", "x"))
+
+    def search(table):
+        cols = {c: table.column(c).to_numpy() for c in ("cell", "p", "q", "entity", "comp", "n")}
+        points = coarse_points(table.column("x"))
+        order = np.lexsort((cols["entity"], cols["n"], cols["q"], cols["p"], cols["cell"]))
+        place = np.stack([cols[c][order] for c in ("cell", "p", "q")])
+        edge = np.concatenate(([0], np.flatnonzero((place[:, 1:] != place[:, :-1]).any(0)) + 1, [len(order)]))
+        found, known = [np.zeros((4, 0), np.int64)], set()
         for lo, hi in zip(edge[:-1], edge[1:]):
             rows = order[lo:hi]
-            if len(rows) < 2:
+            same = cols["entity"][rows].tobytes()
+            if len(rows) < 2 or same in known:            # other cells of the same members
                 continue
-            n = cols["n"][rows]
-            vs = [as_vector(vec[int(r)].as_buffer().to_pybytes(), int(k)) for r, k in zip(rows, n)]
-            width = np.array([len(v) for v in vs])
-            for g in np.unique(width):
-                # sets that may link have widths g and g, or g and 2 g
-                use = np.flatnonzero((width == g) | (width == 2 * g))
-                if len(use) < 2:
-                    continue
-                pts = np.stack([fold(vs[u], int(g)) for u in use])
-                for i, j in tree_pairs(pts, n[use], cols["comp"][rows[use]], t).T:
-                    a, b = rows[use[i]], rows[use[j]]
-                    ea, eb = int(cols["entity"][a]), int(cols["entity"][b])
-                    found.add((ea, eb, int(cols["n"][a]), int(cols["n"][b])) if ea < eb else (eb, ea, int(cols["n"][b]), int(cols["n"][a])))
-        out = list(zip(*sorted(found))) or [[], [], [], []]
-        return pa.table({k: pa.array(v, pa.int64()) for k, v in zip(("a", "b", "na", "nb"), out)})
-
-    return mem.groupBy("part").applyInArrow(search, "a long, b long, na long, nb long").select("a", "b").distinct()
+            known.add(same)
+            i, j = rows[tree_pairs(points[rows], cols["n"][rows], cols["comp"][rows], t)]
+            found.append(np.stack([cols[c][k] for c, k in (("entity", i), ("entity", j), ("n", i), ("n", j))]))
+        a, b, na, nb = np.concatenate(found, axis=1)
+        swap = a > b
+        a, b, na, nb = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)
+        return pa.table({"a": a, "b": b, "na": na, "nb": nb})
+
+    return mem.groupBy("part").applyInArrow(search, "a long, b long, na long, nb long").distinct()
 
 
 def links(sets: DataFrame, percent: int, bits: int) -> tuple[DataFrame, DataFrame]:
@@ -387,7 +414,7 @@ def links(sets: DataFrame, percent: int, bits: int) -> tuple[DataFrame, DataFram
             .select(F.col("h.entity").alias("a"), F.col("entity").alias("b"), F.col("h.n").alias("na"), F.col("n").alias("nb")).distinct())
     first = verify(_bounded(star, sets, t), sets, t, "links1")
     label = components(first)
-    more = verify(_across(members, sets, label, t, bits), sets, t, "links2")
+    more = verify(_bounded(_across(members, sets, label, t, bits), sets, t), sets, t, "links2")
     if more.limit(1).count() == 0:
         return first, label
     every = first.union(more)
