@@ -13,7 +13,8 @@ shingle with the sets that have it there. Sets are told apart by a hash of
 their content, so any number of copies is one entry.
 
 1. Each cell proposes the pairs of its members with one of them; bound and
-   verification give links, and connected components.
+   verification give links, and connected components. Cells that still hold
+   several components do so again with another member.
 2. Cells whose members are still in different components are searched with
    the R-tree, which proposes the pairs across components. Cells beyond
    ``CELL`` members are dealt out in pairs of blocks.
@@ -44,6 +45,7 @@ from .textnum import U, blocks, doc_slices, mix, shingle_sets
 HOT = 65_536         # frequent shingles put last in the order (order only: any order is exact)
 HOT_TASK = 8_192     # of which a task proposes at most so many
 CELL = 1_024         # members searched in one tree; larger cells go by pairs of blocks
+TURNS = 3            # rounds of step 1 (speed only: step 2 finds the rest)
 FAN = 16             # entries of an R-tree node
 SLOTS = 1 << 20      # hash slots that pre-filter sets before they are shuffled
 
@@ -72,20 +74,16 @@ def stored(buf) -> np.ndarray:
     return out.reshape(-1).view(np.uint64)
 
 
-COARSE = 128         # groups of the points that are dealt to the cells
-
-
-def coarse_point(keys: np.ndarray) -> bytes:
-    """Counts of ``COARSE`` groups in a byte each, rounded up in steps (first
-    four bytes) if a count does not fit, so bounds stay bounds."""
-    v = np.bincount(((keys >> U(16)) & U(COARSE - 1)).astype(np.int64), minlength=COARSE)
+def packed_point(keys: np.ndarray) -> bytes:
+    """The count vector in a byte per group, rounded up in steps (first four
+    bytes) if a count does not fit, so bounds stay bounds."""
+    v = count_vector(keys).astype(np.int64)
     step = max(1, -(-int(v.max(initial=0)) // 255))
     return np.uint32(step).tobytes() + (-(-v // step)).astype(np.uint8).tobytes()
 
 
-def coarse_points(col) -> np.ndarray:
-    raw = np.frombuffer(b"".join(col.to_pylist()), np.uint8).reshape(-1, 4 + COARSE)
-    return raw[:, 4:].astype(np.int32) * raw[:, :4].copy().view(np.uint32).astype(np.int32)
+def unpacked_point(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8, offset=4).astype(np.int32) * np.frombuffer(raw, np.uint32, 1).astype(np.int32)
 
 
 def as_vector(raw: bytes, n: int) -> np.ndarray:
@@ -372,7 +370,7 @@ def _across(members: DataFrame, sets: DataFrame, label: DataFrame, t: Threshold,
              .groupBy("sig").agg(F.min(F.struct("cell", "m")).alias("one")).select("one.cell", "one.m"))
     mixed = scratch.table(mixed, "mixed")
     mem = mem.drop("m").join(mixed, "cell")
-    points = _of(sets, mem.select("entity"), coarse_point, "points")
+    points = _of(sets, mem.select("entity"), packed_point, "points")
     nb = F.ceil(F.col("m") / CELL).cast("int")
     mem = mem.withColumn("blocks", nb).withColumn("block", F.pmod(F.xxhash64("entity"), F.col("blocks")).cast("int"))
     # every pair of blocks once: (p, q) with p <= q holds the members of both
@@ -382,7 +380,7 @@ def _across(members: DataFrame, sets: DataFrame, label: DataFrame, t: Threshold,
 
     def search(table):
         cols = {c: table.column(c).to_numpy() for c in ("cell", "p", "q", "entity", "comp", "n")}
-        points = coarse_points(table.column("x"))
+        raw = table.column("x").to_pylist()
         order = np.lexsort((cols["entity"], cols["n"], cols["q"], cols["p"], cols["cell"]))
         place = np.stack([cols[c][order] for c in ("cell", "p", "q")])
         edge = np.concatenate(([0], np.flatnonzero((place[:, 1:] != place[:, :-1]).any(0)) + 1, [len(order)]))
@@ -393,8 +391,15 @@ def _across(members: DataFrame, sets: DataFrame, label: DataFrame, t: Threshold,
             if len(rows) < 2 or same in known:            # other cells of the same members
                 continue
             known.add(same)
-            i, j = rows[tree_pairs(points[rows], cols["n"][rows], cols["comp"][rows], t)]
-            found.append(np.stack([cols[c][k] for c, k in (("entity", i), ("entity", j), ("n", i), ("n", j))]))
+            points = [unpacked_point(raw[k]) for k in rows]
+            width = np.array([len(x) for x in points])
+            for g in np.unique(width):
+                # sets that may link have widths g and g, or g and 2 g
+                use = np.flatnonzero((width == g) | (width == 2 * g))
+                if len(use) > 1:
+                    r = rows[use]
+                    i, j = r[tree_pairs(np.stack([fold(points[u], int(g)) for u in use]), cols["n"][r], cols["comp"][r], t)]
+                    found.append(np.stack([cols[c][k] for c, k in (("entity", i), ("entity", j), ("n", i), ("n", j))]))
         a, b, na, nb = np.concatenate(found, axis=1)
         swap = a > b
         a, b, na, nb = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)
@@ -403,21 +408,40 @@ def _across(members: DataFrame, sets: DataFrame, label: DataFrame, t: Threshold,
     return mem.groupBy("part").applyInArrow(search, "a long, b long, na long, nb long").distinct()
 
 
+def _stars(members: DataFrame, label: DataFrame | None, t: Threshold, turn: int) -> DataFrame:
+    """Pairs ``a, b, na, nb`` of one member of each cell with its members in
+    other components. First the member that is in most cells (the text that
+    near copies were made from, if it is there), then others in turn."""
+    if label is None:
+        cells_of = members.groupBy("entity").agg(F.count("*").alias("k"))
+        mem = members.join(cells_of, "entity").withColumn("comp", F.col("entity")).withColumn("rank", -F.col("k"))
+    else:
+        mem = members.join(label, "entity", "left").withColumn("comp", F.coalesce("comp", "entity")).withColumn("rank", F.xxhash64("entity", F.lit(turn)))
+    head = (mem.groupBy("cell").agg(F.min(F.struct("rank", "entity", "n", "comp")).alias("h"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+            .where("lo != hi").select("cell", "h"))
+    pair = mem.join(head, "cell").where(F.col("comp") != F.col("h.comp")).where(F.least("n", "h.n") * 100 >= t.p * F.greatest("n", "h.n"))
+    first = F.col("entity") < F.col("h.entity")
+    return pair.select(F.least("entity", "h.entity").alias("a"), F.greatest("entity", "h.entity").alias("b"),
+                       F.when(first, F.col("n")).otherwise(F.col("h.n")).alias("na"),
+                       F.when(first, F.col("h.n")).otherwise(F.col("n")).alias("nb")).distinct()
+
+
 def links(sets: DataFrame, percent: int, bits: int) -> tuple[DataFrame, DataFrame]:
     """Verified links between different sets that connect all components, and
     the components ``entity, comp``."""
     t = Threshold(percent)
     members = cells(sets, t, bits)
-    head = members.groupBy("cell").agg(F.min(F.struct("entity", "n")).alias("h"))
-    star = (members.join(head, "cell").where(F.col("entity") != F.col("h.entity"))
-            .where(F.least("n", "h.n") * 100 >= percent * F.greatest("n", "h.n"))
-            .select(F.col("h.entity").alias("a"), F.col("entity").alias("b"), F.col("h.n").alias("na"), F.col("n").alias("nb")).distinct())
-    first = verify(_bounded(star, sets, t), sets, t, "links1")
-    label = components(first)
-    more = verify(_bounded(_across(members, sets, label, t, bits), sets, t), sets, t, "links2")
+    every = label = None
+    for turn in range(TURNS):
+        found = verify(_bounded(_stars(members, label, t, turn), sets, t), sets, t, f"links{turn}")
+        if every is not None and found.limit(1).count() == 0:
+            continue
+        every = found if every is None else every.union(found)
+        label = components(every)
+    more = verify(_bounded(_across(members, sets, label, t, bits), sets, t), sets, t, "links")
     if more.limit(1).count() == 0:
-        return first, label
-    every = first.union(more)
+        return every, label
+    every = every.union(more)
     return every, components(every)
 
 

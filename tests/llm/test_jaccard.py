@@ -1,7 +1,6 @@
 import itertools
 
 import numpy as np
-import pyarrow as pa
 import pytest
 
 from ordwave.llm import jaccard
@@ -66,10 +65,11 @@ def test_bound_admits_every_link():
         g = min(len(va), len(vb))
         both = len(np.intersect1d(a, b))
         assert np.minimum(jaccard.fold(va, g), jaccard.fold(vb, g)).sum() >= both
-        pa_, pb = jaccard.coarse_points(pa.array([jaccard.coarse_point(a), jaccard.coarse_point(b)]))
-        assert np.minimum(pa_, pb).sum() >= both
-    many = rng.integers(0, 1 << 63, 100_000, dtype=np.uint64)
-    assert jaccard.coarse_points(pa.array([jaccard.coarse_point(many)])).sum() >= len(many)
+        wa, wb = (jaccard.fold(jaccard.unpacked_point(jaccard.packed_point(x)), g) for x in (a, b))
+        assert np.minimum(wa, wb).sum() >= both
+    many = rng.integers(0, 1 << 63, 1000, dtype=np.uint64)
+    same = np.concatenate((many, np.repeat(many[:1], 3000)))       # a count beyond a byte
+    assert (jaccard.unpacked_point(jaccard.packed_point(same)) >= jaccard.count_vector(same)).all()
     few = np.sort(many[:100]) & ~np.uint64(0xFFFF)
     assert (jaccard.stored(jaccard.store(np.sort(many[:100]))) == few).all()
 
