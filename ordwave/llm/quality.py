@@ -162,6 +162,16 @@ def _moments(rows: DataFrame) -> DataFrame:
         F.array(*(F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])) for i in range(d) for j in range(i, d))).alias("ss"))
 
 
+SMALL = 10_000       # groups; an estimate has about 300 bytes
+
+
+def _beside(est: DataFrame, groups: int) -> DataFrame:
+    """One row per group, broadcast while the groups are few, so that rows of
+    a large group stay where they are; otherwise left to the planner, which
+    splits skewed groups."""
+    return F.broadcast(est) if groups <= SMALL else est
+
+
 EST = "grp string, n long, center array<double>, inv array<double>"
 
 
@@ -170,7 +180,9 @@ def estimate(vectors: DataFrame, steps: int = 3) -> DataFrame:
     rows = _grouped(vectors.where(~F.col("base_failed")), True).select("grp", *FEATURES)
     # coordinate medians and absolute deviations
     med = rows.groupBy("grp").agg(F.array(*(F.percentile_approx(f, 0.5, 1000) for f in FEATURES)).alias("med"))
-    dev = rows.join(med, "grp").groupBy("grp").agg(
+    med = scratch.table(med, "medians")
+    groups = med.count()
+    dev = rows.join(_beside(med, groups), "grp").groupBy("grp").agg(
         F.count("*").cast("long").alias("n"), F.first("med").alias("center"),
         F.array(*(F.percentile_approx(F.abs(F.col(f) - F.col("med")[i]), 0.5, 1000) for i, f in enumerate(FEATURES))).alias("mad"))
     d = len(FEATURES)
@@ -179,13 +191,13 @@ def estimate(vectors: DataFrame, steps: int = 3) -> DataFrame:
         for i in range(d) for j in range(d))).alias("inv")), "mcd0")
     # 2.198 = 5 / (mean of the inner half of a chi-squared with 5 degrees of freedom): consistency at the normal
     for step in range(steps):
-        dist = rows.join(est, "grp").withColumn("bin", F.floor(F.log1p(_distance()) * BIN).cast("int"))
+        dist = rows.join(_beside(est, groups), "grp").withColumn("bin", F.floor(F.log1p(_distance()) * BIN).cast("int"))
         hist = dist.groupBy("grp", "bin").agg(F.count("*").alias("k"))
         run = Window.partitionBy("grp").orderBy("bin")
         cut = (hist.withColumn("below", F.sum("k").over(run))
                .withColumn("total", F.sum("k").over(Window.partitionBy("grp")))
                .where(2 * F.col("below") >= F.col("total")).groupBy("grp").agg(F.min("bin").alias("cut")))
-        half = dist.join(cut, "grp").where(F.col("bin") <= F.col("cut"))
+        half = dist.join(_beside(cut, groups), "grp").where(F.col("bin") <= F.col("cut"))
         est = scratch.table(_moments(half).mapInArrow(_solve({"scale": 2.198}), EST), f"mcd{step + 1}")
     return est
 
@@ -197,7 +209,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_r
     vec = _vectors(scratch.table(statistics(docs, id_col, text_col), "stats"))
     est = estimate(vec, steps)
     every = est.where("grp = 'all'").select(F.col("center").alias("c_all"), F.col("inv").alias("i_all"), F.lit(1).alias("one"))
-    own = est.where(F.col("n") * 2 >= min_rows).withColumnRenamed("grp", "g")
+    own = _beside(est.where(F.col("n") * 2 >= min_rows).withColumnRenamed("grp", "g"), est.count())
     rows = (vec.withColumn("grp", _key()).withColumn("one", F.lit(1))
             .join(own, F.col("grp") == F.col("g"), "left").join(F.broadcast(every), "one", "left")  # one row
             .withColumn("center", F.coalesce("center", "c_all")).withColumn("inv", F.coalesce("inv", "i_all")))
