@@ -30,12 +30,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from .textnum import LOWER, NOT_LETTER, U, Block, blocks, doc_slices, mix, span_keys
 
-TRAIN_DOCS = 4000    # bound of the training sample, per label
+TRAIN_DOCS = 3000    # bound of the training sample, per label
 SEGMENT = 64         # tokens per segment of the chain
 BITS = 18            # hashed feature space
 PREFIXES = (3, 4, 5, 6, 8)
 COVER = 0.97         # least share of toxic documents among those with a picked feature
-SUPPORT = 5          # least number of toxic documents that a picked feature explains anew
+SUPPORT = 5          # least number of toxic documents that a picked feature explains anew (or one in 400)
+OTHERS = 0.25        # share of the segments without a toxic token that are trained on
 EPOCHS, RATE, L2 = 14, 0.5, 1e-6
 
 
@@ -130,61 +131,107 @@ class Model:
         return out
 
 
-def _cover(keys: np.ndarray, owner: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+def _pairs(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (feature key, text) of a block's word and beginning features, by key."""
+    k = np.concatenate([row[row != 0] for row in keys[:-1]])
+    d = np.concatenate([owner[row != 0] for row in keys[:-1]]).astype(np.int32)
+    order = np.lexsort((d, k))
+    k, d = k[order], d[order]
+    new = np.ones(len(k), bool)
+    new[1:] = (k[1:] != k[:-1]) | (d[1:] != d[:-1])
+    return k[new], d[new]
+
+
+def _read(texts: list[str]):
+    """Features of the texts, a block at a time, with text numbers over all."""
+    for b in blocks(pa.array(texts, pa.large_string())):
+        _, _, owner, keys = token_features(b)
+        yield keys, owner + b.first, b.first, len(b.bounds) - 1
+
+
+def _cover(toxic: list[str], clean: list[str]) -> np.ndarray:
     """Greedy cover of the toxic texts by word and beginning features; returns
-    the picked keys. ``keys`` without the endings' row."""
-    n = np.int64(len(toxic))
-    allk = np.concatenate([k[k != 0] for k in keys])
-    docs = np.concatenate([owner[k != 0] for k in keys])
-    order = np.lexsort((docs, allk))
+    the picked keys, sorted. Only features of enough toxic texts are counted in
+    the clean ones, so memory follows the toxic texts."""
+    found = [_pairs(keys, owner) for keys, owner, *_ in _read(toxic) if keys.shape[1]]
+    if not found:
+        return np.zeros(0, np.uint64)
+    allk, docs = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(allk, kind="stable")
     allk, docs = allk[order], docs[order]
-    new = np.ones(len(allk), bool)
-    new[1:] = (allk[1:] != allk[:-1]) | (docs[1:] != docs[:-1])
-    allk, docs = allk[new], docs[new]
-    uniq, at = np.unique(allk, return_index=True)
-    at = np.append(at, len(allk))
-    pos = np.add.reduceat(toxic[docs].astype(np.int64), at[:-1])
-    tot = np.diff(at)
-    rate = max(1, n - toxic.sum()) / max(1, toxic.sum())     # as if the labels were balanced
-    good = (pos >= SUPPORT) & (pos * rate >= COVER * (pos * rate + tot - pos))
-    cand = np.flatnonzero(good)
-    cand = cand[np.argsort(-pos[cand], kind="stable")]
-    left, picked = toxic.copy(), []
-    for c in cand:
-        d = docs[at[c] : at[c + 1]]
-        if left[d].sum() >= SUPPORT:
-            picked.append(uniq[c])
+    at = np.flatnonzero(np.concatenate(([True], allk[1:] != allk[:-1])))
+    ends = np.append(at[1:], len(allk))
+    support = max(SUPPORT, len(toxic) // 400)
+    many = ends - at >= support
+    at, ends = at[many], ends[many]
+    cand, pos = allk[at], ends - at
+    neg = np.zeros(len(cand), np.int64)
+    for keys, owner, *_ in _read(clean):
+        if keys.shape[1] and len(cand):
+            k, _ = _pairs(keys, owner)
+            p = np.minimum(np.searchsorted(cand, k), len(cand) - 1)
+            neg += np.bincount(p[cand[p] == k], minlength=len(cand))
+    rate = max(1, len(clean)) / max(1, len(toxic))           # as if the labels were balanced
+    good = np.flatnonzero(pos * rate >= COVER * (pos * rate + neg))
+    left, picked = np.ones(len(toxic), bool), []
+    for c in good[np.argsort(-pos[good], kind="stable")]:
+        d = docs[at[c] : ends[c]]
+        if left[d].sum() >= support:
+            picked.append(cand[c])
             left[d] = False
-    return np.array(picked, np.uint64)
+    return np.sort(np.array(picked, np.uint64))
 
 
 def fit(texts: list[str], labels: list[int]) -> Model:
     """Train on a bounded sample that fits into one task."""
-    parts, owners, base = [], [], 0
-    for b in blocks(pa.array(texts, pa.large_string())):
-        _, _, owner, keys = token_features(b)
-        parts.append(keys)
-        owners.append(owner + b.first)
-    keys, owner = np.concatenate(parts, axis=1), np.concatenate(owners)
-    toxic = np.array(labels, bool)
-    picked = _cover(keys[:-1], owner, toxic)
-    y = np.zeros(keys.shape[1], bool)
-    for row in keys[:-1]:
-        y |= np.isin(row, picked)
-    y &= toxic[owner]
-    # all segments with a toxic token, and as many tokens again from the rest
-    starts, size = segments(owner, len(texts))
-    cum = np.concatenate(([0], np.cumsum(y)))
-    has = cum[starts + size] > cum[starts]
-    rest = np.flatnonzero(~has)
+    toxic = [t for t, y in zip(texts, labels) if y]
+    clean = [t for t, y in zip(texts, labels) if not y]
+    picked = _cover(toxic, clean)
     rng = np.random.default_rng(11)
-    take = np.concatenate((np.flatnonzero(has), rng.permutation(rest)[: max(2000, 3 * int(has.sum()))]))
-    starts, size = starts[take], size[take]
-    slot = np.stack([slots(k) for k in keys])
-    w, gw = np.zeros(1 << BITS), np.full(1 << BITS, 1e-2)
-    bias, gb = -2.0, 1e-2
-    trans, gt = np.zeros((2, 2)), np.full((2, 2), 1.0)
-    for _ in range(EPOCHS):
+    model = Model(np.zeros(1 << BITS), -2.0, np.zeros((2, 2)))
+
+    def collect(part: list[str], wanted, marked: bool):
+        """Slots, labels and lengths of the segments of which ``wanted`` says so."""
+        out = []
+        for keys, owner, first, n in _read(part):
+            y = np.zeros(keys.shape[1], bool)
+            for row in keys[:-1] if marked and len(picked) else ():
+                y |= picked[np.minimum(np.searchsorted(picked, row), len(picked) - 1)] == row
+            starts, size = segments(owner - first, n)
+            if len(starts):
+                take = np.flatnonzero(wanted(keys, owner - first, n, y, starts, size))
+                starts, size = starts[take], size[take]
+                token = np.repeat(starts - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+                out.append((np.stack([slots(k[token]) for k in keys]), y[token], size))
+        return out
+
+    def some(keys, owner, n, y, starts, size):
+        cum = np.concatenate(([0], np.cumsum(y)))
+        return (cum[starts + size] > cum[starts]) | (rng.random(len(starts)) < OTHERS)
+
+    def mistaken(keys, owner, n, y, starts, size):
+        wrong = np.concatenate(([0], np.cumsum(marginals(model.emit(keys), owner, n, model.trans) > 0.05)))
+        return wrong[starts + size] > wrong[starts]
+
+    # segments with a toxic token and a share of the others; then, twice, the
+    # clean segments that the model takes for toxic
+    parts = collect(toxic, some, True) + collect(clean, some, False)
+    state = None
+    for more in (EPOCHS, EPOCHS // 3, EPOCHS // 3):
+        if state is not None:
+            parts += collect(clean, mistaken, False)
+        slot, y, size = (np.concatenate([x[i] for x in parts], axis=-1) for i in range(3))
+        model, state = _descend(model, state, slot, y, size, more, rng)
+    return Model(model.weights.astype(np.float32).astype(np.float64), model.bias, model.trans)
+
+
+def _descend(model: Model, state, slot, y, size, epochs: int, rng) -> tuple[Model, tuple]:
+    """AdaGrad on the exact gradient of the field's likelihood; ``state`` holds
+    the sums of squared gradients between calls."""
+    starts = np.cumsum(size) - size
+    w, bias, trans = model.weights, model.bias, model.trans
+    gw, gb, gt = state or (np.full(1 << BITS, 1e-2), 1e-2, np.full((2, 2), 1.0))
+    for _ in range(epochs):
         for chunk in np.array_split(rng.permutation(len(starts)), max(1, len(starts) // 400)):
             s, z = starts[chunk], size[chunk]
             pos = np.arange(int(z.max()))[:, None]
@@ -217,7 +264,7 @@ def fit(texts: list[str], labels: list[int]) -> Model:
             gtr = np.array([[((joint[i, j] - ((y0 == i) & (y1 == j))) * both).sum() for j in (0, 1)] for i in (0, 1)]) / len(chunk)
             gt += gtr * gtr
             trans -= RATE * 0.2 * gtr / np.sqrt(gt)
-    return Model(w.astype(np.float32).astype(np.float64), float(bias), trans)
+    return Model(w, float(bias), trans), (gw, gb, gt)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
