@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .textnum import U
 
-FLUSH = 2_000_000        # entries a task collects before it hands them over
+FLUSH = 700_000          # entries a task collects before it hands them over
 BUCKET_BYTES = 2 << 20   # input bytes (compressed) per bucket
 LEAST = 64
 
