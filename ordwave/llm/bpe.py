@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 LEAF = 48            # bytes merged directly
-CACHE = 300_000      # pieces remembered per task process; dropped when full (speed only)
+CACHE = 150_000      # pieces remembered per task process; dropped when full (speed only)
 RUN = 200_000        # pieces encoded at a time within one text
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .textnum import LOWER, NOT_LETTER, U, Block, blocks, doc_slices, mix, span_keys
 
-TRAIN_DOCS = 3000    # bound of the training sample, per label
+TRAIN_DOCS = 1500    # bound of the training sample, per label
 SEGMENT = 64         # tokens per segment of the chain
 BITS = 18            # hashed feature space
 PREFIXES = (3, 4, 5, 6, 8)
