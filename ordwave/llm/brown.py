@@ -1,9 +1,14 @@
 """Brown class-based bigram language model.
 
-Exchange clustering puts the ``WORDS`` most frequent training words into
-``CLASSES`` classes (each move raises the average mutual information of
-adjacent classes); all other words fall into shape classes by their last byte
-and script, and each text's end is a class of its own. The probability of a
+Exchange clustering puts all training words that occur ``LEAST`` times or more
+into ``CLASSES`` classes (moves raise the average mutual information of
+adjacent classes); rarer words fall into shape classes by their last byte
+and script, and each text's end is a class of its own. The ``WORDS`` most
+frequent are clustered first, on the driver. The others then get the class
+that fits their neighbours' classes best, and all words are moved again in
+``PARTS`` blocks: each block's counts of neighbouring classes are grouped per
+word, and its words move at once against the broadcast class matrix; a block
+that lowers the likelihood of the training texts is taken back. The probability of a
 token is that of its class after the previous token's class, interpolated
 with the class's own, times that of the word in its class, with one added to
 every count and, in the shape classes, one unseen word.
@@ -11,8 +16,8 @@ every count and, in the shape classes, one unseen word.
 Word counts come from all training texts by a packed exchange. A text's
 class sequence is scored where the text is read; the counts of its rare words
 are fetched by a second exchange, reduced per text where they meet, and
-added. Tables that are broadcast have fixed bounds: ``WORDS`` and ``LOCAL``
-words, and the class matrix.
+added. Broadcast are ``LOCAL`` words and the class matrix, which have fixed
+bounds, and the classes of the clustered words (17 bytes each at most).
 
 Defined results: a null text counts as empty and has its end as only token; a
 null id counts as the empty string for the fold (a training row); repeated
@@ -32,7 +37,9 @@ from pyspark.sql import DataFrame, functions as F
 from . import packed, scratch
 from .textnum import LOWER, U, WHITE, blocks, doc_slices, span_keys
 
-WORDS = 1_000        # words that are clustered
+WORDS = 1_000        # words that are clustered first
+LEAST = 10           # occurrences of a clustered word
+PARTS = 2            # blocks of a sweep over all words
 CLASSES = 40
 LOCAL = 65_536       # frequent words whose counts every task knows
 SWEEPS = 4
@@ -107,15 +114,58 @@ def frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return packed.most_frequent(counts.select("top").mapInArrow(run, "key long, c long"), LOCAL)
 
 
+def above(counts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """All words that occur ``least`` times or more, sorted, and their counts."""
+    def run(batches):
+        for batch in batches:
+            k, c = packed.unpack(batch.column(0), np.uint64), packed.unpack(batch.column(1), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(k[c >= least].view(np.int64)), pa.array(c[c >= least])], ["key", "c"])
+
+    got = counts.select("keys", "counts").mapInArrow(run, "key long, c long").toArrow()
+    keys, c = got.column("key").to_numpy().view(np.uint64), got.column("c").to_numpy()
+    order = np.argsort(keys)
+    return keys[order], c[order]
+
+
+class Index:
+    """Positions of hashed keys in a sorted array, by a table of their top bits."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.bits = keys, max(1, len(keys).bit_length())
+        top = (keys >> U(64 - self.bits)).astype(np.int64)
+        self.start = np.searchsorted(top, np.arange((1 << self.bits) + 1)).astype(np.int32 if len(keys) < 1 << 31 else np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """-1 where a key is not there."""
+        out = np.full(len(keys), -1, np.int64)
+        top = (keys >> U(64 - self.bits)).astype(np.int64)
+        at, end = self.start[top], self.start[top + 1]
+        left = np.flatnonzero(at < end)
+        at, end, want = at[left], end[left], keys[left]
+        while len(left):
+            hit = self.keys[at] == want
+            out[left[hit]] = at[hit]
+            more = ~hit & (at + 1 < end)
+            left, at, end, want = left[more], at[more] + 1, end[more], want[more]
+        return out
+
+
 @dataclass
 class States:
-    """Clustered words, sorted, with the number of each."""
+    """The words clustered first, sorted, with the number of each, and the
+    classes of the other clustered words, which stand for states after the
+    end's."""
 
     keys: np.ndarray
     number: np.ndarray
+    others: Index | None = None
+    other_cls: np.ndarray | None = None
 
     def of(self, keys: np.ndarray) -> np.ndarray:
         s = WORDS + (keys & U(3)).astype(np.int64)
+        if self.others is not None and len(keys):
+            p = self.others.find(keys)
+            s[p >= 0] = self.other_cls[p[p >= 0]].astype(np.int64) + (END + 1)
         if len(self.keys) and len(keys):
             p = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
             hit = self.keys[p] == keys
@@ -216,6 +266,162 @@ def cluster(pairs: np.ndarray, n_words: int, classes: int = CLASSES, sweeps: int
     return cls
 
 
+def likelihood(big: np.ndarray) -> float:
+    """Log likelihood of the classes, up to what the words' counts give."""
+    return float(_xlogx(big).sum() - _xlogx(big.sum(0)).sum() - _xlogx(big.sum(1)).sum())
+
+
+def best_classes(big: np.ndarray, out: np.ndarray, into: np.ndarray, self_: np.ndarray, old: np.ndarray, classes: int = CLASSES) -> np.ndarray:
+    """Class (of the first ``classes``) that each word fits best, the others
+    staying where they are. ``out`` and ``into``: counts of the classes after
+    and before each word; ``self_``: of the word after itself. Only classes
+    that a word meets are worked on."""
+    n, r, k = len(old), np.arange(len(old)), np.arange(classes)
+    out, into = out.astype(np.float64), into.astype(np.float64)
+    out[r, old] -= self_
+    into[r, old] -= self_
+    was = np.flatnonzero(old < classes)
+    gain = np.zeros((n, classes))
+    for x, y, b in ((out, into, big), (into, out, big.T)):
+        w, c = np.nonzero(x > 0)
+        times = x[w, c]
+        rest = b[:classes, c].T.copy()                  # the class matrix without the word
+        at = np.flatnonzero(old[w] < classes)
+        rest[at, old[w[at]]] -= times[at]
+        same = np.flatnonzero(old[w] == c)
+        rest[same] -= y[w[same], :classes]
+        mine = same[old[w[same]] < classes]
+        rest[mine, old[w[mine]]] -= self_[w[mine]]
+        more = _xlogx(rest + times[:, None]) - _xlogx(rest)
+        inner = np.flatnonzero(c < classes)
+        more[inner, c[inner]] = 0                        # the diagonal follows
+        if len(w):
+            start = np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
+            gain[w[start]] += np.add.reduceat(more, start, axis=0)
+    diagonal = np.repeat(big[k, k][None], n, 0)
+    diagonal[was, old[was]] -= out[was, old[was]] + into[was, old[was]] + self_[was]
+    gain += _xlogx(diagonal + out[:, :classes] + into[:, :classes] + self_[:, None]) - _xlogx(diagonal)
+    for x, y, total in ((out, into, big.sum(1)), (into, out, big.sum(0))):
+        size = x.sum(1) + self_
+        rest = total[None, :classes] + np.zeros((n, 1))
+        rest[was, old[was]] -= size[was]
+        gain -= _xlogx(rest + size[:, None]) - _xlogx(rest)
+    new = gain.argmax(1)
+    stay = was[gain[was, new[was]] <= gain[was, old[was]] + 1e-9]
+    new[stay] = old[stay]
+    return new
+
+
+def _neighbours(block, index: Index, cls: np.ndarray):
+    """Clustered word (or -1) and class of each token, ends included, and of the one before."""
+    keys, owner = tokens(block)
+    n = len(block.bounds) - 1
+    stop = np.cumsum(np.diff(doc_slices(owner, n)) + 1) - 1
+    inner = np.ones(len(keys) + n, bool)
+    inner[stop] = False
+    word, c = np.full(len(inner), -1, np.int64), np.full(len(inner), CLASSES + SHAPES, np.int64)
+    p = index.find(keys)
+    word[inner], c[inner] = p, np.where(p >= 0, cls[np.maximum(p, 0)], CLASSES + (keys & U(3)).astype(np.int64))
+    return word, c, np.concatenate((word[-1:], word[:-1])), np.concatenate((c[-1:], c[:-1]))
+
+
+def count_classes(train: DataFrame, text_col: str, index, cls) -> np.ndarray:
+    """Adjacent class counts in the training texts (``index`` and ``cls`` are broadcast)."""
+    c = CLASSES + SHAPES + 1
+
+    def emit(batches):
+        total = np.zeros(c * c, np.int64)
+        for batch in batches:
+            for b in blocks(batch.column(0)):
+                _, now, _, before = _neighbours(b, index.value, cls.value)
+                total += np.bincount(before * c + now, minlength=c * c)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
+
+    got = (train.select(F.col(text_col).cast("string").alias("t")).mapInArrow(emit, "at long, n long")
+           .groupBy("at").agg(F.sum("n").alias("n")).toArrow())
+    out = np.zeros(c * c)
+    out[got.column("at").to_numpy()] = got.column("n").to_numpy()
+    return out.reshape(c, c)
+
+
+def move(train: DataFrame, text_col: str, index, cls, big: np.ndarray, chosen, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words among the ``chosen`` (a function of their positions) that fit
+    another class better, and that class."""
+    box = train.sparkSession.sparkContext.broadcast(big)
+    c = CLASSES + SHAPES + 1
+    shift = max(0, len(cls.value).bit_length() - bits)
+
+    def emit(batches):
+        held, size = [], 0
+        for batch in batches:
+            for b in blocks(batch.column(0)):
+                word, now, word_before, before = _neighbours(b, index.value, cls.value)
+                w, x = (word >= 0) & chosen(word), (word_before >= 0) & chosen(word_before)
+                code = np.concatenate((word[w] << 7 | before[w], word_before[x] << 7 | (c + now[x]), word[w & (word == word_before)] << 7 | 2 * c))
+                held.append(np.unique(code, return_counts=True))
+                size += len(held[-1][0])
+                if size >= packed.FLUSH:
+                    yield flush(held)
+                    held, size = [], 0
+        if held:
+            yield flush(held)
+
+    def flush(held):
+        code, n = _merge(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
+        bucket = code >> (7 + shift)
+        start = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(code) else np.zeros(0, np.int64)
+        end = np.append(start[1:], len(code))
+        # the entries of a bucket by their position in it: 25 bits and 7 of the class fit into 32
+        code = (code & ((1 << (7 + shift)) - 1)).astype(np.uint32 if shift <= 25 else np.uint64)
+        n = n.astype(np.uint32)
+        return pa.RecordBatch.from_arrays([
+            pa.array(bucket[start]), pa.array([code[i:j].tobytes() for i, j in zip(start, end)], pa.binary()),
+            pa.array([n[i:j].tobytes() for i, j in zip(start, end)], pa.binary())], ["bucket", "codes", "counts"])
+
+    def gather(key, table):
+        code = packed.unpack(table.column("codes"), np.uint32 if shift <= 25 else np.uint64).astype(np.int64)
+        code, n = _merge(code, packed.unpack(table.column("counts"), np.uint32).astype(np.int64))
+        first = key[0].as_py() << shift
+        words, at = np.unique(code >> 7, return_inverse=True)
+        got, fits = [], []
+        for lo in range(0, len(words), 512):
+            hi = min(lo + 512, len(words))
+            i, j = np.searchsorted(at, (lo, hi))
+            x = np.bincount((at[i:j] - lo) << 7 | code[i:j] & 127, n[i:j], (hi - lo) << 7).reshape(-1, 128)
+            old = cls.value[first + words[lo:hi]].astype(np.int64)
+            new = best_classes(box.value, x[:, c : 2 * c], x[:, :c], x[:, 2 * c], old)
+            got.append(first + words[lo:hi][new != old])
+            fits.append(new[new != old])
+        return pa.table({"word": pa.array(np.concatenate(got), pa.int64()), "cls": pa.array(np.concatenate(fits), pa.int8())})
+
+    out = (train.select(F.col(text_col).cast("string").alias("t")).mapInArrow(emit, "bucket long, codes binary, counts binary")
+           .groupBy("bucket").applyInArrow(gather, "word long, cls byte").toArrow())
+    return out.column("word").to_numpy(), out.column("cls").to_numpy()
+
+
+def spread(train: DataFrame, text_col: str, keys: np.ndarray, cls: np.ndarray, big: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of all words ``keys`` (sorted), of which those that start in a
+    shape class get one and then all are moved, and the class matrix."""
+    sc = train.sparkSession.sparkContext
+    index, cls = sc.broadcast(Index(keys)), cls.astype(np.uint8)
+    new = cls >= CLASSES                    # bounded like the classes: a byte per word
+    box = sc.broadcast(new)
+    steps = [lambda w: box.value[w]] + [lambda w, part=part: w % PARTS == part for part in range(PARTS)]
+    for chosen in steps:
+        was = sc.broadcast(cls)
+        at, to = move(train, text_col, index, was, big, chosen, bits)
+        if not len(at):
+            continue
+        moved = cls.copy()
+        moved[at] = to
+        then = sc.broadcast(moved)
+        after = count_classes(train, text_col, index, then)
+        if (cls[new] >= CLASSES).any() or likelihood(after) > likelihood(big):
+            cls, big = moved, after
+    return cls.astype(np.int64), big
+
+
 @dataclass
 class Model:
     states: States
@@ -245,15 +451,28 @@ def fit(train: DataFrame, text_col: str, bits: int) -> tuple[Model, DataFrame]:
     one[np.arange(END + 1), cls] = 1
     one[len(head) : WORDS] = 0
     big = one.T @ pairs @ one
+    words, words_c = above(counts, LEAST)
+    other = ~np.isin(words, head)
+    if other.any():
+        every, every_c = np.concatenate((head, words[other])), np.concatenate((head_c, words_c[other]))
+        shape = CLASSES + (words[other] & U(3)).astype(np.int64)
+        if not len(head):                   # no class to start from: deal the words out
+            shape = np.arange(len(shape)) % CLASSES
+        by_key = np.argsort(every)
+        found = np.zeros(len(every), np.int64)
+        found[by_key], big = spread(train, text_col, every[by_key], np.concatenate((cls[: len(head)], shape))[by_key], big, bits)
+        cls[: len(head)] = found[: len(head)]
+        states = States(states.keys, states.number, Index(words[other]), found[len(head) :].astype(np.uint8))
+        cls = np.concatenate((cls, np.arange(CLASSES)))
+    else:
+        every, every_c, found = head, head_c, cls[: len(head)]
     own = (big.sum(0) + 1) / (big.sum() + n_cls)
     step = np.log10((big + BETA * own[None, :]) / (big.sum(1, keepdims=True) + BETA))
     den = np.zeros(n_cls)
-    for k in range(CLASSES):
-        mine = cls[: len(head)] == k
-        den[k] = head_c[mine].sum() + mine.sum()
+    den[:CLASSES] = np.bincount(found, every_c + 1, CLASSES)[:CLASSES]
     for s in range(SHAPES):
-        mine = (head & U(3)) == U(s)
-        den[CLASSES + s] = mass[s] - head_c[mine].sum() + types[s] - mine.sum() + 1
+        mine = (every & U(3)) == U(s)
+        den[CLASSES + s] = mass[s] - every_c[mine].sum() + types[s] - mine.sum() + 1
     den[-1] = ends + 1
     lo = np.argsort(keys)
     model = Model(states, cls, step, np.log10(np.maximum(den, 1)), keys[lo], np.log10(c[lo] + 1.0), sum(mass) + ends, sum(types) + (ends > 0), ends)

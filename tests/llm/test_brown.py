@@ -61,6 +61,49 @@ def test_exchange_separates_two_kinds():
     assert len(set(zip(cls[:40], kind))) == 2
 
 
+def test_best_class_as_brute_force():
+    rng = np.random.default_rng(1)
+    n, k, c = 30, 4, 6                                   # words, classes, classes with those that words do not enter
+    pairs = rng.poisson(0.7, (n + 2, n + 2)).astype(float)
+    cls = np.concatenate((rng.integers(0, k, n), [4, 5]))
+    cls[:5] = 4                                          # not clustered yet
+
+    def matrix(cls):
+        one = np.eye(c)[cls]
+        return one.T @ pairs @ one
+
+    one = np.eye(c)[cls]
+    got = brown.best_classes(matrix(cls), (pairs @ one)[:n], (pairs.T @ one)[:n], pairs.diagonal()[:n], cls[:n], k)
+    for w in range(n):
+        value = [brown.likelihood(matrix(np.where(np.arange(n + 2) == w, x, cls))) for x in range(k)]
+        assert value[got[w]] >= max(value) - 1e-7
+
+
+def test_words_after_the_first_are_clustered(spark):
+    """2,400 words as frequent as each other, in two kinds that take turns."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(400):
+        odd, even = rng.integers(0, 1200, 60), rng.integers(0, 1200, 60)
+        rows.append((i, " ".join(f"a{a}x b{b}x" for a, b in zip(odd, even))))
+    docs = spark.createDataFrame(rows, "doc_id long, t string").repartition(3)
+    m, counts = brown.fit(docs, "t", 6)
+    keys = np.concatenate([np.frombuffer(bytes(r["keys"]), np.uint64) for r in counts.collect()])
+    times = np.concatenate([np.frombuffer(bytes(r["counts"]), np.int64) for r in counts.collect()])
+    cls = m.cls[m.states.of(keys)]
+    assert len(keys) > 2 * brown.WORDS and (cls[times >= brown.LEAST] < brown.CLASSES).all()
+    from pyarrow import array, large_string
+    from ordwave.llm.textnum import blocks
+    kind = {}
+    for r in rows:
+        k, _ = brown.tokens(next(blocks(array([r[1]], large_string()))))
+        kind.update(zip(k.tolist(), [0, 1] * 60))
+    learned = [(c, kind[k]) for k, c, x in zip(keys.tolist(), cls.tolist(), times) if x >= brown.LEAST]
+    most = sum(max(collections.Counter(b for a, b in learned if a == c).values()) for c in {c for c, _ in learned})
+    assert most >= 0.95 * len(learned)
+    assert np.allclose((10 ** m.step).sum(1), 1)
+
+
 def test_no_local_words_gives_the_same(docs, scored, monkeypatch):
     monkeypatch.setattr(brown, "LOCAL", 3)
     monkeypatch.setattr(packed, "FLUSH", 50)
