@@ -30,8 +30,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut later occurrences of passages out of the texts."""
-    cut = linededup.clean(docs)
+    """Cut later occurrences of passages and lines out of the texts."""
+    cut = linededup.clean(docs, lines=True)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -7,7 +7,9 @@ between them does not count. From each unit on, as many units as make
 ``LEAST`` words are hashed together; the digests are grouped globally. The
 occurrence in the document of lowest id is kept (within a
 document the first), and the others are removed if together they cover a run
-of at least ``min_words`` words. Removed spans keep their offsets in the
+of at least ``min_words`` words. With ``lines``, whole lines (their words) are
+hashed too, and later copies of a line are removed whatever its length and
+wherever it stands. Removed spans keep their offsets in the
 original text and the id of the document that keeps the passage.
 
 Each task sends each of its digests once per document; digests are reduced to
@@ -62,7 +64,30 @@ def unit_digests(block: Block):
     return digest, owner[a], a, b, starts, ends, owner
 
 
-def later_copies(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def digests(block: Block, lines: bool):
+    """As ``unit_digests``, with whole lines if asked for, by text; and which
+    of the digests are lines."""
+    digest, owner, a, b, starts, ends, word_owner = unit_digests(block)
+    whole = np.zeros(len(digest), bool)
+    if lines and len(starts):
+        keys = span_keys(block.prefix(LOWER), starts, ends)
+        n = len(keys)
+        breaks = np.concatenate(([0], np.cumsum(block.data == 10)))
+        new = np.ones(n, bool)
+        new[1:] = (breaks[starts[1:]] > breaks[ends[:-1]]) | (word_owner[1:] != word_owner[:-1])
+        x = np.flatnonzero(new)
+        y = np.append(x[1:], n)
+        place = np.arange(n, dtype=np.uint64) - np.repeat(x, y - x).astype(np.uint64)
+        # mixed twice: a line's digest is not that of a run of units
+        line = mix(mix(np.add.reduceat(mix(keys + place * _B), x)) + (y - x).astype(np.uint64))
+        digest, owner, a, b = (np.concatenate(z) for z in ((digest, line), (owner, word_owner[x]), (a, x), (b, y)))
+        whole = np.concatenate((whole, np.ones(len(x), bool)))
+        order = np.argsort(owner, kind="stable")
+        digest, owner, a, b, whole = (z[order] for z in (digest, owner, a, b, whole))
+    return digest, owner, a, b, starts, ends, word_owner, whole
+
+
+def later_copies(docs: DataFrame, id_col: str, text_col: str, lines: bool = False) -> DataFrame:
     """``doc``, ``digests``, ``keepers``: of each document, the digests whose
     lowest document is another, and that document."""
     bits = packed.bucket_bits(docs)
@@ -72,7 +97,7 @@ def later_copies(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             for b in blocks(batch.column(1)):
-                digest, owner, *_ = unit_digests(b)
+                digest, owner, *_ = digests(b, lines)
                 held.append((digest, ids[b.first + owner]))
                 count += len(digest)
                 if count >= packed.FLUSH:
@@ -131,27 +156,38 @@ def _runs(a: np.ndarray, b: np.ndarray, keeper: np.ndarray, min_words: int) -> l
     return out
 
 
+def _join(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Spans in order, those that overlap as one; lines next to each other stay apart, as each has its keeper."""
+    out = []
+    for lo, hi, k in sorted(spans):
+        if out and lo < out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]), min(k, out[-1][2]))
+        else:
+            out.append((lo, hi, k))
+    return out
+
+
 SPAN = "array<struct<start:bigint,end:bigint,kept_doc_id:bigint>>"
 
 
-def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, lines: bool = False) -> DataFrame:
     """``id_col``, ``kept_text``, and ``removed``: spans (start, end in
     characters of the original, id of the keeper)."""
-    return _mark(docs, id_col, text_col, min_words, [id_col]).select(
+    return _mark(docs, id_col, text_col, min_words, [id_col], lines).select(
         F.col("__0").alias(id_col), F.col("__kept").alias("kept_text"), F.col("__removed").alias("removed"))
 
 
-def _mark(docs: DataFrame, id_col: str, text_col: str, min_words: int, keep: list[str]) -> DataFrame:
+def _mark(docs: DataFrame, id_col: str, text_col: str, min_words: int, keep: list[str], lines: bool) -> DataFrame:
     """``__kept``, ``__removed`` and the ``keep`` columns as ``__0``, ``__1``
     and so on, so that no column of the input can clash."""
-    later = later_copies(docs, id_col, text_col)
+    later = later_copies(docs, id_col, text_col, lines)
 
     def run(batches):
         for batch in batches:
             ids, dig, kp = batch.column(0), batch.column(2), batch.column(3)
             texts, spans = [], []
             for b in blocks(batch.column(1)):
-                digest, owner, a, e, starts, ends, word_owner = unit_digests(b)
+                digest, owner, a, e, starts, ends, _, whole = digests(b, lines)
                 n = len(b.bounds) - 1
                 at = doc_slices(owner, n)
                 for d in range(n):
@@ -173,7 +209,12 @@ def _mark(docs: DataFrame, id_col: str, text_col: str, min_words: int, keep: lis
                     if len(mine) > 1:                 # a repeat within the text
                         order = np.argsort(mine, kind="stable")
                         hit[order[1:][mine[order][1:] == mine[order][:-1]]] = True
-                    runs = _runs(a[at[d] : at[d + 1]][hit], e[at[d] : at[d + 1]][hit], keeper[hit], min_words)
+                    mine_a, mine_e, line = a[at[d] : at[d + 1]], e[at[d] : at[d + 1]], whole[at[d] : at[d + 1]]
+                    unit = hit & ~line
+                    runs = _runs(mine_a[unit], mine_e[unit], keeper[unit], min_words)
+                    if lines:
+                        line &= hit
+                        runs = _join(runs + list(zip(mine_a[line].tolist(), mine_e[line].tolist(), keeper[line].tolist())))
                     if not runs:
                         texts.append(raw.tobytes())
                         spans.append([])
@@ -199,15 +240,15 @@ def _mark(docs: DataFrame, id_col: str, text_col: str, min_words: int, keep: lis
     return joined.mapInArrow(run, f"{schema}, __kept string, __removed {SPAN}")
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, lines: bool = False) -> DataFrame:
     """A row per removed span: ``id_col, start, end, kept_doc_id``."""
-    return (mark(docs, id_col, text_col, min_words).select(id_col, F.explode("removed").alias("r"))
+    return (mark(docs, id_col, text_col, min_words, lines).select(id_col, F.explode("removed").alias("r"))
             .select(id_col, "r.start", "r.end", "r.kept_doc_id"))
 
 
-def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, lines: bool = False) -> DataFrame:
     """``docs`` (all columns) with later occurrences cut out of the text."""
     others = [c for c in docs.columns if c != text_col]
-    out = _mark(docs, id_col, text_col, min_words, others)
+    out = _mark(docs, id_col, text_col, min_words, others, lines)
     named = {c: F.col(f"__{i}").alias(c) for i, c in enumerate(others)} | {text_col: F.col("__kept").alias(text_col)}
     return out.select(*(named[c] for c in docs.columns))

@@ -63,7 +63,7 @@ def op9_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.repeats(_table(spark, sf_dir, "documents"))
+    return linededup.repeats(_table(spark, sf_dir, "documents"), lines=True)
 
 
 QUERIES = {f.__name__: f for f in (

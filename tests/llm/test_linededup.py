@@ -1,4 +1,5 @@
 import collections
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -92,5 +93,34 @@ def test_line_ends_and_case_do_not_matter(spark):
     assert not got[1].removed and len(words_of(got[2].kept_text)) <= 12
 
 
+def test_short_lines_go_by_brute_force(spark, corpus):
+    """Every later copy of a line goes, also of one word and between other
+    texts; the first stays, in the document of lowest id."""
+    p = Prose(12)
+    shared = ["All rights reserved", "x", p.text(9, line=10**9)]
+    rows = [(i, "\n".join([p.text(40, line=10**9), (shared[i % 3] if i % 2 else "  " + shared[i % 3].upper() + "\t"), p.text(40, line=10**9)])) for i in range(12)]
+    rows += [(50, f"one {p.word()} more\nin two\nother {p.word()} line\nIN  two"), (51, None), (52, "")]
+    want, seen = collections.Counter(), {}
+    for i, t in rows:
+        for m in re.finditer(r"[^\n]+", t or ""):
+            words = " ".join(words_of(m.group()))
+            if words and seen.setdefault(words, i) is not None and (words, i) in want_first(rows, words, i, m.start()):
+                s = m.start() + len(m.group()) - len(m.group().lstrip())
+                want[i, s, m.start() + len(m.group().rstrip()), seen[words]] += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = collections.Counter((r.doc_id, r.start, r.end, r.kept_doc_id) for r in ld.repeats(docs, lines=True).collect())
+    assert got == want and len(want) == 9
+    assert not ld.repeats(docs).count()
+
+
+def want_first(rows, words, doc, start):
+    """(words, doc) if an earlier row or line has the words."""
+    for i, t in rows:
+        for m in re.finditer(r"[^\n]+", t or ""):
+            if " ".join(words_of(m.group())) == words:
+                return set() if (i, m.start()) == (doc, start) else {(words, doc)}
+    return set()
+
+
 def test_empty_table(no_docs):
     assert ld.repeats(no_docs).count() == 0
