@@ -17,7 +17,7 @@ Word counts come from all training texts by a packed exchange. A text's
 class sequence is scored where the text is read; the counts of its rare words
 are fetched by a second exchange, reduced per text where they meet, and
 added. Broadcast are ``LOCAL`` words and the class matrix, which have fixed
-bounds, and the classes of the clustered words (17 bytes each at most).
+bounds, and the classes of the clustered words (about 20 bytes each).
 
 Defined results: a null text counts as empty and has its end as only token; a
 null id counts as the empty string for the fold (a training row); repeated
