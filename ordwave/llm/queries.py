@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, brown, decontaminate, jaccard, linededup, preference, quality, scratch, toxicity, urls, warc
+from . import bpe, brown, decontaminate, jaccard, linededup, periodic, preference, quality, scratch, toxicity, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,9 +66,35 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.repeats(_table(spark, sf_dir, "documents"), lines=True)
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``documents`` with h = crc32(doc_id as text), g = floor(h / 10); where 10
+    divides h, each word i >= a of the n becomes word a + (i - a) % p, with
+    a = g % n and p = 1 + floor((n - a) / (3 + g % 8)). A null id counts as the
+    empty string; a null or blank text stays as it is."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    made = (docs.select("doc_id", "text", h.alias("h")).where("h % 10 = 0")
+            .select("doc_id", "text", F.floor(F.col("h") / 10).alias("g"), words.alias("w"))
+            .withColumn("a", F.when(F.size("w") > 0, F.expr("g % nullif(size(w), 0)")).otherwise(0))
+            .withColumn("p", F.expr("1 + (size(w) - a) div (3 + g % 8)"))
+            .withColumn("w", F.expr("transform(w, (x, i) -> IF(i < a, x, element_at(w, int(1 + a + (i - a) % p))))")))
+    return docs.where(h % 10 != 0).select("doc_id", "text").unionAll(made.select("doc_id", F.when(F.size("w") > 0, F.array_join("w", " ")).otherwise(F.col("text"))))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse(with_planted_runs(_table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return (found.withColumn("best", periodic.longest()).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc_chunks, op2_preference_format, op3_toxic_spans, op4_url_rules, op5_jaccard_rtree, op6_bpe_tree,
-    op7_brown_classes, op8_mcd_outliers, op9_minhash_containment, op10_line_dedup)}
+    op7_brown_classes, op8_mcd_outliers, op9_minhash_containment, op10_line_dedup,
+    op11_periodic_runs)}
 
 ORACLE = {
     "op1_warc_chunks": """

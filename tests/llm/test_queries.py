@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline as pipeline
 from ordwave.llm import scratch
+from ordwave.llm.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -20,7 +21,7 @@ def test_one_row_per_document(spark, n):
 def test_all_are_registered():
     names = entry.queries()
     assert "pipeline" in names
-    assert [k.split("_")[0] for k in names if k.startswith("op")] == [f"op{n}" for n in range(1, 11)]
+    assert [k.split("_")[0] for k in names if k.startswith("op")] == [f"op{n}" for n in range(1, len(QUERIES) + 1)]
     assert len(pipeline.STAGES) == 5
 
 
