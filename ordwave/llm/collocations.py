@@ -2,28 +2,33 @@
 
 Words of a text are written back to back, lower-cased and one space apart; a
 prefix polynomial over these bytes gives the fingerprint of any phrase within
-a piece as the difference of two sums. Three passes over the texts:
+a piece as the difference of two sums. Passes over the texts:
 
 1. fingerprints of all words and pairs of words, reduced per task, meet in
    packed buckets, which keep those that occur ``least`` times or more;
 2. the same for phrases of three words and more, all of whose pairs are
    frequent (a phrase is no more frequent than its parts);
 3. occurrences whose fingerprint is frequent are compared, byte by byte, with
-   the occurrence that the block's fingerprint points to, and only these phrases
-   are materialised. They are grouped by language and text, so a count
-   is always one of a text; each keeps a pointer to its first occurrence.
+   the first of the block that has it. Their counts and a pointer (text, word)
+   to one of them meet by fingerprint and a second, independent one, so that
+   phrases which share the first in different tasks are told apart as well;
+4. only texts that a frequent phrase points to are fetched, and the phrase is
+   read there, after both fingerprints are computed anew: a phrase is
+   materialised once, however many tasks have met it.
 
 The passes know frequent fingerprints by a bitmap of 32 slots for each of
 them, at most 2^28 slots (32 MB): what a full bitmap lets through is counted in
-vain and falls out by its exact count. Nothing else is broadcast.
+vain and falls out by its exact count. Nothing else is broadcast but a bitmap,
+of the same bound, of the texts that are pointed to.
 
 Scores, nesting and ranks are joins, grouped maxima and a limited window
 over the frequent phrases, in exact decimals.
 
 Defined results: a null text is empty; a null language is ``und`` (and one with
-it); repeated rows and ids count each; a phrase met only in rows whose id is
-null, or no whole number, has no pointer; an empty table gives no rows; other
-columns are ignored, whatever their names.
+it); repeated rows and ids count each; the pointer's id is null where it is null
+or no whole number; texts of 2^28 words and more are not pointed to (a phrase
+that occurs beyond them only has none, and is an error); an empty table gives no
+rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,9 +41,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from . import packed, scratch
-from .textnum import EXACT, U, Block, blocks, span_keys
+from .textnum import EXACT, U, Block, blocks, mix, span_keys
 
-HELD = 2_000_000         # fingerprints, or phrases, that a task collects before it hands them over
+HELD = 1_200_000         # fingerprints that a task collects before it hands them over
+SECOND = mix(EXACT ^ U(0x5851F42D4C957F2D)) | U(1)      # values of the second polynomial
 SLOTS_LOG2 = 28          # of the largest bitmap
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09]] = True
@@ -68,6 +74,7 @@ class Phrases:
         self.piece = np.cumsum(new)
         self.lang = langs
         self.prefix = Block(0, self.text, np.array([0, total])).prefix(EXACT)
+        self.second = None
 
     def of(self, n: int) -> np.ndarray:
         """First words of the phrases of ``n`` words."""
@@ -75,9 +82,15 @@ class Phrases:
             return np.zeros(0, np.int64)
         return np.flatnonzero(self.piece[: len(self.piece) - n + 1] == self.piece[n - 1 :])
 
-    def keys(self, first: np.ndarray, n: int) -> np.ndarray:
+    def keys(self, first: np.ndarray, n) -> np.ndarray:
         return span_keys(self.prefix, self.start[first], self.end[first + n - 1]) ^ self.lang[self.row[first]]
 
+    def checks(self, first: np.ndarray, n) -> np.ndarray:
+        """The second fingerprint."""
+        if self.second is None:
+            self.second = Block(0, self.text, np.array([0, len(self.text)])).prefix(SECOND)
+        return span_keys(self.second, self.start[first], self.end[first + n - 1]) ^ self.lang[self.row[first]]
+
 
 def _lang_key(lang: str) -> int:
     return int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little")
@@ -158,7 +171,8 @@ def count(docs: DataFrame, sizes, least: int, bits: int, pairs=None) -> DataFram
 
 
 def bitmap(frequent: DataFrame, bits: int) -> Bits:
-    """The bitmap of a table of :func:`count`, built per bucket (whose slots lie together)."""
+    """The bitmap of a table of packed ``keys`` (``n`` of them) per bucket of
+    their top ``bits``, built per bucket, whose slots lie together."""
     n = frequent.agg(F.sum("n")).first()[0] or 0
     log2 = max(bits + 3, min(SLOTS_LOG2, int(32 * n).bit_length()))
     part = 1 << (log2 - bits - 3)
@@ -195,95 +209,182 @@ def differ(text: np.ndarray, a: np.ndarray, b: np.ndarray, size_a: np.ndarray, s
     return out
 
 
-def materialise(docs: DataFrame, sizes, words: Bits, longer: Bits) -> DataFrame:
-    """(lang, phrase, n, f, at) of the phrases whose fingerprint is in a bitmap
-    (``words``: one and two words), and the words of each language (n = 0)."""
-    sc = docs.sparkSession.sparkContext
-    few, many = sc.broadcast(words), sc.broadcast(longer)
+def _reduce(keys, checks, counts, at) -> list[np.ndarray]:
+    """Sum of the counts and least pointer of each pair of fingerprints, by the first."""
+    order = np.lexsort((checks, keys))
+    keys, checks, counts, at = keys[order], checks[order], counts[order], at[order]
+    if not len(keys):
+        return [keys, checks, counts, at]
+    start = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (checks[1:] != checks[:-1]))))
+    return [keys[start], checks[start], np.add.reduceat(counts, start), np.minimum.reduceat(at, start)]
 
-    def run(batches):
-        held: dict = {}
-        for batch in batches:
-            batch = batch.take(pa.compute.sort_indices(batch.column(0)))          # null ids last
-            ids = batch.column(0).to_pylist()
-            names, langs = _langs(batch.column(1))
-            for b in blocks(batch.column(2)):
-                last = b.first + len(b.bounds) - 1
-                collect(held, Phrases(b, langs[b.first : last]), names[b.first : last], ids[b.first : last])
-                if len(held) >= HELD // 4:
-                    yield rows(held)
-                    held = {}
-        if held:
-            yield rows(held)
 
-    def collect(held, p, names, ids):
-        at = np.searchsorted(p.row, np.arange(len(names) + 1))
-        for name, k in zip(names, np.diff(at).tolist()):
-            add(held, (name, b""), 0, k, None)
-        ok = np.zeros(len(p.piece), bool)
-        parts = []
-        for n in sizes:
+def pointers(row: np.ndarray, word: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """32 bits of the text's key, 28 of the word's number, 4 of the phrase's size."""
+    at = row << U(32) | word.astype(np.uint64) << U(4) | n.astype(np.uint64)
+    return np.where(word < 1 << 28, at, ~U(0))
+
+
+class Occurrences:
+    """Frequent fingerprints of a task: count and least pointer."""
+
+    def __init__(self, sizes, few: Bits, many: Bits):
+        self.sizes, self.few, self.many = sizes, few, many
+        self.held: list = []
+        self.size = 0
+        self.words: dict[str, int] = {}
+
+    def add(self, p: Phrases, names: list, rows: np.ndarray) -> None:
+        first_word = np.searchsorted(p.row, np.arange(len(names) + 1))
+        for name, k in zip(names, np.diff(first_word).tolist()):
+            self.words[name] = self.words.get(name, 0) + k
+        ok, parts = np.zeros(len(p.piece), bool), []
+        for n in self.sizes:
             first = p.of(n)
             if n > 2:
                 for k in range(n - 1):
                     first = first[ok[first + k]]
             key = p.keys(first, n)
-            hit = (few if n <= 2 else many).value.has(key)
+            hit = (self.few if n <= 2 else self.many).has(key)
             if n == 2:
                 ok[first[hit]] = True
             parts.append((key[hit], first[hit], np.full(int(hit.sum()), n)))
         key, first, n = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(key, kind="stable")                                    # ties: by row, so by id
-        key, first, n = key[order], first[order], n[order]
         if not len(key):
             return
+        at = pointers(rows[p.row[first]], first - first_word[p.row[first]], n)
+        order = np.argsort(key, kind="stable")
+        key, first, n, at = key[order], first[order], n[order], at[order]
         new = np.concatenate(([True], key[1:] != key[:-1]))
-        lead = np.flatnonzero(new)
-        group = np.cumsum(new) - 1
+        lead, group = np.flatnonzero(new), np.cumsum(new) - 1
         s, e = p.start[first], p.end[first + n - 1]
         other = differ(p.text, s, s[lead][group], e - s, (e - s)[lead][group]) | (p.lang[p.row[first]] != p.lang[p.row[first[lead]]][group])
-        size = np.bincount(group[~other], minlength=len(lead))
-        text = p.text.tobytes()
-        for i in np.flatnonzero(other).tolist():                                  # another phrase of the same fingerprint
-            put(held, p, names, ids, at, text, i, first, n, s, e, 1)
-        for i, k in zip(lead.tolist(), size.tolist()):
-            put(held, p, names, ids, at, text, i, first, n, s, e, k)
-
-    def put(held, p, names, ids, at, text, i, first, n, s, e, k):
-        row = int(p.row[first[i]])
-        add(held, (names[row], text[s[i] : e[i]]), int(n[i]), k, None if ids[row] is None else (ids[row], int(first[i] - at[row])))
-
-    def add(held, key, n, k, where):
-        old = held.get(key)
-        if old is None:
-            held[key] = [n, k, where]
-        else:
-            old[1] += k
-            if where is not None and (old[2] is None or where < old[2]):
-                old[2] = where
-
-    def rows(held):
-        n, f, where = zip(*held.values())
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in held], pa.string()), pa.array([k[1].decode() for k in held], pa.string()), pa.array(n, pa.int32()), pa.array(f, pa.int64()),
-             pa.array([w and {"doc_id": w[0], "word": w[1]} for w in where], pa.struct([("doc_id", pa.int64()), ("word", pa.int64())]))],
-            ["lang", "phrase", "n", "f", "at"])
-
-    return (docs.mapInArrow(run, "lang string, phrase string, n int, f long, at struct<doc_id: bigint, word: bigint>")
-            .groupBy("lang", "phrase").agg(F.first("n").alias("n"), F.sum("f").alias("f"), F.min("at").alias("at")))
-
-
-def phrases(docs: DataFrame, least: int = 30, longest: int = 4, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, phrase, n, f, at): all phrases of up to ``longest`` words that
-    occur ``least`` times or more in a language, and its words in all (n = 0)."""
-    src = docs.select(F.expr(f"try_cast(`{id_col}` AS bigint)").alias("id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
-                      F.col(text_col).cast("string").alias("text"))
-    bits = packed.bucket_bits(docs)
+        counts, least = np.bincount(group[~other], minlength=len(lead)), np.minimum.reduceat(np.where(other, ~U(0), at), lead)
+        apart = np.flatnonzero(other)                       # another phrase of the same fingerprint
+        use = np.concatenate((lead, apart))
+        self.held.append(_reduce(key[use], p.checks(first[use], n[use]), np.concatenate((counts, np.ones(len(apart), np.int64))),
+                                 np.concatenate((least, at[apart]))))
+        self.size += len(use)
+
+
+FOUND = "bucket long, keys binary, checks binary, counts binary, at binary, lang string, words long"
+
+
+def occurrences(docs: DataFrame, sizes, bits: int, words: Bits, longer: Bits, least: int) -> DataFrame:
+    """Per bucket: fingerprints of the frequent phrases, their counts and
+    pointers; and, in buckets below zero, the words of each language."""
+    sc = docs.sparkSession.sparkContext
+    few, many = sc.broadcast(words), sc.broadcast(longer)
+
+    def emit(batches):
+        o = Occurrences(sizes, few.value, many.value)
+        for batch in batches:
+            names, langs = _langs(batch.column(1))
+            rows = batch.column(3).to_numpy().view(np.uint64) >> U(32)
+            for b in blocks(batch.column(2)):
+                last = b.first + len(b.bounds) - 1
+                o.add(Phrases(b, langs[b.first : last]), names[b.first : last], rows[b.first : last])
+                if o.size >= HELD:
+                    yield flush(o)
+        yield flush(o)
+        yield pa.RecordBatch.from_arrays([pa.array([-1 - _lang_key(x) % 64 for x in o.words], pa.int64()), *(pa.nulls(len(o.words), pa.binary()) for _ in range(4)),
+                                          pa.array(list(o.words), pa.string()), pa.array(list(o.words.values()), pa.int64())], NAMES)
+
+    def flush(o):
+        cols = _reduce(*(np.concatenate(c) for c in zip(*o.held))) if o.held else [np.zeros(0, np.uint64)] * 4
+        o.held, o.size = [], 0
+        rows = list(zip(*packed.pack(bits, cols[0], cols[1], cols[2].astype(np.int64), cols[3]))) or [[]] * 5
+        return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), *(pa.array(c, pa.binary()) for c in rows[1:]), pa.nulls(len(rows[0]), pa.string()),
+                                           pa.nulls(len(rows[0]), pa.int64())], NAMES)
+
+    def gather(key, table):
+        if key[0].as_py() < 0:
+            sums = table.group_by("lang").aggregate([("words", "sum")])
+            n = len(sums)
+            return pa.Table.from_arrays([pa.nulls(n, pa.int64()).fill_null(key[0].as_py()), *(pa.nulls(n, pa.binary()) for _ in range(4)), sums.column("lang"),
+                                         sums.column("words_sum").cast(pa.int64())], NAMES)
+        kinds = (np.uint64, np.uint64, np.int64, np.uint64)
+        cols = _reduce(*(packed.unpack(table.column(c), t) for c, t in zip(NAMES[1:5], kinds)))
+        cols = [c[cols[2] >= least] for c in cols]
+        return pa.Table.from_arrays([pa.array([key[0].as_py()], pa.int64()), *(pa.array([c.tobytes()], pa.binary()) for c in cols), pa.nulls(1, pa.string()),
+                                     pa.array([len(cols[0])], pa.int64())], NAMES)
+
+    NAMES = ["bucket", "keys", "checks", "counts", "at", "lang", "words"]
+    return scratch.table(docs.mapInArrow(emit, FOUND).groupBy("bucket").applyInArrow(gather, FOUND), "occurrences")
+
+
+def fetch(docs: DataFrame, found: DataFrame, bits: int) -> DataFrame:
+    """(lang, phrase, n, f, doc_id, word) of the phrases that ``found`` points to."""
+    def unpack(batches):
+        for batch in batches:
+            key, check, f, at = (packed.unpack(batch.column(c), t) for c, t in enumerate((np.uint64, np.uint64, np.int64, np.uint64)))
+            if (at == ~U(0)).any():
+                raise ValueError("a frequent phrase occurs only beyond 2^28 words of its texts")
+            yield pa.RecordBatch.from_arrays([pa.array((at >> U(32)).view(np.int64)), pa.array((at & U(0xFFFFFFFF)).view(np.int64)), pa.array(key.view(np.int64)),
+                                              pa.array(check.view(np.int64)), pa.array(f)], ["row", "at", "key", "check", "f"])
+
+    places = scratch.table(found.where("bucket >= 0").select("keys", "checks", "counts", "at")
+                           .mapInArrow(unpack, "row long, at long, key long, check long, f long"), "places")
+
+    def pack_rows(key, table):
+        rows = np.unique(table.column("row").to_numpy().view(np.uint64)) << U(32)
+        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int64()), "keys": pa.array([rows.tobytes()], pa.binary()), "n": pa.array([len(rows)], pa.int64())})
+
+    rows = places.select(F.shiftright("row", 32 - bits).alias("bucket"), "row").distinct()
+    wanted = docs.sparkSession.sparkContext.broadcast(
+        bitmap(scratch.table(rows.groupBy("bucket").applyInArrow(pack_rows, "bucket long, keys binary, n long"), "rows"), bits))
+
+    def choose(batches):
+        for batch in batches:
+            row = batch.column(3).to_numpy().view(np.uint64) >> U(32)
+            hit = np.flatnonzero(wanted.value.has(row << U(32)))
+            _, one = np.unique(batch.column(3).to_numpy()[hit], return_index=True)         # copies of a text: one of a batch
+            hit = np.sort(hit[one])
+            yield pa.RecordBatch.from_arrays([pa.array(row[hit].view(np.int64)), *(batch.column(c).take(pa.array(hit)) for c in (0, 1, 2, 3))],
+                                             ["row", "id", "lang", "text", "whole"])
+
+    texts = (docs.mapInArrow(choose, "row long, id long, lang string, text string, whole long")
+             .groupBy("row", "whole").agg(F.min(F.struct("id", "lang", "text")).alias("t")).select("row", "t.*"))
+    lists = places.groupBy("row").agg(F.collect_list(F.struct("at", "key", "check", "f")).alias("p"))
+
+    def read(batches):
+        for batch in batches:
+            _, langs = _langs(batch.column(1))
+            for b in blocks(batch.column(2)):
+                last = b.first + len(b.bounds) - 1
+                p = Phrases(b, langs[b.first : last])
+                mine = batch.column(3).slice(b.first, last - b.first)
+                sizes = mine.value_lengths().to_numpy()
+                flat = mine.flatten()
+                at, key, check, f = (flat.field(c).to_numpy() for c in range(4))
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                start = np.searchsorted(p.row, np.arange(len(sizes) + 1))
+                word, n = at >> 4, at & 15
+                first = start[owner] + word
+                ok = np.flatnonzero(first + n <= start[owner + 1])                          # else the pointer of another text
+                ok = ok[p.piece[first[ok]] == p.piece[first[ok] + n[ok] - 1]]
+                ok = ok[(p.keys(first[ok], n[ok]).view(np.int64) == key[ok]) & (p.checks(first[ok], n[ok]).view(np.int64) == check[ok])]
+                text = p.text.tobytes()
+                phrase = [text[s:e].decode() for s, e in zip(p.start[first[ok]].tolist(), p.end[first[ok] + n[ok] - 1].tolist())]
+                of = pa.array(owner[ok] + b.first)
+                yield pa.RecordBatch.from_arrays([batch.column(1).take(of), pa.array(phrase, pa.string()), pa.array(n[ok].astype(np.int32)), pa.array(f[ok]),
+                                                  batch.column(0).take(of), pa.array(word[ok])], ["lang", "phrase", "n", "f", "doc_id", "word"])
+
+    return (texts.join(lists, "row").select("id", "lang", "text", "p")
+            .mapInArrow(read, "lang string, phrase string, n int, f long, doc_id long, word long").dropDuplicates(["lang", "phrase"]))
+
+
+def phrases(docs: DataFrame, least: int = 30, longest: int = 4, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
+    """(lang, phrase, n, f, doc_id, word): all phrases of up to ``longest`` words
+    that occur ``least`` times or more in a language, and where; and (lang, n): its words."""
+    lang, text = F.coalesce(F.col(lang_col).cast("string"), F.lit("und")), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    src = docs.select(F.expr(f"try_cast(`{id_col}` AS bigint)").alias("id"), lang.alias("lang"), text.alias("text"), F.xxhash64(lang, text).alias("whole"))
+    bits = min(packed.bucket_bits(docs), SLOTS_LOG2 - 3)
     words = bitmap(count(src, (1, 2), least, bits), bits)
     pairs = docs.sparkSession.sparkContext.broadcast(words)
     longer = bitmap(count(src, range(3, longest + 1), least, bits, pairs), bits) if longest > 2 else words
-    found = materialise(src, range(1, longest + 1), words, longer)
-    return scratch.table(found.where((F.col("n") == 0) | (F.col("f") >= least)), "phrases")
+    found = occurrences(src, range(1, longest + 1), bits, words, longer, least)
+    return scratch.table(fetch(src, found, bits), "phrases"), found.where("bucket < 0").select("lang", F.col("words").alias("n"))
 
 
 def _joined(a: str, b: str) -> str:
@@ -294,10 +395,8 @@ def collocations(docs: DataFrame, least: int = 30, longest: int = 4, nested_perc
                  id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The first ``top`` phrases of each language by score: lang, rank, phrase,
     a, l, r, n, score, and the first occurrence (doc_id, word)."""
-    found = phrases(docs, least, longest, id_col, text_col, lang_col)
-    words = found.where("n = 0").select("lang", F.col("f").alias("n"))
-    frequent = found.where("n > 0")
-    candidate = frequent.where("n > 1").select("lang", "phrase", F.col("n").alias("size"), F.col("f").alias("a"), "at", F.split("phrase", " ").alias("w"))
+    frequent, words = phrases(docs, least, longest, id_col, text_col, lang_col)
+    candidate = frequent.where("n > 1").select("lang", "phrase", F.col("n").alias("size"), F.col("f").alias("a"), F.struct("doc_id", "word").alias("at"), F.split("phrase", " ").alias("w"))
 
     # the longer phrases that hold a candidate: of each, its inner phrases, reduced before the join
     inner = candidate.where("size > 2").select("lang", "a", F.explode(F.expr(

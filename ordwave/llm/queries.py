@@ -99,7 +99,7 @@ def op12_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return collocations.collocations(_table(spark, sf_dir, "documents"))
+    return collocations.collocations(_table(spark, sf_dir, "documents")).drop("doc_id", "word")
 
 
 QUERIES = {f.__name__: f for f in (
@@ -162,26 +162,23 @@ SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC,
 FROM s QUALIFY rank <= 10
 """,
     "op13_phrase_collocations": r"""
-WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(lang, 'und') AS lang,
-                  string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n-\r]') AS p
-           FROM documents),
-p AS (SELECT row, doc_id, lang, i, list_filter(string_split_regex(p[i], '[ \t]+'), lambda x: x <> '') AS w
-      FROM (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM d)),
-o AS (SELECT *, sum(len(w)) OVER (PARTITION BY row ORDER BY i) - len(w) AS before FROM p),
-g AS (SELECT lang, m, doc_id, before + j - 1 AS word, array_to_string(list_slice(w, j, j + m - 1), ' ') AS phrase
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n-\r]')) AS p FROM documents),
+o AS (SELECT lang, list_filter(string_split_regex(p, '[ \t]+'), lambda x: x <> '') AS w FROM d),
+g AS (SELECT lang, m, array_to_string(list_slice(w, j, j + m - 1), ' ') AS phrase
       FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS j FROM o CROSS JOIN (VALUES (1), (2), (3), (4)) t(m) WHERE len(w) >= m)),
-f AS (SELECT lang, m, phrase, count(*) AS f, min({'doc_id': doc_id, 'word': word}) AS at FROM g GROUP BY ALL HAVING count(*) >= 30),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
 t AS (SELECT lang, count(*) AS n FROM g WHERE m = 1 GROUP BY lang),
-c AS (SELECT lang, m, phrase, f AS a, at, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
 inner_ AS (SELECT lang, a, array_to_string(list_slice(w, i, i + s - 1), ' ') AS phrase
            FROM (SELECT *, unnest(range(1, m - s + 2)) AS i FROM c CROSS JOIN (VALUES (2), (3)) t(s) WHERE s < m)),
 longer AS (SELECT lang, phrase, max(a) AS b FROM inner_ GROUP BY ALL),
 k AS (SELECT c.*, unnest(range(1, m)) AS k FROM c LEFT JOIN longer USING (lang, phrase) WHERE b IS NULL OR 100 * b < 80 * a),
-s AS (SELECT k.lang, k.phrase, k.a, k.at, k.k, l.f AS l, r.f AS r, ((2000000::HUGEINT * k.a) // (l.f + r.f))::BIGINT AS score
+s AS (SELECT k.lang, k.phrase, k.a, k.k, l.f AS l, r.f AS r, ((2000000::HUGEINT * k.a) // (l.f + r.f))::BIGINT AS score
       FROM k JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(list_slice(k.w, 1, k.k), ' ')
              JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(list_slice(k.w, k.k + 1, k.m), ' ')),
 b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM b)
-SELECT lang, rank, phrase, a, l, r, n, score, at.doc_id AS doc_id, at.word::BIGINT AS word FROM z JOIN t USING (lang) WHERE rank <= 2000
+SELECT lang, rank, phrase, a, l, r, n, score FROM z JOIN t USING (lang) WHERE rank <= 2000
 """,
 }

@@ -3,7 +3,6 @@ import re
 from collections import Counter
 
 import numpy as np
-import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
@@ -16,19 +15,15 @@ SMALL = "/root/testdata/sf0.001"
 
 def brute(rows, least=30, top=2000, longest=4):
     """rows: (doc_id, lang, text)."""
-    f, n, at = Counter(), Counter(), {}
+    f, n = Counter(), Counter()
     for doc_id, lang, text in rows:
-        lang, seen = lang if lang is not None else "und", 0
+        lang = lang if lang is not None else "und"
         for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOW)):
             w = re.findall(r"[^\x20\x09]+", piece)
             n[lang] += len(w)
             for i in range(len(w)):
                 for m in range(1, min(longest, len(w) - i) + 1):
-                    key = (lang, tuple(w[i : i + m]))
-                    f[key] += 1
-                    if doc_id is not None:
-                        at[key] = min(at.get(key, (doc_id, seen + i)), (doc_id, seen + i))
-            seen += len(w)
+                    f[lang, tuple(w[i : i + m])] += 1
     cand = {k: a for k, a in f.items() if len(k[1]) > 1 and a >= least}
     gone = {(lang, w[i : i + m]) for (lang, w), b in cand.items() for m in range(2, len(w)) for i in range(len(w) - m + 1)
             if 100 * b >= 80 * f[lang, w[i : i + m]]}
@@ -38,13 +33,21 @@ def brute(rows, least=30, top=2000, longest=4):
             continue
         cuts = [(2_000_000 * a // (f[lang, w[:k]] + f[lang, w[k:]]), k) for k in range(1, len(w))]
         score, k = min(cuts)
-        out.setdefault(lang, []).append((-score, -a, " ".join(w).encode(), f[lang, w[:k]], f[lang, w[k:]], at.get((lang, w), (None, None))))
-    return sorted(((lang, i + 1, p.decode(), -a, l, r, n[lang], -s, *where) for lang, v in out.items()
-                   for i, (s, a, p, l, r, where) in enumerate(sorted(v)[:top])), key=str)
+        out.setdefault(lang, []).append((-score, -a, " ".join(w).encode(), f[lang, w[:k]], f[lang, w[k:]]))
+    return sorted(((lang, i + 1, p.decode(), -a, l, r, n[lang], -s) for lang, v in out.items()
+                   for i, (s, a, p, l, r) in enumerate(sorted(v)[:top])), key=str)
 
 
 def run(df, **kw):
-    return sorted((tuple(r) for r in collocations.collocations(df, **kw).collect()), key=str)
+    """The rows, after a look at the occurrence that each points to."""
+    got = collocations.collocations(df, **kw).collect()
+    texts = {}
+    for r in df.select("doc_id", "lang", "text").collect():
+        texts.setdefault((r.doc_id, r.lang if r.lang is not None else "und"), []).append(re.findall(r"[^\x20\x09-\x0D.,;:!?]+", (r.text or "").translate(LOW)))
+    for r in got:
+        w = r.phrase.split(" ")
+        assert any(t[r.word : r.word + len(w)] == w for t in texts[r.doc_id, r.lang])
+    return sorted((tuple(r)[:8] for r in got), key=str)
 
 
 @pytest.mark.parametrize(("least", "longest", "top"), [(5, 4, 2000), (3, 3, 40), (30, 2, 5)])
@@ -76,31 +79,23 @@ def test_words_and_comparison_of_bytes():
     assert collocations.differ(text, np.array([12, 24, 0, 0]), np.zeros(4, int), size, np.array([11, 11, 11, 4])).tolist() == [False, True, False, True]
 
 
-def test_collisions_within_a_task(monkeypatch):
-    # all phrases of the same fingerprint: texts tell them apart
-    held = {}
-    rows = [(1, "en", "aa bb cc aa bb dd")]
-    everything = collocations.Bits(3, np.full(1, 255, np.uint8))
+def test_collisions_within_a_block(monkeypatch):
+    """All phrases of the same fingerprint: their bytes, and the second
+    fingerprint, tell them apart."""
+    text = "aa bb cc aa bb dd"
+    every = collocations.Bits(3, np.full(1, 255, np.uint8))
     monkeypatch.setattr(collocations.Phrases, "keys", lambda self, first, n: np.full(len(first), 7, np.uint64))
-
-    class Box:
-        value = everything
-
-    class Frame:                                   # only what materialise asks of a DataFrame
-        class sparkSession:
-            class sparkContext:
-                broadcast = staticmethod(lambda x: Box)
-
-        def mapInArrow(self, f, schema):
-            held["run"] = f
-            raise StopIteration
-
-    with pytest.raises(StopIteration):
-        collocations.materialise(Frame(), (1, 2), everything, everything)
-    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["en"]), pa.array([rows[0][2]])], ["id", "lang", "text"])
-    got = {r["phrase"]: (r["n"], r["f"], r["at"]) for out in held["run"]([batch]) for r in out.to_pylist()}
-    assert got[""] == (0, 6, None)
-    assert got["aa"] == (1, 2, {"doc_id": 1, "word": 0}) and got["aa bb"] == (2, 2, {"doc_id": 1, "word": 0}) and got["bb dd"] == (2, 1, {"doc_id": 1, "word": 4})
+    p = collocations.Phrases(Block(0, np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)])), np.zeros(1, np.uint64))
+    o = collocations.Occurrences((1, 2), every, every)
+    o.add(p, ["en"], np.array([5], np.uint64))
+    key, check, f, at = o.held[0]
+    got = {}
+    for k, a in zip(f.tolist(), at.tolist()):
+        word, n = (a & 0xFFFFFFFF) >> 4, a & 15
+        assert a >> 32 == 5
+        got[" ".join(text.split()[word : word + n])] = (k, word)
+    assert got == {"aa": (2, 0), "bb": (2, 1), "cc": (1, 2), "dd": (1, 5), "aa bb": (2, 0), "bb cc": (1, 1), "cc aa": (1, 2), "bb dd": (1, 4)}
+    assert o.words == {"en": 6} and len(set(check.tolist())) == 8 and set(key.tolist()) == {7}
 
 
 def test_no_documents(no_docs):
