@@ -3,12 +3,13 @@
   ingest   run the ingestion streams (--mode orders|pricing|both), live Kafka
            or the file form of the topics (--topics-dir); --routed reads all
            topics through one subscription; --validator nulls|strict
+  stop     let running ingests end after their current micro-batch (--stop-marker)
   backfill bounded load of the topics with the same transforms (S9)
   verify   table summary and rows per day (first 5 + last 5) of landed tables
   preview  the first n events of each topic
   publish  build Kafka-shaped topics from a testdata directory
   audit    contract / mix / return-rate / competitor audits of landed tables
-  compact  fold landed micro-batches into monthly history
+  compact  fold landed micro-batches into files of a target size (--retire: delete what earlier snapshots read)
 
 Only small final reports are brought to the driver (for printing).
 """
@@ -27,11 +28,11 @@ from .schemas import ORDERS_TOPIC, PRICING_TOPIC
 
 def _cfg(args) -> IngestConfig:
     kw = {}
-    for name in ("sink_root", "checkpoint_root", "validator", "starting_offsets"):
+    for name in ("sink_root", "checkpoint_root", "validator", "starting_offsets", "stop_marker"):
         v = getattr(args, name, None)
         if v:
             kw[name] = v
-    for name in ("quarantine_pricing", "drop_tombstones"):
+    for name in ("quarantine_pricing", "drop_tombstones", "unique_orders"):
         if getattr(args, name, False):
             kw[name] = True
     if getattr(args, "trigger_seconds", None):
@@ -49,12 +50,17 @@ def _root(spark, cfg: IngestConfig) -> str:
 
 def cmd_ingest(spark: SparkSession, args) -> int:
     from .sources.kafka import kafka_stream, record_files_stream
-    from .streaming.streams import ProgressPrinter, await_all, run_streams, start_routed_ingest
+    from .sources.tables import path_exists
+    from .streaming.streams import ProgressPrinter, ProgressTable, await_all, run_streams, start_routed_ingest
 
     cfg = _cfg(args)
-    printer = ProgressPrinter() if args.progress else None
-    if printer:
-        spark.streams.addListener(printer)
+    if cfg.stop_marker and path_exists(spark, cfg.stop_marker):
+        print(f"{cfg.stop_marker} is there: nothing started")
+        return 1
+    listeners = [ProgressPrinter()] if args.progress else []
+    listeners.append(ProgressTable(spark, f"{_root(spark, cfg)}/progress"))
+    for one in listeners:
+        spark.streams.addListener(one)
     paths = None
     if args.topics_dir:
         paths = {ORDERS_TOPIC: f"{args.topics_dir}/{ORDERS_TOPIC}", PRICING_TOPIC: f"{args.topics_dir}/{PRICING_TOPIC}"}
@@ -69,10 +75,24 @@ def cmd_ingest(spark: SparkSession, args) -> int:
         queries = run_streams(spark, args.mode, cfg, topic_paths=paths, available_now=args.available_now)
     print(f"started: {', '.join(q.name for q in queries)}; landing in {_root(spark, cfg)}")
     try:
-        await_all(spark, queries)
+        await_all(spark, queries, stop_marker=cfg.stop_marker)
     finally:
-        if printer:
-            spark.streams.removeListener(printer)
+        for one in listeners:
+            spark.streams.removeListener(one)
+        listeners[-1].flush()
+    return 0
+
+
+def cmd_stop(spark: SparkSession, args) -> int:
+    """Ask running ingests to end after their current micro-batch."""
+    from .sources.tables import hadoop_fs
+
+    fs, path = hadoop_fs(spark, args.stop_marker)
+    if args.clear:
+        print(f"{args.stop_marker}: {'removed' if fs.delete(path, False) else 'was not there'}")
+    else:
+        fs.createNewFile(path)
+        print(f"{args.stop_marker}: written")
     return 0
 
 
@@ -88,6 +108,8 @@ def cmd_backfill(spark: SparkSession, args) -> int:
                                       ("pricing_events", cfg.pricing_topic, pricing_flagged, landed_pricing)):
         recs = (record_files(spark, f"{args.topics_dir}/{topic}") if args.topics_dir
                 else route(kafka_batch(spark, cfg, topic), topic))
+        if cfg.drop_tombstones:
+            recs = recs.where(F.col("value").isNotNull())
         validator = cfg.validator if table == "orders" else "pricing" if cfg.quarantine_pricing else None
         flagged = coerce_booleans(flag(recs, validator))
         counts = write_batch_load(flagged, shape, root, table, args.load_id)
@@ -98,13 +120,12 @@ def cmd_backfill(spark: SparkSession, args) -> int:
 def cmd_verify(spark: SparkSession, args) -> int:
     from .plans.reports import audit_totals, head_tail, rows_per_day, table_report
     from .sources.tables import path_exists
-    from .plans.landing import read_landed_current
-    from .streaming.sinks import quarantine_exists, read_audit, read_quarantine, table_exists_in
+    from .streaming.sinks import quarantine_exists, read_audit, read_landed, read_quarantine, table_exists_in
 
     root = _root(spark, _cfg(args))
     tables = {}
     for table in ("orders", "pricing_events"):
-        tables[table] = (read_landed_current(spark, root, table) if table_exists_in(spark, root, table) else None,
+        tables[table] = (read_landed(spark, root, table) if table_exists_in(spark, root, table) else None,
                          "timestamp")
         q = quarantine_exists(spark, root, table)
         tables[f"{table}_quarantine"] = (read_quarantine(spark, root, table) if q else None, "kafka_timestamp")
@@ -115,7 +136,10 @@ def cmd_verify(spark: SparkSession, args) -> int:
     for table in ("orders", "pricing_events"):
         if tables[table][0] is not None:
             print(f"--- {table}: rows per day (first 5 + last 5)")
-            head_tail(rows_per_day(tables[table][0])).orderBy("d").show(truncate=False)
+            try:                                   # each table by itself (A9)
+                head_tail(rows_per_day(tables[table][0])).orderBy("d").show(truncate=False)
+            except Exception as e:  # noqa: BLE001 - reported, the other table follows
+                print(f"error: {type(e).__name__}")
     return 0
 
 
@@ -153,22 +177,24 @@ def cmd_publish(spark: SparkSession, args) -> int:
 
 
 def cmd_compact(spark: SparkSession, args) -> int:
-    from .plans.landing import compact_landed
+    from .plans.landing import compact_landed, retire
 
     root = _root(spark, _cfg(args))
     for table in ("orders", "pricing_events"):
         folded = compact_landed(spark, root, table)
         print(f"{table}: {len(folded)} batches folded" if folded else f"{table}: nothing to compact")
+        if args.retire:
+            print(f"{table}: {retire(spark, root, table)} folders and files deleted")
     return 0
 
 
 def cmd_audit(spark: SparkSession, args) -> int:
     from .plans import audits
-    from .plans.landing import read_landed_current
+    from .streaming.sinks import read_landed
 
     root = _root(spark, _cfg(args))
-    orders = read_landed_current(spark, root, "orders")
-    pricing = read_landed_current(spark, root, "pricing_events")
+    orders = read_landed(spark, root, "orders")
+    pricing = read_landed(spark, root, "pricing_events")
     audits.contract_audit(spark, args.sf_dir, orders, pricing).show(50, truncate=False)
     audits.mix_audit(spark, args.sf_dir, orders).orderBy(F.desc("abs_diff"), "dimension", "key").show(50, truncate=False)
     audits.return_rate_audit(spark, args.sf_dir, orders).orderBy("brand").show(50, truncate=False)
@@ -193,7 +219,9 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--routed", action="store_true", help="one subscription to all topics")
     i.add_argument("--validator", choices=["nulls", "strict"], default="nulls")
     i.add_argument("--quarantine-pricing", action="store_true", help="unparseable pricing events go to quarantine")
-    i.add_argument("--drop-tombstones", action="store_true", help="of the routed ingest: tombstones reach no output")
+    i.add_argument("--drop-tombstones", action="store_true", help="tombstones reach no output")
+    i.add_argument("--stop-marker", help="end between micro-batches once this path exists")
+    i.add_argument("--unique-orders", action="store_true", help="also land each order's first arrival, by an index of all ids")
     i.add_argument("--starting-offsets", choices=["latest", "earliest"])
     i.add_argument("--trigger-seconds", type=int)
     i.add_argument("--max-files-per-trigger", type=int)
@@ -206,8 +234,13 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--topics-dir")
     b.add_argument("--validator", choices=["nulls", "strict"], default="nulls")
     b.add_argument("--quarantine-pricing", action="store_true")
+    b.add_argument("--drop-tombstones", action="store_true")
     b.add_argument("--load-id", default="backfill")
 
+    st = sub.add_parser("stop")
+    st.add_argument("--stop-marker", required=True)
+    st.add_argument("--clear", action="store_true", help="remove the marker, so that an ingest can start")
+
     v = sub.add_parser("verify")
     common(v)
 
@@ -222,6 +255,7 @@ def parser() -> argparse.ArgumentParser:
 
     c = sub.add_parser("compact")
     common(c)
+    c.add_argument("--retire", action="store_true", help="delete folded batches at once, not with the next compaction")
 
     a = sub.add_parser("audit")
     common(a)
@@ -230,7 +264,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 COMMANDS = {"ingest": cmd_ingest, "backfill": cmd_backfill, "verify": cmd_verify, "preview": cmd_preview,
-            "publish": cmd_publish, "audit": cmd_audit, "compact": cmd_compact}
+            "publish": cmd_publish, "audit": cmd_audit, "compact": cmd_compact, "stop": cmd_stop}
 
 
 def main(argv=None, spark: SparkSession | None = None) -> int:

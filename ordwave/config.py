@@ -43,7 +43,9 @@ class IngestConfig:
     api_secret: str | None = field(default=None, repr=False)
     validator: str = "nulls"  # or "strict"
     quarantine_pricing: bool = False
-    drop_tombstones: bool = False   # of the routed ingest: tombstones reach no output
+    drop_tombstones: bool = False   # tombstones reach no output
+    stop_marker: str | None = None  # streams end between micro-batches once this path exists
+    unique_orders: bool = False     # also land each order's first arrival (``orders_unique``)
 
     def __post_init__(self):
         if self.validator not in ("nulls", "strict"):

@@ -85,9 +85,18 @@ def to_json_value(fields, ignore_nulls: bool = False) -> Column:
     return F.to_json(F.struct(*cols), opts).cast("binary")
 
 
-def coerce_booleans(df: DataFrame, names=("is_returned", "in_stock")) -> DataFrame:
-    """Boolean columns cast explicitly, only where present."""
+def coerce_booleans(flagged: DataFrame, names=("is_returned", "in_stock")) -> DataFrame:
+    """Booleans that the typed schema could not read (text, numbers) are
+    taken from the record itself and cast: "true", "yes", 1, "0", ... Only where
+    the column exists; only records whose field is NULL are looked at again. A
+    value that is no boolean makes the row bad (``<name>_not_boolean``)."""
     for n in names:
-        if n in df.columns:
-            df = df.withColumn(n, F.col(n).cast("boolean"))
-    return df
+        if n in flagged.columns:
+            json = F.try_parse_json(decode_value("value_raw"))
+            text = F.when(F.col(n).isNull(), F.try_variant_get(json, f"$.{n}", "string"))
+            made = flagged.withColumn("_text", text).withColumn("_bool", F.coalesce(F.col(n), F.trim("_text").try_cast("boolean")))
+            wrong = F.col("_bool").isNull() & F.col("_text").isNotNull()
+            flagged = (made.withColumn(n, F.col("_bool"))
+                       .withColumn("quality_reasons", F.when(wrong, F.array_append("quality_reasons", F.lit(f"{n}_not_boolean"))).otherwise(F.col("quality_reasons")))
+                       .withColumn("has_quality_issues", F.col("has_quality_issues") | wrong).drop("_text", "_bool"))
+    return flagged

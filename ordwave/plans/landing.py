@@ -6,18 +6,19 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import IngestConfig, ensure_session_defaults, work_root
-from ..operators.transform import LANDED_COLUMNS, landed_orders, landed_pricing, orders_flagged, pricing_flagged
-from ..schemas import ORDERS_TOPIC, PRICING_TOPIC, landing_schema
+from ..operators.transform import landed_orders, landed_pricing, orders_flagged, pricing_flagged
+from ..schemas import ORDERS_TOPIC, PRICING_TOPIC
+from ..sources import snapshots
 from ..sources.fixtures import PUBLISH_LOCK, fixture_root, publish_topics
 from ..sources.kafka import record_files
-from ..operators.dims import literal_rows
 from ..sources.tables import hadoop_fs, path_exists
-from ..streaming.sinks import read_audit, read_landed, table_exists_in, table_files, write_batch_load
+from ..streaming.sinks import read_audit, read_landed, table_exists_in, write_batch_load
 from ..streaming.streams import drain, run_streams
 from .reports import latest_audit
 
@@ -99,20 +100,6 @@ def count_landed(spark: SparkSession, root: str, table: str) -> int:
     return read_landed(spark, root, table).agg(F.count(F.lit(1))).first()[0]
 
 
-def compact(spark: SparkSession, df: DataFrame, dst: str, date_col: str = "event_date",
-            order_col: str = "timestamp", files: int | None = None) -> str:
-    """Rewrite rows landed batch by batch (many small files per batch) into
-    one directory per day, so a filter on the date prunes directories. Range
-    partitioning on (day, time) keeps a hot day spread over several tasks,
-    and each task writes few files because its rows cover a contiguous
-    stretch of days."""
-    n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, date_col, order_col)
-     .sortWithinPartitions(date_col, order_col)
-     .write.mode("overwrite").partitionBy(date_col).parquet(dst))
-    return dst
-
-
 def drop_last_commit(spark: SparkSession, checkpoint: str) -> int | None:
     """Remove the newest entry of a query's commit log, the state a crash
     between a batch's writes and its commit leaves behind; the next start
@@ -133,71 +120,71 @@ def drop_last_commit(spark: SparkSession, checkpoint: str) -> int | None:
     return last
 
 
-def list_batches(spark: SparkSession, root: str, table: str) -> list:
-    """Names of a table's batch directories (one directory listing, no
-    file listing), sorted."""
-    fs = hadoop_fs(spark, f"{root}/{table}")
-    if fs is None:
-        raise RuntimeError("a JVM gateway is needed to list batch directories")
-    if not fs[0].exists(fs[1]):
-        return []
-    return sorted(st.getPath().getName().removeprefix("batch=") for st in fs[0].listStatus(fs[1])
-                  if st.isDirectory() and st.getPath().getName().startswith("batch="))
-
-
 AUDITED_BY = {"orders": "orders", "pricing_events": "pricing"}
-FOLDS = "batch string, path string"
+TARGET_BYTES = 512 << 20       # of a merged file
+MERGE_AT = 8                   # small merged files that are merged without a new batch
+ORDER = {"good": ["event_date", "timestamp", "partition", "offset"], "bad": ["kafka_timestamp", "partition", "offset"]}
 
 
-def folds(spark: SparkSession, root: str, table: str) -> list:
-    """(batch, history folder) of each batch that compaction has folded."""
-    path = f"{root}/markers/{table}_folds"
-    if not path_exists(spark, path):
-        return []
-    return [(r.batch, r.path) for r in spark.read.schema(FOLDS).parquet(path).collect()]
+def _merge(spark: SparkSession, df: DataFrame, status: str, dst: str, files: int | None, target_bytes: int) -> list:
+    """Write rows as files of about ``target_bytes``, each a stretch of days,
+    and describe them. A hot day is several files."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    (df.repartitionByRange(files or max(1, -(-size // target_bytes)), *ORDER[status]).sortWithinPartitions(*ORDER[status])
+     .write.parquet(dst))
+    day = F.col("event_date") if status == "good" else F.to_date("kafka_timestamp")
+    found = (spark.read.schema("event_date date, kafka_timestamp timestamp").parquet(dst)
+             .groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
+             .agg(F.count(F.lit(1)).alias("n"), F.min(day).alias("lo"), F.max(day).alias("hi")).collect())
+    return [snapshots.File(r.path, status, r.n, r.size, r.lo, r.hi) for r in found]
 
 
-def compact_landed(spark: SparkSession, root: str, table: str, files: int | None = None) -> list:
+def compact_landed(spark: SparkSession, root: str, table: str, files: int | None = None, target_bytes: int = TARGET_BYTES) -> list:
     """Fold the stream batches that are complete (their latest audit row is
-    ``ok``) and not folded yet into a new folder of the table's history, and
-    record them; returns their names. A batch in flight or failed is left
-    alone, and is folded by a later call once it is complete. The record is
-    one file written after the data, so a crash in between leaves only a
-    folder that no reader knows."""
-    done = {b for b, _ in folds(spark, root, table)}
-    there = [b for b in list_batches(spark, root, table) if b.startswith("s-") and b not in done]
-    if not there or not path_exists(spark, f"{root}/audit"):
-        return []
-    complete = {f"s-{r.batch_id:012d}" for r in latest_audit(read_audit(spark, root).where(F.col("query") == AUDITED_BY[table]))
-                .where("status = 'ok'").select("batch_id").collect()}
-    fold = [b for b in there if b in complete]
-    if not fold:
+    ``ok``) and not folded yet, together with merged files that are still
+    small, into files of about ``target_bytes``, and commit a snapshot; returns the
+    names of the batches. A batch in flight or failed is left alone, and is folded by a
+    later call once it is complete. Nothing is committed unless as many rows
+    were written as the audit and the manifest promise; a crash before the
+    commit leaves files that no reader knows."""
+    snap = snapshots.current(spark, root, table)
+    there = [b for b in snapshots.list_batches(spark, root, table)
+             if snapshots.stream_id(b) is not None and not snap.has(snapshots.stream_id(b))]
+    complete = {}
+    if there and path_exists(spark, f"{root}/audit"):
+        first = min(map(snapshots.stream_id, there))
+        audit = read_audit(spark, root).where((F.col("query") == AUDITED_BY[table]) & (F.col("batch_id") >= first))
+        complete = {r.batch_id: r.n_in for r in latest_audit(audit).where("status IN ('ok', 'empty')").select("batch_id", "n_in").collect()}
+    fold = [b for b in there if snapshots.stream_id(b) in complete]
+    small = [f for f in snap.files if f.bytes < target_bytes // 2]
+    if not fold and len(small) < MERGE_AT:
         return []
-    df = (table_files(spark, root, table, *(f"{root}/{table}/batch={b}" for b in fold))
-          .where(F.col("status") == "good").select(*LANDED_COLUMNS[table]))
-    path = compact(spark, df, f"{root}/{table}_history/fold={uuid.uuid4().hex[:12]}", files=files)
-    rows = literal_rows(spark, [(b, path) for b in fold], [("batch", "string"), ("path", "string")])
-    rows.coalesce(1).write.mode("append").parquet(f"{root}/markers/{table}_folds")
+    made, dst = [], f"{root}/{table}_files/gen={uuid.uuid4().hex[:12]}"
+    for status in ORDER:
+        parts = []
+        if fold:
+            batches = snapshots.batch_files(spark, root, table, *(f"{root}/{table}/batch={b}" for b in fold))
+            parts.append(batches.where(F.col("status") == status).drop("status"))
+        old = [f.path for f in small if f.status == status]
+        if old:
+            parts.append(snapshots.merged_files(spark, table, old))
+        if parts:
+            made += _merge(spark, reduce(DataFrame.unionByName, parts), status, f"{dst}/status={status}", files, target_bytes)
+    ids = [snapshots.stream_id(b) for b in fold]
+    want, got = sum(complete[i] for i in ids) + sum(f.rows for f in small), sum(f.rows for f in made)
+    if want != got:
+        raise RuntimeError(f"{table}: {got} rows were merged, {want} are on record")
+    snapshots.commit(spark, root, table, snap, [f for f in snap.files if f not in small] + made,
+                     [*snap.folded, *((i, i) for i in ids)],
+                     [*(f"{root}/{table}/batch={b}" for b in fold), *(f.path for f in small)])
     return fold
 
 
-def read_landed_current(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The landed rows: folded batches from the history, all others (newer,
-    late or retried stream batches, and bounded loads) from their own
-    directories, which are given as explicit paths, so that folded ones are
-    never listed."""
-    known = folds(spark, root, table)
-    done = {b for b, _ in known}
-    rest = [b for b in list_batches(spark, root, table) if b not in done]
-    cols = LANDED_COLUMNS[table]
-    parts = []
-    if known:
-        history = f"{root}/{table}_history"
-        schema = landing_schema(table).split(", key binary")[0]
-        parts.append(spark.read.schema(schema).option("basePath", history).parquet(*sorted({p for _, p in known})).select(*cols))
-    if rest:
-        parts.append(table_files(spark, root, table, *(f"{root}/{table}/batch={b}" for b in rest))
-                     .where(F.col("status") == "good").select(*cols))
-    if not parts:
-        return read_landed(spark, root, table)
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+def retire(spark: SparkSession, root: str, table: str) -> int:
+    """Delete what the newest snapshot retired without waiting for the next
+    compaction (when no query planned before it is running); returns how many
+    folders and files were deleted."""
+    snap = snapshots.current(spark, root, table)
+    if snap.retired:
+        snapshots.commit(spark, root, table, snap, snap.files, snap.folded, ())
+    return len(snap.retired)

@@ -23,7 +23,8 @@ from ..functions.business import price_position
 from ..schemas import ORDER_FIELDS, ORDERS_TOPIC, PRICING_FIELDS, PRICING_TOPIC
 from ..sources.fixtures import TOPICS, publish_topics
 from ..sources.kafka import record_files, record_files_stream
-from ..streaming.sinks import quarantine_exists, read_audit, read_landed, read_quarantine
+from ..streaming.partials import read_partials, stored_offset_gaps, stored_rows_per_day, stored_summary
+from ..streaming.sinks import quarantine_exists, read_audit, read_landed, read_quarantine, read_unique, write_batch_load
 from ..streaming.streams import (dedup_stream, drain, order_key, read_daily_counts, require_no_late_rows, start_daily_counts,
                                  start_routed_ingest, start_stateful)
 from . import landing, reports
@@ -386,11 +387,13 @@ def stream_rows_per_day(spark, sf_dir):
 
 @register("orders_compacted", O.with_events(_LANDED_ORDERS_SQL))
 def orders_compacted(spark, sf_dir):
-    """Compaction of the landed orders (one directory per day): a landing of
-    its own is folded, and the current table read back is the landed rows."""
+    """K2 + S7: a landing of its own is folded into files of a target size and
+    the folded batches are deleted; the table read back from the snapshot is
+    the landed rows."""
     root = landing.stream_land(spark, sf_dir, landing.new_run_dir(spark, "compact"), "orders")
     landing.compact_landed(spark, root, "orders")
-    return landing.read_landed_current(spark, root, "orders")
+    landing.retire(spark, root, "orders")
+    return read_landed(spark, root, "orders")
 
 
 @register("stream_dedup", O.with_events(
@@ -439,4 +442,39 @@ def orders_dedup(spark, sf_dir):
                          ["timestamp"] + [c for c in ORDER_FIELDS if c not in ("order_id", "timestamp")])
 
 
+@register("orders_unique", ORACLE["orders_dedup"])
+def orders_unique(spark, sf_dir):
+    """G1 (stream, without a watermark): each order's first arrival, decided
+    per micro-batch by an index of all ids landed before."""
+    base = landing.new_run_dir(spark, "unique")
+    return read_unique(spark, landing.stream_land(spark, sf_dir, base, "orders", IngestConfig(unique_orders=True)), "orders")
+
+
+@register("rows_per_day_stored", ORACLE["orders_rows_per_day"])
+def rows_per_day_stored(spark, sf_dir):
+    """A3 from the partial aggregates that each batch has left: no events are read."""
+    return stored_rows_per_day(read_partials(spark, landing.shared_landing(spark, sf_dir), "orders"))
+
+
+@register("table_summary_stored", ORACLE["table_summary"])
+def table_summary_stored(spark, sf_dir):
+    """S8 + A1 + A2 from the partial aggregates of the batches."""
+    return stored_summary(spark, landing.shared_landing(spark, sf_dir), ("orders", "pricing_events"))
+
+
+@register("offset_gaps_stored", O.with_events(
+    "SELECT topic, \"partition\", min(\"offset\") AS min_offset, max(\"offset\") AS max_offset, count(*) AS n, "
+    "count(DISTINCT \"offset\") AS n_distinct, max(\"offset\") - min(\"offset\") + 1 - count(DISTINCT \"offset\") "
+    "AS missing FROM orders_parsed WHERE \"offset\" % 97 NOT BETWEEN 13 AND 15 GROUP BY 1, 2"))
+def offset_gaps_stored(spark, sf_dir):
+    """S4 over the life of a table: a log that lost offsets lands in several
+    loads, the bitmaps of which overlap and are united."""
+    root = f"{landing.new_run_dir(spark, 'gaps')}/landed"
+    log = records(spark, sf_dir, ORDERS_TOPIC).where(~(F.col("offset") % 97).between(13, 15))
+    for i in range(2):
+        part = log.where(F.col("offset") % 2 == i)
+        write_batch_load(orders_flagged(part), landed_orders, root, "orders", f"part{i}")
+    return stored_offset_gaps(read_partials(spark, root, "orders"))
+
+
 from . import registry_derived  # noqa: E402,F401  (registers its queries)

@@ -17,9 +17,10 @@ from ..functions.business import (
     price_diff_pct,
     price_tier,
 )
-from ..functions.parse import to_iso_text, to_json_value
+from ..functions.parse import coerce_booleans, to_iso_text, to_json_value
 from ..functions.rounding import cents
 from ..operators import dims, weighted
+from ..operators.transform import orders_flagged
 from ..schemas import ORDER_FIELDS, ORDERS, ORDERS_TOPIC
 from ..sources.tables import read_table
 from ..streaming.sinks import kafka_records_for
@@ -386,6 +387,24 @@ def boolean_coercion(spark, sf_dir):
             .groupBy("is_returned").agg(F.count(F.lit(1)).alias("n")))
 
 
+_AS_TEXT = "CASE pmod(offset, 4) WHEN 1 THEN '\"$1\"' WHEN 3 THEN '\"maybe\"' ELSE '$1' END"
+
+
+@register("boolean_coercion_mixed", O.with_events(
+    "SELECT CASE WHEN \"offset\" % 4 = 3 THEN NULL ELSE is_returned END AS is_returned, "
+    "\"offset\" % 4 = 3 AND is_returned IS NOT NULL AS not_boolean, count(*) AS n FROM orders_parsed GROUP BY 1, 2"))
+def boolean_coercion_mixed(spark, sf_dir):
+    """P9 where the producer writes booleans as text, as 0 and 1, or as another
+    word (by the record's offset): coerced, or bad with a reason."""
+    recs = records(spark, sf_dir, ORDERS_TOPIC)
+    text = F.regexp_replace(F.col("value").cast("string"), F.lit('(?<="is_returned":)(true|false)'), F.expr(_AS_TEXT))
+    numbers = F.replace(F.replace(text, F.lit('"is_returned":true'), F.lit('"is_returned":1')), F.lit('"is_returned":false'), F.lit('"is_returned":0'))
+    mixed = recs.withColumn("value", F.when(F.col("offset") % 4 == 2, numbers).otherwise(text).cast("binary"))
+    flagged = coerce_booleans(orders_flagged(mixed))
+    return (flagged.groupBy("is_returned", F.array_contains("quality_reasons", "is_returned_not_boolean").alias("not_boolean"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 @register("day_offset", O.with_dims(
     ", pd AS (SELECT CAST(\"timestamp\" AS DATE) AS d, count(*) AS n FROM good GROUP BY 1), "
     "b AS (SELECT d, n, CAST(date_diff('day', d, max(d) OVER ()) // 30 AS INTEGER) AS bucket, "

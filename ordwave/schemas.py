@@ -75,6 +75,7 @@ BATCH_AUDIT = StructType(
         StructField("n_bad", LongType()),
         StructField("status", StringType()),
         StructField("error", StringType()),
+        StructField("sample", StringType()),
         StructField("at", TimestampNTZType()),
         StructField("attempt", LongType()),
     ]
@@ -88,7 +89,7 @@ PRICING_TOPIC = "pricing-topic"
 
 
 # the audit as files: the batch coordinates are partition columns
-AUDIT_FILES = "n_in bigint, n_good bigint, n_bad bigint, status string, error string, at timestamp_ntz, query string, batch_id bigint, attempt bigint"
+AUDIT_FILES = "n_in bigint, n_good bigint, n_bad bigint, status string, error string, sample string, at timestamp_ntz, query string, batch_id bigint, attempt bigint"
 
 
 def landing_schema(table: str) -> str:

@@ -33,15 +33,56 @@ from pyspark.sql import functions as F
 
 from ..config import IngestConfig, kafka_sink_options
 from ..functions.parse import to_iso_text, to_json_value
+from ..operators.dedup import first_per_key
 from ..operators.transform import LANDED_COLUMNS, QUARANTINE_COLUMNS, landing_rows
 from ..schemas import AUDIT_FILES, landing_schema
+from ..sources.snapshots import batch_files, read_table_rows
 from ..sources.tables import path_exists
+from .idindex import IdIndex
+from .partials import FOLD_EVERY, fold_partials, write_partials
 
 
 class OwnershipError(RuntimeError):
     pass
 
 
+class StopRequested(Exception):
+    """Raised before a micro-batch starts once the stop marker is there (T7):
+    the batch before is committed, this one is planned again by the next start."""
+
+
+def stop_if_asked(spark: SparkSession, marker: str | None) -> None:
+    if marker and path_exists(spark, marker):
+        raise StopRequested(marker)
+
+
+def failing_record(records: DataFrame, attempt) -> str | None:
+    """The first record (topic, partition, offset, value) for which
+    ``attempt`` (records -> rows) fails, found by bisection over the offsets; None if
+    no record alone fails (the sink did)."""
+    def fails(df: DataFrame) -> bool:
+        try:
+            attempt(df).write.format("noop").mode("overwrite").save()
+            return False
+        except Exception:  # noqa: BLE001 - that is the question
+            return True
+
+    logs = records.groupBy("topic", "partition").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).orderBy("topic", "partition").collect()
+    for log in logs:                                     # a row per topic partition
+        of = records.where((F.col("topic") == log.topic) & (F.col("partition") == log.partition))
+        lo, hi = log.lo, log.hi
+        if not fails(of):
+            continue
+        while lo < hi:
+            mid = (lo + hi) // 2
+            lo, hi = (lo, mid) if fails(of.where(F.col("offset").between(lo, mid))) else (mid + 1, hi)
+        one = of.where(F.col("offset") == lo)
+        if fails(one):
+            value = one.select(F.col("value").cast("string").alias("v")).first().v
+            return f"{log.topic}[{log.partition}]@{lo}: {value if value is None else value[:2000]}"
+    return None
+
+
 def batch_path(root: str, table: str, batch_id: int) -> str:
     """Output directory of one micro-batch (zero-padded, so names sort)."""
     return f"{root}/{table}/batch=s-{int(batch_id):012d}"
@@ -69,24 +110,21 @@ def read_audit(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(AUDIT_FILES).parquet(f"{root}/audit")
 
 
-def table_files(spark: SparkSession, root: str, table: str, *paths: str) -> DataFrame:
-    """The rows of a table's batch directories (all, or those given), read
-    with the declared schema: no footer is opened to infer it, and batches
-    without rows are fine."""
-    return spark.read.schema(landing_schema(table)).option("basePath", f"{root}/{table}").parquet(*(paths or (f"{root}/{table}",)))
-
-
-def read_landed(spark: SparkSession, root: str, table: str, with_batch: bool = False) -> DataFrame:
-    """The landed table: the ``status=good`` partitions (pruned at listing);
-    ``batch`` (the micro-batch or load a row came from) on request."""
-    df = table_files(spark, root, table)
-    return df.where(F.col("status") == "good").select(*LANDED_COLUMNS[table], *(["batch"] if with_batch else []))
+def read_landed(spark: SparkSession, root: str, table: str, with_batch: bool = False, days: tuple | None = None) -> DataFrame:
+    """The landed table: its good rows, planned from the newest snapshot (the
+    ``status=good`` partitions of the batches not folded, and merged files);
+    ``batch`` (the micro-batch or load a row came from) on request. ``days``
+    (first, last; None = open) leaves out files of other days unopened."""
+    df = read_table_rows(spark, root, table, "good", days).select(*LANDED_COLUMNS[table], *(["batch"] if with_batch else []))
+    for bound, keep in zip(days or (), (F.col("event_date").__ge__, F.col("event_date").__le__)):
+        if bound is not None:
+            df = df.where(keep(F.lit(bound)))
+    return df
 
 
 def read_quarantine(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The quarantine: the ``status=bad`` partitions, with their batch."""
-    df = table_files(spark, root, table)
-    return df.where(F.col("status") == "bad").select(*QUARANTINE_COLUMNS, "batch")
+    """The quarantine: the bad rows, with their batch."""
+    return read_table_rows(spark, root, table, "bad").select(*QUARANTINE_COLUMNS, "batch")
 
 
 def _marker(root: str, name: str) -> str:
@@ -141,37 +179,78 @@ class BatchLander:
         self.shape = shape        # flagged rows (+ extra columns) -> landed shape
         self.table = table
         self.fmt = fmt
+        self.stop_marker: str | None = None
         self._marked: set = set()
 
-    def _audit(self, spark, batch_id, n_in, n_good, n_bad, status, error=None):
+    def _audit(self, spark, batch_id, n_in, n_good, n_bad, status, error=None, sample=None):
         def lit(v, t):
             return F.lit(v).cast(t)
 
         row = spark.range(1).select(
             lit(n_in, "bigint").alias("n_in"),
             lit(n_good, "bigint").alias("n_good"), lit(n_bad, "bigint").alias("n_bad"),
-            lit(status, "string").alias("status"), lit(error, "string").alias("error"))
+            lit(status, "string").alias("status"), lit(error, "string").alias("error"),
+            lit(sample, "string").alias("sample"))
         row = row.withColumn("at", F.current_timestamp().cast("timestamp_ntz"))
         (row.coalesce(1).write
          .parquet(f"{self.out_root}/audit/query={self.name}/batch_id={batch_id}/attempt={time.time_ns()}"))
 
+    def after(self, spark: SparkSession, batch_id: int) -> None:
+        """What is derived from the files of a batch before its audit row."""
+        write_partials(spark, self.out_root, self.table, f"s-{batch_id:012d}")
+        if batch_id and batch_id % FOLD_EVERY == 0:          # the batches before this one are committed
+            fold_partials(spark, self.out_root, self.table, batch_id - 1)
+
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
+        stop_if_asked(spark, self.stop_marker)
         try:
             n_in, n_bad = write_landing(self.flag(batch_df), self.shape, self.out_root, self.table,
                                         batch_path(self.out_root, self.table, batch_id), self.name, self.fmt,
                                         self._marked)
+            if n_in and self.fmt == "parquet":
+                self.after(spark, batch_id)
             status = "ok" if n_in else "empty"      # F6: an empty batch lands nothing
             self._audit(spark, batch_id, n_in, n_in - n_bad, n_bad, status)
         except Exception as e:
             try:
+                sample = failing_record(batch_df, lambda df: landing_rows(self.flag(df), self.shape))
                 self._audit(spark, batch_id, None, None, None, "failed",
-                            f"{type(e).__name__}: {e}\n{traceback.format_exc()}")
+                            f"{type(e).__name__}: {e}\n{traceback.format_exc()}", sample)
             except Exception:  # noqa: BLE001 - the original error is the one to report
                 pass
             raise
 
 
+class UniqueLander(BatchLander):
+    """A lander that also writes ``<table>_unique``: of each key the row landed
+    first, however late a replay comes (G1). Within a batch that is the
+    row first in the log; across batches the key index decides."""
+
+    def __init__(self, *args, key, **kw):
+        super().__init__(*args, **kw)
+        self.key = key                # column that tells rows apart
+        self.index = IdIndex(f"{self.out_root}/ids/{self.table}")
+
+    def after(self, spark: SparkSession, batch_id: int) -> None:
+        super().after(spark, batch_id)
+        good = batch_files(spark, self.out_root, self.table, batch_path(self.out_root, self.table, batch_id)).where("status = 'good'")
+        first = first_per_key(good.withColumn("key", self.key), "key", ["topic", "partition", "offset"])
+        seen = self.index.seen(first.select("key"), batch_id)
+        if seen is not None:
+            first = first.join(seen, "key", "left_anti")
+        path = batch_path(self.out_root, f"{self.table}_unique", batch_id)
+        first.select("key", *LANDED_COLUMNS[self.table]).write.mode("overwrite").parquet(path)
+        self.index.add(spark.read.schema("key string").parquet(path), batch_id)
+        self.index.merge(spark, batch_id)
+
+
+def read_unique(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """One row per key of a table landed by a :class:`UniqueLander`."""
+    schema = landing_schema(table).split(", key binary")[0]
+    return spark.read.schema(schema).option("basePath", f"{root}/{table}_unique").parquet(f"{root}/{table}_unique").select(*LANDED_COLUMNS[table])
+
+
 class RoutingLander:
     """foreachBatch writer for one subscription to several topics (S5, F4):
     each known topic's rows go to that topic's lander; records of other
@@ -183,10 +262,12 @@ class RoutingLander:
         self.routes = routes          # topic -> BatchLander
         self.cache_raw = cache_raw
         self.drop_tombstones = drop_tombstones
+        self.stop_marker: str | None = None
         self.name = "+".join(lander.name for lander in routes.values())
         self.out_root = next(iter(routes.values())).out_root
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        stop_if_asked(batch_df.sparkSession, self.stop_marker)
         raw = batch_df.persist(StorageLevel.MEMORY_AND_DISK) if self.cache_raw else batch_df
         try:
             for topic, lander in self.routes.items():
@@ -206,6 +287,8 @@ def write_batch_load(df_flagged: DataFrame, shape, out_root: str, table: str, lo
     observed while writing."""
     n, bad = write_landing(df_flagged, shape, out_root, table, load_path(out_root, table, load_id),
                            f"load_{table}", fmt)
+    if n and fmt == "parquet":
+        write_partials(df_flagged.sparkSession, out_root, table, f"l-{load_id}")
     return {"good": n - bad, "bad": bad}
 
 

@@ -18,8 +18,10 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from ..config import IngestConfig, work_root
 from ..operators.dedup import has_key
 from ..operators.transform import landed_orders, landed_pricing, orders_flagged, pricing_flagged
+from ..schemas import ORDER_FIELDS
 from ..sources.kafka import kafka_stream, record_files_stream, route
-from .sinks import BatchLander, RoutingLander, claim_output
+from ..sources.tables import path_exists
+from .sinks import BatchLander, RoutingLander, StopRequested, UniqueLander, claim_output
 
 
 def _trigger(writer, cfg: IngestConfig, available_now: bool):
@@ -32,6 +34,11 @@ def orders_lander(out_root: str, validator: str = "nulls") -> BatchLander:
     return BatchLander("orders", out_root, lambda b: orders_flagged(b, validator), landed_orders, "orders")
 
 
+def unique_orders_lander(out_root: str, validator: str = "nulls") -> UniqueLander:
+    """Orders, and the table of each order's first arrival (``orders_unique``)."""
+    return UniqueLander("orders", out_root, lambda b: orders_flagged(b, validator), landed_orders, "orders", key=order_key(ORDER_FIELDS))
+
+
 def pricing_lander(out_root: str, validator: str | None = None) -> BatchLander:
     return BatchLander("pricing", out_root, lambda b: pricing_flagged(b, validator), landed_pricing, "pricing_events")
 
@@ -40,6 +47,7 @@ def start_ingest(source: DataFrame, lander: BatchLander, checkpoint: str, cfg: I
                  available_now: bool = False) -> StreamingQuery:
     """Source -> foreachBatch(lander), append mode, checkpointed."""
     claim_output(source.sparkSession, lander.out_root, lander.name, checkpoint)
+    lander.stop_marker = cfg.stop_marker
     w = (source.writeStream.foreachBatch(lander)
          .option("checkpointLocation", checkpoint)
          .outputMode("append")
@@ -63,7 +71,10 @@ def run_streams(spark: SparkSession, mode: str = "both", cfg: IngestConfig | Non
             src = record_files_stream(spark, topic_paths[topic], cfg.max_files_per_trigger)
         else:
             src = route(kafka_stream(spark, cfg, topic), topic)
-        lander = (orders_lander(root, cfg.validator) if name == "orders"
+        if cfg.drop_tombstones:
+            src = src.where(F.col("value").isNotNull())
+        orders = unique_orders_lander if cfg.unique_orders else orders_lander
+        lander = (orders(root, cfg.validator) if name == "orders"
                   else pricing_lander(root, "pricing" if cfg.quarantine_pricing else None))
         out.append(start_ingest(src, lander, f"{ckpt}/{name}", cfg, available_now))
     return out
@@ -75,32 +86,47 @@ def start_routed_ingest(source: DataFrame, cfg: IngestConfig, out_root: str, che
     to the orders and pricing landers (one checkpoint, one offset log).
     ``cache_raw`` keeps the raw batch for the second route (for Kafka; the
     file form re-reads cheaply, pruned by the topic column's statistics)."""
-    routes = {cfg.orders_topic: orders_lander(out_root, cfg.validator),
+    orders = unique_orders_lander if cfg.unique_orders else orders_lander
+    routes = {cfg.orders_topic: orders(out_root, cfg.validator),
               cfg.pricing_topic: pricing_lander(out_root, "pricing" if cfg.quarantine_pricing else None)}
     router = RoutingLander(routes, cache_raw=cache_raw, drop_tombstones=cfg.drop_tombstones)
     for lander in routes.values():
         claim_output(source.sparkSession, out_root, lander.name, checkpoint)
+    router.stop_marker = cfg.stop_marker
     w = (source.writeStream.foreachBatch(router).option("checkpointLocation", checkpoint)
          .outputMode("append").queryName(f"routed_{uuid.uuid4().hex[:8]}"))
     return _trigger(w, cfg, available_now).start()
 
 
-def await_all(spark: SparkSession, queries: list, timeout_s: float | None = None) -> None:
+def _stopped_by_marker(q: StreamingQuery) -> bool:
+    return q.exception() is not None and StopRequested.__name__ in str(q.exception())
+
+
+def await_all(spark: SparkSession, queries: list, timeout_s: float | None = None, stop_marker: str | None = None) -> None:
     """Wait on all queries at once; on the first failure (or Ctrl+C) stop
-    the rest and re-raise. With availableNow, returns when all have drained."""
+    the rest and re-raise. With availableNow, returns when all have drained. With
+    a stop marker, a query ends before its next micro-batch once the marker is
+    there (the running one commits), and idle queries are stopped."""
     try:
         while any(q.isActive for q in queries):
-            spark.streams.awaitAnyTermination(timeout_s)
+            spark.streams.awaitAnyTermination(timeout_s or (2 if stop_marker else None))
             spark.streams.resetTerminated()
             for q in queries:
-                if q.exception() is not None:
+                if q.exception() is not None and not _stopped_by_marker(q):
                     raise q.exception()
+            if stop_marker and path_exists(spark, stop_marker):
+                for q in queries:
+                    if q.isActive and not q.status["isTriggerActive"]:
+                        q.stop()
             if timeout_s is not None:
                 break
-    except BaseException:
+    except BaseException as e:
         for q in queries:
-            if q.isActive:
+            if q.isActive and not (stop_marker and StopRequested.__name__ in str(e)):
                 q.stop()
+        if stop_marker and StopRequested.__name__ in str(e):         # awaitAnyTermination raises what ended a query
+            spark.streams.resetTerminated()
+            return await_all(spark, queries, timeout_s, stop_marker)
         raise
 
 
@@ -155,6 +181,44 @@ class ProgressRecorder(StreamingQueryListener):
         pass
 
 
+PROGRESS = "query string, run string, batch_id bigint, at string, rows bigint, rows_per_s double, duration_ms bigint, dropped_late bigint"
+
+
+class ProgressTable(StreamingQueryListener):
+    """Every progress report as a row of a table, appended in bulk (each
+    ``every`` reports, when a query ends, and by :meth:`flush`). Rows dropped by
+    a watermark are in it, whatever number of micro-batches Spark remembers."""
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 100):
+        self.spark, self.path, self.every = spark, path, every
+        self.rows: list = []
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        self.rows.append((p.name, str(p.runId), p.batchId, p.timestamp, p.numInputRows, p.processedRowsPerSecond,
+                          (p.durationMs or {}).get("triggerExecution", 0), sum(op.numRowsDroppedByWatermark for op in p.stateOperators)))
+        if len(self.rows) >= self.every:
+            self.flush()
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.flush()
+
+    def flush(self) -> None:
+        rows, self.rows = self.rows, []
+        if rows:
+            self.spark.createDataFrame(rows, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(PROGRESS).parquet(path)
+
+
 class ProgressPrinter(ProgressRecorder):
     """A5 + T8 on the console: one line per micro-batch and query."""
 

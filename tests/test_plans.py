@@ -10,7 +10,7 @@ from ordwave.operators import dims
 from ordwave.plans import registry
 
 STREAMING = {"stream_orders_landed", "stream_pricing_landed", "stream_multi_topic", "stream_replay_idempotent",
-             "stream_rows_per_day", "stream_dedup", "load_reconciliation", "orders_compacted"}
+             "stream_rows_per_day", "stream_dedup", "load_reconciliation", "orders_compacted", "orders_unique", "offset_gaps_stored"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas")
 

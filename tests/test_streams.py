@@ -211,29 +211,3 @@ def test_quarantine_keeps_the_record(spark, sf_small, topics, tmp_path):
     q = read_quarantine(spark, cfg.sink_root, "orders").select("topic", "partition", "offset", "key", "value")
     recs = record_files(spark, f"{topics}/{ORDERS_TOPIC}").select("topic", "partition", "offset", "key", "value")
     assert q.exceptAll(recs).count() == 0 and q.where("value is not null").count() > 0
-
-
-def test_compaction_leaves_batches_that_are_not_complete(spark, sf_small, tmp_path):
-    """A batch in flight (files, no audit row) and one that failed stay where
-    they are, readers see them, and a later call folds them."""
-    from ordwave.streaming.sinks import batch_path
-    cfg = _land(spark, sf_small, str(tmp_path), files_per_trigger=2)
-    root = cfg.sink_root
-    want = _rows(read_landed(spark, root, "orders"))
-    names = landing.list_batches(spark, root, "orders")
-    assert len(names) >= 3
-    hold = int(names[1].removeprefix("s-"))
-    audit = f"{root}/audit/query=orders/batch_id={hold}".replace("file:", "")
-    os.rename(audit, str(tmp_path / "held"))
-    assert batch_path(root, "orders", hold).endswith(names[1])
-    folded = landing.compact_landed(spark, root, "orders", files=2)
-    assert folded == [n for n in names if n != names[1]]
-    assert _rows(landing.read_landed_current(spark, root, "orders")) == want
-    assert landing.compact_landed(spark, root, "orders") == []
-    os.rename(str(tmp_path / "held"), audit)
-    assert landing.compact_landed(spark, root, "orders") == [names[1]]
-    current = landing.read_landed_current(spark, root, "orders")
-    assert _rows(current) == want
-    day = current.agg(F.min("event_date")).first()[0]
-    plan = current.where(F.col("event_date") == F.lit(day))._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(event_date" in plan
