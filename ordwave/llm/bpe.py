@@ -1,12 +1,13 @@
 """Byte-level BPE encoding and decoding by monoid tree reduction.
 
-A piece of text is halved until it is short; short runs are merged directly
-(lowest rank first, leftmost on ties). Two neighbours are joined by encoding
-anew a window of tokens around the seam, growing it until the tokens next to
-the window provably stay: a token sequence is the BPE encoding of its bytes
-if and only if each adjacent pair is the encoding of its own two tokens'
-bytes, so only the two pairs at the window's ends have to be checked.
-Decoding concatenates up the same tree.
+A piece of text is halved down to single bytes, which are tokens. Two
+neighbours are joined by encoding anew a window of tokens around the seam (lowest
+rank first, leftmost on ties), growing it until the tokens next to the window
+provably stay: a token sequence is the BPE encoding of its bytes if and only if
+each adjacent pair is the encoding of its own two tokens' bytes, so only the
+two pairs at the window's ends have to be checked. The encodings of short halves,
+of windows and of pairs recur in all pieces and are remembered, as whole
+pieces are. Decoding concatenates neighbours up the tree, level by level.
 
 Defined results: a null text counts as empty (no tokens); repeated rows and
 repeated ids each give their own row; an empty table gives no rows; other
@@ -21,13 +22,16 @@ import hashlib
 import heapq
 from collections.abc import Iterator
 from itertools import islice
+from operator import add
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-LEAF = 48            # bytes merged directly
-CACHE = 150_000      # pieces remembered per task process; dropped when full (speed only)
+SCAN = 48            # bytes of a window up to which its lowest pair is found by scanning
+HALF = 8             # bytes up to which the encoding of a half is remembered
+CACHE = 200_000      # entries of each memory of a task process; dropped when full (speed only)
 RUN = 200_000        # pieces encoded at a time within one text
 
 
@@ -46,12 +50,14 @@ class Bpe:
         # the library's \s is the White_Space property; spell it so that no other control counts
         self.pattern = regex.compile(pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\p{White_Space}\p{L}\p{N}]")
                                      .replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
-        self._fits: dict[tuple[bytes, bytes], bool] = {}
+        self._pairs: dict[int, tuple | None] = {}
+        self._halves: dict[bytes, tuple] = {}
         self._pieces: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}          # pieces of the generation before
 
     # -- encoding -----------------------------------------------------------
     def merge(self, data: bytes) -> list[bytes]:
-        """Direct merging of a short run."""
+        """Direct merging of a short window."""
         parts = [data[i : i + 1] for i in range(len(data))]
         get = self.ranks.get
         ranks = [get(a + b) for a, b in zip(parts, parts[1:])]
@@ -71,7 +77,7 @@ class Bpe:
 
     def merge_long(self, data: bytes) -> list[bytes]:
         """Direct merging with a heap, for windows of any length."""
-        if len(data) <= LEAF:
+        if len(data) <= SCAN:
             return self.merge(data)
         n = len(data)
         end = list(range(1, n + 1))
@@ -98,50 +104,66 @@ class Bpe:
             i = nxt[i]
         return out
 
-    def fits(self, a: bytes, b: bytes) -> bool:
-        """Whether ``a`` and ``b`` side by side stay two tokens."""
-        known = self._fits.get((a, b))
-        if known is None:
-            if len(self._fits) > CACHE:
-                self._fits.clear()
-            known = self._fits[a, b] = self.merge_long(a + b) == [a, b]
+    def window(self, tokens) -> tuple:
+        """Encoding of the bytes of some tokens."""
+        return tuple(map(self.ranks.__getitem__, self.merge_long(b"".join(map(self.tokens.__getitem__, tokens)))))
+
+    def pair(self, a: int, b: int) -> tuple | None:
+        """None if ``a`` and ``b`` side by side stay two tokens, else the
+        encoding of their bytes."""
+        key = a << 32 | b
+        known = self._pairs.get(key, 0)
+        if known == 0:
+            if len(self._pairs) > CACHE:
+                self._pairs.clear()
+            known = self.window((a, b))
+            known = self._pairs[key] = None if known == (a, b) else known
         return known
 
-    def join(self, a: list[bytes], b: list[bytes]) -> list[bytes]:
+    def join(self, a: tuple, b: tuple) -> tuple:
         """Encoding of the two encoded strings' concatenation."""
         if not a or not b:
             return a + b
-        k = 0 if self.fits(a[-1], b[0]) else 1
-        if not k:
+        mid = self.pair(a[-1], b[0])
+        if mid is None:
             return a + b
+        k = 1
         while True:
             i, j = max(0, len(a) - k), min(len(b), k)
-            mid = self.merge_long(b"".join(a[i:] + b[:j]))
-            if (not i or self.fits(a[i - 1], mid[0])) and (j == len(b) or self.fits(mid[-1], b[j])):
+            if (not i or self.pair(a[i - 1], mid[0]) is None) and (j == len(b) or self.pair(mid[-1], b[j]) is None):
                 return a[:i] + mid + b[j:]
             k *= 2
+            mid = self.window(a[-k:] + b[:k])
 
-    def tree(self, data: bytes) -> list[bytes]:
-        if len(data) <= LEAF:
-            return self.merge(data)
-        mid = len(data) // 2
-        return self.join(self.tree(data[:mid]), self.tree(data[mid:]))
+    def tree(self, data: bytes) -> tuple:
+        if len(data) <= 1:
+            return (self.ranks[data],) if data else ()
+        known = self._halves.get(data)
+        if known is None:
+            mid = len(data) // 2
+            known = self.join(self.tree(data[:mid]), self.tree(data[mid:]))
+            if len(data) <= HALF:
+                if len(self._halves) > CACHE:
+                    self._halves.clear()
+                self._halves[data] = known
+        return known
 
     def piece_ids(self, piece: str) -> bytes:
         data = piece.encode()
         whole = self.ranks.get(data)
-        ids = [whole] if whole is not None else [self.ranks[t] for t in self.tree(data)]
-        return np.asarray(ids, "<u4").tobytes()
+        ids = (whole,) if whole is not None else self.tree(data)
+        return pack(f"<{len(ids)}I", *ids)
 
     def encode_runs(self, text: str) -> Iterator[bytes]:
         """Ids as little-endian unsigned 32-bit integers, some pieces at a time."""
-        known = self._pieces
         found = iter([self.pattern.findall(text)]) if len(text) < 2 * RUN else self._runs(text)
         for pieces in found:
-            if len(known) > CACHE:
-                known.clear()
+            if len(self._pieces) > CACHE:
+                self._older, self._pieces = self._pieces, {}
+            known, older = self._pieces, self._older
             for p in set(pieces).difference(known):
-                known[p] = self.piece_ids(p)
+                raw = older.get(p)
+                known[p] = self.piece_ids(p) if raw is None else raw
             yield b"".join(map(known.__getitem__, pieces))
 
     def _runs(self, text: str) -> Iterator[list[str]]:
@@ -151,11 +173,12 @@ class Bpe:
 
     # -- decoding -----------------------------------------------------------
     def decode(self, ids: list[int]) -> bytes:
-        """Bytes of the ids, halves concatenated up the tree."""
-        if len(ids) <= 4096:
-            return b"".join(map(self.tokens.__getitem__, ids))
-        mid = len(ids) // 2
-        return self.decode(ids[:mid]) + self.decode(ids[mid:])
+        """Bytes of the ids, neighbours concatenated up the tree."""
+        parts = list(map(self.tokens.__getitem__, ids))
+        while len(parts) > 1:
+            odd = parts[len(parts) & ~1 :]
+            parts = list(map(add, parts[::2], parts[1::2])) + odd
+        return parts[0] if parts else b""
 
 
 _loaded: dict[tuple[str, str], Bpe] = {}

@@ -37,7 +37,21 @@ def test_any_text_as_the_library(library, own, text):
 @pytest.mark.parametrize("piece", ["a" * 1000, "ab" * 700, "the" * 500, "é" * 400, "x1" * 100 + "y" * 333, "\n" * 500, "thethatthis" * 60])
 def test_long_pieces_join_at_every_level(library, own, piece):
     assert ids_of(own, piece) == library.encode_ordinary(piece)
-    assert own.tree(piece.encode()) == own.merge_long(piece.encode())
+    assert [own.tokens[i] for i in own.tree(piece.encode())] == own.merge_long(piece.encode())
+
+
+def test_pieces_of_documents_go_through_the_tree(spark, monkeypatch):
+    """Leaves are single bytes, so nearly every distinct piece of more than one
+    token is joined from halves; windows of more than two tokens occur too."""
+    own, joins, wide = bpe.Bpe(PATH, P.PATTERN), [0], [0]
+    join, window = bpe.Bpe.join, bpe.Bpe.window
+    monkeypatch.setattr(bpe.Bpe, "join", lambda self, a, b: (joins.__setitem__(0, joins[0] + 1), join(self, a, b))[1])
+    monkeypatch.setattr(bpe.Bpe, "window", lambda self, t: (wide.__setitem__(0, wide[0] + (len(t) > 2)), window(self, t))[1])
+    texts = [r[0] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    pieces = {p for t in texts for p in own.pattern.findall(t) if p.encode() not in own.ranks}
+    for p in pieces:
+        own.piece_ids(p)
+    assert joins[0] > len(pieces) > 1000 and wide[0] > 100
 
 
 def test_white_space_is_the_librarys(library, own):
