@@ -292,7 +292,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 [pa.array([m.weights.astype(np.float32).tobytes()], pa.binary()), pa.array([m.bias]),
                  pa.array([m.trans.ravel().tolist()], pa.list_(pa.float64()))], ["w", "bias", "trans"])
 
-    got = (sample.select("__text", "__y").coalesce(1).sortWithinPartitions("__y", "__text")
+    # the scan and the join run in all its tasks; the sample, an id once, meets in one
+    sample = sample.groupBy(id_col).agg(F.min("__text").alias("__text"), F.max("__y").alias("__y"))
+    got = (sample.select("__text", "__y").repartition(1).sortWithinPartitions("__y", "__text")
            .mapInArrow(run, "w binary, bias double, trans array<double>").collect())
     if not got:
         return None
