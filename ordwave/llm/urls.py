@@ -2,7 +2,9 @@
 
 Fixed rules win (the longest that fits). Other URLs are judged by rules that
 FP-growth mines from labelled URLs: combinations of URL tokens that imply the
-label ``bad`` with enough support and confidence. Rules match by an inverted
+label ``bad`` with enough support and confidence. Tokens that always occur
+together are mined as one, so a URL that repeats does not multiply its tokens'
+subsets. Rules match by an inverted
 index (token to rules): a rule fires when all its tokens are found. Pages are
 reduced to their distinct token sets before the index is probed, so a host
 with a third of all pages is probed once.
@@ -19,6 +21,7 @@ DataFrame operations only.
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.ml.fpm import FPGrowth
@@ -84,24 +87,45 @@ def tokens(url: str = "url") -> Column:
 
 
 def mine(pages: DataFrame, labels: DataFrame, min_support: float, min_confidence: float, min_rows: int = 20, id_col: str = "page_id") -> DataFrame:
-    """Rules ``(rule_id, items, confidence)`` whose consequent is ``bad``.
-    A rule is pruned when a rule with fewer tokens, all among its own, is as
-    confident."""
+    """Rules ``(rule_id, items, members, confidence)`` whose consequent is
+    ``bad``. Tokens found in the same labelled pages are one item, named by the
+    least of them; ``members`` has the tokens of each item, any of which will
+    do. An item that is confident enough alone is a rule, and in no other:
+    the pages it is in are judged by it. FP-growth combines the rest. A rule is
+    pruned when a rule with fewer items, all among its own, is as confident."""
     marked = (labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__id"))
               .agg(F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("__bad")))
-    baskets = (pages.where(F.size("tokens") > 0).join(marked, F.col(id_col) == F.col("__id"))
-               .select(F.when(F.col("__bad") == 1, F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items")))
+    sets = scratch.table(pages.where(F.size("tokens") > 0).join(marked, F.col(id_col) == F.col("__id"))
+                         .groupBy("tokens").agg(F.count("*").alias("n"), F.sum(F.coalesce("__bad", F.lit(0))).alias("b"))
+                         .withColumn("id", F.monotonically_increasing_id()), "baskets")
+    n = sets.agg(F.sum("n")).first()[0] or 0
     # a rule also needs min_rows labelled rows (growing with the root of their number), or few labels would give rules of one URL
-    n = max(1, baskets.count())
-    support = min(1.0, max(min_support, min_rows * max(1.0, n / GROWTH) ** 0.5 / n))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
-    found = (model.associationRules.where(F.element_at("consequent", 1) == BAD)
-             .select(F.xxhash64(F.array_join(F.array_sort("antecedent"), "\x01")).alias("rule_id"),
-                     F.array_sort("antecedent").alias("items"), "confidence"))
-    found = scratch.table(found, "rules")
-    # inverted index over the rules themselves finds the more general ones
-    small = found.select(F.col("rule_id").alias("g_id"), F.size("items").alias("g_n"), F.col("confidence").alias("g_conf"), F.explode("items").alias("item"))
-    large = found.select("rule_id", F.size("items").alias("n"), "confidence", F.explode("items").alias("item"))
+    need = max(1, math.ceil(max(min_support * n, min_rows * max(1.0, n / GROWTH) ** 0.5) - 1e-9))
+    tokens_of = sets.select("id", "n", "b", F.explode("tokens").alias("item"))
+    classes = scratch.table(
+        tokens_of.groupBy("item").agg(F.sum("n").alias("rows"), F.sum("b").alias("bad"), F.count("*").alias("k"),
+                                      F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+        .where(F.col("bad") >= need).groupBy("rows", "bad", "k", "x", "y")
+        .agg(F.min("item").alias("item"), F.sort_array(F.collect_list("item")).alias("members"))
+        .select("item", "members", (F.col("bad") / F.col("rows")).alias("confidence")), "classes")
+    single = classes.where(F.col("confidence") >= min_confidence).select(F.array("item").alias("items"), F.array("members").alias("members"), "confidence")
+    rest = classes.where(F.col("confidence") < min_confidence)
+    found = single
+    if not rest.isEmpty():
+        left = scratch.table(tokens_of.join(rest.select("item"), "item").groupBy("id", "n", "b").agg(F.collect_set("item").alias("items")), "left")
+        bad = F.concat("items", F.array(F.lit(BAD)))
+        rows = left.select(F.explode(F.concat(F.array_repeat(bad, F.col("b").cast("int")), F.array_repeat(F.col("items"), (F.col("n") - F.col("b")).cast("int")))).alias("items"))
+        total = left.agg(F.sum("n")).first()[0]
+        model = FPGrowth(itemsCol="items", minSupport=min(1.0, (need - 0.5) / total), minConfidence=min_confidence).fit(rows)
+        mined = model.associationRules.where(F.element_at("consequent", 1) == BAD).select(F.array_sort("antecedent").alias("items"), "confidence")
+        named = (mined.select("items", "confidence", F.posexplode("items").alias("at", "item")).join(rest.select("item", "members"), "item")
+                 .groupBy("items", "confidence").agg(F.array_sort(F.collect_list(F.struct("at", "members"))).alias("m")))
+        found = found.unionByName(named.select("items", F.col("m.members").alias("members"), "confidence"))
+    found = scratch.table(found.select(F.xxhash64("items").alias("rule_id"), "items", "members", "confidence"), "rules")
+    # inverted index over the rules of several items finds the more general ones
+    several = found.where(F.size("items") > 1)
+    small = several.select(F.col("rule_id").alias("g_id"), F.size("items").alias("g_n"), F.col("confidence").alias("g_conf"), F.explode("items").alias("item"))
+    large = several.select("rule_id", F.size("items").alias("n"), "confidence", F.explode("items").alias("item"))
     general = (large.join(small, "item").where((F.col("g_n") < F.col("n")) & (F.col("g_conf") >= F.col("confidence")))
                .groupBy("rule_id", "g_id", "g_n").agg(F.count("*").alias("hits")).where(F.col("hits") == F.col("g_n")).select("rule_id").distinct())
     return scratch.table(found.join(general, "rule_id", "left_anti"), "pruned")
@@ -109,9 +133,10 @@ def mine(pages: DataFrame, labels: DataFrame, min_support: float, min_confidence
 
 def match(sets: DataFrame, rules: DataFrame) -> DataFrame:
     """Best rule of each distinct token set: ``tokens``, ``confidence``, ``mined``."""
-    index = rules.select("rule_id", F.size("items").alias("need"), "confidence", F.array_join("items", " ").alias("mined"), F.explode("items").alias("item"))
+    index = (rules.select("rule_id", F.size("items").alias("need"), "confidence", F.array_join("items", " ").alias("mined"), F.posexplode("members").alias("slot", "any"))
+             .select("rule_id", "need", "confidence", "mined", "slot", F.explode("any").alias("item")))
     hits = (sets.select("tokens", F.explode("tokens").alias("item")).join(index, "item")
-            .groupBy("tokens", "rule_id", "need", "confidence", "mined").agg(F.count("*").alias("k")).where(F.col("k") == F.col("need")))
+            .groupBy("tokens", "rule_id", "need", "confidence", "mined").agg(F.size(F.collect_set("slot")).alias("k")).where(F.col("k") == F.col("need")))
     return hits.groupBy("tokens").agg(F.max(F.struct("confidence", "mined")).alias("best")).select("tokens", "best.confidence", "best.mined")
 
 

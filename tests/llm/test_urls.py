@@ -82,3 +82,52 @@ def test_least_rows_grow_slower_than_the_pages(spark):
     pages = spark.range(20000).selectExpr("id AS page_id", "concat('https://', if(id < 30, 'bad', concat('h', id)), '.org/', id) AS url")
     labels = spark.range(20000).selectExpr("id AS doc_id", "int(id >= 30) AS quality", "0 AS toxic")
     assert urls.judge(pages, labels).where("verdict = 'block'").count() == 30
+
+
+def brute_verdicts(sets, bad, need, confidence):
+    """Block what holds a token combination with enough bad rows and confidence
+    (up to four tokens, over the distinct ones of ``bad`` pages)."""
+    from itertools import combinations
+
+    tokens = sorted({t for i in bad for t in sets[i]})
+    tokens = [t for t in tokens if sum(t in sets[i] for i in bad) >= need]
+    rules = []
+    for k in (1, 2, 3, 4):
+        for c in combinations(tokens, k):
+            if any(set(r) <= set(c) for r in rules):
+                continue
+            hit = [i for i, s in sets.items() if set(c) <= s]
+            if sum(i in bad for i in hit) >= need and sum(i in bad for i in hit) >= confidence * len(hit):
+                rules.append(c)
+    return {i: any(set(r) <= s for r in rules) for i, s in sets.items()}
+
+
+def test_a_deep_url_that_repeats(spark):
+    """30 copies of a URL of 25 segments: its tokens are one item, not 2^25
+    sets, whatever their label; verdicts are those of brute force."""
+    deep = "https://deep.example.org/" + "/".join(f"s{i}" for i in range(25))
+    for bad_copies in (30, 12, 0):
+        rows = [(i, deep) for i in range(30)] + [(30 + i, f"https://h{i % 3}.example.org/{'x' if i % 2 else 'y'}/{i}") for i in range(60)]
+        rows += [(100, deep + "/more"), (101, "https://deep.example.org/s0/other")]
+        bad = set(range(bad_copies)) | {30 + i for i in range(60) if i % 6 == 1}
+        labels = spark.createDataFrame([(i, int(i not in bad), 0) for i, _ in rows[:90]], "doc_id long, quality int, toxic int")
+        pages = spark.createDataFrame(rows, "page_id long, url string")
+        got = {r.page_id: r.verdict == "block" for r in urls.judge(pages, labels, rules=[], min_rows=8).collect()}
+        base = pages.withColumn("host", urls.host()).withColumn("path", urls.path()).withColumn("tokens", urls.tokens())
+        deeper = {f"dir{k + 1}=s{k}" for k in range(1, 25)}                 # always with dir=s0: brute force without them
+        small = {r.page_id: frozenset(r.tokens) - deeper for r in base.collect()}
+        want = brute_verdicts({i: s for i, s in small.items() if i < 90}, bad, 8, 0.6)
+        assert {i: got[i] for i in want} == want
+        assert got[100] == (bad_copies == 30) and want[0] == (bad_copies == 30)
+
+
+def test_combinations_of_tokens_none_of_which_is_enough(spark):
+    """Bad only where a host and a directory meet."""
+    rows, labels = [], []
+    for i in range(320):
+        h, d = i % 2, i // 2 % 2
+        rows.append((i, f"https://{'ab'[h]}.example.org/{'xy'[d]}/{i}"))
+        labels.append((i, int(not (h and d)), 0))
+    got = urls.judge(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), rules=[]).collect()
+    assert all((r.verdict == "block") == (r.page_id % 4 == 3) for r in got)
+    assert {r.mined for r in got if r.mined} == {"dir=y host=b.example.org"}
