@@ -100,26 +100,6 @@ def count_landed(spark: SparkSession, root: str, table: str) -> int:
     return read_landed(spark, root, table).agg(F.count(F.lit(1))).first()[0]
 
 
-def drop_last_commit(spark: SparkSession, checkpoint: str) -> int | None:
-    """Remove the newest entry of a query's commit log, the state a crash
-    between a batch's writes and its commit leaves behind; the next start
-    replays that batch. Returns the batch id, or None if nothing was
-    committed."""
-    fs = hadoop_fs(spark, f"{checkpoint}/commits")
-    if fs is None or not fs[0].exists(fs[1]):
-        return None
-    names = [st.getPath().getName() for st in fs[0].listStatus(fs[1])]
-    ids = sorted(int(n) for n in names if n.isdigit())
-    if not ids:
-        return None
-    last = ids[-1]
-    for name in (str(last), f".{last}.crc"):
-        target = hadoop_fs(spark, f"{checkpoint}/commits/{name}")
-        if target[0].exists(target[1]):
-            target[0].delete(target[1], False)
-    return last
-
-
 AUDITED_BY = {"orders": "orders", "pricing_events": "pricing"}
 TARGET_BYTES = 512 << 20       # of a merged file
 MERGE_AT = 8                   # small merged files that are merged without a new batch

@@ -23,9 +23,10 @@ from ..functions.business import price_position
 from ..schemas import ORDER_FIELDS, ORDERS_TOPIC, PRICING_FIELDS, PRICING_TOPIC
 from ..sources.fixtures import TOPICS, publish_topics
 from ..sources.kafka import record_files, record_files_stream
+from ..sources.snapshots import batch_files, list_batches, stream_id
 from ..streaming.partials import read_partials, stored_offset_gaps, stored_rows_per_day, stored_summary
 from ..streaming.sinks import quarantine_exists, read_audit, read_landed, read_quarantine, read_unique, write_batch_load
-from ..streaming.streams import (dedup_stream, drain, order_key, read_daily_counts, require_no_late_rows, start_daily_counts,
+from ..streaming.streams import (dedup_stream, drain, order_key, orders_lander, read_daily_counts, require_no_late_rows, start_daily_counts,
                                  start_routed_ingest, start_stateful)
 from . import landing, reports
 
@@ -328,14 +329,17 @@ def stream_multi_topic(spark, sf_dir):
     f"SELECT count(*) AS n_rows, count(DISTINCT order_id) AS n_ids FROM ({_GOOD})"))
 def stream_replay_idempotent(spark, sf_dir):
     """G2 + T2 + T7: run the orders stream; restart it on the same
-    checkpoint (must add nothing); then drop the last commit entry, as a
-    crash after the batch's writes would, and restart: the replayed batch
-    overwrites its own output, so the table is unchanged."""
+    checkpoint (must add nothing); then land the records of its last
+    micro-batch again under the same id, as Spark does with a batch that was
+    written but not committed: it overwrites its own output, so the table is unchanged."""
     base = landing.new_run_dir(spark, "replay")
     landing.stream_land(spark, sf_dir, base, "orders")
-    landing.stream_land(spark, sf_dir, base, "orders")
-    landing.drop_last_commit(spark, f"{base}/checkpoints/orders")
     sink = landing.stream_land(spark, sf_dir, base, "orders")
+    last = list_batches(spark, sink, "orders")[-1]
+    at = ["topic", "partition", "offset"]
+    batch_files(spark, sink, "orders", f"{sink}/orders/batch={last}").select(*at).write.parquet(f"{base}/replayed")
+    replayed = records(spark, sf_dir, ORDERS_TOPIC).join(spark.read.parquet(f"{base}/replayed"), at, "left_semi")
+    orders_lander(sink)(replayed, stream_id(last))
     df = read_landed(spark, sink, "orders")
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("order_id").alias("n_ids"))
 

@@ -12,6 +12,7 @@ from ordwave.operators.validate import bad_rows, good_rows
 from ordwave.plans import landing
 from ordwave.schemas import ORDERS_TOPIC
 from ordwave.sources.fixtures import publish_topics
+from ordwave.sources.tables import hadoop_fs
 from ordwave.sources.kafka import record_files
 from ordwave.plans.reports import audit_totals, latest_audit
 from ordwave.streaming.sinks import BatchLander, OwnershipError, read_audit, read_landed, read_quarantine
@@ -159,8 +160,27 @@ def test_output_shapes_match_the_declared_schemas(spark, sf_small, tmp_path):
     assert sorted(audit.columns) == sorted(f.name for f in BATCH_AUDIT.fields)
 
 
+def drop_last_commit(spark, checkpoint):
+    """Remove the newest entry of a query's commit log, the state a crash
+    between a batch's writes and its commit leaves behind; the next start
+    replays that batch. Returns the batch id, or None if nothing was
+    committed."""
+    fs = hadoop_fs(spark, f"{checkpoint}/commits")
+    if fs is None or not fs[0].exists(fs[1]):
+        return None
+    names = [st.getPath().getName() for st in fs[0].listStatus(fs[1])]
+    ids = sorted(int(n) for n in names if n.isdigit())
+    if not ids:
+        return None
+    last = ids[-1]
+    for name in (str(last), f".{last}.crc"):
+        target = hadoop_fs(spark, f"{checkpoint}/commits/{name}")
+        if target[0].exists(target[1]):
+            target[0].delete(target[1], False)
+    return last
+
+
 def test_drop_last_commit_replays_one_batch(spark, sf_small, tmp_path):
-    from ordwave.plans.landing import drop_last_commit
     base = str(tmp_path)
     cfg = _land(spark, sf_small, base)
     n0 = read_landed(spark, cfg.sink_root, "orders").count()
@@ -188,7 +208,6 @@ def test_stream_dedup_is_the_same_for_any_batches(spark, sf_small, topics, batch
 
 def test_rows_later_than_the_watermark_are_an_error(spark, tmp_path):
     from ordwave.streaming.streams import LateRowsError, dedup_stream, require_no_late_rows
-    from ordwave.sources.tables import hadoop_fs
     src = str(tmp_path / "src")
     rows = [[("a", 1000), ("b", 2000)], [("c", 3000)], [("late", 10)]]
     for k, part in enumerate(rows):
