@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import oracle as O
+from ..config import IngestConfig
 from ..functions.business import (
     CENT_TOLERANCE,
     is_weekend_spike,
@@ -20,12 +21,16 @@ from ..functions.business import (
 from ..functions.parse import coerce_booleans, to_iso_text, to_json_value
 from ..functions.rounding import cents
 from ..operators import dims, weighted
-from ..operators.transform import orders_flagged
+from ..operators.transform import landed_orders, orders_flagged
 from ..schemas import ORDER_FIELDS, ORDERS, ORDERS_TOPIC
+from ..sources.fixtures import publish_topics
+from ..sources.kafka import record_files_stream
 from ..sources.tables import read_table
+from ..streaming.enrich import EnrichedLander, VersionedDim, read_enriched
 from ..streaming.sinks import kafka_records_for
+from ..streaming.streams import drain, start_ingest
 from . import audits, landing
-from .registry import records, register
+from .registry import ORACLE, records, register
 
 TOL = O.TOL
 
@@ -226,6 +231,21 @@ def product_enrich(spark, sf_dir):
         F.count_if(F.col("dim_base_price") == F.col("base_price")).alias("n_base_equal"))
 
 
+@register("orders_enriched_landed", ORACLE["product_enrich"])
+def orders_enriched_landed(spark, sf_dir):
+    """J4 on the stream: the landed orders carry the product attributes of the
+    dimension's version at their micro-batch."""
+    base = landing.new_run_dir(spark, "enriched")
+    dim = VersionedDim(f"{base}/dims/product")
+    dim.publish(dims.product_dim(spark, sf_dir))
+    lander = EnrichedLander("orders", f"{base}/landed", orders_flagged, landed_orders, "orders", dim=dim)
+    src = record_files_stream(spark, f"{publish_topics(spark, sf_dir)}/{ORDERS_TOPIC}", landing.files_per_trigger(spark))
+    drain([start_ingest(src, lander, f"{base}/checkpoint", IngestConfig(), available_now=True)])
+    return read_enriched(spark, f"{base}/landed", "orders").groupBy("category").agg(
+        F.count(F.lit(1)).alias("n"), F.count("dim_base_price").alias("n_matched"),
+        F.count_if(F.col("dim_base_price") == F.col("base_price")).alias("n_base_equal"))
+
+
 @register("region_city_check", O.with_dims(
     "SELECT g.region, count(*) AS n, count(*) FILTER (WHERE EXISTS (SELECT 1 FROM geo WHERE geo.region = g.region "
     "AND geo.city = g.city)) AS n_in_hierarchy FROM good g GROUP BY 1"))

@@ -10,7 +10,8 @@ from ordwave.operators import dims
 from ordwave.plans import registry
 
 STREAMING = {"stream_orders_landed", "stream_pricing_landed", "stream_multi_topic", "stream_replay_idempotent",
-             "stream_rows_per_day", "stream_dedup", "load_reconciliation", "orders_compacted", "orders_unique", "offset_gaps_stored"}
+             "stream_rows_per_day", "stream_dedup", "load_reconciliation", "orders_compacted", "orders_unique", "offset_gaps_stored",
+             "orders_enriched_landed"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas")
 
