@@ -12,18 +12,24 @@ one of their first ``n - ceil(t n) + 1`` shingles, so a cell is such a
 shingle with the sets that have it there. Sets are told apart by a hash of
 their content, so any number of copies is one entry.
 
-1. Each cell proposes the pairs of its members with one of them; bound and
-   verification give links, and connected components. Cells that still hold
-   several components do so again with another member.
-2. Cells whose members are still in different components are searched with
-   the R-tree, which proposes the pairs across components. Cells beyond
-   ``CELL`` members are dealt out in pairs of blocks.
-3. Components are joined through the links of both.
-
-Every link is found: a linked pair shares a cell; it is in one component
-after step 1, or proposed by step 2. No pair is assumed linked without
-verification. Links between sets already known to be connected need not be
-verified again, so a group of near copies costs about its size.
+1. Cells are pruned where they meet: in the cell of their first common shingle
+   the rest of both sets must still hold the overlap that a link needs, so a
+   member without a partner of fitting size and place leaves the cell. Each cell
+   proposes the pairs of its members with one of them (the least by hash, so that
+   its cells agree); bound and verification give links, and components.
+2. Large cells that still hold several components are searched with the R-tree,
+   which proposes a spanning forest of the best bounds between components, at most a
+   pair for each member. So a group of near copies costs about its size.
+3. All cells that still hold several components are searched with the R-tree for
+   all pairs across components. Cells beyond ``CELL`` members are dealt out in
+   pairs of blocks.
+
+A pair with a common shingle among the first few of both sets is proposed in
+the cell of the first of these only, others in each cell that they share.
+
+Every link is found: a linked pair shares the cell of its first common shingle;
+it is in one component after steps 1 and 2, or proposed by step 3. No pair is
+assumed linked without verification.
 
 Defined results: null or empty texts, and texts without words, have an empty
 set and link with nothing; rows with equal sets are linked; repeated ids are
@@ -45,7 +51,9 @@ from .textnum import U, blocks, doc_slices, mix, shingle_sets
 HOT = 65_536         # frequent shingles put last in the order (order only: any order is exact)
 HOT_TASK = 8_192     # of which a task proposes at most so many
 CELL = 1_024         # members searched in one tree; larger cells go by pairs of blocks
-TURNS = 3            # rounds of step 1 (speed only: step 2 finds the rest)
+LARGE = 64           # members of a cell that step 2 searches (speed only: step 3 finds the rest)
+LEADS = 3            # first shingles of a set that come with its point
+NEAR = 64            # neighbours by size that a cell is pruned by; larger cells stay whole
 FAN = 16             # entries of an R-tree node
 SLOTS = 1 << 20      # hash slots that pre-filter sets before they are shuffled
 
@@ -75,19 +83,19 @@ def stored(buf) -> np.ndarray:
 
 
 def packed_point(keys: np.ndarray) -> bytes:
-    """The count vector in a byte per group, rounded up in steps (first four
-    bytes) if a count does not fit, so bounds stay bounds."""
+    """The count vector in half a byte per group, rounded up in steps (first
+    four bytes) if a count does not fit, so bounds stay bounds."""
     v = count_vector(keys).astype(np.int64)
-    step = max(1, -(-int(v.max(initial=0)) // 255))
-    return np.uint32(step).tobytes() + (-(-v // step)).astype(np.uint8).tobytes()
+    step = max(1, -(-int(v.max(initial=0)) // 15))
+    v = (-(-v // step)).astype(np.uint8)
+    return np.uint32(step).tobytes() + (v[::2] | v[1::2] << 4).tobytes()
 
 
 def unpacked_point(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8, offset=4).astype(np.int32) * np.frombuffer(raw, np.uint32, 1).astype(np.int32)
-
-
-def as_vector(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(raw, np.uint16 if len(raw) == 2 * group_count(n) else np.uint32)
+    half = np.frombuffer(raw, np.uint8, offset=4)
+    out = np.empty(2 * len(half), np.int32)
+    out[::2], out[1::2] = half & 15, half >> 4
+    return out * np.frombuffer(raw, np.uint32, 1).astype(np.int32)
 
 
 def fold(v: np.ndarray, g: int) -> np.ndarray:
@@ -110,6 +118,18 @@ class Threshold:
     def prefix(self, n: int) -> int:
         return n - -(-self.p * n // 100) + 1
 
+    def room(self, n: int, take: int) -> np.ndarray:
+        """Of the first ``take`` shingles of a set of ``n``: if it is the first
+        that two sets share, the most that both sizes together can be for a
+        link, as a part of ``n`` in steps of 1/64, rounded up (255: no limit)."""
+        rest = n - np.arange(take)
+        return np.minimum(-(-64 * (rest * (100 + self.p) // self.p) // n), 255).astype(np.uint8)
+
+    def fit(self, na, nb, ra, rb):
+        """Whether sets of these sizes and rooms can link through the cell."""
+        both = na + nb
+        return self.sizes(na, nb) & ((64 * both <= ra * na) | (ra == 255)) & ((64 * both <= rb * nb) | (rb == 255))
+
 
 def rtree(points: np.ndarray) -> list[np.ndarray]:
     """Coordinate maxima of the nodes, level by level from the points up.
@@ -209,11 +229,10 @@ def frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], counts[order]
 
 
-def cells(sets: DataFrame, t: Threshold, bits: int) -> DataFrame:
-    """Members of the cells with two or more different sets: ``cell``, ``sig``
-    (hash of the member list), ``m``, ``entity``, ``n``."""
-    hot = sets.sparkSession.sparkContext.broadcast(frequent(sets))
-
+def cells(sets: DataFrame, hot, t: Threshold, bits: int) -> tuple[DataFrame, DataFrame]:
+    """Members of the cells with two or more different sets that fit:
+    ``cell``, ``hot`` (of a frequent shingle), ``m``, ``entity``, ``n``; and the
+    pairs ``a, b, na, nb`` of one member with each other one that fits."""
     def emit(batches):
         hk, hc = hot.value
         held, count = [], 0
@@ -227,7 +246,7 @@ def cells(sets: DataFrame, t: Threshold, bits: int) -> DataFrame:
                     h = hk[p] == s
                     if h.any():
                         s = np.concatenate((s[~h], s[h][np.argsort(hc[p[h]], kind="stable")]))
-                held.append((s[:take].copy(), e, n))
+                held.append((s[:take].copy(), e, n, t.room(n, take)))
                 count += take
             if count >= packed.FLUSH:
                 yield from flush(held)
@@ -240,42 +259,81 @@ def cells(sets: DataFrame, t: Threshold, bits: int) -> DataFrame:
         keys = np.concatenate([h[0] for h in held])
         ent = np.repeat(np.array([h[1] for h in held], np.int64), size)
         n = np.repeat(np.array([h[2] for h in held], np.uint32), size)
+        room = np.concatenate([h[3] for h in held])
         order = np.lexsort((ent, keys))
-        keys, ent, n = keys[order], ent[order], n[order]
+        keys, ent, n, room = keys[order], ent[order], n[order], room[order]
         new = np.ones(len(keys), bool)
         new[1:] = (keys[1:] != keys[:-1]) | (ent[1:] != ent[:-1])
-        keys, ent, n = keys[new], ent[new], n[new]
+        keys, ent, n, room = keys[new], ent[new], n[new], room[new]
         # a cell is known by its bucket and the next 32 bits; cells that fall together only cost time
         short = (keys >> U(32 - bits)).astype(np.uint32)
-        rows = [(b, c, e, k) for b, _, c, e, k in packed.pack(bits, keys, short, ent, n)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["bucket", "cells", "entities", "ns"])
+        rows = [(b, c, e, k, r) for b, _, c, e, k, r in packed.pack(bits, keys, short, ent, n, room)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["bucket", "cells", "entities", "ns", "rooms"])
 
     def gather(key, table):
         b = key[0].as_py()
         cell = packed.unpack(table.column("cells"), np.uint32).astype(np.uint64)
         ent = packed.unpack(table.column("entities"), np.int64)
-        n = packed.unpack(table.column("ns"), np.uint32)
-        order = np.lexsort((ent, cell))
-        cell, ent, n = cell[order], ent[order], n[order]
+        n = packed.unpack(table.column("ns"), np.uint32).astype(np.int64)
+        room = packed.unpack(table.column("rooms"), np.uint8).astype(np.int64)
+        order = np.lexsort((-room, ent, cell))
+        cell, ent, n, room = cell[order], ent[order], n[order], room[order]
         new = np.ones(len(cell), bool)
         new[1:] = (cell[1:] != cell[:-1]) | (ent[1:] != ent[:-1])
-        cell, ent, n = cell[new], ent[new], n[new]
+        cell, ent, n, room = cell[new], ent[new], n[new], room[new]
+        cell, ent, n, room = _pruned(cell, ent, n, room, t)
         start = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))) if len(cell) else np.zeros(0, np.int64)
         m = np.diff(np.append(start, len(cell)))
         sig = np.add.reduceat(mix(ent.view(np.uint64)), start) if len(start) else np.zeros(0, np.uint64)
-        # of the bucket's cells with the same members, one
+        # the pairs of each cell's least member
+        order = np.lexsort((mix(ent.view(np.uint64)), cell))
+        head = np.repeat(order[start], m) if len(start) else np.zeros(0, np.int64)
+        pair = np.flatnonzero(t.fit(n, n[head], room, room[head]) & (ent != ent[head])) if len(start) else head
+        x, y = pair, head[pair]
+        x, y = np.where(ent[x] < ent[y], x, y), np.where(ent[x] < ent[y], y, x)
+        _, one = np.unique(np.stack((ent[x], ent[y])), axis=1, return_index=True) if len(x) else (None, np.zeros(0, np.int64))
+        x, y = x[one], y[one]
+        # of the bucket's cells with the same members, the first in the order of shingles
+        name = (U(b) << U(32)) | cell[start]
+        last = np.isin(name, hot.value[0] >> U(32 - bits))
         keep = np.zeros(len(start), bool)
-        many = np.flatnonzero(m >= 2)
+        many = np.flatnonzero(m >= 3)
+        many = many[np.lexsort((name[many], last[many]))]
         keep[many[np.unique(sig[many], return_index=True)[1]]] = True
         each = np.repeat(keep, m)
-        wide = lambda x: np.repeat(x, m)[each]
-        name = (U(b) << U(32)) | cell[each]
-        return pa.table({"cell": name.view(np.int64), "sig": wide(sig).view(np.int64), "m": wide(m), "entity": ent[each], "n": n[each].astype(np.int64)})
-
-    rows = (sets.where("entity is not null").select("n", "entity", "keys")
-            .mapInArrow(emit, "bucket long, cells binary, entities binary, ns binary")
-            .groupBy("bucket").applyInArrow(gather, "cell long, sig long, m long, entity long, n long"))
-    return scratch.table(rows, "cells")
+        wide = lambda z: np.repeat(z, m)[each]
+        name, last = wide(name).view(np.int64), wide(last)
+        none = pa.nulls(len(x), pa.int64())
+        rows = len(name)
+        return pa.table({"cell": pa.chunked_array([pa.array(name), none]), "hot": pa.chunked_array([pa.array(last), pa.nulls(len(x), pa.bool_())]),
+                         "m": pa.chunked_array([pa.array(wide(m)), none]), "entity": np.concatenate((ent[each], ent[x])), "n": np.concatenate((n[each], n[x])),
+                         "b": pa.chunked_array([pa.nulls(rows, pa.int64()), pa.array(ent[y])]), "nb": pa.chunked_array([pa.nulls(rows, pa.int64()), pa.array(n[y])])})
+
+    rows = scratch.table(sets.where("entity is not null").select("n", "entity", "keys")
+                         .mapInArrow(emit, "bucket long, cells binary, entities binary, ns binary, rooms binary")
+                         .groupBy("bucket").applyInArrow(gather, "cell long, hot boolean, m long, entity long, n long, b long, nb long"), "cells")
+    stars = rows.where("b is not null").select(F.col("entity").alias("a"), "b", F.col("n").alias("na"), "nb").distinct()
+    return rows.where("cell is not null").select("cell", "hot", "m", "entity", "n"), stars
+
+
+def _pruned(cell, ent, n, room, t: Threshold):
+    """Members that fit another member of their cell, by cell and size. Cells
+    of more than ``NEAR`` members stay as they are."""
+    order = np.lexsort((ent, n, cell))
+    cell, ent, n, room = cell[order], ent[order], n[order], room[order]
+    if not len(cell):
+        return cell, ent, n, room
+    start = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+    m = np.diff(np.append(start, len(cell)))
+    keep = np.repeat(m > NEAR, m)
+    left = np.repeat((m >= 2) & (m <= NEAR), m)
+    for d in range(1, min(int(m.max()), NEAR)):
+        i = np.flatnonzero(left[:-d] & (cell[:-d] == cell[d:]))
+        if not len(i):
+            break
+        ok = i[t.fit(n[i], n[i + d], room[i], room[i + d])]
+        keep[ok] = keep[ok + d] = True
+    return cell[keep], ent[keep], n[keep], room[keep]
 
 
 # -- verification -----------------------------------------------------------
@@ -304,22 +362,22 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def _bounded(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
-    """Pairs ``a, b, na, nb`` that the bound of their count vectors admits."""
+    """Pairs ``a, b`` that the bound of their count vectors admits."""
     pairs = scratch.table(pairs, "pairs")
-    vecs = _of(sets, _ends(pairs), lambda k: count_vector(k).tobytes(), "vectors")
+    points = _of(sets, _ends(pairs), packed_point, "vectors")
 
     def run(batches):
         for batch in batches:
             x = batch.to_pydict()
             ok = []
             for na, nb, va, vb in zip(x["na"], x["nb"], x["va"], x["vb"]):
-                a, b = as_vector(va, na), as_vector(vb, nb)
+                a, b = unpacked_point(va), unpacked_point(vb)
                 g = min(len(a), len(b))
                 ok.append(bool(t.links(int(np.minimum(fold(a, g), fold(b, g)).sum(dtype=np.int64)), na, nb)))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    with_a = pairs.join(vecs.select(F.col("entity").alias("a"), F.col("x").alias("va")), "a")
-    both = with_a.join(vecs.select(F.col("entity").alias("b"), F.col("x").alias("vb")), "b")
+    with_a = pairs.join(points.select(F.col("entity").alias("a"), F.col("x").alias("va")), "a")
+    both = with_a.join(points.select(F.col("entity").alias("b"), F.col("x").alias("vb")), "b")
     return both.select("a", "b", "na", "nb", "va", "vb").mapInArrow(run, "a long, b long")
 
 
@@ -362,15 +420,65 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
-def _across(members: DataFrame, sets: DataFrame, label: DataFrame, t: Threshold, bits: int) -> DataFrame:
-    """Pairs across components that the R-tree admits in some cell."""
-    mem = members.join(label, "entity", "left").withColumn("comp", F.coalesce("comp", "entity"))
-    mixed = (mem.groupBy("sig", "cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
-             .where((F.col("m") >= 3) & (F.col("lo") != F.col("hi")))
-             .groupBy("sig").agg(F.min(F.struct("cell", "m")).alias("one")).select("one.cell", "one.m"))
+def forest(i: np.ndarray, j: np.ndarray, comp: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """Which pairs make a spanning forest of the components, best scores first."""
+    root: dict = {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+
+    use = []
+    for k in np.argsort(-score, kind="stable").tolist():
+        a, b = find(int(comp[i[k]])), find(int(comp[j[k]]))
+        if a != b:
+            root[a] = b
+            use.append(k)
+    return np.array(use, np.int64)
+
+
+def leads(keys: np.ndarray, hot: np.ndarray, t: Threshold, bits: int) -> np.ndarray:
+    """Cells of the first ``LEADS`` shingles of a set in the order of shingles,
+    as far as they are in its prefix and not frequent."""
+    few = keys[: 4 * LEADS] if len(hot) else keys[:LEADS]
+    while len(hot):
+        p = np.minimum(np.searchsorted(hot, few), len(hot) - 1)
+        rare = few[hot[p] != few]
+        if len(rare) >= LEADS or len(few) == len(keys):
+            few = rare
+            break
+        few = keys[: 4 * len(few)]
+    few = few[: min(LEADS, t.prefix(len(keys)))] >> U(32 - bits)
+    return np.concatenate((few, np.full(LEADS - len(few), ~U(0), np.uint64)))
+
+
+def first_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least lead that each pair of rows has in common; all bits set without one."""
+    none = ~U(0)
+    out = np.full(len(a), none, np.uint64)
+    for x in range(LEADS):
+        for y in range(LEADS):
+            out = np.minimum(out, np.where(a[:, x] == b[:, y], a[:, x], none))
+    return out
+
+
+def _across(members: DataFrame, sets: DataFrame, hot, label: DataFrame, t: Threshold, bits: int, least: int = 3, spanning: bool = False) -> DataFrame:
+    """Pairs across components that the R-tree admits in some cell of ``least``
+    members or more; ``spanning``: of each cell only a spanning forest of them."""
+    mem = (members.where(F.col("m") >= least).select("cell", "hot", "entity", "n").join(label, "entity", "left")
+           .withColumn("comp", F.coalesce("comp", "entity")))
+    mixed = (mem.groupBy("cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"), F.first("hot").alias("hot"),
+                                     F.sum(F.xxhash64("entity").cast("decimal(20,0)")).alias("sig"))
+             .where(F.col("lo") != F.col("hi")).groupBy("sig").agg(F.min(F.struct("hot", "cell", "m")).alias("one")).select("one.cell", "one.m"))
     mixed = scratch.table(mixed, "mixed")
-    mem = mem.drop("m").join(mixed, "cell")
-    points = _of(sets, mem.select("entity"), packed_point, "points")
+    mem = mem.drop("hot").join(mixed, "cell")
+
+    def point(keys):
+        return leads(keys, hot.value[0], t, bits).tobytes() + packed_point(keys)
+
+    points = _of(sets, mem.select("entity"), point, "points")
     nb = F.ceil(F.col("m") / CELL).cast("int")
     mem = mem.withColumn("blocks", nb).withColumn("block", F.pmod(F.xxhash64("entity"), F.col("blocks")).cast("int"))
     # every pair of blocks once: (p, q) with p <= q holds the members of both
@@ -384,21 +492,31 @@ def _across(members: DataFrame, sets: DataFrame, label: DataFrame, t: Threshold,
         order = np.lexsort((cols["entity"], cols["n"], cols["q"], cols["p"], cols["cell"]))
         place = np.stack([cols[c][order] for c in ("cell", "p", "q")])
         edge = np.concatenate(([0], np.flatnonzero((place[:, 1:] != place[:, :-1]).any(0)) + 1, [len(order)]))
-        found, known = [np.zeros((4, 0), np.int64)], set()
+        found = [np.zeros((4, 0), np.int64)]
         for lo, hi in zip(edge[:-1], edge[1:]):
             rows = order[lo:hi]
-            same = cols["entity"][rows].tobytes()
-            if len(rows) < 2 or same in known:            # other cells of the same members
+            if len(rows) < 2:
                 continue
-            known.add(same)
-            points = [unpacked_point(raw[k]) for k in rows]
+            lead = np.frombuffer(b"".join(raw[k][: 8 * LEADS] for k in rows), np.uint64).reshape(-1, LEADS)
+            points = [unpacked_point(raw[k][8 * LEADS :]) for k in rows]
+            here = U(int(cols["cell"][rows[0]]))
             width = np.array([len(x) for x in points])
             for g in np.unique(width):
                 # sets that may link have widths g and g, or g and 2 g
                 use = np.flatnonzero((width == g) | (width == 2 * g))
                 if len(use) > 1:
                     r = rows[use]
-                    i, j = r[tree_pairs(np.stack([fold(points[u], int(g)) for u in use]), cols["n"][r], cols["comp"][r], t)]
+                    flat = np.stack([fold(points[u], int(g)) for u in use])
+                    i, j = tree_pairs(flat, cols["n"][r], cols["comp"][r], t)
+                    first = first_common(lead[use[i]], lead[use[j]])
+                    mine = (first == ~U(0)) | (first == here)
+                    i, j = i[mine], j[mine]
+                    if spanning and len(i):
+                        size = cols["n"][r]
+                        bound = np.concatenate([np.minimum(flat[i[k : k + 4096]], flat[j[k : k + 4096]]).sum(1) for k in range(0, len(i), 4096)])
+                        best = forest(i, j, cols["comp"][r], bound / (size[i] + size[j]))
+                        i, j = i[best], j[best]
+                    i, j = r[i], r[j]
                     found.append(np.stack([cols[c][k] for c, k in (("entity", i), ("entity", j), ("n", i), ("n", j))]))
         a, b, na, nb = np.concatenate(found, axis=1)
         swap = a > b
@@ -408,41 +526,20 @@ def _across(members: DataFrame, sets: DataFrame, label: DataFrame, t: Threshold,
     return mem.groupBy("part").applyInArrow(search, "a long, b long, na long, nb long").distinct()
 
 
-def _stars(members: DataFrame, label: DataFrame | None, t: Threshold, turn: int) -> DataFrame:
-    """Pairs ``a, b, na, nb`` of one member of each cell with its members in
-    other components. First the member that is in most cells (the text that
-    near copies were made from, if it is there), then others in turn."""
-    if label is None:
-        cells_of = members.groupBy("entity").agg(F.count("*").alias("k"))
-        mem = members.join(cells_of, "entity").withColumn("comp", F.col("entity")).withColumn("rank", -F.col("k"))
-    else:
-        mem = members.join(label, "entity", "left").withColumn("comp", F.coalesce("comp", "entity")).withColumn("rank", F.xxhash64("entity", F.lit(turn)))
-    head = (mem.groupBy("cell").agg(F.min(F.struct("rank", "entity", "n", "comp")).alias("h"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-            .where("lo != hi").select("cell", "h"))
-    pair = mem.join(head, "cell").where(F.col("comp") != F.col("h.comp")).where(F.least("n", "h.n") * 100 >= t.p * F.greatest("n", "h.n"))
-    first = F.col("entity") < F.col("h.entity")
-    return pair.select(F.least("entity", "h.entity").alias("a"), F.greatest("entity", "h.entity").alias("b"),
-                       F.when(first, F.col("n")).otherwise(F.col("h.n")).alias("na"),
-                       F.when(first, F.col("h.n")).otherwise(F.col("n")).alias("nb")).distinct()
-
-
 def links(sets: DataFrame, percent: int, bits: int) -> tuple[DataFrame, DataFrame]:
     """Verified links between different sets that connect all components, and
     the components ``entity, comp``."""
     t = Threshold(percent)
-    members = cells(sets, t, bits)
-    every = label = None
-    for turn in range(TURNS):
-        found = verify(_bounded(_stars(members, label, t, turn), sets, t), sets, t, f"links{turn}")
-        if every is not None and found.limit(1).count() == 0:
-            continue
-        every = found if every is None else every.union(found)
-        label = components(every)
-    more = verify(_bounded(_across(members, sets, label, t, bits), sets, t), sets, t, "links")
-    if more.limit(1).count() == 0:
-        return every, label
-    every = every.union(more)
-    return every, components(every)
+    hot = sets.sparkSession.sparkContext.broadcast(frequent(sets))
+    members, stars = cells(sets, hot, t, bits)
+    every = verify(_bounded(stars, sets, t), sets, t, "links0")
+    label = components(every)
+    for least, spanning in ((LARGE, True), (3, False)):
+        more = verify(_across(members, sets, hot, label, t, bits, least, spanning), sets, t, "links")
+        if not more.isEmpty():
+            every = every.union(more)
+            label = components(every)
+    return every, label
 
 
 def join(docs: DataFrame, percent: int = 75, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
