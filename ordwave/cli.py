@@ -39,6 +39,8 @@ def _cfg(args) -> IngestConfig:
         kw["trigger_seconds"] = args.trigger_seconds
     if getattr(args, "max_files_per_trigger", None):
         kw["max_files_per_trigger"] = args.max_files_per_trigger
+    if getattr(args, "max_bytes_per_trigger", None):
+        kw["max_bytes_per_trigger"] = args.max_bytes_per_trigger
     if getattr(args, "max_offsets_per_trigger", None):
         kw["max_offsets_per_trigger"] = args.max_offsets_per_trigger
     return config_from_env(**kw)
@@ -67,7 +69,7 @@ def cmd_ingest(spark: SparkSession, args) -> int:
     if args.routed:
         root = _root(spark, cfg)
         ckpt = cfg.checkpoint_root or f"{work_root(spark)}/checkpoints"
-        src = (record_files_stream(spark, f"{args.topics_dir}/*-topic", cfg.max_files_per_trigger) if paths
+        src = (record_files_stream(spark, f"{args.topics_dir}/*-topic", cfg.max_files_per_trigger, cfg.max_bytes_per_trigger) if paths
                else kafka_stream(spark, cfg, [cfg.orders_topic, cfg.pricing_topic]))
         queries = [start_routed_ingest(src, cfg, root, f"{ckpt}/routed", args.available_now,
                                        cache_raw=not paths)]
@@ -225,6 +227,7 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--starting-offsets", choices=["latest", "earliest"])
     i.add_argument("--trigger-seconds", type=int)
     i.add_argument("--max-files-per-trigger", type=int)
+    i.add_argument("--max-bytes-per-trigger", type=int, help="of the file form; instead of files")
     i.add_argument("--max-offsets-per-trigger", type=int)
     i.add_argument("--available-now", action="store_true", help="drain what is there, then stop")
     i.add_argument("--progress", action="store_true", help="print one line per micro-batch")

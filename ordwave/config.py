@@ -29,6 +29,7 @@ class IngestConfig:
     max_offsets_per_trigger: int | None = 10_000_000
     # bounds one micro-batch (file form of the topics)
     max_files_per_trigger: int | None = None
+    max_bytes_per_trigger: int | None = None
     min_partitions: int | None = None
     # state-store partitions of stateful queries; None = cluster parallelism
     state_partitions: int | None = None
@@ -54,7 +55,7 @@ class IngestConfig:
             raise ValueError(f"state_store must be 'rocksdb' or 'hdfs', not {self.state_store!r}")
         if self.starting_offsets not in ("latest", "earliest") and not self.starting_offsets.startswith("{"):
             raise ValueError("starting_offsets must be 'latest', 'earliest' or a JSON offset map")
-        for name in ("trigger_seconds", "max_offsets_per_trigger", "max_files_per_trigger", "min_partitions",
+        for name in ("trigger_seconds", "max_offsets_per_trigger", "max_files_per_trigger", "max_bytes_per_trigger", "min_partitions",
                      "state_partitions"):
             v = getattr(self, name)
             if v is not None and v <= 0:

@@ -34,13 +34,17 @@ def kafka_batch(spark: SparkSession, cfg: IngestConfig, topics, ending: str = "l
     return reader.load()
 
 
-def record_files_stream(spark: SparkSession, paths, max_files_per_trigger: int | None = None) -> DataFrame:
+def record_files_stream(spark: SparkSession, paths, max_files_per_trigger: int | None = None,
+                        max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Kafka-shaped record files as a stream (file form of S1/S2/S5).
-    ``maxFilesPerTrigger`` bounds each micro-batch (T5)."""
+    Each micro-batch is bounded by bytes or by files (T5); bytes win, as
+    Spark takes one of the two."""
     if isinstance(paths, str):
         paths = [paths]
     reader = spark.readStream.schema(KAFKA_RECORD)
-    if max_files_per_trigger:
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
+    elif max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if len(paths) == 1:
         return reader.parquet(paths[0])

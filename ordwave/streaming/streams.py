@@ -68,7 +68,7 @@ def run_streams(spark: SparkSession, mode: str = "both", cfg: IngestConfig | Non
     for name in wanted:
         topic = cfg.orders_topic if name == "orders" else cfg.pricing_topic
         if topic_paths:
-            src = record_files_stream(spark, topic_paths[topic], cfg.max_files_per_trigger)
+            src = record_files_stream(spark, topic_paths[topic], cfg.max_files_per_trigger, cfg.max_bytes_per_trigger)
         else:
             src = route(kafka_stream(spark, cfg, topic), topic)
         if cfg.drop_tombstones:

@@ -60,6 +60,14 @@ def test_multi_batch_equals_single_batch(spark, sf_small, tmp_path):
     assert _rows(ra) == _rows(rb)
 
 
+def test_micro_batches_bounded_by_bytes(spark, sf_small, topics, tmp_path):
+    sizes = [os.path.getsize(f) for f in glob.glob(f"{topics}/{ORDERS_TOPIC}/part-*.parquet".replace("file:", ""))]
+    cfg = IngestConfig(sink_root=f"{tmp_path}/landed", checkpoint_root=f"{tmp_path}/ckpt", max_files_per_trigger=1, max_bytes_per_trigger=sum(sizes) // 2)
+    drain(run_streams(spark, "orders", cfg, topic_paths={ORDERS_TOPIC: f"{topics}/{ORDERS_TOPIC}"}, available_now=True))
+    assert 1 < read_audit(spark, cfg.sink_root).count() < len(sizes)
+    assert read_audit(spark, cfg.sink_root).agg(F.sum("n_in")).first()[0] == record_files(spark, f"{topics}/{ORDERS_TOPIC}").count()
+
+
 def test_restart_adds_nothing_and_replay_overwrites(spark, sf_small, tmp_path):
     base = str(tmp_path)
     cfg = _land(spark, sf_small, base)
