@@ -7,6 +7,10 @@ position of each turn in the rendered text is a running sum, and a completion
 turn carries whether its text is trained on (assistant turns; their header is
 not). So neither a pair nor a conversation is gathered into one value.
 
+Turns are dealt out by ranges of (key, turn), which cut a long conversation
+into chunks; numbers and offsets are counted within a chunk and raised by the
+totals of the chunks before it. So no task has more than a chunk of it.
+
 Defined results: turns are numbered by (turn, role, text), so repeated or
 null turn numbers keep a fixed order (null first); null role or text counts
 as empty; two turns are common if role and text are equal; a pair with a
@@ -18,18 +22,30 @@ DataFrame operations only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from . import scratch
 
 OPEN, CLOSE = "<|start|>", "<|end|>\n"
 
 
+def _before(rows: DataFrame, keys: list[str], value: Column) -> DataFrame:
+    """Per chunk of ``keys``, the total of ``value`` in the chunks before it."""
+    total = rows.groupBy(*keys, "chunk").agg(F.sum(value).alias("total"))
+    w = Window.partitionBy(*keys).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    return total.select(*keys, "chunk", F.coalesce(F.sum("total").over(w), F.lit(0).cast("long")).alias("before"))
+
+
 def numbered(turns: DataFrame, key: str) -> DataFrame:
-    """``key``, ``pos`` (from 0), role and text of each turn."""
+    """``key``, ``pos`` (from 0), role, text and chunk of each turn, as a table."""
     t = turns.where(F.col(key).isNotNull()).select(
         F.col(key), F.col("turn").alias("__turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    w = Window.partitionBy(key).orderBy(F.col("__turn").asc_nulls_first(), "role", "text")
-    return t.withColumn("pos", F.row_number().over(w) - 1).drop("__turn")
+    order = [F.col("__turn").asc_nulls_first(), F.col("role"), F.col("text")]
+    t = scratch.table(t.repartitionByRange(F.col(key), *order).withColumn("chunk", F.spark_partition_id()), "turns")
+    local = F.row_number().over(Window.partitionBy(key, "chunk").orderBy(*order)) - 1
+    placed = t.withColumn("local", local).join(_before(t, [key], F.lit(1)), [key, "chunk"])
+    return scratch.table(placed.select(key, (F.col("before") + F.col("local")).cast("int").alias("pos"), "role", "text", "chunk"), "numbered")
 
 
 def format_pairs(chosen: DataFrame, rejected: DataFrame, key: str = "pair_id") -> DataFrame:
@@ -37,40 +53,51 @@ def format_pairs(chosen: DataFrame, rejected: DataFrame, key: str = "pair_id") -
     ``key``, ``part`` (prompt, chosen, rejected), ``pos``, role, ``rendered``,
     ``start`` and ``end`` (characters within the part), ``mask_start`` and
     ``mask_end`` (the trained characters; null if none)."""
-    sides = (numbered(chosen, key).withColumn("side", F.lit("chosen"))
-             .unionByName(numbered(rejected, key).withColumn("side", F.lit("rejected"))))
+    return format_numbered(numbered(chosen, key), numbered(rejected, key), key)
+
+
+def format_numbered(chosen: DataFrame, rejected: DataFrame, key: str, trailing: DataFrame | None = None) -> DataFrame:
+    """As :func:`format_pairs`, of sides that are numbered; ``trailing`` turns
+    belong to neither side and make a part of their own."""
+    sides = chosen.withColumn("side", F.lit("chosen")).unionByName(rejected.withColumn("side", F.lit("rejected")))
     # the sides of a position differ if it has one side only, or two contents
-    content = F.xxhash64("role", F.lit("\x00"), "text"), F.length("text")
-    differ = (sides.groupBy(key, "pos").agg(F.count("*").alias("n"), F.min(F.struct(*content)).alias("lo"), F.max(F.struct(*content)).alias("hi"))
+    content = F.struct("role", "text")
+    differ = (sides.groupBy(key, "pos").agg(F.count("*").alias("n"), F.min(content).alias("lo"), F.max(content).alias("hi"))
               .groupBy(key).agg(F.min(F.when((F.col("n") < 2) | (F.col("lo") != F.col("hi")), F.col("pos"))).alias("first")))
     rows = sides.join(differ, key).withColumn("common", F.coalesce(F.col("pos") < F.col("first"), F.lit(True)))
     rows = (rows.where(~F.col("common") | (F.col("side") == "chosen"))
-            .withColumn("part", F.when(F.col("common"), F.lit("prompt")).otherwise(F.col("side"))))
+            .select(key, "pos", "role", "text", "chunk", F.when(F.col("common"), F.lit("prompt")).otherwise(F.col("side")).alias("part")))
+    if trailing is not None:
+        rows = rows.unionByName(trailing.withColumn("part", F.lit("trailing")))
     head = F.concat(F.lit(OPEN), F.col("role"), F.lit("\n"))
     rows = rows.withColumn("rendered", F.concat(head, F.col("text"), F.lit(CLOSE)))
-    run = Window.partitionBy(key, "part").orderBy("pos")
     size = F.length("rendered").cast("long")
-    end = F.sum(size).over(run)
-    trained = (F.col("part") != "prompt") & (F.col("role") == "assistant")
-    return (rows.withColumn("end", end).withColumn("start", F.col("end") - size)
+    local = F.sum(size).over(Window.partitionBy(key, "part", "chunk").orderBy("pos"))
+    rows = rows.withColumn("local", local).join(_before(rows, [key, "part"], size), [key, "part", "chunk"])
+    trained = F.col("part").isin("chosen", "rejected") & (F.col("role") == "assistant")
+    return (rows.withColumn("end", F.col("before") + F.col("local")).withColumn("start", F.col("end") - size)
             .withColumn("mask_start", F.when(trained, F.col("start") + F.length(head)))
             .withColumn("mask_end", F.when(trained, F.col("end") - 1))
             .select(key, "part", "pos", "role", "rendered", "start", "end", "mask_start", "mask_end"))
 
 
-def pairs_from_conversations(conv: DataFrame, key: str = "conv_id") -> tuple[DataFrame, DataFrame]:
-    """Chosen and rejected sides of each conversation with two or more
-    assistant turns: the chosen side is the conversation up to its last
-    assistant turn; the rejected side ends in the assistant turn before that
-    one, given again in its place."""
+def format_conversations(conv: DataFrame, key: str = "conv_id") -> DataFrame:
+    """Pairs made from conversations, all their turns rendered. The chosen side is
+    the conversation up to its last assistant turn; the rejected side ends in the
+    assistant turn before that one, given again in its place, or, without
+    one, before the last assistant turn (its completion is missing). Turns after the last
+    assistant turn are the part ``trailing``; a conversation without assistant
+    turns is all prompt."""
     t = numbered(conv, key)
-    last = (t.where(F.col("role") == "assistant").groupBy(key)
-            .agg(F.max("pos").alias("last"), F.count("*").alias("n")).where(F.col("n") >= 2).drop("n"))
-    kept = t.join(last, key).where(F.col("pos") <= F.col("last"))
-    prior = (kept.where((F.col("role") == "assistant") & (F.col("pos") < F.col("last")))
+    answer = F.when(F.col("role") == "assistant", F.col("pos"))
+    last = t.groupBy(key).agg(F.max(answer).alias("last"))
+    marked = t.join(last, key)
+    prior = (marked.where((F.col("role") == "assistant") & (F.col("pos") < F.col("last")))
              .groupBy(key).agg(F.max_by("text", "pos").alias("prior")))
-    chosen = kept.select(key, F.col("pos").alias("turn"), "role", "text")
-    rejected = kept.join(prior, key).select(
-        key, F.col("pos").alias("turn"), "role",
-        F.when(F.col("pos") == F.col("last"), F.col("prior")).otherwise(F.col("text")).alias("text"))
-    return chosen, rejected
+    marked = marked.join(prior, key, "left")
+    at = F.coalesce(F.col("pos") - F.col("last"), F.lit(-1))                  # from the last answer
+    columns = (key, "pos", "role", "chunk")
+    chosen = marked.where(at <= 0).select(*columns, "text")
+    rejected = (marked.where((at < 0) | ((at == 0) & F.col("prior").isNotNull()))
+                .select(*columns, F.when(at == 0, F.col("prior")).otherwise(F.col("text")).alias("text")))
+    return format_numbered(chosen, rejected, key, marked.where(at > 0).select(*columns, "text"))

@@ -27,8 +27,7 @@ def op1_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen, rejected = preference.pairs_from_conversations(_table(spark, sf_dir, "conversations"))
-    return preference.format_pairs(chosen, rejected, "conv_id")
+    return preference.format_conversations(_table(spark, sf_dir, "conversations"))
 
 
 def op3_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,20 +123,22 @@ FROM d LEFT JOIN f USING (payload_digest)
 WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
            FROM conversations WHERE conv_id IS NOT NULL),
-l AS (SELECT conv_id, max(pos) AS last FROM t WHERE role = 'assistant' GROUP BY conv_id HAVING count(*) >= 2),
-c AS (SELECT t.* , l.last FROM t JOIN l USING (conv_id) WHERE pos <= last),
-p AS (SELECT conv_id, arg_max(text, pos) AS prior FROM c WHERE role = 'assistant' AND pos < last GROUP BY conv_id),
-s AS (SELECT conv_id, pos, role, text, last, 'chosen' AS side, prior FROM c JOIN p USING (conv_id)
-      UNION ALL SELECT conv_id, pos, role, CASE WHEN pos = last THEN prior ELSE text END, last, 'rejected', prior FROM c JOIN p USING (conv_id)),
-d AS (SELECT conv_id, min(CASE WHEN x > 1 THEN pos END) AS first
-      FROM (SELECT conv_id, pos, count(DISTINCT role || chr(0) || text) AS x FROM s GROUP BY conv_id, pos) GROUP BY conv_id),
-r AS (SELECT s.conv_id, CASE WHEN d.first IS NULL OR pos < d.first THEN 'prompt' ELSE side END AS part, pos, role,
-             '<|start|>' || role || chr(10) || text || '<|end|>' || chr(10) AS rendered, length(role) + 10 AS head
-      FROM s JOIN d USING (conv_id) WHERE side = 'chosen' OR pos >= d.first),
+l AS (SELECT conv_id, max(pos) FILTER (WHERE role = 'assistant') AS last FROM t GROUP BY conv_id),
+c AS (SELECT t.*, coalesce(pos - last, -1) AS rel FROM t JOIN l USING (conv_id)),
+p AS (SELECT conv_id, arg_max(text, pos) AS prior FROM c WHERE role = 'assistant' AND rel < 0 GROUP BY conv_id),
+s AS (SELECT conv_id, pos, role, text, 'chosen' AS side FROM c WHERE rel <= 0
+      UNION ALL SELECT conv_id, pos, role, CASE WHEN rel = 0 THEN prior ELSE text END, 'rejected'
+      FROM c LEFT JOIN p USING (conv_id) WHERE rel < 0 OR rel = 0 AND prior IS NOT NULL),
+d AS (SELECT conv_id, min(CASE WHEN n < 2 OR x > 1 THEN pos END) AS first
+      FROM (SELECT conv_id, pos, count(*) AS n, count(DISTINCT role || chr(0) || text) AS x FROM s GROUP BY conv_id, pos) GROUP BY conv_id),
+r AS (SELECT *, '<|start|>' || role || chr(10) || text || '<|end|>' || chr(10) AS rendered, length(role) + 10 AS head
+      FROM (SELECT s.conv_id, CASE WHEN d.first IS NULL OR pos < d.first THEN 'prompt' ELSE side END AS part, pos, role, text
+            FROM s JOIN d USING (conv_id) WHERE side = 'chosen' OR pos >= d.first
+            UNION ALL SELECT conv_id, 'trailing', pos, role, text FROM c WHERE rel > 0)),
 e AS (SELECT *, sum(length(rendered)) OVER (PARTITION BY conv_id, part ORDER BY pos)::BIGINT AS "end" FROM r)
 SELECT conv_id, part, pos::INTEGER AS pos, role, rendered, "end" - length(rendered) AS "start", "end",
-       CASE WHEN part <> 'prompt' AND role = 'assistant' THEN "end" - length(rendered) + head END AS mask_start,
-       CASE WHEN part <> 'prompt' AND role = 'assistant' THEN "end" - 1 END AS mask_end
+       CASE WHEN part IN ('chosen', 'rejected') AND role = 'assistant' THEN "end" - length(rendered) + head END AS mask_start,
+       CASE WHEN part IN ('chosen', 'rejected') AND role = 'assistant' THEN "end" - 1 END AS mask_end
 FROM e
 """,
     "op9_minhash_containment": r"""
