@@ -8,8 +8,8 @@ between them does not count. From each unit on, as many units as make
 occurrence in the document of lowest id is kept (within a
 document the first), and the others are removed if together they cover a run
 of at least ``min_words`` words. With ``lines``, whole lines (their words) are
-hashed too, and later copies of a line are removed whatever its length and
-wherever it stands. Removed spans keep their offsets in the
+hashed too, and later copies of a line of ``line_words`` words or more are
+removed wherever it stands. Removed spans keep their offsets in the
 original text and the id of the document that keeps the passage.
 
 Each task sends each of its digests once per document; digests are reduced to
@@ -17,8 +17,9 @@ their smallest document where they meet, and only later occurrences travel
 back, as one array per document.
 
 Defined results: a null text counts as empty; an id stands for one document,
-so rows that repeat an id are treated alike; rows with a null id rank last
-and count as one document; an empty table gives no rows; other columns are
+so rows that repeat an id are treated alike; rows whose id is null, or no whole
+number, rank last, by a hash of their text, and those of the same text count as one
+document; ids are below 2^62; an empty table gives no rows; other columns are
 passed through by :func:`clean` and ignored by :func:`repeats`.
 """
 
@@ -34,7 +35,13 @@ from .textnum import LOWER, U, WHITE, _B, _B_INV, Block, blocks, doc_slices, mix
 STEP = 3             # one in so many words ends a unit
 LEAST = 6            # words that a digest covers at least, but at a text's end
 MIN_WORDS = 30       # words that a removed run must cover
-LAST = (1 << 63) - 1  # rank of a null id
+NO_ID = 1 << 62      # ranks of rows without an id start here
+
+
+def rank(id_col: str, text_col: str):
+    """What orders documents: the id, or without one a hash of the text."""
+    by_text = F.lit(NO_ID) + F.xxhash64(F.col(text_col).cast("string")).bitwiseAND(F.lit((1 << 61) - 1))
+    return F.coalesce(F.expr(f"try_cast(`{id_col}` AS bigint)"), by_text)
 
 
 def unit_digests(block: Block):
@@ -64,9 +71,9 @@ def unit_digests(block: Block):
     return digest, owner[a], a, b, starts, ends, owner
 
 
-def digests(block: Block, lines: bool):
-    """As ``unit_digests``, with whole lines if asked for, by text; and which
-    of the digests are lines."""
+def digests(block: Block, lines: int):
+    """As ``unit_digests``, with whole lines of ``lines`` words or more (0: none),
+    by text; and which of the digests are lines."""
     digest, owner, a, b, starts, ends, word_owner = unit_digests(block)
     whole = np.zeros(len(digest), bool)
     if lines and len(starts):
@@ -80,6 +87,8 @@ def digests(block: Block, lines: bool):
         place = np.arange(n, dtype=np.uint64) - np.repeat(x, y - x).astype(np.uint64)
         # mixed twice: a line's digest is not that of a run of units
         line = mix(mix(np.add.reduceat(mix(keys + place * _B), x)) + (y - x).astype(np.uint64))
+        long = y - x >= lines
+        x, y, line = x[long], y[long], line[long]
         digest, owner, a, b = (np.concatenate(z) for z in ((digest, line), (owner, word_owner[x]), (a, x), (b, y)))
         whole = np.concatenate((whole, np.ones(len(x), bool)))
         order = np.argsort(owner, kind="stable")
@@ -87,7 +96,7 @@ def digests(block: Block, lines: bool):
     return digest, owner, a, b, starts, ends, word_owner, whole
 
 
-def later_copies(docs: DataFrame, id_col: str, text_col: str, lines: bool = False) -> DataFrame:
+def later_copies(docs: DataFrame, id_col: str, text_col: str, lines: int = 0) -> DataFrame:
     """``doc``, ``digests``, ``keepers``: of each document, the digests whose
     lowest document is another, and that document."""
     bits = packed.bucket_bits(docs)
@@ -133,7 +142,7 @@ def later_copies(docs: DataFrame, id_col: str, text_col: str, lines: bool = Fals
         return pa.table({"doc": doc[at], "digests": pa.ListArray.from_arrays(off, pa.array(digest.view(np.int64))),
                          "keepers": pa.ListArray.from_arrays(off, pa.array(keeper))})
 
-    src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.col(text_col).cast("string").alias("t"))
+    src = docs.select(rank(id_col, text_col).alias("doc"), F.col(text_col).cast("string").alias("t"))
     met = (src.mapInArrow(emit, "bucket long, digests binary, docs binary").groupBy("bucket")
            .applyInArrow(gather, "doc long, digests array<long>, keepers array<long>"))
     return met.groupBy("doc").agg(F.flatten(F.collect_list("digests")).alias("digests"), F.flatten(F.collect_list("keepers")).alias("keepers"))
@@ -170,14 +179,14 @@ def _join(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
 SPAN = "array<struct<start:bigint,end:bigint,kept_doc_id:bigint>>"
 
 
-def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, lines: bool = False) -> DataFrame:
+def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, lines: bool = False, line_words: int = 1) -> DataFrame:
     """``id_col``, ``kept_text``, and ``removed``: spans (start, end in
     characters of the original, id of the keeper)."""
-    return _mark(docs, id_col, text_col, min_words, [id_col], lines).select(
+    return _mark(docs, id_col, text_col, min_words, [id_col], line_words if lines else 0).select(
         F.col("__0").alias(id_col), F.col("__kept").alias("kept_text"), F.col("__removed").alias("removed"))
 
 
-def _mark(docs: DataFrame, id_col: str, text_col: str, min_words: int, keep: list[str], lines: bool) -> DataFrame:
+def _mark(docs: DataFrame, id_col: str, text_col: str, min_words: int, keep: list[str], lines: int) -> DataFrame:
     """``__kept``, ``__removed`` and the ``keep`` columns as ``__0``, ``__1``
     and so on, so that no column of the input can clash."""
     later = later_copies(docs, id_col, text_col, lines)
@@ -223,7 +232,7 @@ def _mark(docs: DataFrame, id_col: str, text_col: str, min_words: int, keep: lis
                     left, pos, got = [], 0, []
                     for lo, hi, k in runs:
                         x, y = int(starts[lo] - b.bounds[d]), int(ends[hi - 1] - b.bounds[d])
-                        got.append({"start": int(chars[x]), "end": int(chars[y]), "kept_doc_id": None if k == LAST else k})
+                        got.append({"start": int(chars[x]), "end": int(chars[y]), "kept_doc_id": None if k >= NO_ID else k})
                         left.append(raw[pos:x].tobytes())
                         pos = y
                     left.append(raw[pos:].tobytes())
@@ -233,22 +242,22 @@ def _mark(docs: DataFrame, id_col: str, text_col: str, min_words: int, keep: lis
             yield pa.RecordBatch.from_arrays([*batch.columns[4:], pa.array(texts, pa.binary()).cast(pa.string()), pa.array(spans, kind)],
                                              [*(f"__{i}" for i in range(len(keep))), "__kept", "__removed"])
 
-    src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.col(text_col).cast("string").alias("__t"),
+    src = docs.select(rank(id_col, text_col).alias("doc"), F.col(text_col).cast("string").alias("__t"),
                       *(F.col(c).alias(f"__{i}") for i, c in enumerate(keep)))
     joined = src.join(later, "doc", "left").select("doc", "__t", "digests", "keepers", *(f"__{i}" for i in range(len(keep))))
     schema = ", ".join(f"__{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
     return joined.mapInArrow(run, f"{schema}, __kept string, __removed {SPAN}")
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, lines: bool = False) -> DataFrame:
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, lines: bool = False, line_words: int = 1) -> DataFrame:
     """A row per removed span: ``id_col, start, end, kept_doc_id``."""
-    return (mark(docs, id_col, text_col, min_words, lines).select(id_col, F.explode("removed").alias("r"))
+    return (mark(docs, id_col, text_col, min_words, lines, line_words).select(id_col, F.explode("removed").alias("r"))
             .select(id_col, "r.start", "r.end", "r.kept_doc_id"))
 
 
-def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, lines: bool = False) -> DataFrame:
+def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, lines: bool = False, line_words: int = 1) -> DataFrame:
     """``docs`` (all columns) with later occurrences cut out of the text."""
     others = [c for c in docs.columns if c != text_col]
-    out = _mark(docs, id_col, text_col, min_words, others, lines)
+    out = _mark(docs, id_col, text_col, min_words, others, line_words if lines else 0)
     named = {c: F.col(f"__{i}").alias(c) for i, c in enumerate(others)} | {text_col: F.col("__kept").alias(text_col)}
     return out.select(*(named[c] for c in docs.columns))

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 from ordwave.llm import linededup as ld
 from ordwave.llm.textnum import blocks
@@ -16,7 +17,7 @@ def brute(rows):
     for i, t in rows:
         b = next(blocks(pa.array([t or ""], pa.large_string())))
         digest, _, a, e, starts, ends, _ = ld.unit_digests(b)
-        units.append((ld.LAST if i is None else i, digest, a, e, starts, ends, (t or "").encode()))
+        units.append((ld.NO_ID + (xxhash.xxh64_intdigest((t or '').encode(), 42) & (1 << 61) - 1) if i is None else i, digest, a, e, starts, ends, (t or "").encode()))
     keeper = {}
     for i, digest, *_ in units:
         for d in digest.tolist():
@@ -124,3 +125,29 @@ def want_first(rows, words, doc, start):
 
 def test_empty_table(no_docs):
     assert ld.repeats(no_docs).count() == 0
+
+
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    p = Prose(8)
+    passage = p.text(60, line=10**9)
+    rows = [(None, f"{p.text(30)} {passage}"), (None, f"{passage} {p.text(30)}"), ("x7", f"{p.text(20)} {passage} {p.text(9)}"), ("3", f"{p.text(40)} {passage}"), (None, None)]
+    got = ld.mark(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert len(got) == 5
+    cut = {r.doc_id: r.removed for r in got if r.doc_id}
+    assert not cut["3"] and [s.kept_doc_id for s in cut["x7"]] == [3]
+    assert sorted(len(r.removed) for r in got if r.doc_id is None) == [0, 1, 1]
+    two = [r for r in got if r.doc_id is None and r.removed]
+    assert all(passage[:40] not in r.kept_text for r in two)
+
+
+def test_least_words_of_a_line(spark):
+    rows = [(i, f"own{i} words here\nshort line\nthis line has got exactly eight words {'x' * 3}\nend{i}") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for least, gone in ((1, ["short line", "this line has got exactly eight words xxx"]), (3, ["this line has got exactly eight words xxx"]), (9, [])):
+        out = {r.doc_id: r.text for r in ld.clean(docs, lines=True, line_words=least).collect()}
+        assert out[0] == rows[0][1]
+        for i in (1, 2):
+            want = rows[i][1]
+            for g in gone:
+                want = want.replace(g, "")
+            assert out[i] == want
