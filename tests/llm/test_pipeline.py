@@ -32,7 +32,7 @@ def one_of_each(rows):
 
 
 def without_repeats(rows):
-    """Later copies of whole lines, and later runs of 30 words, cut out."""
+    """Later copies of whole lines (of 8 words), and later runs of 30 words, cut out."""
     spans = {}
     for (i, lo, hi), k in test_linededup.brute(rows).items():
         assert k == 1
@@ -41,7 +41,7 @@ def without_repeats(rows):
     for i, text in sorted(rows):
         for line in re.finditer(r"[^\n]+", text):
             words = [(m.start(), m.end()) for m in WORD.finditer(line.group())]
-            if words:
+            if len(words) >= pipeline.LINE_WORDS:
                 key = tuple(WORD.findall(line.group().translate(LOW)))
                 if key in seen:
                     spans.setdefault(i, []).append((line.start() + words[0][0], line.start() + words[-1][1]))
