@@ -2,7 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
 kept; its result is written as Parquet in the shared folder and read again as
-the next one's input. All but the last return the columns of ``documents``.
+the next one's input. All but the last return the columns of ``documents``, any
+further ones with them.
+
+Defined results of all stages: empty texts pass through, null ones count as empty
+(the third stage writes them so) and have no tokens; rows that repeat an id stay or go together; rows
+with a null id stay unless toxic or contaminated; of equal texts the smallest
+id stays; an empty table stays empty; columns of any name keep their values.
 """
 
 from __future__ import annotations
@@ -13,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ordwave.llm import bpe, decontaminate, jaccard, linededup, scratch, toxicity
 
 PERCENT = 75         # similarity of near duplicates
+LINE_WORDS = 8       # words of a whole line that is cut where it repeats; shorter ones are headings and names
 CONTAINED = 0.75     # share of a benchmark item's shingles that makes a document contaminated
 
 
@@ -31,7 +38,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut later occurrences of passages and lines out of the texts."""
-    cut = linededup.clean(docs, lines=True)
+    cut = linededup.clean(docs, lines=True, line_words=LINE_WORDS)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
