@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 SCAN = 48            # bytes of a window up to which its lowest pair is found by scanning
 HALF = 8             # bytes up to which the encoding of a half is remembered
-CACHE = 200_000      # entries of each memory of a task process; dropped when full (speed only)
+CACHE = 100_000      # entries of each memory of a task process; dropped when full (speed only)
 RUN = 200_000        # pieces encoded at a time within one text
 
 

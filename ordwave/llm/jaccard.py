@@ -24,8 +24,9 @@ their content, so any number of copies is one entry.
    all pairs across components. Cells beyond ``CELL`` members are dealt out in
    pairs of blocks.
 
-A pair with a common shingle among the first few of both sets is proposed in
-the cell of the first of these only, others in each cell that they share.
+Sets that share a frequent passage meet in many cells: of the cells of frequent
+shingles, a pair with one among the first few of both sets is proposed in the
+first of these only.
 
 Every link is found: a linked pair shares the cell of its first common shingle;
 it is in one component after steps 1 and 2, or proposed by step 3. No pair is
@@ -52,7 +53,7 @@ HOT = 65_536         # frequent shingles put last in the order (order only: any
 HOT_TASK = 8_192     # of which a task proposes at most so many
 CELL = 1_024         # members searched in one tree; larger cells go by pairs of blocks
 LARGE = 64           # members of a cell that step 2 searches (speed only: step 3 finds the rest)
-LEADS = 3            # first shingles of a set that come with its point
+LEADS = 3            # first frequent shingles of a set's prefix that come with its point
 NEAR = 64            # neighbours by size that a cell is pruned by; larger cells stay whole
 FAN = 16             # entries of an R-tree node
 SLOTS = 1 << 20      # hash slots that pre-filter sets before they are shuffled
@@ -231,7 +232,7 @@ def frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def cells(sets: DataFrame, hot, t: Threshold, bits: int) -> tuple[DataFrame, DataFrame]:
     """Members of the cells with two or more different sets that fit:
-    ``cell``, ``hot`` (of a frequent shingle), ``m``, ``entity``, ``n``; and the
+    ``cell``, ``late`` (place of a frequent shingle, else 0), ``m``, ``entity``, ``n``; and the
     pairs ``a, b, na, nb`` of one member with each other one that fits."""
     def emit(batches):
         hk, hc = hot.value
@@ -295,7 +296,7 @@ def cells(sets: DataFrame, hot, t: Threshold, bits: int) -> tuple[DataFrame, Dat
         x, y = x[one], y[one]
         # of the bucket's cells with the same members, the first in the order of shingles
         name = (U(b) << U(32)) | cell[start]
-        last = np.isin(name, hot.value[0] >> U(32 - bits))
+        last = place(name, *hot.value, bits)
         keep = np.zeros(len(start), bool)
         many = np.flatnonzero(m >= 3)
         many = many[np.lexsort((name[many], last[many]))]
@@ -305,15 +306,15 @@ def cells(sets: DataFrame, hot, t: Threshold, bits: int) -> tuple[DataFrame, Dat
         name, last = wide(name).view(np.int64), wide(last)
         none = pa.nulls(len(x), pa.int64())
         rows = len(name)
-        return pa.table({"cell": pa.chunked_array([pa.array(name), none]), "hot": pa.chunked_array([pa.array(last), pa.nulls(len(x), pa.bool_())]),
+        return pa.table({"cell": pa.chunked_array([pa.array(name), none]), "late": pa.chunked_array([pa.array(last), none]),
                          "m": pa.chunked_array([pa.array(wide(m)), none]), "entity": np.concatenate((ent[each], ent[x])), "n": np.concatenate((n[each], n[x])),
                          "b": pa.chunked_array([pa.nulls(rows, pa.int64()), pa.array(ent[y])]), "nb": pa.chunked_array([pa.nulls(rows, pa.int64()), pa.array(n[y])])})
 
     rows = scratch.table(sets.where("entity is not null").select("n", "entity", "keys")
                          .mapInArrow(emit, "bucket long, cells binary, entities binary, ns binary, rooms binary")
-                         .groupBy("bucket").applyInArrow(gather, "cell long, hot boolean, m long, entity long, n long, b long, nb long"), "cells")
+                         .groupBy("bucket").applyInArrow(gather, "cell long, late long, m long, entity long, n long, b long, nb long"), "cells")
     stars = rows.where("b is not null").select(F.col("entity").alias("a"), "b", F.col("n").alias("na"), "nb").distinct()
-    return rows.where("cell is not null").select("cell", "hot", "m", "entity", "n"), stars
+    return rows.where("cell is not null").select("cell", "late", "m", "entity", "n"), stars
 
 
 def _pruned(cell, ent, n, room, t: Threshold):
@@ -337,7 +338,7 @@ def _pruned(cell, ent, n, room, t: Threshold):
 
 
 # -- verification -----------------------------------------------------------
-def _of(sets: DataFrame, ids: DataFrame, make, name: str) -> DataFrame:
+def _of(sets: DataFrame, ids: DataFrame, make, name: str, table: bool = True) -> DataFrame:
     """``entity`` and ``x`` (what ``make`` derives from the keys) of the sets in
     ``ids`` (column ``entity``), once each. Hash slots of the ids, a bounded
     table, filter the scan, so that only what is (almost surely) wanted is
@@ -354,38 +355,41 @@ def _of(sets: DataFrame, ids: DataFrame, make, name: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.binary())], ["entity", "x"])
 
     some = some.mapInArrow(derive, "entity long, x binary") if make else some.withColumnRenamed("keys", "x")
-    return scratch.table(some.join(ids, "entity", "left_semi").groupBy("entity").agg(F.first("x").alias("x")), name)
+    once = some.join(ids, "entity", "left_semi").groupBy("entity").agg(F.first("x").alias("x"))
+    return scratch.table(once, name) if table else once
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("entity"))
 
 
+def _paired(pairs: DataFrame, sets: DataFrame, make, name: str) -> DataFrame:
+    """The pairs with ``xa`` and ``xb``, what ``make`` derives from their sets.
+    A set is shuffled once to its pairs, and once for each of them."""
+    side = lambda c, k: F.struct(F.col(c).alias("entity"), F.lit(k).alias("side"))
+    ends = pairs.select(*pairs.columns, F.explode(F.array(side("a", 0), side("b", 1))).alias("s")).select(*pairs.columns, "s.*")
+    x = [F.max(F.when(F.col("side") == k, F.col("x"))).alias(c) for k, c in ((0, "xa"), (1, "xb"))]
+    return ends.join(_of(sets, _ends(pairs), make, name, table=False), "entity").groupBy(*pairs.columns).agg(*x)
+
+
 def _bounded(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
     """Pairs ``a, b`` that the bound of their count vectors admits."""
-    pairs = scratch.table(pairs, "pairs")
-    points = _of(sets, _ends(pairs), packed_point, "vectors")
-
     def run(batches):
         for batch in batches:
             x = batch.to_pydict()
             ok = []
-            for na, nb, va, vb in zip(x["na"], x["nb"], x["va"], x["vb"]):
+            for na, nb, va, vb in zip(x["na"], x["nb"], x["xa"], x["xb"]):
                 a, b = unpacked_point(va), unpacked_point(vb)
                 g = min(len(a), len(b))
                 ok.append(bool(t.links(int(np.minimum(fold(a, g), fold(b, g)).sum(dtype=np.int64)), na, nb)))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    with_a = pairs.join(points.select(F.col("entity").alias("a"), F.col("x").alias("va")), "a")
-    both = with_a.join(points.select(F.col("entity").alias("b"), F.col("x").alias("vb")), "b")
-    return both.select("a", "b", "na", "nb", "va", "vb").mapInArrow(run, "a long, b long")
+    both = _paired(scratch.table(pairs, "pairs"), sets, packed_point, "vectors")
+    return both.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(run, "a long, b long")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, t: Threshold, name: str) -> DataFrame:
     """The pairs ``a, b`` that link, by their sets."""
-    pairs = scratch.table(pairs, name + "-survivors")
-    known = _of(sets, _ends(pairs), None, name + "-sets")
-
     def run(batches):
         for batch in batches:
             ok = []
@@ -396,9 +400,8 @@ def verify(pairs: DataFrame, sets: DataFrame, t: Threshold, name: str) -> DataFr
                 ok.append(bool(t.links(int((b[p] == a).sum()), len(a), len(b))))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    both = (pairs.join(known.select(F.col("entity").alias("a"), F.col("x").alias("ka")), "a")
-            .join(known.select(F.col("entity").alias("b"), F.col("x").alias("kb")), "b").select("a", "b", "ka", "kb"))
-    return scratch.table(both.mapInArrow(run, "a long, b long"), name)
+    both = _paired(scratch.table(pairs.select("a", "b"), name + "-survivors"), sets, None, name + "-sets")
+    return scratch.table(both.select("a", "b", "xa", "xb").mapInArrow(run, "a long, b long"), name)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -439,44 +442,54 @@ def forest(i: np.ndarray, j: np.ndarray, comp: np.ndarray, score: np.ndarray) ->
     return np.array(use, np.int64)
 
 
-def leads(keys: np.ndarray, hot: np.ndarray, t: Threshold, bits: int) -> np.ndarray:
-    """Cells of the first ``LEADS`` shingles of a set in the order of shingles,
-    as far as they are in its prefix and not frequent."""
-    few = keys[: 4 * LEADS] if len(hot) else keys[:LEADS]
-    while len(hot):
-        p = np.minimum(np.searchsorted(hot, few), len(hot) - 1)
-        rare = few[hot[p] != few]
-        if len(rare) >= LEADS or len(few) == len(keys):
-            few = rare
-            break
-        few = keys[: 4 * len(few)]
-    few = few[: min(LEADS, t.prefix(len(keys)))] >> U(32 - bits)
-    return np.concatenate((few, np.full(LEADS - len(few), ~U(0), np.uint64)))
+def place(cell: np.ndarray, hot: np.ndarray, counts: np.ndarray, bits: int) -> np.ndarray:
+    """From 1 on, where the cells of frequent shingles stand in the order of
+    shingles; 0 for the others, which come before."""
+    if not len(hot):
+        return np.zeros(len(cell), np.int64)
+    at = np.empty(len(hot), np.int64)
+    at[np.lexsort((hot, counts))] = np.arange(1, len(hot) + 1)
+    names = hot >> U(32 - bits)
+    p = np.minimum(np.searchsorted(names, cell), len(hot) - 1)
+    return np.where(names[p] == cell, at[p], 0)
+
+
+def leads(keys: np.ndarray, hot: np.ndarray, counts: np.ndarray, t: Threshold, bits: int) -> np.ndarray:
+    """Cells of the first ``LEADS`` frequent shingles of a set in the order of
+    shingles, as far as they are in its prefix."""
+    out = np.full(LEADS, ~U(0), np.uint64)
+    if len(hot):
+        p = np.minimum(np.searchsorted(hot, keys), len(hot) - 1)
+        p = p[hot[p] == keys]
+        room = t.prefix(len(keys)) - (len(keys) - len(p))                  # the others come first
+        p = p[np.argsort(counts[p], kind="stable")][: max(0, min(LEADS, room))]
+        out[: len(p)] = hot[p] >> U(32 - bits)
+    return out
 
 
 def first_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least lead that each pair of rows has in common; all bits set without one."""
+    """First lead that each pair of rows has in common; all bits set without one."""
     none = ~U(0)
     out = np.full(len(a), none, np.uint64)
-    for x in range(LEADS):
+    for x in range(LEADS - 1, -1, -1):
         for y in range(LEADS):
-            out = np.minimum(out, np.where(a[:, x] == b[:, y], a[:, x], none))
+            out = np.where((a[:, x] == b[:, y]) & (a[:, x] != none), a[:, x], out)
     return out
 
 
 def _across(members: DataFrame, sets: DataFrame, hot, label: DataFrame, t: Threshold, bits: int, least: int = 3, spanning: bool = False) -> DataFrame:
     """Pairs across components that the R-tree admits in some cell of ``least``
     members or more; ``spanning``: of each cell only a spanning forest of them."""
-    mem = (members.where(F.col("m") >= least).select("cell", "hot", "entity", "n").join(label, "entity", "left")
+    mem = (members.where(F.col("m") >= least).select("cell", "late", "entity", "n").join(label, "entity", "left")
            .withColumn("comp", F.coalesce("comp", "entity")))
-    mixed = (mem.groupBy("cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"), F.first("hot").alias("hot"),
+    mixed = (mem.groupBy("cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"), F.first("late").alias("late"),
                                      F.sum(F.xxhash64("entity").cast("decimal(20,0)")).alias("sig"))
-             .where(F.col("lo") != F.col("hi")).groupBy("sig").agg(F.min(F.struct("hot", "cell", "m")).alias("one")).select("one.cell", "one.m"))
+             .where(F.col("lo") != F.col("hi")).groupBy("sig").agg(F.min(F.struct("late", "cell", "m")).alias("one")).select("one.cell", "one.m"))
     mixed = scratch.table(mixed, "mixed")
-    mem = mem.drop("hot").join(mixed, "cell")
+    mem = mem.join(mixed, "cell")
 
     def point(keys):
-        return leads(keys, hot.value[0], t, bits).tobytes() + packed_point(keys)
+        return leads(keys, *hot.value, t, bits).tobytes() + packed_point(keys)
 
     points = _of(sets, mem.select("entity"), point, "points")
     nb = F.ceil(F.col("m") / CELL).cast("int")
@@ -484,10 +497,10 @@ def _across(members: DataFrame, sets: DataFrame, hot, label: DataFrame, t: Thres
     # every pair of blocks once: (p, q) with p <= q holds the members of both
     mem = (mem.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
            .withColumn("p", F.least("block", "o")).withColumn("q", F.greatest("block", "o")).join(points, "entity")
-           .select(F.pmod(F.xxhash64("cell", "p", "q"), F.lit(1 << bits)).alias("part"), "cell", "p", "q", "entity", "comp", "n", "x"))
+           .select(F.pmod(F.xxhash64("cell", "p", "q"), F.lit(1 << bits)).alias("part"), "cell", "late", "p", "q", "entity", "comp", "n", "x"))
 
     def search(table):
-        cols = {c: table.column(c).to_numpy() for c in ("cell", "p", "q", "entity", "comp", "n")}
+        cols = {c: table.column(c).to_numpy() for c in ("cell", "late", "p", "q", "entity", "comp", "n")}
         raw = table.column("x").to_pylist()
         order = np.lexsort((cols["entity"], cols["n"], cols["q"], cols["p"], cols["cell"]))
         place = np.stack([cols[c][order] for c in ("cell", "p", "q")])
@@ -508,9 +521,10 @@ def _across(members: DataFrame, sets: DataFrame, hot, label: DataFrame, t: Thres
                     r = rows[use]
                     flat = np.stack([fold(points[u], int(g)) for u in use])
                     i, j = tree_pairs(flat, cols["n"][r], cols["comp"][r], t)
-                    first = first_common(lead[use[i]], lead[use[j]])
-                    mine = (first == ~U(0)) | (first == here)
-                    i, j = i[mine], j[mine]
+                    if cols["late"][rows[0]]:
+                        first = first_common(lead[use[i]], lead[use[j]])
+                        mine = (first == ~U(0)) | (first == here)
+                        i, j = i[mine], j[mine]
                     if spanning and len(i):
                         size = cols["n"][r]
                         bound = np.concatenate([np.minimum(flat[i[k : k + 4096]], flat[j[k : k + 4096]]).sum(1) for k in range(0, len(i), 4096)])
