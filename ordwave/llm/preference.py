@@ -33,7 +33,8 @@ def _before(rows: DataFrame, keys: list[str], value: Column) -> DataFrame:
     """Per chunk of ``keys``, the total of ``value`` in the chunks before it."""
     total = rows.groupBy(*keys, "chunk").agg(F.sum(value).alias("total"))
     w = Window.partitionBy(*keys).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    return total.select(*keys, "chunk", F.coalesce(F.sum("total").over(w), F.lit(0).cast("long")).alias("before"))
+    # a table, a row per key and chunk: joined by its size, apart from the window's partitions
+    return scratch.table(total.select(*keys, "chunk", F.coalesce(F.sum("total").over(w), F.lit(0).cast("long")).alias("before")), "before")
 
 
 def numbered(turns: DataFrame, key: str) -> DataFrame:
@@ -64,7 +65,7 @@ def format_numbered(chosen: DataFrame, rejected: DataFrame, key: str, trailing:
     content = F.struct("role", "text")
     differ = (sides.groupBy(key, "pos").agg(F.count("*").alias("n"), F.min(content).alias("lo"), F.max(content).alias("hi"))
               .groupBy(key).agg(F.min(F.when((F.col("n") < 2) | (F.col("lo") != F.col("hi")), F.col("pos"))).alias("first")))
-    rows = sides.join(differ, key).withColumn("common", F.coalesce(F.col("pos") < F.col("first"), F.lit(True)))
+    rows = sides.join(scratch.table(differ, "differ"), key).withColumn("common", F.coalesce(F.col("pos") < F.col("first"), F.lit(True)))
     rows = (rows.where(~F.col("common") | (F.col("side") == "chosen"))
             .select(key, "pos", "role", "text", "chunk", F.when(F.col("common"), F.lit("prompt")).otherwise(F.col("side")).alias("part")))
     if trailing is not None:
@@ -91,10 +92,10 @@ def format_conversations(conv: DataFrame, key: str = "conv_id") -> DataFrame:
     t = numbered(conv, key)
     answer = F.when(F.col("role") == "assistant", F.col("pos"))
     last = t.groupBy(key).agg(F.max(answer).alias("last"))
-    marked = t.join(last, key)
+    marked = scratch.table(t.join(scratch.table(last, "last"), key), "marked")
     prior = (marked.where((F.col("role") == "assistant") & (F.col("pos") < F.col("last")))
              .groupBy(key).agg(F.max_by("text", "pos").alias("prior")))
-    marked = marked.join(prior, key, "left")
+    marked = marked.join(scratch.table(prior, "prior"), key, "left")
     at = F.coalesce(F.col("pos") - F.col("last"), F.lit(-1))                  # from the last answer
     columns = (key, "pos", "role", "chunk")
     chosen = marked.where(at <= 0).select(*columns, "text")
