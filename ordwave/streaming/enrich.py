@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..operators.dims import with_product
 from ..operators.transform import LANDED_COLUMNS
 from ..sources.snapshots import batch_files, folder_names
-from ..sources.tables import hadoop_fs, path_exists
+from ..sources.tables import compact, hadoop_fs, path_exists
 from .sinks import BatchLander, batch_path
 
 PINS = 1000              # batches whose versions are recorded in one folder
@@ -70,8 +70,8 @@ class EnrichedLander(BatchLander):
         version = self.dim.pinned(spark, f"{self.out_root}/pins/{self.table}", batch_id)
         good = batch_files(spark, self.out_root, self.table, batch_path(self.out_root, self.table, batch_id)).where("status = 'good'")
         rows = with_product(good.select(*LANDED_COLUMNS[self.table]), self.dim.read(spark, version), self.cols)
-        (rows.withColumn("dim_version", F.lit(version).cast("bigint"))
-         .write.mode("overwrite").parquet(batch_path(self.out_root, f"{self.table}_enriched", batch_id)))
+        compact(rows.withColumn("dim_version", F.lit(version).cast("bigint")).write.mode("overwrite")).parquet(
+            batch_path(self.out_root, f"{self.table}_enriched", batch_id))
 
 
 def read_enriched(spark: SparkSession, root: str, table: str) -> DataFrame:

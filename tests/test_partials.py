@@ -85,3 +85,13 @@ def test_nothing_landed(spark, tmp_path):
     parts = partials.read_partials(spark, str(tmp_path), "orders")
     assert partials.stored_rows_per_day(parts).count() == 0 and partials.stored_offset_gaps(parts).count() == 0
     assert {r.status for r in partials.stored_summary(spark, str(tmp_path), ["orders"]).collect()} == {"missing"}
+
+
+def test_records_at_written_coordinates(spark, tmp_path):
+    log = spark.range(100_000).selectExpr("'t' AS topic", "CAST(id % 3 AS INT) AS partition", "id DIV 3 AS offset", "CAST('v' AS BINARY) AS value")
+    some = log.where("offset % 7 = 0 OR offset > 32000")
+    partials.write_coordinates(some, f"{tmp_path}/at")
+    got = partials.records_at(log, f"{tmp_path}/at")
+    assert got.columns == log.columns and got.count() == some.count() and got.exceptAll(some).count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
