@@ -56,6 +56,7 @@ LARGE = 64           # members of a cell that step 2 searches (speed only: step
 LEADS = 3            # first frequent shingles of a set's prefix that come with its point
 NEAR = 64            # neighbours by size that a cell is pruned by; larger cells stay whole
 FAN = 16             # entries of an R-tree node
+WHOLE = 128          # smaller sets keep all bytes of their keys
 SLOTS = 1 << 20      # hash slots that pre-filter sets before they are shuffled
 
 
@@ -72,30 +73,42 @@ def count_vector(keys: np.ndarray) -> np.ndarray:
 
 def store(keys: np.ndarray) -> bytes:
     """Sorted keys as their top 48 bits: cells use no more, and two sets are
-    compared with each other only, where those bits tell shingles apart."""
-    return keys.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+    compared with each other only, where those bits tell shingles apart. The
+    first byte says how many bytes of each key are kept whole. Of larger sets that is
+    five, and the sixth is a bit for each key and value, set where a key has the value."""
+    raw = keys.view(np.uint8).reshape(-1, 8)
+    if len(keys) < WHOLE:
+        return b"\6" + raw[:, 2:].tobytes()
+    bits = np.zeros(len(keys) + 256, np.uint8)
+    bits[raw[:, 7] + np.arange(len(keys))] = 1
+    return b"\5" + raw[:, 2:7].tobytes() + np.packbits(bits).tobytes()
 
 
 def stored(buf) -> np.ndarray:
-    raw = np.frombuffer(buf, np.uint8).reshape(-1, 6)
-    out = np.zeros((len(raw), 8), np.uint8)
-    out[:, 2:] = raw
+    raw = np.frombuffer(buf, np.uint8)
+    n = (len(raw) - 1) // 6 if raw[0] == 6 else (8 * (len(raw) - 1) - 256) // 41
+    out = np.zeros((n, 8), np.uint8)
+    if raw[0] == 6:
+        out[:, 2:] = raw[1:].reshape(n, 6)
+    else:
+        out[:, 2:7] = raw[1 : 1 + 5 * n].reshape(n, 5)
+        out[:, 7] = np.flatnonzero(np.unpackbits(raw[1 + 5 * n :])) - np.arange(n)
     return out.reshape(-1).view(np.uint64)
 
 
 def packed_point(keys: np.ndarray) -> bytes:
     """The count vector in half a byte per group, rounded up in steps (first
-    four bytes) if a count does not fit, so bounds stay bounds."""
+    four bytes) if a count does not fit, so bounds stay bounds. Bits of one value
+    stand together: the high ones are mostly zero, which the shuffle's codec sees."""
     v = count_vector(keys).astype(np.int64)
     step = max(1, -(-int(v.max(initial=0)) // 15))
     v = (-(-v // step)).astype(np.uint8)
-    return np.uint32(step).tobytes() + (v[::2] | v[1::2] << 4).tobytes()
+    return np.uint32(step).tobytes() + np.packbits(v >> np.arange(4, dtype=np.uint8)[:, None] & 1, axis=1).tobytes()
 
 
 def unpacked_point(raw: bytes) -> np.ndarray:
-    half = np.frombuffer(raw, np.uint8, offset=4)
-    out = np.empty(2 * len(half), np.int32)
-    out[::2], out[1::2] = half & 15, half >> 4
+    bits = np.unpackbits(np.frombuffer(raw, np.uint8, offset=4).reshape(4, -1), axis=1)
+    out = bits[0] | bits[1] << 1 | bits[2] << 2 | bits[3] << 3
     return out * np.frombuffer(raw, np.uint32, 1).astype(np.int32)
 
 
@@ -232,8 +245,8 @@ def frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def cells(sets: DataFrame, hot, t: Threshold, bits: int) -> tuple[DataFrame, DataFrame]:
     """Members of the cells with two or more different sets that fit:
-    ``cell``, ``late`` (place of a frequent shingle, else 0), ``m``, ``entity``, ``n``; and the
-    pairs ``a, b, na, nb`` of one member with each other one that fits."""
+    ``cell``, ``late`` (place of a frequent shingle, else 0), ``m``, ``entity``, ``n``, ``room``; and the
+    pairs ``a, b, na, nb`` of one member (the least by hash) with each other one that fits."""
     def emit(batches):
         hk, hc = hot.value
         held, count = [], 0
@@ -268,14 +281,14 @@ def cells(sets: DataFrame, hot, t: Threshold, bits: int) -> tuple[DataFrame, Dat
         keys, ent, n, room = keys[new], ent[new], n[new], room[new]
         # a cell is known by its bucket and the next 32 bits; cells that fall together only cost time
         short = (keys >> U(32 - bits)).astype(np.uint32)
-        rows = [(b, c, e, k, r) for b, _, c, e, k, r in packed.pack(bits, keys, short, ent, n, room)]
+        rows = [(b, packed.planes(c, 4), e, packed.planes(k, 4), r) for b, _, c, e, k, r in packed.pack(bits, keys, short, ent, n, room)]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["bucket", "cells", "entities", "ns", "rooms"])
 
     def gather(key, table):
         b = key[0].as_py()
-        cell = packed.unpack(table.column("cells"), np.uint32).astype(np.uint64)
+        cell = packed.unplaned(table.column("cells"), np.uint32).astype(np.uint64)
         ent = packed.unpack(table.column("entities"), np.int64)
-        n = packed.unpack(table.column("ns"), np.uint32).astype(np.int64)
+        n = packed.unplaned(table.column("ns"), np.uint32).astype(np.int64)
         room = packed.unpack(table.column("rooms"), np.uint8).astype(np.int64)
         order = np.lexsort((-room, ent, cell))
         cell, ent, n, room = cell[order], ent[order], n[order], room[order]
@@ -290,8 +303,7 @@ def cells(sets: DataFrame, hot, t: Threshold, bits: int) -> tuple[DataFrame, Dat
         order = np.lexsort((mix(ent.view(np.uint64)), cell))
         head = np.repeat(order[start], m) if len(start) else np.zeros(0, np.int64)
         pair = np.flatnonzero(t.fit(n, n[head], room, room[head]) & (ent != ent[head])) if len(start) else head
-        x, y = pair, head[pair]
-        x, y = np.where(ent[x] < ent[y], x, y), np.where(ent[x] < ent[y], y, x)
+        x, y = head[pair], pair
         _, one = np.unique(np.stack((ent[x], ent[y])), axis=1, return_index=True) if len(x) else (None, np.zeros(0, np.int64))
         x, y = x[one], y[one]
         # of the bucket's cells with the same members, the first in the order of shingles
@@ -308,13 +320,14 @@ def cells(sets: DataFrame, hot, t: Threshold, bits: int) -> tuple[DataFrame, Dat
         rows = len(name)
         return pa.table({"cell": pa.chunked_array([pa.array(name), none]), "late": pa.chunked_array([pa.array(last), none]),
                          "m": pa.chunked_array([pa.array(wide(m)), none]), "entity": np.concatenate((ent[each], ent[x])), "n": np.concatenate((n[each], n[x])),
+                         "room": pa.chunked_array([pa.array(room[each]), none]),
                          "b": pa.chunked_array([pa.nulls(rows, pa.int64()), pa.array(ent[y])]), "nb": pa.chunked_array([pa.nulls(rows, pa.int64()), pa.array(n[y])])})
 
     rows = scratch.table(sets.where("entity is not null").select("n", "entity", "keys")
                          .mapInArrow(emit, "bucket long, cells binary, entities binary, ns binary, rooms binary")
-                         .groupBy("bucket").applyInArrow(gather, "cell long, late long, m long, entity long, n long, b long, nb long"), "cells")
+                         .groupBy("bucket").applyInArrow(gather, "cell long, late long, m long, entity long, n long, room long, b long, nb long"), "cells")
     stars = rows.where("b is not null").select(F.col("entity").alias("a"), "b", F.col("n").alias("na"), "nb").distinct()
-    return rows.where("cell is not null").select("cell", "late", "m", "entity", "n"), stars
+    return rows.where("cell is not null").select("cell", "late", "m", "entity", "n", "room"), stars
 
 
 def _pruned(cell, ent, n, room, t: Threshold):
@@ -337,6 +350,26 @@ def _pruned(cell, ent, n, room, t: Threshold):
     return cell[keep], ent[keep], n[keep], room[keep]
 
 
+def _parted(cell, comp, n, room, t: Threshold) -> np.ndarray:
+    """Which members of cells can link through their cell with a member of another
+    component. The arrays are sorted by cell and size. Cells of more than ``CELL``
+    members stay whole."""
+    keep = np.zeros(len(cell), bool)
+    if not len(cell):
+        return keep
+    start = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+    m = np.diff(np.append(start, len(cell)))
+    large = np.repeat(m > CELL, m)
+    i, d = np.flatnonzero(~large[:-1]), 1
+    while len(i):
+        i = i[i + d < len(cell)]
+        i = i[(cell[i] == cell[i + d]) & t.sizes(n[i], n[i + d])]
+        ok = i[(comp[i] != comp[i + d]) & t.fit(n[i], n[i + d], room[i], room[i + d])]
+        keep[ok] = keep[ok + d] = True
+        d += 1
+    return keep | large
+
+
 # -- verification -----------------------------------------------------------
 def _of(sets: DataFrame, ids: DataFrame, make, name: str, table: bool = True) -> DataFrame:
     """``entity`` and ``x`` (what ``make`` derives from the keys) of the sets in
@@ -365,11 +398,10 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 def _paired(pairs: DataFrame, sets: DataFrame, make, name: str) -> DataFrame:
     """The pairs with ``xa`` and ``xb``, what ``make`` derives from their sets.
-    A set is shuffled once to its pairs, and once for each of them."""
-    side = lambda c, k: F.struct(F.col(c).alias("entity"), F.lit(k).alias("side"))
-    ends = pairs.select(*pairs.columns, F.explode(F.array(side("a", 0), side("b", 1))).alias("s")).select(*pairs.columns, "s.*")
-    x = [F.max(F.when(F.col("side") == k, F.col("x"))).alias(c) for k, c in ((0, "xa"), (1, "xb"))]
-    return ends.join(_of(sets, _ends(pairs), make, name, table=False), "entity").groupBy(*pairs.columns).agg(*x)
+    A set is shuffled once to its pairs; then that of ``a``, which may be in many pairs, goes
+    to the other's, so no task holds more than the pairs of its own sets."""
+    x = _of(sets, _ends(pairs), make, name, table=False)
+    return pairs.join(x.toDF("a", "xa"), "a").join(x.toDF("b", "xb"), "b")
 
 
 def _bounded(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
@@ -480,7 +512,7 @@ def first_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _across(members: DataFrame, sets: DataFrame, hot, label: DataFrame, t: Threshold, bits: int, least: int = 3, spanning: bool = False) -> DataFrame:
     """Pairs across components that the R-tree admits in some cell of ``least``
     members or more; ``spanning``: of each cell only a spanning forest of them."""
-    mem = (members.where(F.col("m") >= least).select("cell", "late", "entity", "n").join(label, "entity", "left")
+    mem = (members.where(F.col("m") >= least).select("cell", "late", "entity", "n", "room").join(label, "entity", "left")
            .withColumn("comp", F.coalesce("comp", "entity")))
     mixed = (mem.groupBy("cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"), F.first("late").alias("late"),
                                      F.sum(F.xxhash64("entity").cast("decimal(20,0)")).alias("sig"))
@@ -488,6 +520,16 @@ def _across(members: DataFrame, sets: DataFrame, hot, label: DataFrame, t: Thres
     mixed = scratch.table(mixed, "mixed")
     mem = mem.join(mixed, "cell")
 
+    def parted(table):
+        order = np.lexsort([table.column(c).to_numpy() for c in ("entity", "n", "cell")])
+        keep = _parted(*(table.column(c).to_numpy()[order] for c in ("cell", "comp", "n", "room")), t)
+        return table.take(order[keep]).drop(["part", "room"])
+
+    # before their points are sent: members without a partner in another component leave the cell
+    mem = (mem.select(F.pmod(F.xxhash64("cell"), F.lit(1 << bits)).alias("part"), "cell", "late", "entity", "n", "room", "comp", "m")
+           .groupBy("part").applyInArrow(parted, "cell long, late long, entity long, n long, comp long, m long"))
+    mem = scratch.table(mem, "parted")
+
     def point(keys):
         return leads(keys, *hot.value, t, bits).tobytes() + packed_point(keys)
 
@@ -533,7 +575,7 @@ def _across(members: DataFrame, sets: DataFrame, hot, label: DataFrame, t: Thres
                     i, j = r[i], r[j]
                     found.append(np.stack([cols[c][k] for c, k in (("entity", i), ("entity", j), ("n", i), ("n", j))]))
         a, b, na, nb = np.concatenate(found, axis=1)
-        swap = a > b
+        swap = mix(a.view(np.uint64)) > mix(b.view(np.uint64))
         a, b, na, nb = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)
         return pa.table({"a": a, "b": b, "na": na, "nb": nb})
 

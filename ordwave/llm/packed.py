@@ -57,6 +57,18 @@ def unpack(col, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), dtype)
 
 
+def planes(raw: bytes, width: int) -> bytes:
+    """Numbers of ``width`` bytes as all their first bytes, then all their second ones, and so
+    on: the high bytes of small or sorted numbers repeat, which the shuffle's codec sees."""
+    return np.frombuffer(raw, np.uint8).reshape(-1, width).T.tobytes()
+
+
+def unplaned(col, dtype) -> np.ndarray:
+    """The entries of a binary column of :func:`planes`, back to back."""
+    width = np.dtype(dtype).itemsize
+    return np.frombuffer(b"".join(np.frombuffer(x, np.uint8).reshape(width, -1).T.tobytes() for x in col.to_pylist()), dtype)
+
+
 def sizes(col, width: int) -> np.ndarray:
     """Entries in each row of a binary column."""
     return np.array([len(x) // width for x in col.to_pylist()], np.int64)
