@@ -12,6 +12,7 @@ table is large.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +61,21 @@ def sized(dim: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
+def coded(df: DataFrame, cols: list, code: str) -> tuple:
+    """For text columns of ``df`` that take few combinations: the functions that put a
+    number ``code`` in their place and that put them back. Both leave rows as they
+    are if there are many combinations. A shuffle between the two moves less."""
+    path = f"{work_root(df.sparkSession)}/dims/{uuid.uuid4().hex[:12]}"
+    df.select(*cols).distinct().withColumn(code, F.monotonically_increasing_id()).write.parquet(path)
+    dim = df.sparkSession.read.parquet(path)
+    if dim.count() > BROADCAST_ROWS:
+        return (lambda rows: rows), (lambda rows: rows)
+    keys = F.broadcast(dim.select(code, *(F.col(c).alias(f"{code}_{c}") for c in cols)))
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"{code}_{c}")) for c in cols))
+    return ((lambda rows: rows.join(keys, same).select(*(c for c in rows.columns if c not in cols), code)),
+            (lambda rows: rows.join(F.broadcast(dim), code, "left").drop(code)))
+
+
 def product_id(partkey: str) -> Column:
     return F.concat(F.lit("PRD-"), F.col(partkey).cast("string"))
 

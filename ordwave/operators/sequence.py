@@ -48,17 +48,19 @@ BLOCKS = 1 << 15
 
 
 def ranged_sequence(df: DataFrame, group_col: str, order_cols: list, coarse_col: str, ranges: int,
-                    out: str = "seq") -> DataFrame:
+                    out: str = "seq", pack=lambda d: d) -> DataFrame:
     """:func:`dense_sequence` for a ``df`` that is cheap to read twice, with its
     rows laid out by position: in ``ranges`` partitions of whole blocks, each
     sorted by position, then group. Rows are shuffled once, by the start
     of their block, and a window numbers each block where it lands. Blocks are
-    as wide as gives about ``BLOCKS`` of them, so their starts are a small table."""
+    as wide as gives about ``BLOCKS`` of them, so their starts are a small table. ``pack``
+    may swap other columns for smaller ones: its result is shuffled and returned."""
     lo_hi = df.agg(F.percentile_approx(coarse_col, [0.01, 0.99], 100)).first()[0]
     width = max(1, (lo_hi[1] - lo_hi[0]) // BLOCKS) if lo_hi else 1
     d = df.withColumn("_blk", F.floor(F.col(coarse_col) / width))
-    d = (d.join(F.broadcast(block_starts(d, group_col, 1024)), [group_col, "_blk"]).drop("_blk")
-         .repartitionByRange(ranges, "_base", group_col))
+    d = pack(d.join(F.broadcast(block_starts(d, group_col, 1024)), [group_col, "_blk"]).drop("_blk"))
+    kept = [c for c in d.columns if c != "_base"]
+    d = (d.repartitionByRange(ranges, "_base", group_col))
     w_row = Window.partitionBy("_base", group_col).orderBy(*order_cols)
     return (d.withColumn(out, (F.col("_base") + F.row_number().over(w_row) - 1).cast("bigint"))
-            .sortWithinPartitions(out, group_col).select(*df.columns, out))
+            .sortWithinPartitions(out, group_col).select(*kept, out))
