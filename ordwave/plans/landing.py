@@ -26,6 +26,7 @@ from .reports import latest_audit
 # one file per shuffle partition), so a bounded run has several batches and
 # each batch has at least as many input splits as the cluster has cores.
 TRIGGERS_PER_TOPIC = 2
+AUDITED_BY = {"orders": "orders", "pricing_events": "pricing"}      # table -> its stream
 
 
 def files_per_trigger(spark: SparkSession) -> int:
@@ -63,22 +64,28 @@ def stream_land(spark: SparkSession, sf_dir: str, base: str, mode: str = "both",
     return cfg.sink_root
 
 
-def shared_landing(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
-    """The landed tables the reports read: landed once per published input
-    and reused. Each landing goes to its own folder; a small pointer file
-    names the finished one, written only after both streams drained."""
-    pointer = fixture_root(spark, sf_dir).replace("/topics/", "/landing/") + "/CURRENT"
+def shared_landing(spark: SparkSession, sf_dir: str, force: bool = False, tables=("orders", "pricing_events")) -> str:
+    """Sink root of the landed tables the reports read: each stream is landed
+    once per published input, when a report first reads its table, and reused. The
+    streams of one input share a folder (both run together if neither has
+    landed); small pointer files name it, written only after the streams drained."""
+    pointers = fixture_root(spark, sf_dir).replace("/topics/", "/landing/")
     with PUBLISH_LOCK:
-        if not force and path_exists(spark, pointer):
-            return spark.read.text(pointer).first()[0]
-        base = f"{work_root(spark)}/runs/landing-{uuid.uuid4().hex[:12]}"      # kept: the pointer names it
-        sink = stream_land(spark, sf_dir, base)
-        spark.range(1).select(F.lit(sink).alias("value")).coalesce(1).write.mode("overwrite").text(pointer)
+        done = {} if force else {name: spark.read.text(f"{pointers}/{name}/CURRENT").first()[0] for name in AUDITED_BY.values()
+                                 if path_exists(spark, f"{pointers}/{name}/CURRENT/_SUCCESS")}
+        todo = [AUDITED_BY[t] for t in AUDITED_BY if AUDITED_BY[t] not in done and (force or t in tables)]
+        if not todo:
+            return done[AUDITED_BY[tables[0]]]
+        base = (next(iter(done.values())).removesuffix("/landed") if done
+                else f"{work_root(spark)}/runs/landing-{uuid.uuid4().hex[:12]}")      # kept: the pointers name it
+        sink = stream_land(spark, sf_dir, base, "both" if len(todo) == 2 else todo[0])
+        for name in todo:
+            spark.range(1).select(F.lit(sink).alias("value")).coalesce(1).write.mode("overwrite").text(f"{pointers}/{name}/CURRENT")
         return sink
 
 
 def landed(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return read_landed(spark, shared_landing(spark, sf_dir), table)
+    return read_landed(spark, shared_landing(spark, sf_dir, tables=(table,)), table)
 
 
 def batch_load(spark: SparkSession, sf_dir: str, base: str, load_id: str = "L0") -> dict:
@@ -101,7 +108,6 @@ def count_landed(spark: SparkSession, root: str, table: str) -> int:
     return read_landed(spark, root, table).agg(F.count(F.lit(1))).first()[0]
 
 
-AUDITED_BY = {"orders": "orders", "pricing_events": "pricing"}
 TARGET_BYTES = 512 << 20       # of a merged file
 SORT_ROWS = 1 << 21            # of a merged file: one task sorts them (about 0.9 GB in memory, 80 MB of zstd orders)
 MERGE_AT = 8                   # small merged files that are merged without a new batch

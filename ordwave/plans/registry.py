@@ -456,7 +456,7 @@ def orders_unique(spark, sf_dir):
 @register("rows_per_day_stored", ORACLE["orders_rows_per_day"])
 def rows_per_day_stored(spark, sf_dir):
     """A3 from the partial aggregates that each batch has left: no events are read."""
-    return stored_rows_per_day(read_partials(spark, landing.shared_landing(spark, sf_dir), "orders"))
+    return stored_rows_per_day(read_partials(spark, landing.shared_landing(spark, sf_dir, tables=("orders",)), "orders"))
 
 
 @register("table_summary_stored", ORACLE["table_summary"])
