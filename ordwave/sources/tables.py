@@ -24,16 +24,27 @@ def compact(writer: DataFrameWriter, fmt: str = "parquet") -> DataFrameWriter:
 
 
 @contextmanager
-def unsorted_partitions(spark: SparkSession, values: int):
-    """Writes partitioned by a column of at most ``values`` values: each task keeps
-    a file of each open, instead of sorting its rows by that column first."""
-    key = "spark.sql.maxConcurrentOutputFileWriters"
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, str(values))
+def settings(spark: SparkSession, values: dict):
+    """Session settings for the queries of a block; then they are as before."""
+    old = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def unsorted_partitions(spark: SparkSession, values: int):
+    """Writes partitioned by a column of at most ``values`` values: each task keeps
+    a file of each open, instead of sorting its rows by that column first."""
+    return settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(values)})
+
+
+def file_per_task(spark: SparkSession):
+    """Scans of which a task reads one file (or a part of a large one), not several small ones."""
+    return settings(spark, {"spark.sql.files.openCostInBytes": spark.conf.get("spark.sql.files.maxPartitionBytes")})
 
 
 def hadoop_fs(spark: SparkSession, path: str):
