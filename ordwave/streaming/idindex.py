@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.dedup import bit
 from ..sources.snapshots import folder_names, delete
 from ..sources.tables import path_exists
 
@@ -40,12 +41,6 @@ def slots(key: Column) -> Column:
     return F.array(*(F.pmod(F.xxhash64(key, F.lit(i)), F.lit(BLOCKS * BLOCK)) for i in range(1, HASHES + 1)))
 
 
-def bit(bits: Column, position: Column) -> Column:
-    """The bit of a bitmap (as ``bitmap_construct_agg`` numbers them)."""
-    byte = F.conv(F.hex(F.substring(bits, F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.getbit(byte, (position % 8).cast("int")) == 1
-
-
 def _level(r: tuple) -> int:
     """Power of ``TIER`` in the length of a range."""
     n, level = r[1] - r[0] + 1, 0
@@ -76,15 +71,19 @@ class IdIndex:
         return spark.read.schema(KEYS if kind == "keys" else BLOOMS).parquet(*(self._path(kind, *r) for r in ranges))
 
     def seen(self, keys: DataFrame, batch_id: int) -> DataFrame | None:
-        """Those of the keys (column ``key``) that earlier batches have landed;
-        None if the bitmaps rule all of them out."""
+        """Those of the keys (column ``key``; they may repeat) that earlier batches have landed;
+        None if the bitmaps rule all of them out. The bitmaps, of a fixed size, are
+        broadcast: only keys that pass them are shuffled."""
         spark = keys.sparkSession
         ranges = [r for r in self.widest(self.ranges(spark)) if r[1] < batch_id]
         if not ranges:
             return None
         slot = keys.select("key", F.posexplode(slots(F.col("key"))).alias("i", "slot"))
         slot = slot.select("key", "i", F.floor(F.col("slot") / BLOCK).alias("block"), (F.col("slot") % BLOCK).alias("at"))
-        hit = slot.join(self._read(spark, "blooms", ranges), "block").where(bit(F.col("bits"), F.col("at")))
+        blooms = self._read(spark, "blooms", ranges)
+        if len(ranges) > 1:
+            blooms = blooms.groupBy("block").agg(F.bitmap_or_agg("bits").alias("bits"))
+        hit = slot.join(F.broadcast(blooms), "block").where(bit(F.col("bits"), F.col("at")))      # at most BLOCKS rows
         suspect = hit.groupBy("key").agg(F.count_distinct("i").alias("n")).where(F.col("n") == HASHES).select("key").persist()
         try:
             buckets = [r.b for r in suspect.select(bucket(F.col("key")).alias("b")).distinct().collect()]        # at most BUCKETS
@@ -102,7 +101,7 @@ class IdIndex:
         """Record the keys that a batch landed; a replay overwrites them."""
         spark = keys.sparkSession
         path = self._path("keys", batch_id, batch_id)
-        keys.select(bucket(F.col("key")).alias("bucket"), "key").sortWithinPartitions("bucket", "key").write.mode("overwrite").parquet(path)
+        keys.select(bucket(F.col("key")).alias("bucket"), "key").sortWithinPartitions("bucket", "key").write.mode("overwrite").option("compression", "zstd").parquet(path)
         slot = spark.read.schema(KEYS).parquet(path).select(F.explode(slots(F.col("key"))).alias("slot"))
         # bitmap functions number from 1: slot s is position s % BLOCK of bitmap s / BLOCK
         (slot.groupBy(F.floor(F.col("slot") / BLOCK).alias("block")).agg(F.bitmap_construct_agg(F.col("slot") % BLOCK).alias("bits"))
@@ -124,7 +123,7 @@ class IdIndex:
             if len(last) < TIER or len({_level(r) for r in last}) > 1:
                 return made
             lo, hi = last[0][0], last[-1][1]
-            self._read(spark, "keys", last).repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key").write.mode("overwrite").parquet(self._path("keys", lo, hi))
+            self._read(spark, "keys", last).repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key").write.mode("overwrite").option("compression", "zstd").parquet(self._path("keys", lo, hi))
             self._read(spark, "blooms", last).groupBy("block").agg(F.bitmap_or_agg("bits").alias("bits")).write.mode("overwrite").parquet(self._path("blooms", lo, hi))
             use[-TIER:] = [(lo, hi)]
             made.append((lo, hi))

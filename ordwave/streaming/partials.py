@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.parse import to_ntz
+from ..operators.dedup import bit
 from ..operators.dims import literal_rows
 from ..sources.snapshots import folder_names, batch_files, delete, stream_id
 from ..sources.tables import path_exists
-from .idindex import bit
 
 PARTIALS = ("kind string, status string, d date, topic string, partition int, bucket bigint, n bigint, lo bigint, hi bigint, "
             "first timestamp_ntz, last timestamp_ntz, bits binary, full boolean")
