@@ -56,6 +56,7 @@ LARGE = 64           # members of a cell that step 2 searches (speed only: step
 LEADS = 3            # first frequent shingles of a set's prefix that come with its point
 NEAR = 64            # neighbours by size that a cell is pruned by; larger cells stay whole
 FAN = 16             # entries of an R-tree node
+BOUNDS = 1 << 20     # coordinates that are compared at a time
 WHOLE = 128          # smaller sets keep all bytes of their keys
 SLOTS = 1 << 20      # hash slots that pre-filter sets before they are shuffled
 
@@ -159,32 +160,31 @@ def rtree(points: np.ndarray) -> list[np.ndarray]:
 
 
 def tree_pairs(points: np.ndarray, n: np.ndarray, comp: np.ndarray, t: Threshold) -> np.ndarray:
-    """Pairs ``i < j`` in different components whose bound admits a link.
-    Points must be sorted by ``n``."""
-    out = []
+    """Pairs ``i < j`` in different components whose bound admits a link, by ``i``, then ``j``.
+    Points must be sorted by ``n``. All points go down the tree together, level by
+    level; what sizes and components tell of a node is looked at before its bound is."""
     levels = rtree(points)
-    first = [n]                      # smallest set size of each node
-    for _ in levels[1:]:
-        first.append(first[-1][::FAN])
-    for i in range(len(n) - 1):
-        q, nq = points[i], n[i]
-        nodes = np.arange(len(levels[-1]))
-        for depth in range(len(levels) - 1, -1, -1):
-            if depth < len(levels) - 1:
-                nodes = (nodes[:, None] * FAN + np.arange(FAN)).ravel()
-                nodes = nodes[nodes < len(levels[depth])]
-            span = FAN**depth
-            nodes = nodes[(nodes + 1) * span > i + 1]
-            low = np.maximum(first[depth][nodes], nq)
-            bound = np.minimum(levels[depth][nodes], q).sum(1, dtype=np.int64)
-            nodes = nodes[t.links(bound, nq, low) & (nq * 100 >= t.p * low)]
-            if not len(nodes):
-                break
-        else:
-            j = nodes[(nodes > i) & (comp[nodes] != comp[i])]
-            if len(j):
-                out.append(np.stack((np.full(len(j), i), j)))
-    return np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+    first, least, most = [n], [comp], [comp]          # smallest set size of each node; smallest and largest component
+    for below in levels[:-1]:
+        at = np.arange(0, len(below), FAN)
+        first.append(first[-1][at])
+        least.append(np.minimum.reduceat(least[-1], at))
+        most.append(np.maximum.reduceat(most[-1], at))
+    q = np.repeat(np.arange(len(n)), len(levels[-1]))
+    nodes = np.tile(np.arange(len(levels[-1])), len(n))
+    step = max(1, BOUNDS // max(1, points.shape[1]))
+    for depth in range(len(levels) - 1, -1, -1):
+        low = np.maximum(first[depth][nodes], n[q])
+        use = ((nodes + 1) * FAN**depth > q + 1) & (n[q] * 100 >= t.p * low) & ((least[depth][nodes] != comp[q]) | (most[depth][nodes] != comp[q]))
+        q, nodes, low = q[use], nodes[use], low[use]
+        bound = [np.minimum(levels[depth][nodes[k : k + step]], points[q[k : k + step]]).sum(1, dtype=np.int64) for k in range(0, len(q), step)]
+        use = t.links(np.concatenate(bound), n[q], low) if bound else np.zeros(0, bool)
+        q, nodes = q[use], nodes[use]
+        if depth:
+            q, nodes = np.repeat(q, FAN), (nodes[:, None] * FAN + np.arange(FAN)).ravel()
+            q, nodes = q[nodes < len(levels[depth - 1])], nodes[nodes < len(levels[depth - 1])]
+    order = np.lexsort((nodes, q))
+    return np.stack((q[order], nodes[order]))
 
 
 # -- sets -------------------------------------------------------------------
@@ -543,7 +543,12 @@ def _across(members: DataFrame, sets: DataFrame, hot, label: DataFrame, t: Thres
 
     def search(table):
         cols = {c: table.column(c).to_numpy() for c in ("cell", "late", "p", "q", "entity", "comp", "n")}
-        raw = table.column("x").to_pylist()
+        # a set is in many cells: its point is unpacked once
+        _, one, at = np.unique(cols["entity"], return_index=True, return_inverse=True)
+        raw = table.column("x").take(one).to_pylist()
+        leads_ = np.frombuffer(b"".join(x[: 8 * LEADS] for x in raw), np.uint64).reshape(-1, LEADS)
+        points = [unpacked_point(x[8 * LEADS :]) for x in raw]
+        widths = np.array([len(x) for x in points])
         order = np.lexsort((cols["entity"], cols["n"], cols["q"], cols["p"], cols["cell"]))
         place = np.stack([cols[c][order] for c in ("cell", "p", "q")])
         edge = np.concatenate(([0], np.flatnonzero((place[:, 1:] != place[:, :-1]).any(0)) + 1, [len(order)]))
@@ -552,16 +557,14 @@ def _across(members: DataFrame, sets: DataFrame, hot, label: DataFrame, t: Thres
             rows = order[lo:hi]
             if len(rows) < 2:
                 continue
-            lead = np.frombuffer(b"".join(raw[k][: 8 * LEADS] for k in rows), np.uint64).reshape(-1, LEADS)
-            points = [unpacked_point(raw[k][8 * LEADS :]) for k in rows]
+            lead, width = leads_[at[rows]], widths[at[rows]]
             here = U(int(cols["cell"][rows[0]]))
-            width = np.array([len(x) for x in points])
             for g in np.unique(width):
                 # sets that may link have widths g and g, or g and 2 g
                 use = np.flatnonzero((width == g) | (width == 2 * g))
                 if len(use) > 1:
                     r = rows[use]
-                    flat = np.stack([fold(points[u], int(g)) for u in use])
+                    flat = np.stack([points[k] if len(points[k]) == g else fold(points[k], int(g)) for k in at[r]])
                     i, j = tree_pairs(flat, cols["n"][r], cols["comp"][r], t)
                     if cols["late"][rows[0]]:
                         first = first_common(lead[use[i]], lead[use[j]])
